@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -250,15 +250,24 @@ def dms_to_decimal(deg: Column, minutes: Column, seconds: Column, direction: Col
     return F.when(direction.isin("S", "W"), -value).otherwise(value)
 
 
+def bind(value: Column, fn: Callable[[Column], Column]) -> Column:
+    """``fn(value)`` with ``value`` evaluated once, however often fn uses it."""
+    return F.get(F.transform(F.array(value), fn), F.lit(0))
+
+
 def _dms_pair(text: Column, pattern: str) -> Column:
-    found = text.rlike(pattern)
-    group = [F.regexp_extract(text, pattern, i) for i in range(1, 9)]
-    lat = dms_to_decimal(*group[:4])
-    lon = dms_to_decimal(*group[4:])
-    return F.when(
-        found & lat.isNotNull() & lon.isNotNull(),
-        F.struct(lat.alias("lat"), lon.alias("lon")),
-    )
+    def from_groups(groups: Column) -> Column:
+        return F.struct(
+            dms_to_decimal(*[groups[i] for i in range(4)]).alias("lat"),
+            dms_to_decimal(*[groups[i] for i in range(4, 8)]).alias("lon"),
+        )
+
+    def extract(t: Column) -> Column:
+        groups = F.array(*[F.regexp_extract(t, pattern, i) for i in range(1, 9)])
+        return F.when(t.rlike(pattern), bind(groups, from_groups))
+
+    pair = bind(text, extract)
+    return F.when(pair["lat"].isNotNull() & pair["lon"].isNotNull(), pair)
 
 
 # Coordinate notations found in pages.
@@ -284,7 +293,10 @@ def geohack_coordinates(url: Column) -> Column:
 
 def geohack_href_coordinates(href: Column) -> Column:
     """As above for a raw link: decimal form first, whole link as fallback."""
-    text = F.coalesce(_query_params(href), href)
+    return bind(F.coalesce(_query_params(href), href), _link_coordinates)
+
+
+def _link_coordinates(text: Column) -> Column:
     lat = F.regexp_extract(text, _GEOHACK_DECIMAL, 1).try_cast("double")
     lon = F.regexp_extract(text, _GEOHACK_DECIMAL, 3).try_cast("double")
     south = F.regexp_extract(text, _GEOHACK_DECIMAL, 2) == "S"

@@ -12,10 +12,17 @@ from pyspark.sql import functions as F
 
 from tripweave import schemas
 from tripweave.functions import dates
-from tripweave.functions.text import blank_to_null, coordinates, first_non_empty, or_default, strip
+from tripweave.functions.fields import (
+    field,
+    field_or_null,
+    first_field,
+    has_field,
+    number_field,
+    stripped_field,
+)
+from tripweave.functions.text import coordinates, first_non_empty, or_default, strip
 from tripweave.sources import fixed
 from tripweave.sources.dimensions import classification as built_in_classification
-from tripweave.sources.raw import is_object, text_at
 
 TABLE_NAME = "TourKoreaDomainData"
 
@@ -32,17 +39,15 @@ def city_id(meta_city_id: Column, city_code: Column, region: Column, district: C
     )
 
 
-def _list_size(payload: Column, path: str) -> Column:
-    return F.coalesce(F.size(F.try_variant_get(payload, path, "array<variant>")), F.lit(0))
+def _list_size(name: str) -> Column:
+    return F.expr(f"coalesce(size(try_variant_get(payload, '$.{name}', 'array<variant>')), 0)")
 
 
-def city_record(payload: Column) -> Column:
-    """City attributes of a payload; the counts are list lengths."""
-    meta = {
-        n: F.coalesce(text_at(payload, f"$.meta.{n}"), F.lit(""))
-        for n in ("city_id", "cityCode", "city_name_ko", "province", "lDongRegnCd", "lDongSignguCd")
-    }
-    name_en = or_default(text_at(payload, "$.meta.city_name_en"), "UNKNOWN")
+def city_record() -> Column:
+    """City attributes of the ``payload`` column; counts are list lengths."""
+    names = ("city_id", "cityCode", "city_name_ko", "province", "lDongRegnCd", "lDongSignguCd")
+    meta = {n: field(f"meta.{n}", "payload") for n in names}
+    name_en = or_default(field_or_null("meta.city_name_en", "payload"), "UNKNOWN")
     return F.struct(
         city_id(meta["city_id"], meta["cityCode"], meta["lDongRegnCd"], meta["lDongSignguCd"], name_en).alias("city_id"),
         name_en.alias("city_name_en"),
@@ -50,45 +55,41 @@ def city_record(payload: Column) -> Column:
         meta["province"].alias("province"),
         meta["lDongRegnCd"].alias("lDongRegnCd"),
         meta["lDongSignguCd"].alias("lDongSignguCd"),
-        _list_size(payload, "$.attractions").alias("attraction_count"),
-        _list_size(payload, "$.festivals").alias("festival_count"),
-        _list_size(payload, "$.visitor_statistics").alias("visitor_statistics_count"),
+        _list_size("attractions").alias("attraction_count"),
+        _list_size("festivals").alias("festival_count"),
+        _list_size("visitor_statistics").alias("visitor_statistics_count"),
     )
 
 
-def _tagged(kind: str, entries: Column) -> Column:
-    """Object elements of a VARIANT list as (kind, pos, rec)."""
-    numbered = F.transform(
-        entries,
-        lambda e, i: F.struct(F.lit(kind).alias("kind"), i.cast("int").alias("pos"), e.alias("rec")),
-    )
-    return F.coalesce(
-        F.filter(numbered, lambda e: is_object(e["rec"])),
-        F.array().cast("array<struct<kind:string,pos:int,rec:variant>>"),
-    )
+# Object elements of a VARIANT list as (kind, pos, rec).
+_TAGGED = """coalesce(filter(
+    transform({entries}, (e, i) -> struct('{kind}' AS kind, i AS pos, e AS rec)),
+    e -> schema_of_variant(e.rec) LIKE 'OBJECT%'), cast(array() AS array<struct<kind:string,pos:int,rec:variant>>))"""
 
 
-def content_entries(payload: Column) -> Column:
-    """Attractions, then festivals, as (kind, pos, rec)."""
-    return F.concat(
-        _tagged("attractions", F.try_variant_get(payload, "$.attractions", "array<variant>")),
-        _tagged("festivals", F.try_variant_get(payload, "$.festivals", "array<variant>")),
-    )
+def _list(path: str) -> str:
+    return f"try_variant_get(payload, '$.{path}', 'array<variant>')"
 
 
-def statistics_entries(payload: Column, accept_list: bool) -> Column:
+def content_entries() -> Column:
+    """Attractions, then festivals, of ``payload`` as (kind, pos, rec)."""
+    parts = [_TAGGED.format(kind=k, entries=_list(k)) for k in ("attractions", "festivals")]
+    return F.expr(f"concat({', '.join(parts)})")
+
+
+def statistics_entries(accept_list: bool) -> Column:
     """Monthly statistics; the bare-list form only when ``accept_list``."""
-    monthly = F.try_variant_get(payload, "$.visitor_statistics.monthly_statistics", "array<variant>")
+    monthly = _list("visitor_statistics.monthly_statistics")
     if accept_list:
-        monthly = F.coalesce(F.try_variant_get(payload, "$.visitor_statistics", "array<variant>"), monthly)
-    return _tagged("statistics", monthly)
+        monthly = f"coalesce({_list('visitor_statistics')}, {monthly})"
+    return F.expr(_TAGGED.format(kind="statistics", entries=monthly))
 
 
-def content_type_id(kind: Column, rec: Column) -> Column:
-    """Raw content type; a festival entry without the key counts as 15."""
-    has_key = F.map_contains_key(F.try_variant_get(rec, "$", "map<string,variant>"), "contenttypeid")
-    value = F.coalesce(text_at(rec, "$.contenttypeid"), F.lit(""))
-    return F.when((kind == "festivals") & ~has_key, F.lit("15")).otherwise(value)
+def content_type_id() -> Column:
+    """Raw content type of (kind, rec); a festival entry without the key
+    counts as 15."""
+    missing = (F.col("kind") == "festivals") & ~has_field("$", "contenttypeid")
+    return F.when(missing, F.lit("15")).otherwise(field("contenttypeid"))
 
 
 def classify_domain(content_type: Column, kind: Column) -> Column:
@@ -121,52 +122,33 @@ def _single(col: Column) -> Column:
     return F.when(F.coalesce(col, F.lit("")) != "", F.array(col)).otherwise(F.array().cast("array<string>"))
 
 
-def _raw(rec: Column, name: str) -> Column:
-    return F.coalesce(text_at(rec, f"$.{name}"), F.lit(""))
-
-
-def _common(rec: Column, name: str) -> Column:
-    return _raw(rec, f"detail.common.{name}")
-
-
-def _intro(rec: Column, name: str) -> Column:
-    return _raw(rec, f"detail.intro.{name}")
-
-
 def _entries(payloads: DataFrame) -> DataFrame:
     """One row per city, content and statistics entry of the valid payloads."""
-    payload = F.col("payload")
-    city_entry = F.array(
-        F.struct(F.lit("city").alias("kind"), F.lit(0).alias("pos"), F.lit(None).cast("variant").alias("rec"))
-    )
-    year = text_at(payload, "$.visitor_statistics.year")
-    as_map = "map<string,double>"
-    no_map = F.create_map().cast(as_map)
-    head = F.struct(
-        F.when(year.rlike(r"\A\d+\z"), year.try_cast("int")).alias("year"),
-        F.coalesce(F.try_variant_get(payload, "$.visitor_statistics.annual_totals", as_map), no_map).alias("totals"),
-        F.coalesce(
-            F.try_variant_get(payload, "$.visitor_statistics.annual_daily_averages", as_map), no_map
-        ).alias("averages"),
-    )
-    none = F.array().cast("array<string>")
+    city_entry = F.expr("array(struct('city' AS kind, 0 AS pos, cast(null AS variant) AS rec))")
+    head = F.expr("""struct(
+        CASE WHEN try_variant_get(payload, '$.visitor_statistics.year', 'string') RLIKE '^[0-9]+$'
+          THEN try_variant_get(payload, '$.visitor_statistics.year', 'int') END AS year,
+        coalesce(try_variant_get(payload, '$.visitor_statistics.annual_totals', 'map<string,double>'),
+          cast(map() AS map<string,double>)) AS totals,
+        coalesce(try_variant_get(payload, '$.visitor_statistics.annual_daily_averages', 'map<string,double>'),
+          cast(map() AS map<string,double>)) AS averages)""")
     # The city columns are computed below the generator, which then drops the
     # payload, so no output row carries the whole file.  Invalid files have a
     # null payload and a null list gives no rows; a filter would parse twice.
     cities = payloads.select(
         "source_key",
         "payload",
-        city_record(payload).alias("city"),
-        F.coalesce(
-            F.try_variant_get(payload, "$.meta.sigungus_included", "array<string>"), none
+        city_record().alias("city"),
+        F.expr(
+            "coalesce(try_variant_get(payload, '$.meta.sigungus_included', 'array<string>'), cast(array() AS array<string>))"
         ).alias("sigungus"),
-        F.coalesce(text_at(payload, "$.meta.scraped_at"), F.lit("")).alias("scraped"),
+        field("meta.scraped_at", "payload").alias("scraped"),
         head.alias("stat_head"),
     )
-    entries = F.concat(city_entry, content_entries(payload), statistics_entries(payload, accept_list=False))
+    entries = F.concat(city_entry, content_entries(), statistics_entries(accept_list=False))
     return cities.select(
         "source_key", "city", "sigungus", "scraped", "stat_head",
-        F.inline(F.when(payload.isNotNull(), entries)),
+        F.inline(F.when(F.col("payload").isNotNull(), entries)),
     )
 
 
@@ -188,24 +170,22 @@ def domain_items(
     is_city, is_stat = kind == "city", kind == "statistics"
 
     # Stage 1: parsed fields of every entry.
-    coords = coordinates(text_at(rec, "$.mapx"), text_at(rec, "$.mapy"))
-    start = F.coalesce(*[F.nullif(f(rec, "eventstartdate"), F.lit("")) for f in (_intro, _raw)])
-    end = F.coalesce(*[F.nullif(f(rec, "eventenddate"), F.lit("")) for f in (_intro, _raw)])
-    type_id = strip(content_type_id(kind, rec))
+    coords = coordinates(field_or_null("mapx"), field_or_null("mapy"))
+    start = first_field("detail.intro.eventstartdate", "eventstartdate")
+    end = first_field("detail.intro.eventenddate", "eventenddate")
+    type_id = strip(content_type_id())
     parsed = _entries(payloads).select(
         "source_key", "city", "sigungus", "scraped", "stat_head", "kind", "pos", "rec",
-        strip(_raw(rec, "contentid")).alias("content_id"),
-        strip(_raw(rec, "title")).alias("title"),
+        stripped_field("contentid").alias("content_id"),
+        stripped_field("title").alias("title"),
         type_id.alias("contenttypeid"),
         coords.alias("geo"),
-        F.coalesce(
-            blank_to_null(_common(rec, "lclsSystm3")), blank_to_null(_raw(rec, "lclsSystm3"))
-        ).alias("lcls_systm3"),
+        stripped_field("detail.common.lclsSystm3", "lclsSystm3", default="null").alias("lcls_systm3"),
         dates.structural_iso_date(start).alias("start"),
         dates.structural_iso_date(end).alias("end"),
-        dates.stat_month(_raw(rec, "month")).alias("stat_month"),
-        first_non_empty(_raw(rec, "_assigned_theme"), _intro(rec, "cat3"), _raw(rec, "cat3")).alias("own_theme"),
-        first_non_empty(_raw(rec, "addr1"), _intro(rec, "addr1")).alias("address"),
+        dates.stat_month(field("month")).alias("stat_month"),
+        stripped_field("_assigned_theme", "detail.intro.cat3", "cat3").alias("own_theme"),
+        stripped_field("addr1", "detail.intro.addr1").alias("address"),
     ).where(~is_stat | (F.col("stat_month") != ""))
 
     # Stage 2: entity type, classification and issues.
@@ -262,23 +242,21 @@ def domain_items(
     texts = {
         "title": F.col("title"),
         "address": F.col("address"),
-        "description": first_non_empty(_common(rec, "overview"), _intro(rec, "overview")),
-        "image_url": first_non_empty(_raw(rec, "firstimage"), _common(rec, "firstimage"), _raw(rec, "firstimage2")),
-        "homepage": first_non_empty(_common(rec, "homepage"), _raw(rec, "homepage")),
-        "zipcode": first_non_empty(_common(rec, "zipcode"), _raw(rec, "zipcode")),
-        "copyright_type": first_non_empty(_common(rec, "cpyrhtDivCd"), _raw(rec, "cpyrhtDivCd")),
-        "created_time": first_non_empty(_common(rec, "createdtime"), _raw(rec, "createdtime")),
-        "modified_time": first_non_empty(_common(rec, "modifiedtime"), _raw(rec, "modifiedtime")),
+        "description": stripped_field("detail.common.overview", "detail.intro.overview"),
+        "image_url": stripped_field("firstimage", "detail.common.firstimage", "firstimage2"),
+        "homepage": stripped_field("detail.common.homepage", "homepage"),
+        "zipcode": stripped_field("detail.common.zipcode", "zipcode"),
+        "copyright_type": stripped_field("detail.common.cpyrhtDivCd", "cpyrhtDivCd"),
+        "created_time": stripped_field("detail.common.createdtime", "createdtime"),
+        "modified_time": stripped_field("detail.common.modifiedtime", "modifiedtime"),
     }
-    phone = first_non_empty(
-        _raw(rec, "tel"), _common(rec, "tel"), _intro(rec, "infocenter"), _intro(rec, "infocenterculture")
-    )
+    phone = stripped_field("tel", "detail.common.tel", "detail.intro.infocenter", "detail.intro.infocenterculture")
     attraction = {
         "phone": phone,
-        "opening_hours": _intro(rec, "usetime"),
-        "closed_days": _intro(rec, "restdate"),
-        "experience_guide": _intro(rec, "expguide"),
-        "parking": _intro(rec, "parking"),
+        "opening_hours": field("detail.intro.usetime"),
+        "closed_days": field("detail.intro.restdate"),
+        "experience_guide": field("detail.intro.expguide"),
+        "parking": field("detail.intro.parking"),
         "attraction_subtype_code": F.col("subtype.code"),
         "attraction_subtype_name": F.col("subtype.name"),
         "classification_source": F.when(F.col("subtype").isNotNull(), F.lit("lcls_systm3")),
@@ -289,21 +267,21 @@ def domain_items(
         "event_end_date": F.col("end"),
         "season": season,
         "visit_months": dates.visit_months_cyclic(F.col("start"), F.col("end")),
-        "venue": first_non_empty(_intro(rec, "eventplace"), F.col("address")),
-        "organizer": _intro(rec, "sponsor1"),
-        "organizer_phone": _intro(rec, "sponsor1tel"),
-        "playtime": _intro(rec, "playtime"),
-        "fee_text": _intro(rec, "usetimefestival"),
+        "venue": F.coalesce(stripped_field("detail.intro.eventplace", default="null"), "address"),
+        "organizer": field("detail.intro.sponsor1"),
+        "organizer_phone": field("detail.intro.sponsor1tel"),
+        "playtime": field("detail.intro.playtime"),
+        "fee_text": field("detail.intro.usetimefestival"),
         "source_subtype_name": cls["name"],
         "source_theme": cls["theme"],
-        "program": blank_to_null(_intro(rec, "program")),
-        "subevent": blank_to_null(_intro(rec, "subevent")),
+        "program": stripped_field("detail.intro.program", default="null"),
+        "subevent": stripped_field("detail.intro.subevent", default="null"),
         "gsi_sk": dates.festival_sort_key(content_id, F.col("start")),
     }
     statistic = {
         "year": F.col("stat_head.year"),
-        "days": F.try_variant_get(rec, "$.days", "int"),
-        **{n: F.try_variant_get(rec, f"$.{n}", "double") for n in schemas.STATISTIC_MEASURES},
+        "days": number_field("days", "int"),
+        **{n: number_field(n) for n in schemas.STATISTIC_MEASURES},
         "annual_totals": F.col("stat_head.totals"),
         "annual_daily_averages": F.col("stat_head.averages"),
     }

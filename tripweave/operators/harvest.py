@@ -67,7 +67,7 @@ def candidate_names(name_en: Column, city_id: Column) -> Column:
     """File base names under which a city may be stored, in search order."""
     spellings = F.array(name_en, F.replace(name_en, F.lit(" "), F.lit("_")), city_id)
     variants = F.transform(
-        F.filter(F.transform(spellings, F.trim), lambda n: n != ""),
+        F.filter(F.transform(spellings, lambda n: F.trim(n)), lambda n: n != ""),
         lambda n: F.array(
             n, F.lower(n), F.replace(n, F.lit(" "), F.lit("_")), F.replace(n, F.lit("-"), F.lit("_"))
         ),
@@ -81,6 +81,10 @@ def is_detail_payload(payload: Column) -> Column:
     return F.coalesce(F.arrays_overlap(keys, F.array(*[F.lit(k) for k in DETAIL_KEYS])), F.lit(False))
 
 
+def _signature(kind: str, value: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), value.alias("value"))
+
+
 def _signatures(inventory: DataFrame) -> DataFrame:
     """Inventory paths with the city names and ids they mention."""
     p = F.col("payload")
@@ -89,12 +93,12 @@ def _signatures(inventory: DataFrame) -> DataFrame:
         return F.trim(F.coalesce(text_at(p, path), F.lit("")))
 
     entries = F.array(
-        F.struct(F.lit("en").alias("kind"), F.upper(value("$.meta.city_name_en")).alias("value")),
-        F.struct(F.lit("ko"), value("$.meta.city_name_ko")),
-        F.struct(F.lit("id"), value("$.meta.city_id")),
-        F.struct(F.lit("en"), F.upper(value("$.city_name_en"))),
-        F.struct(F.lit("id"), value("$.city_id")),
-        F.struct(F.lit("ko"), value("$.name_ko")),
+        _signature("en", F.upper(value("$.meta.city_name_en"))),
+        _signature("ko", value("$.meta.city_name_ko")),
+        _signature("id", value("$.meta.city_id")),
+        _signature("en", F.upper(value("$.city_name_en"))),
+        _signature("id", value("$.city_id")),
+        _signature("ko", value("$.name_ko")),
     )
     return inventory.select("path", F.inline(F.array_distinct(entries))).where(F.col("value") != "")
 
@@ -118,7 +122,8 @@ def resolve_sources(targets: DataFrame, inventory: DataFrame) -> DataFrame:
             F.array(
                 F.struct(stem.alias("name"), F.lit(0).alias("suffix_rank")),
                 F.struct(
-                    F.when(stem.endswith(SUFFIXES[1]), F.regexp_replace(stem, SUFFIXES[1] + r"\z", "")), F.lit(1)
+                    F.when(stem.endswith(SUFFIXES[1]), F.regexp_replace(stem, SUFFIXES[1] + r"\z", "")).alias("name"),
+                    F.lit(1).alias("suffix_rank"),
                 ),
             )
         ),
@@ -138,9 +143,9 @@ def resolve_sources(targets: DataFrame, inventory: DataFrame) -> DataFrame:
         "city_id",
         F.inline(
             F.array(
-                F.struct(F.lit("en").alias("kind"), F.upper("city_name_en").alias("value")),
-                F.struct(F.lit("ko"), F.col("city_name_ko")),
-                F.struct(F.lit("id"), F.col("city_id")),
+                _signature("en", F.upper("city_name_en")),
+                _signature("ko", F.col("city_name_ko")),
+                _signature("id", F.col("city_id")),
             )
         ),
     ).where(F.col("value") != "")

@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions import dates
-from tripweave.functions.text import coordinates, first_non_empty, or_default, strip
+from tripweave.functions.fields import field, field_or_null, first_field, has_field, stripped_field
+from tripweave.functions.text import coordinates, or_default
 from tripweave.operators.domain import (
     city_record,
     content_entries,
@@ -23,21 +24,17 @@ def _entries(payloads: DataFrame) -> DataFrame:
     cities = payloads.select(
         "source_key",
         "payload",
-        city_record(payload).alias("city"),
+        city_record().alias("city"),
         (F.coalesce(F.size(F.try_variant_get(payload, "$.meta", "map<string,variant>")), F.lit(0)) == 0).alias("no_meta"),
     )
     missing_meta = F.when(
         F.col("no_meta"),
         F.array(F.struct(F.lit("no_meta").alias("kind"), F.lit(0).alias("pos"), F.lit(None).cast("variant").alias("rec"))),
     ).otherwise(F.array().cast("array<struct<kind:string,pos:int,rec:variant>>"))
-    entries = F.concat(content_entries(payload), statistics_entries(payload, accept_list=True), missing_meta)
+    entries = F.concat(content_entries(), statistics_entries(accept_list=True), missing_meta)
     return cities.select("source_key", "city", F.inline(F.when(payload.isNotNull(), entries)))
 
 
-def _has_key(v: Column, name: str) -> Column:
-    return F.coalesce(F.map_contains_key(F.try_variant_get(v, "$", "map<string,variant>"), name), F.lit(False))
-
-
 def transform_records(payloads: DataFrame) -> DataFrame:
     """Content and statistics records of (source_key, payload, is_valid).
 
@@ -46,32 +43,24 @@ def transform_records(payloads: DataFrame) -> DataFrame:
     """
     rec, kind, city = F.col("rec"), F.col("kind"), F.col("city")
 
-    def raw(name: str) -> Column:
-        return F.coalesce(text_at(rec, f"$.{name}"), F.lit(""))
-
     def event_date(name: str) -> Column:
-        return dates.strict_iso_date(
-            F.coalesce(F.nullif(raw(f"detail.intro.{name}"), F.lit("")), F.nullif(raw(name), F.lit("")))
-        )
+        return dates.strict_iso_date(first_field(f"detail.intro.{name}", name))
 
-    phone = first_non_empty(raw("tel"), raw("detail.common.tel"), raw("detail.intro.infocenter"))
     no_contact_key = ~(
-        _has_key(rec, "tel")
-        | _has_key(F.try_variant_get(rec, "$.detail.common", "variant"), "tel")
-        | _has_key(rec, "infocenter")
+        has_field("$", "tel") | has_field("$.detail.common", "tel") | has_field("$", "infocenter")
     )
     parsed = _entries(payloads).select(
         "source_key", "city", "kind", "rec",
-        strip(raw("contentid")).alias("content_id"),
-        strip(raw("title")).alias("title"),
-        content_type_id(kind, rec).alias("type_id"),
-        coordinates(text_at(rec, "$.mapx"), text_at(rec, "$.mapy")).alias("geo"),
-        first_non_empty(raw("_assigned_theme"), raw("detail.intro.cat3"), raw("cat3")).alias("theme"),
-        phone.alias("phone"),
+        stripped_field("contentid").alias("content_id"),
+        stripped_field("title").alias("title"),
+        content_type_id().alias("type_id"),
+        coordinates(field_or_null("mapx"), field_or_null("mapy")).alias("geo"),
+        stripped_field("_assigned_theme", "detail.intro.cat3", "cat3").alias("theme"),
+        stripped_field("tel", "detail.common.tel", "detail.intro.infocenter").alias("phone"),
         no_contact_key.alias("no_contact_key"),
         event_date("eventstartdate").alias("start"),
         event_date("eventenddate").alias("end"),
-        dates.strict_stat_month(raw("month")).alias("stat_month"),
+        dates.strict_stat_month(field("month")).alias("stat_month"),
     )
     is_stat, no_meta = kind == "statistics", kind == "no_meta"
     is_content = kind.isin("attractions", "festivals")
@@ -117,16 +106,16 @@ def transform_records(payloads: DataFrame) -> DataFrame:
         content(F.nullif("type_id", F.lit("")), "contenttypeid"),
         content(F.col("title"), "title"),
         content(
-            first_non_empty(raw("detail.common.overview"), raw("detail.intro.overview"), raw("detail.overview")),
+            stripped_field("detail.common.overview", "detail.intro.overview", "detail.overview"),
             "description",
         ),
         content(F.col("theme"), "theme"),
         content(F.when(F.col("theme") != "", F.array("theme")).otherwise(none), "theme_tags"),
         content(F.col("phone"), "phone"),
         content(
-            first_non_empty(raw("firstimage"), raw("detail.common.firstimage"), raw("firstimage2")), "image_url"
+            stripped_field("firstimage", "detail.common.firstimage", "firstimage2"), "image_url"
         ),
-        content(first_non_empty(raw("addr1"), raw("detail.intro.addr1")), "address"),
+        content(stripped_field("addr1", "detail.intro.addr1"), "address"),
         content(F.col("geo.longitude"), "longitude"),
         content(F.col("geo.latitude"), "latitude"),
         F.lit(None).cast("string").alias("geohash"),
@@ -156,7 +145,7 @@ def transform_records(payloads: DataFrame) -> DataFrame:
 def city_records(payloads: DataFrame) -> DataFrame:
     """One city record per valid file."""
     return payloads.where("is_valid").select(
-        "source_key", F.inline(F.array(city_record(F.col("payload"))))
+        "source_key", F.inline(F.array(city_record()))
     )
 
 
@@ -233,8 +222,7 @@ def load_rows(files: DataFrame) -> DataFrame:
     rows = heads.select("source_key", "PK", "file_status", F.inline(F.concat(city_entry, records)))
     rec, is_city = F.col("rec"), F.col("pos") == 0
 
-    def raw(name: str) -> Column:
-        return F.coalesce(text_at(rec, f"$.{name}"), F.lit(""))
+    raw = field
 
     def record(col: Column, name: str) -> Column:
         return F.when(~is_city, col).alias(name)
@@ -290,7 +278,7 @@ def load_rows(files: DataFrame) -> DataFrame:
         record(F.try_variant_get(rec, "$.longitude", "double"), "longitude"),
         record(F.try_variant_get(rec, "$.latitude", "double"), "latitude"),
         record(or_default(text_at(rec, "$.geohash_prefix"), "UNKNOWN"), "geohash_prefix"),
-        *[record(text_at(rec, f"$.{n}"), n) for n in ("eventstartdate", "eventenddate", "month", "season")],
+        *[record(field_or_null(n), n) for n in ("eventstartdate", "eventenddate", "month", "season")],
         record(F.try_variant_get(rec, "$.statistics", "map<string,string>"), "statistics"),
         record(F.nullif(raw("image_status"), F.lit("")), "image_status"),
         record(F.lit(1), "item_count"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripweave.functions.dates import month_grid
+from tripweave.functions.numbers import round_cents
 from tripweave.operators.keyvalue import pick_per_key
 
 # Segment codes of the daily feed.
@@ -50,8 +51,8 @@ def _measures(days: Column) -> list[Column]:
     total = (F.col("locals") + F.col("out_of_town") + F.col("foreigners")).cast("double")
     out = []
     for name, col in sums.items():
-        out += [F.round(col, 2).alias(f"{name}_total"), F.round(col / days, 2).alias(f"{name}_daily_avg")]
-    return out + [F.round(total, 2).alias("total_visitors"), F.round(total / days, 2).alias("total_daily_avg")]
+        out += [round_cents(col).alias(f"{name}_total"), round_cents(col / days).alias(f"{name}_daily_avg")]
+    return out + [round_cents(total).alias("total_visitors"), round_cents(total / days).alias("total_daily_avg")]
 
 
 def monthly_sums(daily: DataFrame) -> DataFrame:
@@ -120,8 +121,8 @@ def annual_statistics(monthly: DataFrame) -> DataFrame:
         "city_name_en",
         "year",
         "days",
-        *[F.round(n, 2).alias(f"{n}_total" if n != "total_visitors" else n) for n in _ANNUAL],
-        *[F.round(F.col(n) / F.col("days"), 2).alias(f"{n}_daily_avg") for n in _ANNUAL],
+        *[round_cents(F.col(n)).alias(f"{n}_total" if n != "total_visitors" else n) for n in _ANNUAL],
+        *[round_cents(F.col(n) / F.col("days")).alias(f"{n}_daily_avg") for n in _ANNUAL],
     )
 
 

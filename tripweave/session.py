@@ -16,6 +16,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture costs several driver round trips per Column.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -25,6 +27,7 @@ def local_session(cpus: int | str = "*", app: str = "tripweave", **conf: str) ->
     settings = {
         **RECOMMENDED_CONF,
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
         **conf,

@@ -1 +1,6 @@
 """Registered queries over the benchmark tables and their SQL twins."""
+
+from tripweave.workloads import city_queries, domain_queries, item_queries, source_queries  # noqa: F401
+from tripweave.workloads.registry import QUERIES, TWINS
+
+__all__ = ["QUERIES", "TWINS"]
