@@ -141,7 +141,7 @@ def read_file_bytes(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
     return files.select(
         F.col("path").alias("local_path"),
-        F.decode("content", F.lit("UTF-8")).alias("body"),
+        F.decode("content", "UTF-8").alias("body"),
         F.col("length").alias("byte_size"),
         F.sha2("content", 256).alias("checksum_sha256"),
         F.md5("content").alias("checksum_md5"),
