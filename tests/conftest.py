@@ -10,7 +10,7 @@ from tripweave.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4", "spark.sql.codegen.wholeStage": "false"})
     yield session
     session.stop()
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tripweave.functions.dates import iso_month
 from tripweave.functions.text import or_default
 
 KEYS = ("PK", "SK")
@@ -80,9 +81,9 @@ def backfill_index_keys(items: DataFrame) -> DataFrame:
         F.nullif("content_id", F.lit("")), F.nullif("entity_id", F.lit("")), F.lit("UNKNOWN")
     )
     generic = F.concat(F.coalesce("entity_type", F.lit("")), F.lit("#"), ident)
-    month = F.coalesce(
-        F.col("month").try_cast("int"), F.substring("eventstartdate", 6, 2).try_cast("int"), F.lit(0)
-    )
+    # Both data models may be stored; each names the start date its own way.
+    starts = [iso_month(F.col(c)) for c in ("eventstartdate", "event_start_date") if c in items.columns]
+    month = F.coalesce(F.col("month").try_cast("int"), *starts, F.lit(0))
     festival = F.format_string("FESTIVAL#%02d#%s", month, F.coalesce("content_id", F.lit("")))
     province = F.coalesce(
         F.nullif("province_key", F.lit("")), F.nullif("province", F.lit("")), F.lit("UNKNOWN")
