@@ -16,10 +16,14 @@ def write_raw(folder, **bodies):
     return str(folder)
 
 
-def embed(text):
-    if "하회" in text:
-        raise ValueError("no")
-    return [float(len(text)), 1.0]
+def embedder():
+    # A closure, as Python workers cannot import the test module.
+    def embed(text):
+        if "하회" in text:
+            raise ValueError("no")
+        return [float(len(text)), 1.0]
+
+    return embed
 
 
 def test_preprocess_load_and_index(spark, tmp_path):
@@ -30,17 +34,19 @@ def test_preprocess_load_and_index(spark, tmp_path):
     processed = spark.read.parquet(f"{out}/items").where("bucket = 'load_items'").drop("bucket")
     # The stored layout keeps every output apart.
     assert spark.read.parquet(f"{out}/items").where("bucket = 'review'").count() == 2
-    result = jobs.load_and_index(spark, processed, str(tmp_path / "store"), 1, ["source_key", "SK"], embed, "index", dimension=2)
+    result = jobs.load_and_index(spark, processed, str(tmp_path / "store"), 1, ["source_key", "SK"], embedder(), "index", dimension=2)
     assert result["load"].first()["loaded"] == 4
     assert result["summary"].first().asDict() == {"items_processed": 3, "items_upserted": 2, "items_skipped": 1, "status_code": 207}
     assert result["verdict"].first()["verdict"] == "FAIL" and result["errors"].count() == 1
     assert {r["key"] for r in result["records"].collect()} == {"city#CITY-KR-47-170#0", "festival#400#0"}
-    regional = jobs.build_vectors(sinks.current_items(spark, str(tmp_path / "store")), embed, "i", dimension=2, provinces=["강원"])
+    regional = jobs.build_vectors(sinks.current_items(spark, str(tmp_path / "store")), embedder(), "i", dimension=2, provinces=["강원"])
     assert regional["summary"].first()["items_processed"] == 0
     profile = jobs.profile_table(sinks.current_items(spark, str(tmp_path / "store")))
     assert profile["provinces"].first()["item_count"] == 4
-    removed = jobs.clean_table(spark, str(tmp_path / "store"), str(tmp_path / "published"), 1, ["PROVINCE#x"])
-    assert removed.first()["item_count"] == 4 and sinks.read_published(spark, str(tmp_path / "published")).count() == 0
+    removed = jobs.clean_table(spark, str(tmp_path / "store"), str(tmp_path / "published"), 1, ["PROVINCE#경상북도"])
+    assert removed.count() == 0
+    published = sinks.read_published(spark, str(tmp_path / "published"))
+    assert published.count() == 4 and {p.name for p in (tmp_path / "published" / "version=1").glob("entity_type=*")} == {f"entity_type={t}" for t in ("attraction", "festival", "city_metadata", "visitor_statistics")}
 
 
 def test_legacy_jobs(spark, tmp_path):

@@ -47,9 +47,10 @@ def upsert(
     """Existing items overlaid with incoming ones; the last write wins.
 
     ``order`` names the incoming columns that put its rows in write order; they
-    are not stored.  Attributes missing on one side become null.
+    are stored only if the existing items have them.  Attributes missing on one
+    side become null.
     """
-    stored = [c for c in incoming.columns if c not in order]
+    stored = [c for c in incoming.columns if c not in order or c in existing.columns]
     old = existing.withColumn("_order", F.lit(None).cast(_order_type(incoming, order)))
     new = incoming.where(has_key(keys)).select(*stored, F.struct(*order).alias("_order"))
     everything = old.unionByName(new, allowMissingColumns=True)

@@ -96,7 +96,7 @@ def load_legacy(spark: SparkSession, processed_path: str, store: str, batch: int
         )
     )
     good = rows.where(F.col("error").isNull()).drop("error")
-    sinks.append_batch(good, store, batch, ["source_key", "pos"])
+    sinks.append_batch(good, store, batch, ["source_key", "pos"], transient=["source_key", "pos"])
     summary = rows.agg(
         F.count_if(F.col("error").isNull()).alias("loaded"),
         F.count_if(F.col("error").isNotNull()).alias("load_failed"),

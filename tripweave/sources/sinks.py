@@ -70,13 +70,21 @@ def decimal_view(rows: DataFrame, decimal: T.DecimalType = T.DecimalType(38, 18)
 # --- keyed item store -------------------------------------------------------
 
 
-def append_batch(items: DataFrame, path: str, batch: int, order: Sequence[str], keys: Sequence[str] = KEYS) -> None:
+def append_batch(
+    items: DataFrame,
+    path: str,
+    batch: int,
+    order: Sequence[str],
+    keys: Sequence[str] = KEYS,
+    transient: Sequence[str] = (),
+) -> None:
     """Stores one batch of upserts as ``path/batch=N``.
 
-    Only the batch is written, one row per key.  Writing the same batch again
-    replaces it, so a retried batch changes nothing.
+    Only the batch is written, the last row in ``order`` per key, without the
+    ``transient`` columns.  Writing the same batch again replaces it, so a
+    retried batch changes nothing.
     """
-    stored = [c for c in items.columns if c not in order]
+    stored = [c for c in items.columns if c not in transient]
     latest = pick_per_key(
         items.where(has_key(keys)).select(*stored, F.struct(*order).alias("_order")), keys, F.col("_order")
     ).drop("_order")

@@ -40,7 +40,7 @@ def load_batch(raw: DataFrame, batch: int, store: str, classification: DataFrame
         F.count_if(has_key()).alias("loaded"),
         F.count_if(~has_key()).alias("load_failed"),
     )
-    append_batch(observed.drop("buckets", "table"), store, batch, ORDER)
+    append_batch(observed.drop("buckets", "table"), store, batch, ORDER, transient=["position"])
     summary = counts.get
     return {**summary, "batch": batch, "status_code": 207 if summary["load_failed"] else 200}
 

@@ -37,7 +37,7 @@ def run_counters(visits: DataFrame, store: str, checkpoint: str, watermark: str
 
     def write(changed: DataFrame, batch: int) -> None:
         # Every key occurs once per batch, so any order column will do.
-        append_batch(changed.withColumn("_at", F.lit(0)), store, batch, ["_at"], KEYS)
+        append_batch(changed.withColumn("_at", F.lit(0)), store, batch, ["_at"], KEYS, ["_at"])
 
     return (
         daily_counters(visits, watermark)
