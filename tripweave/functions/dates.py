@@ -65,11 +65,15 @@ def visit_months_span(start_iso: Column, end_iso: Column) -> Column:
     """Sorted distinct months touched between two dates, over years."""
     start, end = F.try_to_date(start_iso, "yyyy-MM-dd"), F.try_to_date(end_iso, "yyyy-MM-dd")
     steps = (F.year(end) - F.year(start)) * 12 + F.month(end) - F.month(start)
-    # Twelve steps already cover every month of a year.
-    offsets = F.sequence(F.lit(0), F.least(steps, F.lit(11)))
-    months = F.transform(offsets, lambda i: (F.month(start) - 1 + i) % 12 + 1)
-    none = F.array().cast("array<int>")
-    return F.when(steps >= 0, F.array_sort(F.array_distinct(months))).otherwise(none)
+    first, last = F.month(start), F.month(end)
+    # Eleven steps cover every month; otherwise the span is one run of months,
+    # or two when it crosses New Year.
+    return (
+        F.when(steps >= 11, F.sequence(F.lit(1), F.lit(12)))
+        .when((steps >= 0) & (first <= last), F.sequence(first, last))
+        .when(steps >= 0, F.concat(F.sequence(F.lit(1), last), F.sequence(first, F.lit(12))))
+        .otherwise(F.array().cast("array<int>"))
+    )
 
 
 def visit_months_cyclic(start_iso: Column, end_iso: Column) -> Column:
@@ -122,20 +126,15 @@ def days_in_month(year: Column, month: Column) -> Column:
     return F.day(F.last_day(F.make_date(year, month, F.lit(1))))
 
 
-def month_grid(year: Column) -> Column:
-    """``array<struct<month_no,start_ymd,end_ymd,month,days>>`` of one year."""
-
-    def entry(m: Column) -> Column:
-        days = days_in_month(year, m)
-        return F.struct(
-            m.alias("month_no"),
-            F.format_string("%04d%02d01", year, m).alias("start_ymd"),
-            F.format_string("%04d%02d%02d", year, m, days).alias("end_ymd"),
-            F.format_string("%04d-%02d", year, m).alias("month"),
-            days.alias("days"),
-        )
-
-    return F.transform(F.sequence(F.lit(1), F.lit(12)), entry)
+def month_grid(year: str) -> Column:
+    """``array<struct<month_no,start_ymd,end_ymd,month,days>>`` of the year in
+    a column."""
+    return F.expr(f"""transform(sequence(1, 12), m -> named_struct(
+        'month_no', m,
+        'start_ymd', format_string('%04d%02d01', {year}, m),
+        'end_ymd', date_format(last_day(make_date({year}, m, 1)), 'yyyyMMdd'),
+        'month', format_string('%04d-%02d', {year}, m),
+        'days', day(last_day(make_date({year}, m, 1)))))""")
 
 
 def date_range_text(start: Column, end: Column) -> Column:

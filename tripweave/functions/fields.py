@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The pattern of ``text.strip`` as a SQL string literal.
-_STRIP = r"'(?U)\\A[\\s\\x1c-\\x1f]+|[\\s\\x1c-\\x1f]+\\z'"
+from tripweave.functions.text import WHITE_SPACE
+
+# Trimming as ``text.strip`` does it; the list holds no quote or backslash.
+_TRIM = f"trim(BOTH '{WHITE_SPACE}' FROM {{}})"
 
 
 def _get(column: str, path: str) -> str:
@@ -29,7 +31,7 @@ def field_or_null(path: str, column: str = "rec") -> Column:
 
 def stripped_field(*paths: str, column: str = "rec", default: str = "''") -> Column:
     """First path with text after stripping, else ``default``."""
-    options = [f"nullif(regexp_replace({_get(column, p)}, {_STRIP}, ''), '')" for p in paths]
+    options = [f"nullif({_TRIM.format(_get(column, p))}, '')" for p in paths]
     return F.expr(f"coalesce({', '.join(options)}, {default})")
 
 

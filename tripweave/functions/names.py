@@ -33,7 +33,7 @@ def romanize(title: Column) -> Column:
     expression stays in the JVM.
     """
     initials, vowels, finals = (
-        F.array(*[F.lit(s) for s in table]) for table in (INITIALS, VOWELS, FINALS)
+        F.split(F.lit(" ".join(table)), " ") for table in (INITIALS, VOWELS, FINALS)
     )
     text = F.regexp_replace(F.coalesce(title, F.lit("")), r"\([^)]*\)", "")
     chars = F.split(text, "")

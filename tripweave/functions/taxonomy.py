@@ -33,7 +33,7 @@ _ATTRACTION_FIELDS = ("indoor_outdoor", "vibe_tags", "experience_tags", "compani
 
 
 def _words(words: Sequence[str]) -> Column:
-    return F.array(*[F.lit(w) for w in words])
+    return F.split(F.lit(",".join(words)), ",")
 
 
 def response_text(text: Column) -> Column:

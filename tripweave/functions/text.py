@@ -8,18 +8,21 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space as Python's str.strip()/split() understand it.  Java's
-# (?U)\s lacks the four information separators, so they are listed.
-_WS = r"[\s\x1c-\x1f]"
+# White space as Python's str.strip() and str.split() know it.  An explicit list
+# is much faster than a Unicode-aware pattern, and Java's pattern misses some.
+WHITE_SPACE = "".join(
+    map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)))
+) + "".join(map(chr, (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+_WS = "[" + WHITE_SPACE + "]"
 # Every line boundary str.splitlines() knows.
 _LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x85\u2028\u2029]"
-# Multi-line, '\n' as the only line end, Unicode classes.
-_MULTILINE = "(?mdU)"
+# Multi-line, '\n' as the only line end.
+_MULTILINE = "(?md)"
 
 
 def strip(col: Column) -> Column:
     """Trim all Unicode white space (plain ``trim`` only knows U+0020)."""
-    return F.regexp_replace(col, rf"(?U)\A{_WS}+|{_WS}+\z", "")
+    return F.trim(col, F.lit(WHITE_SPACE))
 
 
 def blank_to_null(col: Column) -> Column:
@@ -39,7 +42,7 @@ def first_non_empty(*cols: Column) -> Column:
 
 def collapse_whitespace(col: Column) -> Column:
     """Runs of white space become one blank, ends are trimmed."""
-    return F.trim(F.regexp_replace(col, rf"(?U){_WS}+", " "))
+    return F.trim(F.regexp_replace(col, f"{_WS}+", " "))
 
 
 def or_default(col: Column, default: str) -> Column:
@@ -334,17 +337,17 @@ def geo_decimal(text: Column) -> Column:
 KR_TITLE_SUFFIXES = ("강원특별자치도", "경상북도", "대한민국")
 JP_TITLE_SUFFIXES = ("도쿄도",)
 
-_NEXT_SECTION = _MULTILINE + r"^==\s*[^=].*?==\s*$"
+_NEXT_SECTION = f"{_MULTILINE}^=={_WS}*[^=].*?=={_WS}*$"
 
 
 def display_title(title: Column, suffixes: Sequence[str] = KR_TITLE_SUFFIXES) -> Column:
     """Title without a known trailing ``(region)`` qualifier."""
-    return strip(F.regexp_replace(title, r"(?U)\s+\((?:" + "|".join(suffixes) + r")\)\z", ""))
+    return strip(F.regexp_replace(title, f"{_WS}+" + r"\((?:" + "|".join(suffixes) + r")\)\z", ""))
 
 
 def _heading_pattern(headings: Sequence[str]) -> str:
     names = "|".join(re.escape(h) for h in headings)
-    return _MULTILINE + rf"^==+\s*({names})\s*==+\s*$"
+    return f"{_MULTILINE}^==+{_WS}*({names}){_WS}*==+{_WS}*$"
 
 
 def section_content(content: Column, headings: Sequence[str]) -> Column:
@@ -360,6 +363,10 @@ def section_heading(content: Column, headings: Sequence[str]) -> Column:
 
 def strip_templates(text: Column) -> Column:
     """Remove ``{{…}}`` at any nesting depth; an open one swallows the rest."""
+    return bind(text, _without_templates)
+
+
+def _without_templates(text: Column) -> Column:
     mark = "\x01"
     parts = F.split(F.regexp_replace(text, r"\{\{|\}\}", f"{mark}$0{mark}"), mark)
     start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("out"))
@@ -386,20 +393,20 @@ def clean_section_text(section: Column) -> Column:
     text = F.regexp_replace(text, r"\[\[(?:[^|\]]*\|)?([^\]]+)\]\]", "$1")
     text = F.regexp_replace(text, r"<[^>]+>", "")
     text = F.regexp_replace(text, r"'{2,}", "")
-    text = F.regexp_replace(text, r"(?U)\(\s*\)", "")
+    text = F.regexp_replace(text, rf"\({_WS}*\)", "")
 
     def reflow(paragraph: Column) -> Column:
         lines = F.transform(F.split(paragraph, _LINE_BREAK), strip)
         kept = F.filter(lines, lambda l: (l != "") & ~l.rlike(r"\A(?:==|[|!{}])"))
         return F.array_join(kept, " ")
 
-    paragraphs = F.transform(F.split(text, r"(?U)\n\s*\n"), reflow)
+    paragraphs = F.transform(F.split(text, rf"\n{_WS}*\n"), reflow)
     return F.array_join(F.filter(paragraphs, lambda p: p != ""), "\n\n")
 
 
 def lead_paragraphs(extract: Column) -> Column:
     """Paragraphs of an extract with white space collapsed."""
-    parts = F.transform(F.split(extract, r"(?U)\n\s*\n"), collapse_whitespace)
+    parts = F.transform(F.split(extract, rf"\n{_WS}*\n"), collapse_whitespace)
     return F.array_join(F.filter(parts, lambda p: p != ""), "\n\n")
 
 
@@ -410,7 +417,7 @@ def lead_from_content(content: Column) -> Column:
 
 def table_caption(table: Column) -> Column:
     """Caption of a wikitext table, tags removed."""
-    raw = F.regexp_extract(table, _MULTILINE + r"^\|\+\s*(.+)$", 1)
+    raw = F.regexp_extract(table, _MULTILINE + rf"^\|\+{_WS}*(.+)$", 1)
     return strip(F.regexp_replace(raw, r"(?d)<.*?>", ""))
 
 
@@ -513,13 +520,18 @@ def detect_region(text: Column, regions: Sequence[tuple[str, Sequence[str], str]
     short fixed list becomes a chain of conditions, so no join is needed.
     Native names match as substrings, the English one on word boundaries.
     """
-    branches = []
-    for region_id, native, english in regions:
-        hit = text.rlike(r"(?iU)\b" + re.escape(english) + r"\b")
-        for name in native:
-            hit = hit | F.contains(text, F.lit(name))
-        branches.append(F.when(hit, F.lit(region_id)))
-    return F.coalesce(*branches)
+    def find(t: Column) -> Column:
+        lowered = F.lower(t)
+        branches = []
+        for region_id, native, english in regions:
+            # The plain search decides almost always; the pattern only confirms.
+            hit = F.contains(lowered, F.lit(english.lower())) & t.rlike(r"(?iU)\b" + re.escape(english) + r"\b")
+            for name in native:
+                hit = hit | F.contains(t, F.lit(name))
+            branches.append(F.when(hit, F.lit(region_id)))
+        return F.coalesce(*branches)
+
+    return bind(text, find)
 
 
 def location_text(country: str, region_name: Column) -> Column:

@@ -45,14 +45,23 @@ def _segment_sums() -> list[Column]:
     ]
 
 
-def _measures(days: Column) -> list[Column]:
-    """Rounded totals and daily averages of the three segment sums."""
-    sums = {name: F.col(name).cast("double") for _, name in SEGMENTS}
-    total = (F.col("locals") + F.col("out_of_town") + F.col("foreigners")).cast("double")
-    out = []
-    for name, col in sums.items():
-        out += [round_cents(col).alias(f"{name}_total"), round_cents(col / days).alias(f"{name}_daily_avg")]
-    return out + [round_cents(total).alias("total_visitors"), round_cents(total / days).alias("total_daily_avg")]
+def _with_measures(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rounded totals and daily averages of the three exact segment sums."""
+    names = [name for _, name in SEGMENTS]
+    sums = {**{n: n for n in names}, "total": " + ".join(names)}
+    raw = [f"cast({e} AS double) AS {n}" for n, e in sums.items()]
+    raw += [f"cast({e} AS double) / days AS {n}_avg" for n, e in sums.items()]
+    # Two steps, so that the rounding rule reads plain columns.
+    unrounded = rows.selectExpr(*keys, "days", *raw)
+    rounded = [
+        round_cents(c).alias(alias)
+        for n in names
+        for c, alias in ((n, f"{n}_total"), (f"{n}_avg", f"{n}_daily_avg"))
+    ]
+    return unrounded.select(
+        *keys, "days", *rounded,
+        round_cents("total").alias("total_visitors"), round_cents("total_avg").alias("total_daily_avg"),
+    )
 
 
 def monthly_sums(daily: DataFrame) -> DataFrame:
@@ -66,14 +75,12 @@ def monthly_sums(daily: DataFrame) -> DataFrame:
 
 def monthly_statistics(daily: DataFrame) -> DataFrame:
     """Statistics of the months that have data."""
-    days = F.day(F.last_day(F.make_date("year", "month_no", F.lit(1))))
-    return monthly_sums(daily).withColumn("days", days).select(
-        "city_name_en",
-        "year",
-        F.format_string("%04d-%02d", "year", "month_no").alias("month"),
-        "days",
-        *_measures(F.col("days")),
+    dated = monthly_sums(daily).selectExpr(
+        "*",
+        "format_string('%04d-%02d', year, month_no) AS month",
+        "day(last_day(make_date(year, month_no, 1))) AS days",
     )
+    return _with_measures(dated, "city_name_en", "year", "month")
 
 
 def dense_statistics(daily: DataFrame) -> DataFrame:
@@ -90,23 +97,17 @@ def dense_statistics(daily: DataFrame) -> DataFrame:
     yearly = monthly.groupBy("city_name_en", "year").agg(
         F.map_from_entries(F.collect_list(F.struct("month_no", F.struct(*names)))).alias("by_month")
     )
-    grid = yearly.select("city_name_en", "year", "by_month", F.inline(month_grid(F.col("year"))))
-    found = F.try_element_at("by_month", F.col("month_no"))
-    zero = F.lit(0).cast(EXACT)
-    filled = grid.select(
-        "city_name_en", "year", "month_no", "month", "days",
-        *[F.coalesce(found[name], zero).alias(name) for name in names],
+    grid = yearly.select("city_name_en", "year", "by_month", F.inline(month_grid("year")))
+    filled = grid.selectExpr(
+        "city_name_en", "year", "month", "days",
+        *[f"coalesce(try_element_at(by_month, month_no).{n}, cast(0 AS {EXACT})) AS {n}" for n in names],
     )
-    return filled.select("city_name_en", "year", "month", "days", *_measures(F.col("days")))
+    return _with_measures(filled, "city_name_en", "year", "month")
 
 
 _ANNUAL = ("locals", "out_of_town", "foreigners", "total_visitors")
 
 
-def _annual_source(name: str) -> Column:
-    return F.col(name if name == "total_visitors" else f"{name}_total").cast(EXACT)
-
-
 def annual_statistics(monthly: DataFrame) -> DataFrame:
     """Annual totals and daily averages from (rounded) monthly rows.
 
@@ -115,15 +116,18 @@ def annual_statistics(monthly: DataFrame) -> DataFrame:
     """
     sums = monthly.groupBy("city_name_en", "year").agg(
         F.sum("days").cast("int").alias("days"),
-        *[F.sum(_annual_source(n)).cast("double").alias(n) for n in _ANNUAL],
-    )
-    return sums.select(
-        "city_name_en",
-        "year",
-        "days",
-        *[round_cents(F.col(n)).alias(f"{n}_total" if n != "total_visitors" else n) for n in _ANNUAL],
-        *[round_cents(F.col(n) / F.col("days")).alias(f"{n}_daily_avg") for n in _ANNUAL],
+        *[F.expr(f"cast(sum(cast({_total(n)} AS {EXACT})) AS double)").alias(n) for n in _ANNUAL],
     )
+    averaged = sums.selectExpr("*", *[f"{n} / days AS {n}_avg" for n in _ANNUAL])
+    return averaged.select(
+        "city_name_en", "year", "days",
+        *[round_cents(n).alias(_total(n)) for n in _ANNUAL],
+        *[round_cents(f"{n}_avg").alias(f"{n}_daily_avg") for n in _ANNUAL],
+    )
+
+
+def _total(name: str) -> str:
+    return name if name == "total_visitors" else f"{name}_total"
 
 
 def statistics_envelope(monthly: DataFrame) -> DataFrame:
@@ -134,17 +138,13 @@ def statistics_envelope(monthly: DataFrame) -> DataFrame:
     )
     annual = annual_statistics(monthly)
 
-    def as_map(suffix: str) -> Column:
-        pairs = []
-        for name in _ANNUAL:
-            column = name if name == "total_visitors" and suffix == "_total" else f"{name}{suffix}"
-            pairs += [F.lit(name), F.col(column)]
-        return F.create_map(*pairs)
+    def as_map(columns: list[str]) -> Column:
+        return F.create_map(*[x for n, c in zip(_ANNUAL, columns) for x in (F.lit(n), F.col(c))])
 
     maps = annual.select(
         "city_name_en", "year",
-        as_map("_total").alias("annual_totals"),
-        as_map("_daily_avg").alias("annual_daily_averages"),
+        as_map([_total(n) for n in _ANNUAL]).alias("annual_totals"),
+        as_map([f"{n}_daily_avg" for n in _ANNUAL]).alias("annual_daily_averages"),
     )
     return maps.join(months, ["city_name_en", "year"])
 

@@ -90,7 +90,7 @@ def domain_items(t):
 
 
 @query(ITEMS + """
-    SELECT concat('raw/', city_name_en, '/', cast(cast(floor(pos / 400) AS int) AS string), '.json') AS source_key,
+    SELECT concat('raw/', city_name_en, '/', cast(cast(floor(pos / 2000) AS int) AS string), '.json') AS source_key,
       cast(1 AS bigint) AS city_metadata, cast(1 AS bigint) AS visitor_statistics,
       count(CASE WHEN entity_type = 'attraction' AND quality_status <> 'failed' THEN 1 END) AS attractions,
       count(CASE WHEN entity_type = 'festival' AND quality_status <> 'failed' THEN 1 END) AS festivals,
@@ -119,7 +119,7 @@ def domain_buckets(t):
 
 
 @query("""
-    SELECT concat('raw/', city_name_en, '/', cast(cast(floor(pos / 400) AS int) AS string), '.json') AS source_key,
+    SELECT concat('raw/', city_name_en, '/', cast(cast(floor(pos / 2000) AS int) AS string), '.json') AS source_key,
       city_id, city_name_en, province,
       cast(count(CASE WHEN contenttypeid <> '15' THEN 1 END) AS int) AS attraction_count,
       cast(count(CASE WHEN contenttypeid = '15' THEN 1 END) AS int) AS festival_count,
@@ -147,7 +147,7 @@ LEGACY = """
           CASE WHEN pos % 2 = 1 AND trim(tel) = '' THEN 'contact_review' END) AS issues
       FROM typed),
     legacy_rows AS (
-      SELECT *, concat('raw/', city_name_en, '/', cast(cast(floor(pos / 400) AS int) AS string), '.json') AS source_key,
+      SELECT *, concat('raw/', city_name_en, '/', cast(cast(floor(pos / 2000) AS int) AS string), '.json') AS source_key,
         CASE WHEN contentid = '' OR title = '' THEN 'failed' WHEN issues <> '' THEN 'review' ELSE 'passed' END AS quality_status
       FROM issued)
 """
@@ -372,7 +372,7 @@ def stat_months(t):
 def calendar_months(t):
     """Calendar grid of the years that occur in the orders."""
     years = t["orders"].select(F.year("o_orderdate").alias("year")).distinct()
-    grid = years.select("year", F.inline(dates.month_grid(F.col("year"))))
+    grid = years.select("year", F.inline(dates.month_grid("year")))
     return grid.select(F.col("year").cast("long").alias("year"), "month_no", "days", "month")
 
 

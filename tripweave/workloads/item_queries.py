@@ -192,7 +192,10 @@ def legacy_load(t):
 def _stored_festivals(t):
     """Raw payloads loaded into the keyed items, duplicates resolved."""
     items = domain.domain_items(raw.parse_payloads(t.payloads), t["classes"])
-    load = domain.bucket_view(items, "load_items")
+    # Only the attributes of the month index travel through the upsert.
+    load = domain.bucket_view(items, "load_items").select(
+        "PK", "SK", "entity_type", "gsi_sk", "title", "source_key", "position"
+    )
     return keyvalue.pick_per_key(
         load.where(keyvalue.has_key()), keyvalue.KEYS, F.struct("source_key", "position")
     )

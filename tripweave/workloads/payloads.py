@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FILE_KEYS = 400
+FILE_KEYS = 2000
 
 
 def raw_payloads(inputs) -> DataFrame:
     """(source_key, body): JSON text of city files.
 
-    A file holds the records of one city out of 400 consecutive part keys, so
+    A file holds the records of one city out of 2,000 consecutive part keys, so
     no file grows with the data.
     """
     c = inputs["content"]
