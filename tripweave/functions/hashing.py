@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripweave.functions.text import WHITE_SPACE
+from tripweave.functions.text import SPACE_PATTERN
 
 # Hashed fields in hashing order.
 ATTRACTION_HASH_FIELDS = (
@@ -45,7 +45,7 @@ def attraction_input_hash(schema: T.StructType) -> Column:
         if name not in types:
             continue
         text = F.to_json(F.col(name)) if _is_list(types, name) else F.col(name).cast("string")
-        text = F.lower(F.regexp_replace(text, f"[{WHITE_SPACE}]+", ""))
+        text = F.lower(F.regexp_replace(text, f"{SPACE_PATTERN}+", ""))
         parts.append(F.coalesce(text, F.lit("")))
     return _digest(parts)
 

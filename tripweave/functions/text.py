@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 WHITE_SPACE = "".join(
     map(chr, (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B)))
 ) + "".join(map(chr, (0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
-_WS = "[" + WHITE_SPACE + "]"
+# The same as a pattern, written as "nothing else": the first range settles
+# nearly every character of ordinary text.
+_VISIBLE = r"-\x84\x86-\x9f\xa1-\u167f\u1681-\u1fff\u200b-\u2027\u202a-\u202e\u2030-\u205e\u2060-\u2fff\u3001-\x{10ffff}\x00-\x08\x0e-\x1b"
+SPACE_PATTERN = "[^!" + _VISIBLE + "]"
+_NOT_BLANK = "[^ " + _VISIBLE + "]"
 # Every line boundary str.splitlines() knows.
 _LINE_BREAK = r"\r\n|[\n\x0b\f\r\x1c-\x1e\x85\u2028\u2029]"
 # Multi-line, '\n' as the only line end.
@@ -42,7 +46,8 @@ def first_non_empty(*cols: Column) -> Column:
 
 def collapse_whitespace(col: Column) -> Column:
     """Runs of white space become one blank, ends are trimmed."""
-    return F.trim(F.regexp_replace(col, f"{_WS}+", " "))
+    # Single blanks, the usual case, are no match and stay untouched.
+    return F.trim(F.regexp_replace(col, f"{SPACE_PATTERN}{{2,}}|{_NOT_BLANK}", " "))
 
 
 def or_default(col: Column, default: str) -> Column:
@@ -337,17 +342,17 @@ def geo_decimal(text: Column) -> Column:
 KR_TITLE_SUFFIXES = ("강원특별자치도", "경상북도", "대한민국")
 JP_TITLE_SUFFIXES = ("도쿄도",)
 
-_NEXT_SECTION = f"{_MULTILINE}^=={_WS}*[^=].*?=={_WS}*$"
+_NEXT_SECTION = f"{_MULTILINE}^=={SPACE_PATTERN}*[^=].*?=={SPACE_PATTERN}*$"
 
 
 def display_title(title: Column, suffixes: Sequence[str] = KR_TITLE_SUFFIXES) -> Column:
     """Title without a known trailing ``(region)`` qualifier."""
-    return strip(F.regexp_replace(title, f"{_WS}+" + r"\((?:" + "|".join(suffixes) + r")\)\z", ""))
+    return strip(F.regexp_replace(title, f"{SPACE_PATTERN}+" + r"\((?:" + "|".join(suffixes) + r")\)\z", ""))
 
 
 def _heading_pattern(headings: Sequence[str]) -> str:
     names = "|".join(re.escape(h) for h in headings)
-    return f"{_MULTILINE}^==+{_WS}*({names}){_WS}*==+{_WS}*$"
+    return f"{_MULTILINE}^==+{SPACE_PATTERN}*({names}){SPACE_PATTERN}*==+{SPACE_PATTERN}*$"
 
 
 def section_content(content: Column, headings: Sequence[str]) -> Column:
@@ -393,20 +398,20 @@ def clean_section_text(section: Column) -> Column:
     text = F.regexp_replace(text, r"\[\[(?:[^|\]]*\|)?([^\]]+)\]\]", "$1")
     text = F.regexp_replace(text, r"<[^>]+>", "")
     text = F.regexp_replace(text, r"'{2,}", "")
-    text = F.regexp_replace(text, rf"\({_WS}*\)", "")
+    text = F.regexp_replace(text, rf"\({SPACE_PATTERN}*\)", "")
 
     def reflow(paragraph: Column) -> Column:
         lines = F.transform(F.split(paragraph, _LINE_BREAK), strip)
         kept = F.filter(lines, lambda l: (l != "") & ~l.rlike(r"\A(?:==|[|!{}])"))
         return F.array_join(kept, " ")
 
-    paragraphs = F.transform(F.split(text, rf"\n{_WS}*\n"), reflow)
+    paragraphs = F.transform(F.split(text, rf"\n{SPACE_PATTERN}*\n"), reflow)
     return F.array_join(F.filter(paragraphs, lambda p: p != ""), "\n\n")
 
 
 def lead_paragraphs(extract: Column) -> Column:
     """Paragraphs of an extract with white space collapsed."""
-    parts = F.transform(F.split(extract, rf"\n{_WS}*\n"), collapse_whitespace)
+    parts = F.transform(F.split(extract, rf"\n{SPACE_PATTERN}*\n"), collapse_whitespace)
     return F.array_join(F.filter(parts, lambda p: p != ""), "\n\n")
 
 
@@ -417,7 +422,7 @@ def lead_from_content(content: Column) -> Column:
 
 def table_caption(table: Column) -> Column:
     """Caption of a wikitext table, tags removed."""
-    raw = F.regexp_extract(table, _MULTILINE + rf"^\|\+{_WS}*(.+)$", 1)
+    raw = F.regexp_extract(table, _MULTILINE + rf"^\|\+{SPACE_PATTERN}*(.+)$", 1)
     return strip(F.regexp_replace(raw, r"(?d)<.*?>", ""))
 
 

@@ -225,7 +225,7 @@ def plan_images(records: DataFrame) -> DataFrame:
 
 def audit_images(records: DataFrame, actual: DataFrame, outcomes: DataFrame | None = None) -> Frames:
     """Expected against stored files, optionally with recovery outcomes."""
-    expected = plan_images(records)
+    expected = saved(plan_images(records), "expected")
     missing = images.missing_files(expected, actual)
     if outcomes is not None:
         missing = images.recovery(missing, outcomes)

@@ -15,6 +15,7 @@ from tripweave.functions.taxonomy import (
     validate_festival_themes,
 )
 from tripweave.operators import domain, enrich, images, keyvalue, vectors
+from tripweave.plans.jobs import saved
 from tripweave.sources import raw, sinks
 from tripweave.workloads.registry import query
 
@@ -346,6 +347,11 @@ def festival_prompt_text_around() -> str:
     return (FESTIVAL_HEAD + FESTIVAL_TAIL).replace("{label}", THEME_SET_LABEL)
 
 
+def _documents(t):
+    """Documents as items, spread over the cores for the model step."""
+    return t.spark.sql(DOCS, documents=t.spread("documents"))
+
+
 def _rule_model(prompt: str) -> str:
     """Stand-in model: tags by the length of the prompt."""
     if len(prompt) % 7 == 0:
@@ -358,7 +364,7 @@ def _rule_model(prompt: str) -> str:
 @query()
 def enrich_batch(t):
     """Attraction enrichment around a stand-in model."""
-    results = enrich.enrich_attractions(t.sql(DOCS), _once(_rule_model))
+    results = enrich.enrich_attractions(_documents(t), _once(_rule_model))
     return results.groupBy("result.status", "result.indoor_outdoor", "result.error_code").agg(F.count("*").alias("item_count"))
 
 
@@ -382,7 +388,7 @@ def classify_batch(t):
         theme = "바다·해안" if len(prompt) % 2 else "기타"
         return '```json\n{"primary_theme": "%s", "theme_tags": []}\n```' % theme
 
-    items = t.sql(DOCS).withColumn("entity_type", F.when(F.col("doc_id") % 9 == 0, "attraction").otherwise("festival"))
+    items = _documents(t).withColumn("entity_type", F.when(F.col("doc_id") % 9 == 0, "attraction").otherwise("festival"))
     return enrich.batch_counts(enrich.classify_festivals(items, model))
 
 
@@ -603,15 +609,16 @@ def _expected(t):
     return images.expected_files(images.image_targets(_image_records(t)))
 
 
-def _stored(t):
+def _stored(expected):
     """Stored files: all expected ones but every fifth record's."""
-    return _expected(t).where("pos % 5 <> 0").select("city", "file_name")
+    return expected.where("pos % 5 <> 0").select("city", "file_name")
 
 
 @query(TARGETS + "SELECT city, file_name, url FROM files WHERE pos % 5 = 0")
 def image_missing(t):
     """Expected images that are not stored."""
-    return images.missing_files(_expected(t), _stored(t)).select("city", "file_name", "url")
+    expected = saved(_expected(t), "images")
+    return images.missing_files(expected, _stored(expected)).select("city", "file_name", "url")
 
 
 @query(TARGETS + """
@@ -620,9 +627,10 @@ def image_missing(t):
     FROM files GROUP BY ROLLUP (city)""")
 def image_audit(t):
     """Audit per city and in total, after a recovery attempt."""
-    missing = images.missing_files(_expected(t), _stored(t))
+    expected = saved(_expected(t), "images")
+    missing = images.missing_files(expected, _stored(expected))
     outcomes = missing.select("city", "file_name", F.when(F.col("pos") % 2 != 0, "404").alias("error"))
-    summary = images.audit_summary(_expected(t), images.recovery(missing, outcomes))
+    summary = images.audit_summary(expected, images.recovery(missing, outcomes))
     return summary.withColumn("city", F.coalesce("city", F.lit("TOTAL")))
 
 

@@ -190,7 +190,7 @@ CLEAN = "trim(regexp_replace({0}, '\\s+', ' ', 'g'))"
     FROM {pages}""")
 def page_parse(t):
     """Title and links of every page by the structured parser."""
-    parsed = pages.parse_pages(t["pages"].select("page_id", _wiki_html().alias("html")))
+    parsed = pages.parse_pages(t.spread("pages").select("page_id", _wiki_html().alias("html")))
     return parsed.select("page_id", "title", F.size("extlinks").cast("long").alias("links"))
 
 
@@ -198,7 +198,7 @@ def page_parse(t):
 def page_records(t):
     """City records from all pages (lead, region, fallbacks, status)."""
     parsed = pages.parse_pages(
-        t["pages"].select("page_id", _wiki_html().alias("html"), F.lit("KR-42").alias("prefecture_id"))
+        t.spread("pages").select("page_id", _wiki_html().alias("html"), F.lit("KR-42").alias("prefecture_id"))
     )
     names = t.sql("SELECT n_name AS city_name_ko, upper(n_name) AS city_name_en FROM {nation}")
     records = pages.korean_city_records(parsed, names, F.lit("2026-01-01"))
@@ -233,7 +233,7 @@ _REGION_TEXT = "concat(text, ' ', CASE doc_id % 20 " + " ".join(
 @query("SELECT doc_id, CASE doc_id % 20 " + " ".join(f"WHEN {i} THEN '{p[0]}'" for i, p in enumerate(PROVINCES)) + " END AS region FROM {documents}")
 def region_detect(t):
     """First province named in a text, in Korean or English."""
-    return t["documents"].select("doc_id", X.detect_region(F.expr(_REGION_TEXT), province_regions()).alias("region"))
+    return t.spread("documents").select("doc_id", X.detect_region(F.expr(_REGION_TEXT), province_regions()).alias("region"))
 
 
 @query("""
@@ -260,11 +260,12 @@ def page_urls(t):
     SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS lead, concat('S ', source, ' e') AS section, concat(source, ' (x)') AS title FROM {documents}""")
 def section_text(t):
     """Lead, section and title cleanup of page text."""
-    content = F.concat(
+    document = F.concat(
         F.lit("{{box|{{x}}}}\n\n"), F.regexp_replace("text", r"\s+", " "),
         F.lit("\n== 지리 ==\n{{t}}'''S''' [[a|"), "source", F.lit("]] <b>e</b>( )\n| cell\n== next ==\nz"),
     )
-    return t["documents"].select(
+    content = F.col("content")
+    return t.spread("documents").select("doc_id", "source", document.alias("content")).select(
         "doc_id",
         X.collapse_whitespace(X.lead_from_content(content)).alias("lead"),
         X.clean_section_text(X.section_content(content, X.KR_GEOGRAPHY_HEADINGS)).alias("section"),
