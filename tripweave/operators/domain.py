@@ -169,12 +169,21 @@ def domain_items(
     rec, kind, city = F.col("rec"), F.col("kind"), F.col("city")
     is_city, is_stat = kind == "city", kind == "statistics"
 
-    # Stage 1: parsed fields of every entry.
-    coords = coordinates(field_or_null("mapx"), field_or_null("mapy"))
-    start = first_field("detail.intro.eventstartdate", "eventstartdate")
-    end = first_field("detail.intro.eventenddate", "eventenddate")
-    type_id = strip(content_type_id())
-    parsed = _entries(payloads).select(
+    # Stage 1: fields that several rules read are taken out of the record once,
+    # then parsed.
+    taken = _entries(payloads).select(
+        "*",
+        field_or_null("mapx").alias("mapx"),
+        field_or_null("mapy").alias("mapy"),
+        first_field("detail.intro.eventstartdate", "eventstartdate").alias("raw_start"),
+        first_field("detail.intro.eventenddate", "eventenddate").alias("raw_end"),
+        field("month").alias("raw_month"),
+        content_type_id().alias("raw_type"),
+    )
+    coords = coordinates(F.col("mapx"), F.col("mapy"))
+    start, end = F.col("raw_start"), F.col("raw_end")
+    type_id = strip(F.col("raw_type"))
+    parsed = taken.select(
         "source_key", "city", "sigungus", "scraped", "stat_head", "kind", "pos", "rec",
         stripped_field("contentid").alias("content_id"),
         stripped_field("title").alias("title"),
@@ -183,7 +192,7 @@ def domain_items(
         stripped_field("detail.common.lclsSystm3", "lclsSystm3", default="null").alias("lcls_systm3"),
         dates.structural_iso_date(start).alias("start"),
         dates.structural_iso_date(end).alias("end"),
-        dates.stat_month(field("month")).alias("stat_month"),
+        dates.stat_month(F.col("raw_month")).alias("stat_month"),
         stripped_field("_assigned_theme", "detail.intro.cat3", "cat3").alias("own_theme"),
         stripped_field("addr1", "detail.intro.addr1").alias("address"),
     ).where(~is_stat | (F.col("stat_month") != ""))

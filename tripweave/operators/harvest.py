@@ -150,9 +150,9 @@ def resolve_sources(targets: DataFrame, inventory: DataFrame) -> DataFrame:
         ),
     ).where(F.col("value") != "")
     details = inventory.where(is_detail_payload(F.col("payload")))
-    by_content = (
-        asked.join(_signatures(details), ["kind", "value"]).groupBy("city_id").agg(F.min("path").alias("path"))
-    )
+    # One path per name before the join: a name in a third of all files is one row.
+    named_in = _signatures(details).groupBy("kind", "value").agg(F.min("path").alias("path"))
+    by_content = asked.join(named_in, ["kind", "value"]).groupBy("city_id").agg(F.min("path").alias("path"))
     return named.unionByName(by_content)
 
 
@@ -202,9 +202,12 @@ def attach_details(records: DataFrame, cache: DataFrame) -> DataFrame:
     ident = F.coalesce(
         F.nullif(text_at(F.col("rec"), "$.contentid"), F.lit("")), text_at(F.col("rec"), "$.contentId")
     )
-    # Records with their own detail do not take part in the join.
+    # Records with their own detail, or without an id, must not match; a key of
+    # their own keeps them from gathering as nulls in one task.
+    plain = [n for n, kind in records.dtypes if kind in ("string", "int", "bigint")]
+    alone = F.concat(F.lit("\x00"), F.xxhash64(*plain).cast("string"))
     keyed = records.withColumn("_own", own).withColumn(
-        "_id", F.when(F.col("_own").isNull(), F.nullif(ident, F.lit("")))
+        "_id", F.coalesce(F.when(F.col("_own").isNull(), F.nullif(ident, F.lit(""))), alone)
     )
     known = cache.select(F.col("content_id").alias("_id"), F.col("detail").alias("_cached"))
     joined = keyed.join(known, "_id", "left")

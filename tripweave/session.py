@@ -44,7 +44,10 @@ _shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers (like ``--py-files``)."""
+    """Make this package importable in Python workers (like ``--py-files``).
+
+    Spark copies the archive to every executor.
+    """
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

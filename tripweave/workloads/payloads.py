@@ -48,7 +48,11 @@ def raw_payloads(inputs) -> DataFrame:
         F.transform("f", lambda e: e["r"]).alias("festivals"),
         F.struct(F.lit(2025).alias("year"), months.alias("monthly_statistics")).alias("visitor_statistics"),
     )
-    return files.select(
+    # A raw zone has many files to read in parallel; a small shuffle would be
+    # merged into one task.
+    conf = inputs.spark.conf.get("spark.sql.shuffle.partitions")
+    tasks = max(inputs.spark.sparkContext.defaultParallelism, int(conf))
+    return files.repartition(tasks).select(
         F.concat_ws("/", F.lit("raw"), "city_name_en", F.concat("file_no", F.lit(".json"))).alias("source_key"),
         F.to_json(payload).alias("body"),
     )
