@@ -24,7 +24,7 @@ from tripweave.functions.text import coordinates, first_non_empty, or_default, s
 from tripweave.sources import fixed
 from tripweave.sources.dimensions import classification as built_in_classification
 
-TABLE_NAME = "TourKoreaDomainData"
+TABLE_NAME = "domain_items"
 
 
 def city_id(meta_city_id: Column, city_code: Column, region: Column, district: Column, name_en: Column) -> Column:
