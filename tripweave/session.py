@@ -30,6 +30,7 @@ def local_session(cpus: int | str = "*", app: str = "tripweave", **conf: str) ->
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
+        "spark.checkpoint.dir": os.path.join(tempfile.gettempdir(), "tripweave-checkpoints"),
         **conf,
     }
     for key, value in settings.items():
@@ -63,14 +64,19 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def work_root(spark: SparkSession) -> str:
+    """This application's folder below the shared ``spark.checkpoint.dir``; where unset, below the warehouse."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = base or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/tripweave-{spark.sparkContext.applicationId}"
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """New folder below the shared ``spark.checkpoint.dir``.
+    """Path of a new folder that all executors share."""
+    return f"{work_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
 
-    Only a local session may fall back to a folder of this machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tripweave-work-")
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+def clear_work(spark: SparkSession) -> None:
+    """Deletes what this application saved below ``work_root``; call it when no result is read any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(work_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
