@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripweave.session import work_folder
 
@@ -54,10 +55,10 @@ def text_steps(batch: pa.RecordBatch, column: str = "text", limit: int = TEXT_BY
 
 
 def map_text(
-    docs: DataFrame, columns: list[str], schema: str, step: Callable[[pa.RecordBatch], dict | None]
+    docs: DataFrame, columns: list[str], schema: str | StructType, step: Callable[[pa.RecordBatch], dict | None]
 ) -> DataFrame:
     """Applies ``step`` to slices of the given columns in tasks; it returns arrays by column name."""
-    names = [part.split()[0] for part in schema.split(", ")]
+    names = schema.fieldNames() if isinstance(schema, StructType) else [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

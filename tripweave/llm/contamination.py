@@ -224,8 +224,8 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW)
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
     """Rows of docs (doc_id, text, ...) that are not contaminated; rows without id stay."""
-    bad = find_contamination(docs, benchmark, window, share).where("contaminated").select(F.col("doc_id").alias("_bad"))
-    return docs.join(bad.distinct(), F.col("doc_id") == F.col("_bad"), "left_anti")
+    bad = find_contamination(docs, benchmark, window, share).where("contaminated").select("doc_id").distinct()
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
 
 
 SQL = f"""

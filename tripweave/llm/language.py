@@ -127,7 +127,7 @@ class Model:
     contexts: list[np.ndarray]  # by context length
     backoffs: list[np.ndarray]  # log weight of the next shorter context
     floor: np.ndarray  # log probability of a character never seen
-    limits: np.ndarray | None = None
+    limits: np.ndarray  # largest cross-entropy that is not rejected
 
     def score_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Sum of log probabilities per word and language; number of predicted characters per word."""
@@ -197,7 +197,7 @@ def fit(langs: np.ndarray, grams: np.ndarray, counts: np.ndarray, order: int = O
             below = own + free[of_gram] * below
             logs[length - 1][:, column] = np.log(below)
             backoffs[length - 1][:, column] = np.log(free)
-    return Model(names, order, keys, logs, contexts, backoffs, floor)
+    return Model(names, order, keys, logs, contexts, backoffs, floor, np.full(len(names), np.inf))
 
 
 def score_texts(model: Model, texts: pa.Array) -> dict:
@@ -241,7 +241,6 @@ def train(
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_rows)
     scored = predict(sample.select("doc_id", "text"), model).where("n_best >= 0")
     spread = scored.groupBy("n_best").agg(F.avg("entropy").alias("mean"), F.stddev_pop("entropy").alias("sd")).collect()
-    model.limits = np.full(len(model.langs), np.inf)
     for row in spread:  # one row per language
         model.limits[row["n_best"]] = row["mean"] + tolerance * max(row["sd"], 0.02)
     return model
@@ -255,7 +254,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         model = shared.value
         made = score_texts(model, batch.column("text"))
         names = np.array([*model.langs, UNKNOWN], object)
-        limits = np.append(model.limits if model.limits is not None else np.full(len(model.langs), np.inf), -np.inf)
+        limits = np.append(model.limits, -np.inf)
         return {
             "doc_id": batch.column("doc_id").cast(pa.int64()),
             "lang_pred": pa.array(names[made["best"]], pa.string()),
@@ -269,6 +268,20 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return map_text(docs, ["doc_id", "text"], schema, step)
 
 
+def keep_known(docs: DataFrame, model: Model) -> DataFrame:
+    """Rows of docs (text, ...) that the model does not reject."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_steps(batch):
+                made = score_texts(shared.value, part.column("text"))
+                known = made["entropy"] <= np.append(shared.value.limits, -np.inf)[made["best"]]
+                yield part.filter(pa.array(known))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, **settings) -> DataFrame:
     """doc_id, held_out, lang_pred, score, rejected of all docs (doc_id, text, lang); learns outside the held-out fold."""
     model = train(docs.where(~held_out(F.col("doc_id"))), **settings)

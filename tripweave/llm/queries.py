@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import chat, contamination, language, mixing, nearest, quality, token_counts, url_filter
+from tripweave.llm import chat, contamination, jaccard, language, mixing, nearest, quality, substrings, token_counts, url_filter
 from tripweave.llm.common import table
 from tripweave.session import ship_package
 
@@ -47,6 +47,11 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return quality.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+@register("op4_jaccard_join", jaccard.SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, folder, "documents"))
+
+
 @register("op5_nearest")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return nearest.nearest(table(spark, folder, "embeddings"), F.col("id") % 20 == 0)
@@ -80,3 +85,9 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     )
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text").union(probe)
     return chat.chat_digest(chat.format_conversations(turns))
+
+
+@register("op10_substring_dedup", substrings.SQL)
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    kept = substrings.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
