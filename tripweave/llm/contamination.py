@@ -64,7 +64,7 @@ def read_benchmark(benchmark: DataFrame, window: int = WINDOW, limit: int = MAX_
         for at in range(len(own) - length + 1 if length else 0):
             found.setdefault(length, {}).setdefault(tuple(own[at : at + length]), []).append((item, at))
     windows = {n: np.array(sorted(f), np.int64).reshape(-1, n) for n, f in found.items()}
-    starts = {n: [found[n][tuple(w)] for w in windows[n]] for n in found}
+    starts = {n: [list(dict.fromkeys(found[n][tuple(w)])) for w in windows[n]] for n in found}
     items = {n: [sorted({i for i, _ in s if i is not None}) for s in starts[n]] for n in found}
     base = len(vocabulary) + 2
     pairs = [w[:, 0] * base + w[:, 1] for n, w in windows.items() if n > 1]

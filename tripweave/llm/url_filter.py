@@ -27,7 +27,7 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
 UNIT = 1_000_000_000
 DAMPING = 85  # per cent of a rank that is passed on
 ROUNDS = 10
-BLOCK_AT = UNIT // 10
+BLOCK_AT = UNIT // 50
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
