@@ -30,7 +30,6 @@ def local_session(cpus: int | str = "*", app: str = "tripweave", **conf: str) ->
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.driver.memory": "8g",
-        "spark.checkpoint.dir": os.path.join(tempfile.gettempdir(), "tripweave-checkpoints"),
         **conf,
     }
     for key, value in settings.items():
