@@ -35,6 +35,16 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+def hash_sample(rows: DataFrame, key: str, bound: int) -> DataFrame:
+    """About ``bound`` rows, chosen by the hash of a unique key where they are; all rows if there are no more.
+
+    Rows without key are never chosen.
+    """
+    rows = rows.where(F.col(key).isNotNull())
+    share = bound / max(rows.count(), 1)
+    return rows if share >= 1 else rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * (1 << 30)))
+
+
 def plain_words(text: Column) -> Column:
     """Number of runs of characters other than ASCII white space; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")

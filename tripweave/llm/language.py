@@ -12,8 +12,8 @@ A word is scored once per slice of texts, its score is used for all its
 occurrences.  The prediction is the language of the lowest cross-entropy per
 character; ties go to the smaller name.
 
-Rejection: the cross-entropy of training texts (a bounded sample,
-``calibration_rows``) gives a limit per language, mean plus ``tolerance``
+Rejection: the cross-entropy of training texts (a sample of about
+``calibration_rows`` rows) gives a limit per language, mean plus ``tolerance``
 standard deviations; a text above the limit of its language is rejected, as is
 a text without letters.
 
@@ -34,7 +34,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import held_out, map_text, mix, saved, text_steps
+from tripweave.llm.common import hash_sample, held_out, map_text, mix, saved, text_steps
 from tripweave.llm.words import Words, words_of
 
 ORDER = 4
@@ -238,8 +238,7 @@ def train(
     points = np.frombuffer(b"".join(rows.column("gram").to_pylist()), np.uint32).reshape(-1, order)
     model = fit(np.array(rows.column("lang").to_pylist(), object), points, rows.column("n").to_numpy().astype(float), order)
     usable = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(calibration_rows)
-    scored = predict(sample.select("doc_id", "text"), model).where("n_best >= 0")
+    scored = predict(hash_sample(usable.select("doc_id", "text"), "doc_id", calibration_rows), model).where("n_best >= 0")
     spread = scored.groupBy("n_best").agg(F.avg("entropy").alias("mean"), F.stddev_pop("entropy").alias("sd")).collect()
     for row in spread:  # one row per language
         model.limits[row["n_best"]] = row["mean"] + tolerance * max(row["sd"], 0.02)
