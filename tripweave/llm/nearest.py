@@ -32,9 +32,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import saved
+from tripweave.llm.common import hash_sample, saved
 
-SAMPLE_ROWS = 65_536  # bound of the sample that the tree is fitted on
+SAMPLE_ROWS = 65_536  # size of the sample that the tree is fitted on, but for chance
 LEAF_ROWS, MAX_LEAVES, BRANCHES = 256, 4_096, 8
 CALIBRATION_QUERIES, WANTED_RECALL = 100, 0.95
 BLOCK = 2_048
@@ -234,7 +234,7 @@ def nearest(
     result = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], result)
-    sample = candidates.orderBy(F.xxhash64("id"), "id").limit(sample_rows).select("vector").toArrow()
+    sample = hash_sample(candidates, "id", sample_rows).orderBy("id").select("vector").toArrow()
     points = _matrix(sample.column("vector"), sample.num_rows)
     tree = fit_tree(points, int(np.clip(n // LEAF_ROWS, 1, min(MAX_LEAVES, len(points) // 4 + 1))))
     shared = spark.sparkContext.broadcast(tree)  # MAX_LEAVES leaves at most
@@ -242,7 +242,7 @@ def nearest(
     sizes = np.zeros(tree.leaves, np.int64)
     for row in placed.groupBy("leaf").count().collect():  # one row per leaf
         sizes[row["leaf"]] = row["count"]
-    few = asked.orderBy(F.xxhash64("id", F.lit(1)), "id").limit(CALIBRATION_QUERIES).collect()
+    few = hash_sample(asked, "id", CALIBRATION_QUERIES).collect()
     visits = calibrate(tree, placed, [(r["id"], r["vector"]) for r in few], k, wanted) if few else 1
     visiting = saved(_with_visits(reps, shared, sizes, visits, k + 1), "nearest-visits")
     asked_of = visiting.groupBy("leaf").agg(F.count("*").alias("n")).collect()  # one row per leaf

@@ -1,8 +1,8 @@
 """Quality classifier: histogram gradient-boosted trees over statistics of the whole text.
 
 The statistics are computed once per document and written to the shared
-folder.  Trees are fitted on the driver from a bounded sample of labelled rows
-(``max_rows``, the rows of smallest id hash) outside the held-out fold, then
+folder.  Trees are fitted on the driver from a sample of labelled rows (about
+``max_rows``, chosen by the hash of the id) outside the held-out fold, then
 flattened into arrays; tasks walk all trees of a batch at once with numpy.
 
 Defined results: null and empty texts have statistics 0 and are scored like any
@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import held_out, map_text, saved
+from tripweave.llm.common import hash_sample, held_out, map_text, saved
 from tripweave.llm.words import words_of
 
 MAX_ROWS = 20_000
@@ -194,8 +194,8 @@ def train(stats: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
     """Trees from stats (doc_id, stats) and labels (doc_id, label) outside the held-out fold."""
     marked = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).where(~held_out(F.col("doc_id")))
     marked = marked.groupBy("doc_id").agg(F.max(label).cast("double").alias("label"))
-    rows = stats.join(marked, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
-    found = rows.select("stats", "label").toArrow()
+    rows = stats.join(hash_sample(marked, "doc_id", max_rows), "doc_id")
+    found = rows.orderBy("doc_id").select("stats", "label").toArrow()  # about max_rows rows
     if not found.num_rows:
         return Trees(*[np.zeros(0)] * 5, 0.0, 0)
     flat = pc.list_flatten(found.column("stats")).to_numpy()
