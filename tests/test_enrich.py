@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from tripweave.functions import prompts
 from tripweave.functions.taxonomy import has_sufficient_text, parse_response, validate_attraction_tags, validate_festival_themes
+from tripweave.functions.calls import call_batches, one_by_one
 from tripweave.operators import enrich
 
 L = F.lit
@@ -71,7 +72,7 @@ def test_enrichment_batch(spark):
             return '{"x": 1}'
         raise TimeoutError("timeout")
 
-    out = {r["content_id"]: r for r in enrich.enrich_attractions(df, _quick(model)).collect()}
+    out = {r["content_id"]: r for r in enrich.enrich_attractions(df, one_by_one(_quick(model))).collect()}
     assert out["1"]["result"]["status"] == "succeeded" and out["1"]["result"]["vibe_tags"] == ["calm"]
     assert out["1"]["enrichment"]["input_hash"].startswith("sha256:") and out["1"]["enrichment"]["model_id"] == enrich.MODEL_ID
     assert (out["2"]["result"]["status"], out["2"]["result"]["error_code"]) == ("failed", "model_error")
@@ -108,10 +109,29 @@ def test_classification_batch(spark):
     def model(prompt):
         return '```json\n{"primary_theme": "%s", "theme_tags": []}\n```' % ("바다·해안" if "aaaa" in prompt else "x")
 
-    results = enrich.classify_festivals(df, model)
+    results = enrich.classify_festivals(df, one_by_one(model))
     out = {r["content_id"]: r["result"] for r in results.collect()}
     assert (out["1"]["status"], out["1"]["theme_tags"]) == ("succeeded", ["바다·해안"])
     assert out["2"]["error_code"] == "invalid_entity_type" and out["5"]["status"] == "review_required" and out["3"]["error_code"] == "validation_error"
     counts = {r["status"]: r["item_count"] for r in enrich.batch_counts(results).collect()}
     assert counts == {"succeeded": 1, "failed": 4, "review_required": 1}
     assert {r["content_id"] for r in enrich.failed_results(results).collect()} == {"2", "3", "4", "6"}
+
+
+def test_calls_in_batches():
+    seen, failing = [], {"b", "d"}
+
+    def model(texts):
+        seen.append(list(texts))
+        if "e" in texts and len(texts) > 1:
+            raise RuntimeError("whole call")
+        out = [ValueError(t) if t == "x" else TimeoutError(t) if t in failing else t.upper() for t in texts]
+        failing.discard("b")
+        return out
+
+    texts = list("abcdefx")
+    got = call_batches(model, texts, batch_size=2, concurrency=1, retries=1, again=lambda e: isinstance(e, TimeoutError), pause=0)
+    assert [g if isinstance(g, str) else type(g).__name__ for g in got] == ["A", "B", "C", "TimeoutError", "E", "F", "ValueError"]
+    assert max(map(len, seen)) == 2 and ["e"] in seen and ["f"] in seen
+    short = call_batches(lambda t: [], ["a", "b"], pause=0)
+    assert all(isinstance(g, ValueError) for g in short) and call_batches(model, []) == []

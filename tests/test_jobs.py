@@ -18,10 +18,8 @@ def write_raw(folder, **bodies):
 
 def embedder():
     # A closure, as Python workers cannot import the test module.
-    def embed(text):
-        if "하회" in text:
-            raise ValueError("no")
-        return [float(len(text)), 1.0]
+    def embed(texts):
+        return [ValueError("no") if "하회" in text else [float(len(text)), 1.0] for text in texts]
 
     return embed
 
@@ -70,15 +68,19 @@ def test_visitor_jobs(spark, tmp_path):
     again = jobs.collect_visitors(daily, districts, 2025, monthly.where("city_name_en = 'A'"))
     assert again.count() == 24
     meta = spark.createDataFrame([("A", "x", 1), ("C", "y", 2)], "city_name_en string, t string, pos int")
-    counts = jobs.finalise_cities(meta, "pos", monthly, str(tmp_path / "final")).first()
+    counts = jobs.finalise_cities(meta, "pos", monthly.union(monthly.withColumn("year", F.lit(2024))), str(tmp_path / "final"), 2025).first()
     assert counts.asDict() == {"merged_count": 1, "wikipedia_only_count": 1, "visitor_only_count": 1, "total": 3}
     assert {p.name for p in (tmp_path / "final").iterdir() if p.is_dir()} == {"city_name_en=A", "city_name_en=B", "city_name_en=C"}
 
 
+def numbered(records):
+    return records.withColumn("seq", F.monotonically_increasing_id())
+
+
 def test_city_jobs(spark, tmp_path):
     path = str(tmp_path / "cities")
-    assert jobs.merge_city_dataset(spark, path, cities(spark, {}, {"city_id": "B", "prefecture_id": ""})) == 1
-    assert jobs.merge_city_dataset(spark, path, cities(spark, {"description": "새"})) == 2
+    assert jobs.merge_city_dataset(spark, path, numbered(cities(spark, {}, {"city_id": "B", "prefecture_id": ""}))) == 1
+    assert jobs.merge_city_dataset(spark, path, numbered(cities(spark, {"description": "첫"}, {"description": "새"}))) == 2
     current = sinks.read_published(spark, path)
     assert current.count() == 2 and current.where("city_id = 'KR-11-SEOUL'").first()["description"] == "새"
     reviewed = jobs.review_cities(current)
@@ -115,17 +117,17 @@ def test_image_and_ingest_jobs(spark, tmp_path):
     assert review["report"].first()["status"] == "partial" and review["reasons"].first()["entry_count"] == 1
     source = write_raw(tmp_path / "raw", a={"meta": {"city_name_en": "A"}}, b={"meta": {"city_name_en": "B"}})
     none = spark.createDataFrame([], "s3_key string, checksum_sha256 string")
-    first = jobs.ingest_raw(spark, source, str(tmp_path / "zone"), "20260101", none)
+    first = jobs.ingest_raw(spark, source, str(tmp_path / "zone"), "20260101", none, 1)
     assert [r["status"] for r in first.collect()] == ["uploaded", "uploaded"]
-    second = jobs.ingest_raw(spark, source, str(tmp_path / "zone"), "20260101", first.select("s3_key", "checksum_sha256"))
-    assert [r["status"] for r in second.collect()] == ["skipped", "skipped"] and spark.read.parquet(str(tmp_path / "zone")).count() == 2
+    second = jobs.ingest_raw(spark, source, str(tmp_path / "zone"), "20260101", first.select("s3_key", "checksum_sha256"), 2)
+    assert [r["status"] for r in second.collect()] == ["skipped", "skipped"] and jobs.ingested_bodies(spark, str(tmp_path / "zone")).count() == 2
 
 
 def test_model_jobs_and_stages(spark):
     items = domain.domain_items(raw.parse_payloads(spark.createDataFrame([("f", json.dumps(ANDONG))], "source_key string, body string")))
-    enriched = jobs.run_enrichment(items.where("entity_type = 'attraction'"), lambda p: '{"vibe_tags": ["calm"]}')
+    enriched = jobs.run_enrichment(items.where("entity_type = 'attraction'"), lambda prompts: ['{"vibe_tags": ["calm"]}'] * len(prompts))
     assert [tuple(r) for r in enriched["counts"].collect()] == [("succeeded", 1)]
-    themed = jobs.run_classification(items.where("entity_type = 'festival'"), lambda p: "{}")
+    themed = jobs.run_classification(items.where("entity_type = 'festival'"), lambda prompts: ["{}"] * len(prompts))
     assert [tuple(r) for r in themed["counts"].collect()] == [("review_required", 1)] and themed["failed"].count() == 0
     frames = jobs.run_stages({"n": spark.range(3)}, [lambda f: {"m": f["n"].where("id > 0")}, lambda f: {"k": f["m"].limit(1)}])
     assert frames["m"].count() == 2 and frames["k"].count() == 1 and frames["n"].count() == 3

@@ -48,7 +48,7 @@ def test_counters_equal_the_batch_aggregate(spark, tmp_path):
     for part in (feed.where("hour(ts) < 12"), feed.where("hour(ts) >= 12")):
         part.coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(feed.schema).parquet(source)
-        counters.run_counters(stream, store, checkpoint, "400 days").awaitTermination()
+        counters.run_counters(stream, store, checkpoint).awaitTermination()
     got = visitors.monthly_statistics(counters.stored_daily(spark, store)).orderBy("city_name_en", "month").collect()
     want = visitors.monthly_statistics(feed.withColumn("date", F.to_date("ts"))).orderBy("city_name_en", "month").collect()
     assert [r.asDict() for r in got] == [r.asDict() for r in want] and len(got) > 4

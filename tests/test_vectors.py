@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tripweave.functions.calls import one_by_one
 from tripweave.operators import vectors
 
 ITEM = {
@@ -112,7 +113,7 @@ def test_embedding_failures_stay_in_their_row(spark):
             raise ValueError("nope")
         return [1.0] if text == "short" else [1.0, 2.0]
 
-    out = vectors.embed(df, embed, 2)
+    out = vectors.embed(df, one_by_one(embed), 2)
     errors = {r["key"]: r["embedding_error"] for r in out.collect()}
     assert errors == {"a": None, "b": "ValueError: nope", "c": "unexpected embedding dimension: 1"}
     assert vectors.rebuild_summary(out).first().asDict() == {"items_processed": 4, "items_upserted": 1, "items_skipped": 2}
@@ -147,3 +148,9 @@ def test_top_k_against_brute_force(spark):
     assert [r["vec"] for r in some] == [i for i in order if i % 4 == 1][:5]
     with pytest.raises(ValueError):
         vectors.cosine_top_k(df, [0.0] * 16, 1, "vec")
+
+
+def test_vectors_without_distance_are_reported(spark):
+    rows = [("a", [1.0, 2.0]), ("b", [1.0]), ("c", [0.0, 0.0]), ("d", None), ("e", [float("nan"), 1.0])]
+    out = vectors.unsearchable(spark.createDataFrame(rows, "key string, embedding array<double>"), 2)
+    assert {r["key"]: r["reason"] for r in out.collect()} == {"b": "1 dimensions", "c": "no direction", "d": "no vector", "e": "no direction"}

@@ -7,14 +7,12 @@ at a time, and the answers are validated in the JVM again.
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tripweave.functions.calls import BatchFn, call_batches
 from tripweave.functions.hashing import attraction_input_hash, festival_input_hash
 from tripweave.functions.prompts import attraction_prompt, festival_prompt
 from tripweave.functions.taxonomy import (
@@ -66,27 +64,29 @@ def _error_code(exc: Exception) -> tuple[str, bool]:
 
 
 def ask_model(
-    prompt: Column, model_fn: Callable[[str], str], retries: int = MAX_RETRIES, pause: float = 1.0
+    prompt: Column,
+    model_fn: BatchFn,
+    retries: int = MAX_RETRIES,
+    pause: float = 1.0,
+    batch_size: int = 32,
+    concurrency: int = 4,
 ) -> Column:
-    """``struct<text,error>`` per prompt; null prompts are not sent."""
-
-    def ask(text: str) -> tuple[str | None, str | None]:
-        code = "model_error"
-        for attempt in range(retries + 1):
-            try:
-                return model_fn(text), None
-            except Exception as exc:  # noqa: BLE001 - a failure belongs to its row
-                code, again = _error_code(exc)
-                if not again:
-                    break
-                if attempt < retries:
-                    time.sleep(pause * 2**attempt)
-        return None, code
+    """``struct<text,error>`` per prompt; null prompts are not sent.
+
+    ``model_fn`` takes a list of prompts and returns as many answers, see
+    ``functions.calls``.
+    """
 
     @F.pandas_udf(_ANSWER)
     def run(prompts: pd.Series) -> pd.DataFrame:
-        answers = [(None, None) if p is None else ask(p) for p in prompts]
-        return pd.DataFrame(answers, columns=["text", "error"], dtype=object)
+        sent = prompts[prompts.notna()]
+        again = lambda exc: _error_code(exc)[1]
+        answers = call_batches(model_fn, list(sent), batch_size, concurrency, retries, again, pause)
+        out = pd.DataFrame({"text": None, "error": None}, index=prompts.index, dtype=object)
+        for at, answer in zip(sent.index, answers, strict=True):
+            failed = isinstance(answer, Exception)
+            out.at[at, "error" if failed else "text"] = _error_code(answer)[0] if failed else answer
+        return out
 
     # Non-deterministic: Spark must not repeat a model call for one row.
     return run.asNondeterministic()(prompt)
@@ -116,7 +116,7 @@ def _history_entry(status: Column, error: Column, versions: dict[str, Column]) -
 
 def enrich_attractions(
     items: DataFrame,
-    model_fn: Callable[[str], str],
+    model_fn: BatchFn,
     model_id: str = MODEL_ID,
     prompt_version: str = ATTRACTION_PROMPT_VERSION,
 ) -> DataFrame:
@@ -178,7 +178,7 @@ def enrich_attractions(
 
 def classify_festivals(
     items: DataFrame,
-    model_fn: Callable[[str], str],
+    model_fn: BatchFn,
     model_id: str = MODEL_ID,
     prompt_version: str = FESTIVAL_PROMPT_VERSION,
 ) -> DataFrame:

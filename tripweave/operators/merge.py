@@ -138,6 +138,7 @@ def merge_records(base: DataFrame, incoming: DataFrame, force_image_update: bool
 # --- ordered fold -----------------------------------------------------------
 
 _INITIAL = -1
+_FOLDED = {"city_id", *MERGED_FIELDS, "image_url", "image_urls", "data_confidence", "field_status"}
 
 
 def _prefix(rows: DataFrame, chunk_rows: int) -> DataFrame:
@@ -151,6 +152,7 @@ def fold_records(
     incoming: DataFrame,
     seq: str = "seq",
     chunk_rows: int = 100_000,
+    force_image_update: bool = False,
 ) -> DataFrame:
     """All incoming rows applied to the base in ``seq`` order.
 
@@ -159,34 +161,30 @@ def fold_records(
     prefix scan: windows run inside chunks of a city, one summary row per chunk
     carries the state (highest rank, last value of every field) to the next,
     and the final values are plain aggregates.  A city with a third of all
-    rows is therefore spread over many tasks.  Image lists are folded by
-    ``fold_images``.
+    rows is therefore spread over many tasks.  Columns that are never merged
+    keep their first value.  Image lists are folded by ``fold_images``.
     """
     types = {f.name: f.dataType for f in base.schema.fields}
-    columns = ["city_id", *MERGED_FIELDS, "data_confidence", "field_status"]
+    kept = [c for c in base.columns if c not in _FOLDED]
+    columns = ["city_id", *MERGED_FIELDS, "image_url", "data_confidence", "field_status", *kept]
     rows = base.select(*columns, F.lit(_INITIAL).cast("long").alias("seq")).unionByName(
         incoming.where(F.coalesce("city_id", F.lit("")) != "").select(
             *columns, F.col(seq).cast("long").alias("seq")
         )
     )
-    # Without a base row the first incoming row is the initial state.
-    starts = rows.groupBy("city_id").agg(F.min("seq").alias("seq"))
     rows = _prefix(rows, chunk_rows).withColumn("rank", confidence_rank(F.col("data_confidence")))
-    rows = rows.join(starts.withColumn("initial", F.lit(True)), ["city_id", "seq"], "left")
-    rows = rows.withColumn("initial", F.coalesce("initial", F.lit(False)))
-
     chunk = Window.partitionBy("city_id", "chunk").orderBy("seq")
     before = chunk.rowsBetween(Window.unboundedPreceding, -1)
-    chunks = Window.partitionBy("city_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
+    city = Window.partitionBy("city_id")
+    chunks = city.orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
 
     # Level 1: highest rank of all earlier chunks, then of earlier rows.
-    rank_carry = (
-        rows.groupBy("city_id", "chunk")
-        .agg(F.max("rank").alias("r"))
-        .withColumn("rank_carry", F.max("r").over(chunks))
-        .drop("r")
+    # Without a base row the first incoming row is the initial state.
+    carry = rows.groupBy("city_id", "chunk").agg(F.max("rank").alias("r"), F.min("seq").alias("s"))
+    carry = carry.select(
+        "city_id", "chunk", F.max("r").over(chunks).alias("rank_carry"), F.min("s").over(city).alias("start")
     )
-    rows = rows.join(rank_carry, ["city_id", "chunk"])
+    rows = rows.join(carry, ["city_id", "chunk"]).withColumn("initial", F.col("seq") == F.col("start"))
     earlier = F.greatest(F.col("rank_carry"), F.max("rank").over(before))
     rows = rows.withColumn("applies", F.col("initial") | (F.col("rank") >= earlier))
 
@@ -196,15 +194,20 @@ def fold_records(
         value = F.struct(F.col(name).alias("v"))
         return F.when(F.col("applies") & ~_empty(F.col(name), types[name]), value)
 
+    first = F.struct(*[F.col(n) for n in (*MERGED_FIELDS, "field_status", *kept)])
+    has_image = F.col("image_url").isNotNull() & (F.col("initial") | (F.col("image_url") != ""))
     rows = rows.select(
-        "city_id", "chunk", "seq", "initial", "rank", "data_confidence", "field_status",
-        *[F.col(n).alias(f"raw_{n}") for n in MERGED_FIELDS],
+        "city_id", "chunk", "seq", "initial", "rank", "data_confidence",
+        F.when(F.col("initial"), first).alias("first"),
+        F.col("source_name").alias("source_in"),
         *[stored(n).alias(n) for n in MERGED_FIELDS],
         # The initial source counts even when it is blank.
         F.when(F.col("initial"), F.struct(F.col("source_name").alias("v")))
         .otherwise(stored("source_name")).alias("source"),
+        # An image counts whatever the confidence.
+        F.when(has_image, F.struct(F.col("image_url").alias("v"))).alias("image"),
     )
-    tracked = [*MERGED_FIELDS, "source"]
+    tracked = [*MERGED_FIELDS, "source", "image"]
     carry = rows.groupBy("city_id", "chunk").agg(
         *[F.max_by(F.col(n), F.when(F.col(n).isNotNull(), F.col("seq"))).alias(n) for n in tracked]
     )
@@ -222,7 +225,7 @@ def fold_records(
     )
 
     # Change events and final values.
-    source_in = F.col("raw_source_name")
+    source_in = F.col("source_in")
     source_before = F.col("prev_source.v")
     source_after = F.coalesce(F.col("source.v"), source_before)
     events, finals = [], []
@@ -233,24 +236,28 @@ def fold_records(
             _differs(new["v"], old["v"], types[name]), _merged(previous, source_in)
         )
         events.append(F.when(new.isNotNull() & ~F.col("initial"), text).alias(f"event_{name}"))
-        finals += [
-            F.max_by(new, F.when(new.isNotNull(), F.col("seq"))).alias(f"last_{name}"),
-            F.max_by(f"event_{name}", F.when(F.col(f"event_{name}").isNotNull(), F.col("seq"))).alias(f"event_{name}"),
-        ]
-    first = F.struct(*[F.col(f"raw_{n}").alias(n) for n in MERGED_FIELDS], "field_status")
+        finals.append(F.max_by(new, F.when(new.isNotNull(), F.col("seq"))).alias(f"last_{name}"))
+    replaced = F.when(F.col("image.v") != F.col("prev_image.v"), _merged(source_after, source_in, "force_replaced"))
+    image_text = F.when(F.col("prev_image").isNull(), _updated(source_in)).when(F.lit(force_image_update), replaced)
+    events.append(F.when(F.col("image").isNotNull() & ~F.col("initial"), image_text).alias("event_image_url"))
+    audited = [*MERGED_FIELDS, "image_url"]
+    choose = F.max_by if force_image_update else F.min_by
     folded = (
         rows.select("*", *events)
         .groupBy("city_id")
         .agg(
             *finals,
-            F.min_by(first, F.col("seq")).alias("first"),
+            *[
+                F.max_by(f"event_{n}", F.when(F.col(f"event_{n}").isNotNull(), F.col("seq"))).alias(f"event_{n}")
+                for n in audited
+            ],
+            choose(F.col("image.v"), F.when(F.col("image").isNotNull(), F.col("seq"))).alias("image_url"),
+            F.min_by("first", F.col("seq")).alias("first"),
             # The earliest row of the highest rank names the confidence.
             F.max_by("data_confidence", F.struct("rank", -F.col("seq"))).alias("data_confidence"),
         )
     )
-    audit = _drop_nulls(
-        [F.struct(F.lit(n).alias("key"), F.col(f"event_{n}").alias("value")) for n in MERGED_FIELDS]
-    )
+    audit = _drop_nulls([F.struct(F.lit(n).alias("key"), F.col(f"event_{n}").alias("value")) for n in audited])
     empty = F.create_map().cast("map<string,string>")
     return folded.select(
         "city_id",
@@ -258,14 +265,40 @@ def fold_records(
             F.when(F.col(f"last_{n}").isNotNull(), F.col(f"last_{n}.v")).otherwise(F.col(f"first.{n}")).alias(n)
             for n in MERGED_FIELDS
         ],
+        "image_url",
         "data_confidence",
         overlay(F.coalesce("first.field_status", empty), audit).alias("field_status"),
+        *[F.col(f"first.{c}").alias(c) for c in kept],
     )
 
 
-def fold_images(base: DataFrame, incoming: DataFrame, seq: str = "seq") -> tuple[DataFrame, DataFrame]:
+def merge_all(
+    base: DataFrame,
+    incoming: DataFrame,
+    seq: str = "seq",
+    force_image_update: bool = False,
+    chunk_rows: int = 100_000,
+) -> DataFrame:
+    """Base records after all incoming rows in ``seq`` order, one row per city, in the columns of ``base``."""
+    fields = fold_records(base, incoming, seq, chunk_rows, force_image_update)
+    _, images = fold_images(base, incoming, seq, force_image_update)
+    # The list is a column of the record, so the distinct urls of a city meet here.
+    entry = F.struct("seq", "idx", F.struct("url", "source").alias("image"))
+    lists = images.groupBy("city_id").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
+    listed = F.transform("entries", lambda e: e["image"]).cast(IMAGE_LIST)
+    merged = fields.join(lists, "city_id", "left")
+    none = F.array().cast(IMAGE_LIST)
+    return merged.withColumn("image_urls", F.coalesce(listed, none)).select(*base.columns)
+
+
+def fold_images(
+    base: DataFrame, incoming: DataFrame, seq: str = "seq", force_image_update: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """(primary, images) after applying all incoming rows in order.
 
+    A forced update makes the last image the primary one and lists no primary
+    image; else the first one stays and later ones are listed.
+
     ``primary`` is (city_id, image_url); ``images`` has one row per distinct
     url of a city with its sort position (seq, idx), the long form of the
     image list.  Both are plain aggregates.
@@ -279,7 +312,7 @@ def fold_images(base: DataFrame, incoming: DataFrame, seq: str = "seq") -> tuple
     # The initial row counts even with an empty text; later ones need a url.
     usable = F.col("image_url").isNotNull() & ((F.col("seq") == _INITIAL) | (F.col("image_url") != ""))
     first_rows = rows.groupBy("city_id").agg(
-        F.min_by("image_url", F.when(usable, F.col("seq"))).alias("primary_url")
+        (F.max_by if force_image_update else F.min_by)("image_url", F.when(usable, F.col("seq"))).alias("primary_url")
     )
     primary = first_rows.select("city_id", F.col("primary_url").alias("image_url"))
     head = _one_image(F.col("image_url"), _or_unknown(F.col("source_name")))
@@ -293,9 +326,8 @@ def fold_images(base: DataFrame, incoming: DataFrame, seq: str = "seq") -> tuple
         F.min(F.struct("seq", "idx", F.col("image.source").alias("source"))).alias("at")
     )
     # A row's own image joins the list only when it is not the primary one.
-    kept = offers.join(first_rows, "city_id").where(
-        ~F.col("is_head") | (F.col("url") != F.col("primary_url"))
-    )
+    own = F.lit(False) if force_image_update else F.col("url") != F.col("primary_url")
+    kept = offers.join(first_rows, "city_id").where(~F.col("is_head") | own)
     images = kept.groupBy("city_id", "url").agg(F.min("at").alias("at"))
     return primary, images.select("city_id", "url", "at.seq", "at.idx", "at.source")
 

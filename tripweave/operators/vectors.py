@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from tripweave.functions.dates import date_range_text
 from tripweave.functions.hashing import column_types
+from tripweave.functions.calls import BatchFn, call_batches
 from tripweave.operators.keyvalue import pick_per_key
 from tripweave.operators.quality import side_by_side
 
@@ -250,32 +251,45 @@ def _list_bytes(name: str, tags: Column, kept: Column) -> Column:
     return F.when(tags.isNull(), F.lit(0)).otherwise(quoted + commas + len(f',"{name}":[]'))
 
 
+def _fitting(tags: Column, room: Column) -> Column:
+    """How many leading tags fit into ``room`` bytes, in one pass."""
+
+    def add(state: Column, tag: Column) -> Column:
+        comma = F.when(state["n"] > 0, 1).otherwise(0)
+        used = state["used"] + F.octet_length(F.to_json(F.array(tag))) - 2 + comma
+        fits = state["open"] & (used <= room)
+        return F.struct(
+            F.when(fits, used).otherwise(state["used"]).alias("used"),
+            F.when(fits, state["n"] + 1).otherwise(state["n"]).alias("n"),
+            fits.alias("open"),
+        )
+
+    start = F.struct(F.lit(0).alias("used"), F.lit(0).alias("n"), F.lit(True).alias("open"))
+    return F.coalesce(F.aggregate(tags, start, add, lambda state: state["n"]), F.lit(0))
+
+
 def trim_to_budget(metadata: Column, budget: int = BUDGET_BYTES) -> Column:
     """Metadata within ``budget`` bytes of filterable JSON, else null.
 
     Experience tags are dropped from the end first, then vibe tags.  Sizes are
-    added up per tag, so nothing is serialised again for every candidate.
+    added up per tag in one pass over each list.
     """
     trimmed = ("experience_tags", "vibe_tags")
     experience, vibe = (metadata[n] for n in trimmed)
-    base = filter_bytes(metadata, without=trimmed)
-    n_experience, n_vibe = (F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)) for c in (experience, vibe))
-
-    def total(e: Column, v: Column) -> Column:
-        return base + _list_bytes(trimmed[0], experience, e) + _list_bytes(trimmed[1], vibe, v)
-
-    by_experience = F.transform(
-        F.sequence(F.lit(0), n_experience), lambda i: F.struct((n_experience - i).alias("e"), n_vibe.alias("v"))
-    )
-    by_vibe = F.transform(
-        F.sequence(F.lit(0), n_vibe), lambda i: F.struct(F.lit(0).alias("e"), (n_vibe - i).alias("v"))
-    )
-    fitting = F.filter(F.concat(by_experience, by_vibe), lambda c: total(c["e"], c["v"]) <= budget)
-    choice = F.get(fitting, F.lit(0))
+    none = F.lit(0)
+    n_vibe = F.greatest(F.coalesce(F.size(vibe), none), none)
+    bare = filter_bytes(metadata, without=trimmed) + _list_bytes(trimmed[0], experience, none)
+    all_vibe = bare + _list_bytes(trimmed[1], vibe, n_vibe)
+    no_vibe = bare + _list_bytes(trimmed[1], vibe, none)
+    whole = all_vibe <= budget
     cut = metadata.withField(
-        "experience_tags", F.slice(experience, F.lit(1), choice["e"])
-    ).withField("vibe_tags", F.slice(vibe, F.lit(1), choice["v"]))
-    return F.when(total(n_experience, n_vibe) <= budget, metadata).when(choice.isNotNull(), cut)
+        "experience_tags",
+        F.slice(experience, F.lit(1), F.when(whole, _fitting(experience, F.lit(budget) - all_vibe)).otherwise(none)),
+    ).withField(
+        "vibe_tags",
+        F.slice(vibe, F.lit(1), F.when(whole, n_vibe).otherwise(_fitting(vibe, F.lit(budget) - no_vibe))),
+    )
+    return F.when(no_vibe <= budget, cut)
 
 
 def build_chunks(items: DataFrame, chunk_no: int = 0) -> DataFrame:
@@ -337,31 +351,35 @@ def metadata_error(metadata_json: Column) -> Column:
 
 
 def embed(
-    chunks: DataFrame, embed_fn: Callable[[str], Sequence[float]], dimension: int = DIMENSION
+    chunks: DataFrame,
+    embed_fn: BatchFn,
+    dimension: int = DIMENSION,
+    batch_size: int = 32,
+    concurrency: int = 4,
 ) -> DataFrame:
     """Adds ``embedding`` and ``embedding_error`` by an injected function.
 
-    Only the text travels to Python.  A text that fails or returns the wrong
-    dimension gets an error and does not disturb its neighbours.
+    ``embed_fn`` takes a list of texts and returns as many vectors, see
+    ``functions.calls``; only the text travels to Python.  A text that fails or
+    returns the wrong dimension gets an error and does not disturb its
+    neighbours.
     """
     schema = T.StructType(
         [T.StructField("embedding", T.ArrayType(T.FloatType())), T.StructField("error", T.StringType())]
     )
 
+    def checked(found: object) -> tuple[list[float] | None, str | None]:
+        if isinstance(found, Exception):
+            return None, f"{type(found).__name__}: {found}"
+        if found is None:
+            return None, "no embedding"
+        vector = [float(x) for x in found]
+        return (vector, None) if len(vector) == dimension else (None, f"unexpected embedding dimension: {len(vector)}")
+
     @F.pandas_udf(schema)
     def run(texts: pd.Series) -> pd.DataFrame:
-        vectors, errors = [], []
-        for text in texts:
-            vector, error = None, None
-            try:
-                vector = [float(x) for x in embed_fn(text)]
-                if len(vector) != dimension:
-                    vector, error = None, f"unexpected embedding dimension: {len(vector)}"
-            except Exception as exc:  # noqa: BLE001 - any failure belongs to its row
-                error = f"{type(exc).__name__}: {exc}"
-            vectors.append(vector)
-            errors.append(error)
-        return pd.DataFrame({"embedding": vectors, "error": errors})
+        found = call_batches(embed_fn, list(texts), batch_size, concurrency)
+        return pd.DataFrame([checked(f) for f in found], columns=["embedding", "error"])
 
     # Marked non-deterministic so that Spark never evaluates the call twice.
     return chunks.withColumn("_e", run.asNondeterministic()("embedding_text")).select(
@@ -441,7 +459,8 @@ def cosine_top_k(
     Filters first.  Every task scores its Arrow batches with one matrix product
     and forwards only its own best ``k`` (key, distance) pairs, so the final
     ordering sees k rows per task whatever the table size.  Ties go to the
-    smaller key; vectors without direction have no distance and are left out.
+    smaller key; vectors without direction or of another dimension have no
+    distance, ``unsearchable`` returns them.
     """
     rows = vectors if where is None else vectors.where(where)
     target = np.asarray(query, dtype=np.float64)
@@ -472,6 +491,18 @@ def cosine_top_k(
     return usable.mapInArrow(local_best, out).orderBy("distance", key).limit(k)
 
 
+def unsearchable(vectors: DataFrame, size: int, key: str = "key", embedding: str = "embedding") -> DataFrame:
+    """(key, reason) of the vectors that a search of ``size`` dimensions leaves out."""
+    value = F.col(embedding)
+    odd = F.exists(value, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    reason = (
+        F.when(value.isNull(), "no vector")
+        .when(F.size(value) != size, F.concat(F.size(value).cast("string"), F.lit(" dimensions")))
+        .when(odd | ~F.exists(value, lambda x: x != 0), "no direction")
+    )
+    return vectors.select(key, reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def vectors_by_key(vectors: DataFrame, keys: Sequence[object], key: str = "key") -> DataFrame:
     """Point lookup of some vectors."""
     return vectors.where(F.col(key).isin(*keys))

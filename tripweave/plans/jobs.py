@@ -10,6 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripweave.functions.calls import BatchFn
 from tripweave.operators import (
     domain,
     enrich,
@@ -135,11 +136,10 @@ def collect_visitors(
     return new if existing is None or force_refresh else visitors.replace_statistics(existing, new)
 
 
-def finalise_cities(cities: DataFrame, order: str, monthly: DataFrame, out: str) -> DataFrame:
-    """Merged city files; counts of both-sided and one-sided cities."""
-    final = visitors.final_cities(
-        visitors.last_city_per_name(cities, order), visitors.statistics_envelope(monthly).drop("year")
-    )
+def finalise_cities(cities: DataFrame, order: str, monthly: DataFrame, out: str, year: int) -> DataFrame:
+    """Merged city files of a year; counts of both-sided and one-sided cities."""
+    statistics = visitors.statistics_envelope(monthly.where(F.col("year") == year)).drop("year")
+    final = saved(visitors.final_cities(visitors.last_city_per_name(cities, order), statistics), "final-cities")
     sinks.write_by_city(final, out)
     return visitors.merge_outcomes(final)
 
@@ -148,17 +148,23 @@ def finalise_cities(cities: DataFrame, order: str, monthly: DataFrame, out: str)
 
 
 def merge_city_dataset(
-    spark: SparkSession, path: str, incoming: DataFrame, force_image_update: bool = False
+    spark: SparkSession,
+    path: str,
+    incoming: DataFrame,
+    seq: str = "seq",
+    force_image_update: bool = False,
+    chunk_rows: int = 100_000,
 ) -> int:
-    """Merges incoming city records into the published dataset.
+    """Merges incoming city records, any number per city in ``seq`` order, into the published dataset.
 
-    Returns the new version; readers see it only when it is complete.
+    Returns the new version, with one row per city; readers see it only when
+    it is complete.
     """
     version = sinks.latest_version(spark, path)
     base = sinks.read_published(spark, path)
     if base is None:
-        base = incoming.where(F.lit(False))
-    merged = merge.merge_records(base, incoming, force_image_update)
+        base = incoming.drop(seq).where(F.lit(False))
+    merged = merge.merge_all(base, incoming, seq, force_image_update, chunk_rows)
     sinks.publish_version(merged, path, (version or 0) + 1)
     return (version or 0) + 1
 
@@ -247,27 +253,44 @@ def review_images(records: DataFrame, outcomes: DataFrame, image_bucket: str) ->
 
 
 def ingest_raw(
-    spark: SparkSession, path: str, out: str, ingest_date: str, previous: DataFrame, overwrite: bool = False
+    spark: SparkSession,
+    path: str,
+    out: str,
+    ingest_date: str,
+    previous: DataFrame,
+    batch: int,
+    overwrite: bool = False,
 ) -> DataFrame:
-    """Manifest of the raw files; new or changed bodies are written to ``out``."""
-    files = sinks.read_file_bytes(spark, path)
-    manifest = sinks.raw_manifest(files, F.lit(ingest_date))
-    status = saved(sinks.ingest_status(manifest, previous, overwrite), "ingest")
-    wanted = status.where(F.col("status") == "uploaded").select("local_path", "s3_key")
-    files.join(wanted, "local_path").select("s3_key", "body").write.mode("append").parquet(out)
-    return status.orderBy(F.lower("file_name"))
+    """Manifest of the raw files; new or changed bodies are stored below ``out``.
+
+    The files are read once: manifest and body of a file are one row of
+    ``out/batch=N``, the body only where it is uploaded.  A batch that is tried
+    again replaces itself; ``ingested_bodies`` reads the newest body per key.
+    """
+    manifest = sinks.raw_manifest(sinks.read_file_bytes(spark, path), F.lit(ingest_date), keep_body=True)
+    status = sinks.ingest_status(manifest, previous, overwrite)
+    body = F.when(F.col("status") == "uploaded", F.col("body")).alias("body")
+    rows = status.select(*[c for c in status.columns if c != "body"], body)
+    rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+    return spark.read.parquet(f"{out}/batch={batch}").drop("body").orderBy(F.lower("file_name"))
+
+
+def ingested_bodies(spark: SparkSession, out: str) -> DataFrame:
+    """(s3_key, body) last uploaded per key over all batches."""
+    stored = spark.read.parquet(out).where(F.col("status") == "uploaded").select("s3_key", "batch", "body")
+    return keyvalue.pick_per_key(stored, ["s3_key"], F.col("batch")).drop("batch")
 
 
 # --- model and vectors ------------------------------------------------------
 
 
-def run_enrichment(items: DataFrame, model_fn: Callable[[str], str]) -> Frames:
+def run_enrichment(items: DataFrame, model_fn: BatchFn) -> Frames:
     """Model tags for attractions; results are stored before they are counted."""
     results = saved(enrich.enrich_attractions(items, model_fn), "enrichment")
     return {"results": results, "counts": enrich.batch_counts(results), "failed": enrich.failed_results(results)}
 
 
-def run_classification(items: DataFrame, model_fn: Callable[[str], str]) -> Frames:
+def run_classification(items: DataFrame, model_fn: BatchFn) -> Frames:
     """Model themes for festivals."""
     results = saved(enrich.classify_festivals(items, model_fn), "classification")
     return {"results": results, "counts": enrich.batch_counts(results), "failed": enrich.failed_results(results)}
@@ -275,7 +298,7 @@ def run_classification(items: DataFrame, model_fn: Callable[[str], str]) -> Fram
 
 def build_vectors(
     items: DataFrame,
-    embed_fn: Callable[[str], Sequence[float]],
+    embed_fn: BatchFn,
     index_name: str,
     since: str | None = None,
     dimension: int = vectors.DIMENSION,
@@ -292,7 +315,9 @@ def build_vectors(
     embedded = saved(vectors.embed(vectors.build_chunks(exported), embed_fn, dimension), "embeddings")
     summary = vectors.rebuild_summary(embedded)
     return {
-        "records": vectors.first_per_key(vectors.vector_records(embedded), "key"),
+        "records": vectors.first_per_key(
+            vectors.vector_records(embedded).withColumn("_order", F.struct("metadata.ddb_pk", "metadata.ddb_sk")), "_order"
+        ).drop("_order"),
         "errors": embedded.where(F.col("embedding_error").isNotNull()).select("key", "embedding_error"),
         "summary": summary.withColumn("status_code", quality.status_code(F.col("items_skipped"))),
         "manifest": vectors.build_manifest(exported, summary, index_name),
@@ -305,7 +330,7 @@ def load_and_index(
     store: str,
     batch: int,
     order: Sequence[str],
-    embed_fn: Callable[[str], Sequence[float]],
+    embed_fn: BatchFn,
     index_name: str,
     province_id: str | None = None,
     dimension: int = vectors.DIMENSION,

@@ -149,9 +149,12 @@ def read_sigungu_codes(spark: SparkSession, path: str) -> DataFrame:
 def city_targets(
     cities: DataFrame,
     city_ids: Sequence[str] = (),
-    city_names_en: Sequence[str] = (),
+    city_names_en: Sequence[str] | DataFrame = (),
 ) -> DataFrame:
-    """Targets with an id, optionally limited by id or English name (any case)."""
+    """Targets with an id, optionally limited by id or English name (any case).
+
+    Names may be a table with the column ``city_name_en``.
+    """
     out = cities.select(
         strip(F.coalesce("city_id", F.lit(""))).alias("city_id"),
         strip(F.coalesce("city_name_ko", F.lit(""))).alias("city_name_ko"),
@@ -160,6 +163,9 @@ def city_targets(
     ).where(F.col("city_id") != "")
     if city_ids:
         out = out.where(F.upper("city_id").isin(*[i.upper() for i in city_ids]))
+    if isinstance(city_names_en, DataFrame):
+        names = city_names_en.select(F.lower("city_name_en").alias("_name")).distinct()
+        return out.join(names, F.lower("city_name_en") == F.col("_name"), "left_semi")
     if city_names_en:
         out = out.where(F.lower("city_name_en").isin(*[n.lower() for n in city_names_en]))
     return out

@@ -156,8 +156,8 @@ def read_file_bytes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def raw_manifest(files: DataFrame, ingest_date: Column) -> DataFrame:
-    """Per file: names, list sizes, checksum, size and target key.
+def raw_manifest(files: DataFrame, ingest_date: Column, keep_body: bool = False) -> DataFrame:
+    """Per file: names, list sizes, checksum, size and target key, on request the body.
 
     A statistics object counts its ``monthly`` list, else its keys.
     """
@@ -189,6 +189,7 @@ def raw_manifest(files: DataFrame, ingest_date: Column) -> DataFrame:
         statistics.alias("visitor_statistics_count"),
         "checksum_sha256",
         "byte_size",
+        *(["body"] if keep_body else []),
     ).withColumn("s3_key", raw_detail_key(F.col("city_name_en"), ingest_date))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tripweave.functions.calls import one_by_one
 from tripweave.functions.hashing import attraction_input_hash, festival_input_hash
 from tripweave.functions.names import romanize
 from tripweave.functions.prompts import ATTRACTION_HEAD, ATTRACTION_TAIL, attraction_prompt, festival_prompt
@@ -213,7 +214,7 @@ def festivals_of_october(t):
 # --- hashes and enrichment --------------------------------------------------
 
 DOCS = """
-    SELECT doc_id, lang AS theme, source AS address, substr(text, 1, 60) AS title, text AS description, 'attraction' AS entity_type,
+    SELECT doc_id, lang AS theme, source AS address, concat(source, ' ', lang, ' ', cast(n_chars AS string)) AS title, text AS description, 'attraction' AS entity_type,
       cast(doc_id AS string) AS content_id, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE source END AS program, '' AS subevent FROM {documents}
 """
 
@@ -307,11 +308,13 @@ def theme_validate(t):
     )
 
 
-@query("SELECT doc_id, length(trim(substr(text, 1, cast(10 + doc_id % 40 AS int)), chr(10) || ' ')) >= 30 AS enough FROM {documents}")
+@query("""
+    SELECT doc_id, length(trim(CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN concat(source, ' ', lang, repeat(' x', cast(n_chars % 20 AS int))) ELSE lang END,
+      chr(10) || ' ')) >= 30 AS enough FROM {documents}""")
 def text_sufficient(t):
     """Documents with enough text to classify."""
-    cut = F.expr("substr(text, 1, cast(10 + doc_id % 40 AS int))")
-    return t["documents"].select("doc_id", has_sufficient_text(cut, F.lit("short")).alias("enough"))
+    text = F.expr("CASE doc_id % 3 WHEN 0 THEN text WHEN 1 THEN concat(source, ' ', lang, repeat(' x', cast(n_chars % 20 AS int))) ELSE lang END")
+    return t["documents"].select("doc_id", has_sufficient_text(text, F.lit("short")).alias("enough"))
 
 
 _ROOM = 12_000 - len(ATTRACTION_HEAD) - len(ATTRACTION_TAIL)
@@ -347,9 +350,12 @@ def festival_prompt_text_around() -> str:
     return (FESTIVAL_HEAD + FESTIVAL_TAIL).replace("{label}", THEME_SET_LABEL)
 
 
+_FESTIVAL_AROUND = len(festival_prompt_text_around())
+
+
 def _documents(t):
-    """Documents as items, spread over the cores for the model step."""
-    return t.spark.sql(DOCS, documents=t.spread("documents"))
+    """Documents as items."""
+    return t.sql(DOCS)
 
 
 def _rule_model(prompt: str) -> str:
@@ -361,10 +367,20 @@ def _rule_model(prompt: str) -> str:
     return '{"indoor_outdoor": "%s", "vibe_tags": ["calm", "other"]}' % ("indoor" if len(prompt) % 2 else "mixed")
 
 
-@query()
+PROMPT_CHARS = f"""
+    WITH d AS ({DOCS}), lines AS (SELECT *, concat('entity_type: attraction', chr(10), 'content_id: ', content_id, chr(10), 'title: ', title, chr(10)) AS head,
+        concat(CASE WHEN theme <> '' THEN concat(chr(10), 'theme: ', theme) ELSE '' END, chr(10), 'address: ', address) AS tail FROM d),
+    prompts AS (SELECT doc_id, {12_000 - _ROOM} + length(concat(head, CASE WHEN description = '' THEN '' ELSE concat('description: ',
+      substr(description, 1, greatest(0, {_ROOM} - length(head) - length(tail) - length('description: ')))) END, tail)) AS n FROM lines)"""
+
+
+@query(PROMPT_CHARS + """
+    SELECT CASE WHEN ok THEN 'succeeded' ELSE 'failed' END AS status, CASE WHEN ok THEN CASE WHEN n % 2 = 1 THEN 'indoor' ELSE 'mixed' END END AS indoor_outdoor,
+      CASE WHEN NOT ok THEN 'validation_error' END AS error_code, count(*) AS item_count
+    FROM (SELECT n, n % 7 <> 0 AND n % 5 <> 0 AS ok FROM prompts) p GROUP BY ALL""")
 def enrich_batch(t):
     """Attraction enrichment around a stand-in model."""
-    results = enrich.enrich_attractions(_documents(t), _once(_rule_model))
+    results = enrich.enrich_attractions(_documents(t), one_by_one(_once(_rule_model)))
     return results.groupBy("result.status", "result.indoor_outdoor", "result.error_code").agg(F.count("*").alias("item_count"))
 
 
@@ -380,7 +396,11 @@ def _once(model):
     return call
 
 
-@query()
+@query(f"""
+    SELECT status, count(*) AS item_count FROM (SELECT CASE WHEN doc_id % 9 = 0 THEN 'failed'
+      WHEN greatest(length(trim(description, chr(10) || ' ')), length(coalesce(program, ''))) < 30 THEN 'review_required'
+      WHEN (length(concat('entity_type: festival', chr(10), 'content_id: ', content_id, chr(10), 'title: ', title, chr(10), 'description: ', description,
+        coalesce(chr(10) || 'program: ' || program, ''))) + {_FESTIVAL_AROUND}) % 2 = 1 THEN 'succeeded' ELSE 'failed' END AS status FROM ({DOCS}) d) s GROUP BY 1""")
 def classify_batch(t):
     """Festival classification around a stand-in model."""
 
@@ -389,7 +409,7 @@ def classify_batch(t):
         return '```json\n{"primary_theme": "%s", "theme_tags": []}\n```' % theme
 
     items = _documents(t).withColumn("entity_type", F.when(F.col("doc_id") % 9 == 0, "attraction").otherwise("festival"))
-    return enrich.batch_counts(enrich.classify_festivals(items, model))
+    return enrich.batch_counts(enrich.classify_festivals(items, one_by_one(model)))
 
 
 # --- vectors ----------------------------------------------------------------
@@ -453,13 +473,32 @@ def chunk_build(t):
     )
 
 
-@query()
+_BARE = len('{"country":"KR","entity_type":"attraction","source_type":"attraction","source_id":"","place_id":"attraction#","title":""}') + len(
+    ',"experience_tags":[],"vibe_tags":[]'
+)
+
+
+def _tag_sizes(separator: str) -> str:
+    return f"""SELECT doc_id, sum(b + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) - 1 AS used FROM (
+      SELECT doc_id, i, octet_length(encode(cast(to_json(x) AS varchar))) AS b FROM (
+        SELECT doc_id, unnest(range(len(l))) AS i, unnest(l) AS x FROM (SELECT doc_id, string_split(text, {separator}) AS l FROM documents) s) y) u"""
+
+
+@query(f"""
+    WITH d AS (SELECT doc_id, {_BARE} + 2 * length(cast(doc_id AS varchar)) + octet_length(encode(concat(source, ' ', lang))) AS base FROM documents),
+    e AS ({_tag_sizes("' '")}), v AS ({_tag_sizes("chr(10)")}),
+    c AS (SELECT doc_id, base, max(used) AS all_v, count(*) AS n_v, coalesce(max(CASE WHEN base + used <= 2048 THEN used END), 0) AS some_v,
+      count(CASE WHEN base + used <= 2048 THEN 1 END) AS fit_v, base + max(used) <= 2048 AS whole FROM v JOIN d USING (doc_id) GROUP BY doc_id, base),
+    x AS (SELECT c.doc_id, count(e.used) AS fit_e, coalesce(max(e.used), 0) AS some_e FROM c LEFT JOIN e ON e.doc_id = c.doc_id AND whole AND base + all_v + e.used <= 2048 GROUP BY 1)
+    SELECT concat('attraction#', cast(doc_id AS varchar), '#0') AS key, CASE WHEN whole THEN fit_e ELSE 0 END AS experience, CASE WHEN whole THEN n_v ELSE fit_v END AS vibe,
+      cast(base + CASE WHEN whole THEN all_v + some_e ELSE some_v END AS bigint) AS bytes, cast(NULL AS varchar) AS error
+    FROM c JOIN x USING (doc_id)""")
 def metadata_budget(t):
     """Tags dropped from oversized metadata."""
     items = t["documents"].select(
         F.lit("attraction").alias("entity_type"), F.col("doc_id").cast("string").alias("content_id"),
-        F.substring("text", 1, 900).alias("title"), F.lit("succeeded").alias("s"),
-        F.slice(F.split("text", " "), 1, 40).alias("experience_tags"), F.slice(F.split("text", " "), 41, 40).alias("vibe_tags"),
+        F.concat_ws(" ", "source", "lang").alias("title"), F.lit("succeeded").alias("s"),
+        F.split("text", " ").alias("experience_tags"), F.split("text", "\n").alias("vibe_tags"),
     ).withColumn("metadata_enrichment", F.struct(F.col("s").alias("status")))
     chunks = vectors.build_chunks(items)
     m = F.col("metadata")
@@ -550,7 +589,9 @@ def hit_lookup(t):
     return found.select(F.col("content_id").cast("long").alias("vec_id"), "title", F.round("distance", 6).alias("distance"))
 
 
-@query()
+@query("""
+    SELECT count(*) AS items_processed, count(CASE WHEN ok THEN 1 END) AS items_upserted, count(CASE WHEN NOT ok THEN 1 END) AS items_skipped
+    FROM (SELECT length(text) % 11 <> 0 AND length(text) % 13 <> 0 AS ok FROM {documents}) d""")
 def embed_batch(t):
     """Embedding job around a stand-in function with failing rows."""
     rows = t["documents"].select(F.col("doc_id").alias("key"), F.col("text").alias("embedding_text"))
@@ -560,7 +601,7 @@ def embed_batch(t):
             raise RuntimeError("no embedding")
         return [float(len(text) % (i + 2)) for i in range(4 if len(text) % 13 else 3)]
 
-    embedded = vectors.embed(rows, embed, dimension=4)
+    embedded = vectors.embed(rows, one_by_one(embed), dimension=4)
     return vectors.rebuild_summary(embedded)
 
 

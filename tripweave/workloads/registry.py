@@ -148,14 +148,6 @@ class Inputs:
         names = [n for n in (*TABLES, *VIEWS) if "{" + n + "}" in text]
         return self.spark.sql(text, **{n: self[n] for n in names})
 
-    def spread(self, name: str) -> DataFrame:
-        """A table for CPU-heavy rows: small files are spread over all cores.
-
-        Large tables have splits enough and are not shuffled.
-        """
-        table, cores = self[name], self.spark.sparkContext.defaultParallelism
-        return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
-
     @cached_property
     def payloads(self) -> DataFrame:
         from tripweave.workloads.payloads import raw_payloads

@@ -119,7 +119,8 @@ def city_dataset(t):
     SELECT city_id, city_name_en FROM {base_cities} WHERE city_name_en LIKE '%7' AND upper(city_id) <> '' ORDER BY 1""")
 def city_targets(t):
     """Targets limited by name, whatever the case."""
-    names = [f"sUPPLIER#{i:09d}" for i in range(7, 10_000, 10)]
+    named = t["base_cities"].where("city_name_en LIKE '%7'")
+    names = named.select(F.concat(F.lower(F.substring("city_name_en", 1, 1)), F.expr("upper(substr(city_name_en, 2))")).alias("city_name_en"))
     return dimensions.city_targets(t["base_cities"], city_names_en=names).select("city_id", "city_name_en")
 
 
@@ -190,7 +191,7 @@ CLEAN = "trim(regexp_replace({0}, '\\s+', ' ', 'g'))"
     FROM {pages}""")
 def page_parse(t):
     """Title and links of every page by the structured parser."""
-    parsed = pages.parse_pages(t.spread("pages").select("page_id", _wiki_html().alias("html")))
+    parsed = pages.parse_pages(t["pages"].select("page_id", _wiki_html().alias("html")))
     return parsed.select("page_id", "title", F.size("extlinks").cast("long").alias("links"))
 
 
@@ -198,7 +199,7 @@ def page_parse(t):
 def page_records(t):
     """City records from all pages (lead, region, fallbacks, status)."""
     parsed = pages.parse_pages(
-        t.spread("pages").select("page_id", _wiki_html().alias("html"), F.lit("KR-42").alias("prefecture_id"))
+        t["pages"].select("page_id", _wiki_html().alias("html"), F.lit("KR-42").alias("prefecture_id"))
     )
     names = t.sql("SELECT n_name AS city_name_ko, upper(n_name) AS city_name_en FROM {nation}")
     records = pages.korean_city_records(parsed, names, F.lit("2026-01-01"))
@@ -233,16 +234,16 @@ _REGION_TEXT = "concat(text, ' ', CASE doc_id % 20 " + " ".join(
 @query("SELECT doc_id, CASE doc_id % 20 " + " ".join(f"WHEN {i} THEN '{p[0]}'" for i, p in enumerate(PROVINCES)) + " END AS region FROM {documents}")
 def region_detect(t):
     """First province named in a text, in Korean or English."""
-    return t.spread("documents").select("doc_id", X.detect_region(F.expr(_REGION_TEXT), province_regions()).alias("region"))
+    return t["documents"].select("doc_id", X.detect_region(F.expr(_REGION_TEXT), province_regions()).alias("region"))
 
 
 @query("""
     SELECT doc_id, CASE WHEN slug = '' THEN concat('KO-', upper(substr(sha1(name), 1, 8))) ELSE slug END AS slug FROM (SELECT doc_id, name,
       upper(regexp_replace(regexp_replace(regexp_replace(strip_accents(name), '[^\\x00-\\x7f]', '', 'g'), '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')) AS slug
-      FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '도시' ELSE substr(text, 1, 40) END AS name FROM {documents}) n) s""")
+      FROM (SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '도시' ELSE text END AS name FROM {documents}) n) s""")
 def slugs(t):
     """City id slugs of names, hashes for names without Latin letters."""
-    name = F.expr("CASE WHEN doc_id % 7 = 0 THEN '도시' ELSE substr(text, 1, 40) END")
+    name = F.expr("CASE WHEN doc_id % 7 = 0 THEN '도시' ELSE text END")
     return t["documents"].select("doc_id", name_slug(name).alias("slug"))
 
 
@@ -265,7 +266,7 @@ def section_text(t):
         F.lit("\n== 지리 ==\n{{t}}'''S''' [[a|"), "source", F.lit("]] <b>e</b>( )\n| cell\n== next ==\nz"),
     )
     content = F.col("content")
-    return t.spread("documents").select("doc_id", "source", document.alias("content")).select(
+    return t["documents"].select("doc_id", "source", document.alias("content")).select(
         "doc_id",
         X.collapse_whitespace(X.lead_from_content(content)).alias("lead"),
         X.clean_section_text(X.section_content(content, X.KR_GEOGRAPHY_HEADINGS)).alias("section"),
