@@ -4,11 +4,11 @@ from tripweave.operators import images, quality
 
 SCHEMA = "city string, grp int, pos int, contentid string, title string, firstimage string, firstimage2 string"
 ROWS = [
-    ("Cheorwon", 0, 0, "2615225", "고석정", "http://x/a_2.jpg", "http://x/a_3.png"),
-    ("Cheorwon", 0, 1, "125759", "도피안사(철원)", "http://x/b_2.jpg", ""),
-    ("Cheorwon", 0, 2, "999", "고석정", "http://x/c_2.jpg", None),
-    ("Cheorwon", 1, 0, "1882134", "철원 한탄강 얼음트레킹 축제", "http://x/f_2.jpg", "http://x/f_3.jpg"),
-    ("Other", 0, 0, "5", "고석정", " ", "http://x/z.gif"),
+    ("Cheorwon", 0, 0, "7410052", "푸른정자", "http://x/a_2.jpg", "http://x/a_3.png"),
+    ("Cheorwon", 0, 1, "7410063", "물가절(바위)", "http://x/b_2.jpg", ""),
+    ("Cheorwon", 0, 2, "999", "푸른정자", "http://x/c_2.jpg", None),
+    ("Cheorwon", 1, 0, "7410074", "바위 맑은내 얼음 잔치", "http://x/f_2.jpg", "http://x/f_3.jpg"),
+    ("Other", 0, 0, "5", "푸른정자", " ", "http://x/z.gif"),
     ("Other", 0, 1, "", "()", "http://x/y", ""),
 ]
 
@@ -16,17 +16,17 @@ ROWS = [
 def test_targets(spark):
     out = {(r["city"], r["name"], r["suffix"]) for r in images.image_targets(spark.createDataFrame(ROWS, SCHEMA)).collect()}
     assert len([t for t in out if t[0] == "Cheorwon"]) == 6
-    assert {("Cheorwon", "Goseokjeong", "1"), ("Cheorwon", "Goseokjeong", "2"), ("Cheorwon", "Dopiansa", "1"), ("Cheorwon", "Goseokjeong_999", "1")} <= out
-    assert ("Other", "Goseokjeong", "2") in out and ("Other", "item", "1") in out
+    assert {("Cheorwon", "Pureunjeongja", "1"), ("Cheorwon", "Pureunjeongja", "2"), ("Cheorwon", "Mulgajeol", "1"), ("Cheorwon", "Pureunjeongja_999", "1")} <= out
+    assert ("Other", "Pureunjeongja", "2") in out and ("Other", "item", "1") in out
 
 
 def test_audit(spark):
     expected = images.expected_files(images.image_targets(spark.createDataFrame(ROWS[:2], SCHEMA)))
-    assert {r["file_name"] for r in expected.collect()} == {"Goseokjeong_1.jpg", "Goseokjeong_2.png", "Dopiansa_1.jpg"}
-    actual = spark.createDataFrame([("Cheorwon", "Goseokjeong_1.jpg"), ("Cheorwon", "Goseokjeong_2.png"), ("X", "Dopiansa_1.jpg")], "city string, file_name string")
+    assert {r["file_name"] for r in expected.collect()} == {"Pureunjeongja_1.jpg", "Pureunjeongja_2.png", "Mulgajeol_1.jpg"}
+    actual = spark.createDataFrame([("Cheorwon", "Pureunjeongja_1.jpg"), ("Cheorwon", "Pureunjeongja_2.png"), ("X", "Mulgajeol_1.jpg")], "city string, file_name string")
     missing = images.missing_files(expected, actual)
-    assert [r["file_name"] for r in missing.collect()] == ["Dopiansa_1.jpg"]
-    outcomes = spark.createDataFrame([("Cheorwon", "Dopiansa_1.jpg", None)], "city string, file_name string, error string")
+    assert [r["file_name"] for r in missing.collect()] == ["Mulgajeol_1.jpg"]
+    outcomes = spark.createDataFrame([("Cheorwon", "Mulgajeol_1.jpg", None)], "city string, file_name string, error string")
     total = images.audit_summary(expected, images.recovery(missing, outcomes)).where("city IS NULL").first()
     assert (total["expected"], total["ok"], total["failed"], total["recovered"]) == (3, 3, 0, 1)
     plain = images.audit_summary(expected, missing).where("city = 'Cheorwon'").first()
@@ -36,24 +36,24 @@ def test_audit(spark):
 def test_hot_name_keeps_every_row(spark):
     rows = spark.range(9_000).select(
         F.lit("C").alias("city"), F.lit(0).alias("grp"), F.col("id").cast("int").alias("pos"), F.col("id").cast("string").alias("contentid"),
-        F.when(F.col("id") % 3 == 0, "고석정").otherwise(F.concat(F.lit("t"), "id")).alias("title"),
+        F.when(F.col("id") % 3 == 0, "푸른정자").otherwise(F.concat(F.lit("t"), "id")).alias("title"),
     )
     named = images.unique_names(rows, "city", images.base_name(F.col("title"), F.col("contentid")), F.col("contentid"), ["grp", "pos"])
     assert named.count() == 9_000 and named.select("name").distinct().count() == 9_000
-    assert named.where("name = 'Goseokjeong'").first()["pos"] == 0
+    assert named.where("name = 'Pureunjeongja'").first()["pos"] == 0
     assert "Window" not in named._jdf.queryExecution().executedPlan().toString()
 
 
 def test_processing_review_and_report(spark):
     records = spark.createDataFrame(
-        [("A", 0, "1", "고석정", "attraction", "http://x/a.PNG?w=1", None), ("A", 1, "2", "고석정", "attraction", " ", "http://x/b.tiff"), ("A", 2, "3", "고석정", "attraction", None, ""), ("B", 0, "4", "x", "festival", "http://x/c.jpg", None)],
+        [("A", 0, "1", "푸른정자", "attraction", "http://x/a.PNG?w=1", None), ("A", 1, "2", "푸른정자", "attraction", " ", "http://x/b.tiff"), ("A", 2, "3", "푸른정자", "attraction", None, ""), ("B", 0, "4", "x", "festival", "http://x/c.jpg", None)],
         "city_name_en string, pos int, content_id string, title string, entity_type string, image_url string, firstimage string",
     )
     outcomes = spark.createDataFrame([("A", 0, None), ("A", 1, None), ("B", 0, "HTTP 404")], "city_name_en string, pos int, error string")
     done = images.process_images(records, outcomes, "bucket")
     out = {r["content_id"]: r for r in done.collect()}
-    assert out["1"]["image_url"] == "https://bucket.s3.amazonaws.com/images/KR/A/Goseokjeong_1.png" and out["1"]["image_status"] == "ok"
-    assert out["2"]["image_s3_key"] == "images/KR/A/Goseokjeong_2_1.jpg"
+    assert out["1"]["image_url"] == "https://bucket.s3.amazonaws.com/images/KR/A/Pureunjeongja_1.png" and out["1"]["image_status"] == "ok"
+    assert out["2"]["image_s3_key"] == "images/KR/A/Pureunjeongja_2_1.jpg"
     assert (out["3"]["failure_reason"], out["4"]["failure_reason"], out["4"]["error_message"], out["4"]["image_url"]) == ("no_source_image", "download_failed", "HTTP 404", "http://x/c.jpg")
     review = images.image_review(done)
     assert {(r["content_id"], r["original_image_url"]) for r in review.collect()} == {("3", ""), ("4", "http://x/c.jpg")}

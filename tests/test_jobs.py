@@ -3,7 +3,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from tests_data import ANDONG, cities
+from tests_data import GARAM, cities
 from tripweave.operators import domain
 from tripweave.plans import jobs
 from tripweave.sources import dimensions, raw, sinks
@@ -19,13 +19,13 @@ def write_raw(folder, **bodies):
 def embedder():
     # A closure, as Python workers cannot import the test module.
     def embed(texts):
-        return [ValueError("no") if "하회" in text else [float(len(text)), 1.0] for text in texts]
+        return [ValueError("no") if "물빛" in text else [float(len(text)), 1.0] for text in texts]
 
     return embed
 
 
 def test_preprocess_load_and_index(spark, tmp_path):
-    source = write_raw(tmp_path / "raw", andong=ANDONG, bad="[]")
+    source = write_raw(tmp_path / "raw", garam=GARAM, bad="[]")
     out = str(tmp_path / "out")
     done = jobs.preprocess_domain(spark, source, out)
     assert done["failed_files"].count() == 1 and done["summary"].first()["load_items"] == 4
@@ -36,19 +36,19 @@ def test_preprocess_load_and_index(spark, tmp_path):
     assert result["load"].first()["loaded"] == 4
     assert result["summary"].first().asDict() == {"items_processed": 3, "items_upserted": 2, "items_skipped": 1, "status_code": 207}
     assert result["verdict"].first()["verdict"] == "FAIL" and result["errors"].count() == 1
-    assert {r["key"] for r in result["records"].collect()} == {"city#CITY-KR-47-170#0", "festival#400#0"}
+    assert {r["key"] for r in result["records"].collect()} == {"city#CITY-KR-44-925#0", "festival#8850#0"}
     regional = jobs.build_vectors(sinks.current_items(spark, str(tmp_path / "store")), embedder(), "i", dimension=2, provinces=["강원"])
     assert regional["summary"].first()["items_processed"] == 0
     profile = jobs.profile_table(sinks.current_items(spark, str(tmp_path / "store")))
     assert profile["provinces"].first()["item_count"] == 4
-    removed = jobs.clean_table(spark, str(tmp_path / "store"), str(tmp_path / "published"), 1, ["PROVINCE#경상북도"])
+    removed = jobs.clean_table(spark, str(tmp_path / "store"), str(tmp_path / "published"), 1, ["PROVINCE#충청남도"])
     assert removed.count() == 0
     published = sinks.read_published(spark, str(tmp_path / "published"))
     assert published.count() == 4 and {p.name for p in (tmp_path / "published" / "version=1").glob("entity_type=*")} == {f"entity_type={t}" for t in ("attraction", "festival", "city_metadata", "visitor_statistics")}
 
 
 def test_legacy_jobs(spark, tmp_path):
-    source = write_raw(tmp_path / "raw", andong=ANDONG, bad="[]")
+    source = write_raw(tmp_path / "raw", garam=GARAM, bad="[]")
     done = jobs.transform_legacy(spark, source, str(tmp_path / "out"), "20260101")
     assert done["summary"].first().asDict() == {"city_processed": 2, "review_count": 0, "failed_count": 2, "status": "partial", "status_code": 207}
     assert {p.name for p in (tmp_path / "out" / "ingest_date=20260101").iterdir()} == {"quality_status=passed", "quality_status=review", "quality_status=failed"}
@@ -85,10 +85,10 @@ def test_city_jobs(spark, tmp_path):
     assert current.count() == 2 and current.where("city_id = 'KR-11-SEOUL'").first()["description"] == "새"
     reviewed = jobs.review_cities(current)
     assert reviewed["review"].count() == 1 and reviewed["reasons"].first()["entry_count"] == 1 and reviewed["counters"].first()["records_processed"] == 2
-    pages = spark.createDataFrame([('<h1 id="firstHeading">춘천시</h1><div class="mw-parser-output"><p>강원특별자치도의 시.</p></div>', "")], "html string, prefecture_id string")
-    names = spark.createDataFrame([("춘천시", "CHUNCHEON")], "city_name_ko string, city_name_en string")
+    pages = spark.createDataFrame([('<h1 id="firstHeading">모래시</h1><div class="mw-parser-output"><p>전라남도의 포구.</p></div>', "")], "html string, prefecture_id string")
+    names = spark.createDataFrame([("모래시", "MORAE")], "city_name_ko string, city_name_en string")
     acquired = jobs.acquire_korean_cities(pages, names, F.lit("t"))
-    assert [r["city_id"] for r in acquired["cities"].collect()] == ["KR-42-CHUNCHEON"] and acquired["provinces"].count() == 1
+    assert [r["city_id"] for r in acquired["cities"].collect()] == ["KR-46-MORAE"] and acquired["provinces"].count() == 1
     both = jobs.acquire_korean_cities(pages, names, F.lit("u"), acquired["cities"])
     assert [r["collected_at"] for r in both["cities"].collect()] == ["u"]
 
@@ -108,9 +108,9 @@ def test_region_and_harvest_jobs(spark):
 
 
 def test_image_and_ingest_jobs(spark, tmp_path):
-    records = spark.createDataFrame([("C", 0, 0, "1", "고석정", "http://x/a.jpg", "")], "city string, grp int, pos int, contentid string, title string, firstimage string, firstimage2 string")
+    records = spark.createDataFrame([("C", 0, 0, "1", "푸른정자", "http://x/a.jpg", "")], "city string, grp int, pos int, contentid string, title string, firstimage string, firstimage2 string")
     nothing = spark.createDataFrame([], "city string, file_name string")
-    audit = jobs.audit_images(records, nothing, spark.createDataFrame([("C", "Goseokjeong_1.jpg", "404")], "city string, file_name string, error string"))
+    audit = jobs.audit_images(records, nothing, spark.createDataFrame([("C", "Pureunjeongja_1.jpg", "404")], "city string, file_name string, error string"))
     assert audit["missing"].first()["recovery"] == "failed" and audit["summary"].where("city = 'C'").first()["failed"] == 1
     rows = spark.createDataFrame([("C", 0, "1", "x", "attraction", None, None)], "city_name_en string, pos int, content_id string, title string, entity_type string, image_url string, firstimage string")
     review = jobs.review_images(rows, spark.createDataFrame([], "city_name_en string, pos int, error string"), "b")
@@ -124,7 +124,7 @@ def test_image_and_ingest_jobs(spark, tmp_path):
 
 
 def test_model_jobs_and_stages(spark):
-    items = domain.domain_items(raw.parse_payloads(spark.createDataFrame([("f", json.dumps(ANDONG))], "source_key string, body string")))
+    items = domain.domain_items(raw.parse_payloads(spark.createDataFrame([("f", json.dumps(GARAM))], "source_key string, body string")))
     enriched = jobs.run_enrichment(items.where("entity_type = 'attraction'"), lambda prompts: ['{"vibe_tags": ["calm"]}'] * len(prompts))
     assert [tuple(r) for r in enriched["counts"].collect()] == [("succeeded", 1)]
     themed = jobs.run_classification(items.where("entity_type = 'festival'"), lambda prompts: ["{}"] * len(prompts))

@@ -8,8 +8,8 @@ from tripweave.functions.calls import one_by_one
 from tripweave.operators import vectors
 
 ITEM = {
-    "PK": "CITY#Andong", "SK": "ATTRACTION#300", "entity_type": "attraction", "content_id": "300", "entity_id": "ATTR-300",
-    "city_id": "KR-Andong", "city_name_en": "Andong", "title": "월영교", "description": "야간 경관 명소", "theme": "night_view",
+    "PK": "CITY#Garam", "SK": "ATTRACTION#7301", "entity_type": "attraction", "content_id": "7301", "entity_id": "ATTR-7301",
+    "city_id": "KR-Garam", "city_name_en": "Garam", "title": "물빛등대", "description": "밤에 빛나는 등대", "theme": "night_view",
     "theme_tags": ["bridge"], "class_tags": ["date_course"], "classification": ("scenery", ["photo_spot"]), "category_tags": ["walk"],
 }
 SCHEMA = (
@@ -20,21 +20,21 @@ SCHEMA = (
 
 def test_chunk(spark):
     row = vectors.build_chunks(spark.createDataFrame([tuple(ITEM.values())], SCHEMA)).first()
-    assert row["key"] == "attraction#300#0" and row["place_id"] == "attraction#300" and row["error"] is None
+    assert row["key"] == "attraction#7301#0" and row["place_id"] == "attraction#7301" and row["error"] is None
     assert row["embedding_text"] == (
-        "이름: 월영교\n유형: 관광지\n도시:  (Andong)\n지역: \n분류: date_course, walk, scenery, photo_spot\n테마: night_view\n설명: 야간 경관 명소"
+        "이름: 물빛등대\n유형: 관광지\n도시:  (Garam)\n지역: \n분류: date_course, walk, scenery, photo_spot\n테마: night_view\n설명: 밤에 빛나는 등대"
     )
     meta = row["metadata"]
     assert meta["class_tags"] == ["date_course", "walk", "scenery", "photo_spot"]
     assert meta["theme_tags"] == ["bridge", "night_view", "date_course", "walk", "scenery", "photo_spot"]
-    assert (meta["country"], meta["raw_s3_uri"], meta["ddb_sk"], meta["season_tags"]) == ("KR", "unknown", "ATTRACTION#300", None)
+    assert (meta["country"], meta["raw_s3_uri"], meta["ddb_sk"], meta["season_tags"]) == ("KR", "unknown", "ATTRACTION#7301", None)
 
 
 def test_city_chunk_and_source_id_chain(spark):
-    df = spark.createDataFrame([("METADATA#city", "city_metadata", "KR-1", "안동시"), ("x", "", None, None)], "SK string, entity_type string, city_id string, city_name_ko string")
+    df = spark.createDataFrame([("METADATA#city", "city_metadata", "KR-1", "가람시"), ("x", "", None, None)], "SK string, entity_type string, city_id string, city_name_ko string")
     rows = vectors.build_chunks(df).collect()
     assert [r["key"] for r in rows] == ["city#city#0", "unknown#x#0"]
-    assert "도시 ID: KR-1" in rows[0]["embedding_text"] and rows[0]["embedding_text"].startswith("이름: 안동시\n유형: 도시")
+    assert "도시 ID: KR-1" in rows[0]["embedding_text"] and rows[0]["embedding_text"].startswith("이름: 가람시\n유형: 도시")
 
 
 def test_enrichment_gate_and_festival_themes(spark):

@@ -1,6 +1,6 @@
 """Shared fixtures as plain data."""
 
 from test_cities import cities
-from test_domain import ANDONG
+from test_domain import GARAM
 
-__all__ = ["ANDONG", "cities"]
+__all__ = ["GARAM", "cities"]
