@@ -326,6 +326,22 @@ def _link_coordinates(links: Column) -> Column:
     return _first(F.filter(hits, lambda c: c.isNotNull()))
 
 
+def _page_climate() -> Column:
+    """Climate map of a parsed page; the cells of its table are the JSON list under ``data``."""
+    cells = F.when(
+        F.size("climate_data") > 0, F.create_map(F.lit("data"), F.to_json("climate_data"))
+    ).otherwise(F.create_map().cast("map<string,string>"))
+    own = F.map_concat(F.col("climate_table"), cells)
+    return F.coalesce(X.climate_table(own, F.col("content")), X.manual_climate_table())
+
+
+def climate_data(table: Column) -> Column:
+    """The cells (month, label, value) stored with a climate map, null without any."""
+    return F.from_json(
+        F.try_element_at(table, F.lit("data")), "array<struct<month:string,label:string,value:string>>"
+    )
+
+
 def korean_city_records(pages: DataFrame, english_names: DataFrame, collected_at: Column) -> DataFrame:
     """City records from parsed Korean pages (with ``prefecture_id`` of the
     target, '' when unknown).
@@ -357,9 +373,7 @@ def korean_city_records(pages: DataFrame, english_names: DataFrame, collected_at
         F.nullif(X.clean_section_text(X.section_content(F.col("content"), X.KR_GEOGRAPHY_HEADINGS)), F.lit("")),
         X.geography_fallback("대한민국", title, known, F.col("_at.lat"), F.col("_at.lon")),
     )
-    climate = F.coalesce(
-        X.climate_table(F.col("climate_table"), F.col("content")), X.manual_climate_table()
-    )
+    climate = _page_climate()
     name_en = F.coalesce(F.nullif("city_name_en", F.lit("")), F.nullif("_by_title", F.lit("")), F.lit(""))
     records = staged.select(
         city_id(F.col("_region"), name_en, title).alias("city_id"),
@@ -489,6 +503,40 @@ def region_records(cities: DataFrame, regions: DataFrame, id_column: str) -> Dat
     ).orderBy("prefecture_id")
 
 
+def region_page_records(
+    pages: DataFrame, regions: DataFrame, id_column: str, lang: str, collected_at: Column
+) -> DataFrame:
+    """Full region records from their parsed pages (with the region's id), in id order.
+
+    Description, geography, climate and coordinates come from the page; what it
+    does not have stays empty, a missing climate table becomes the placeholder.
+    """
+    blank = F.lit("")
+    section = X.section_content(F.col("content"), X.KR_GEOGRAPHY_HEADINGS)
+    at = F.coalesce("coordinates", _link_coordinates(F.col("extlinks")), X.template_coordinates(F.col("content")))
+    has_ja = "name_ja" in regions.columns
+    named = regions.select(
+        F.col(id_column).alias("prefecture_id"), "name_ko", (F.col("name_ja") if has_ja else blank).alias("name_ja"),
+        "name_en", "region",
+    )
+    staged = pages.withColumn("_at", at).join(named, "prefecture_id")
+    records = staged.select(
+        *named.columns,
+        F.col("_at.lat").alias("latitude"),
+        F.col("_at.lon").alias("longitude"),
+        F.coalesce(
+            F.nullif(X.lead_paragraphs(F.col("extract")), blank), X.lead_from_content(F.col("content")), blank
+        ).alias("description"),
+        X.clean_section_text(section).alias("geography_description"),
+        _page_climate().alias("climate_table"),
+        F.lit("Wikipedia").alias("source_name"),
+        X.page_url(F.lit(lang), F.col("title")).alias("source_url"),
+        collected_at.alias("collected_at"),
+        F.lit("medium").alias("data_confidence"),
+    )
+    return records.withColumn("field_status", region_field_status()).orderBy("prefecture_id")
+
+
 def region_field_status() -> Column:
     """Status map of a full prefecture record."""
     plain = ("prefecture_id", "name_ko", "name_ja", "name_en", "region", "latitude", "longitude")

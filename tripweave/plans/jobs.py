@@ -198,6 +198,31 @@ def acquire_korean_cities(
     }
 
 
+def acquire_japanese_cities(
+    page_structs: DataFrame, region_pages: DataFrame, collected_at: Column, only_region: str | None = None
+) -> Frames:
+    """Japanese city records and the records of their prefectures.
+
+    Cities without an own climate table take that of their prefecture.  With
+    ``only_region``, cities of other prefectures are returned as ``rejected``.
+    """
+    spark = page_structs.sparkSession
+    cities = saved(pages.japanese_city_records(page_structs, collected_at), "japanese-cities")
+    wanted = F.lit(True) if only_region is None else F.col("prefecture_id") == only_region
+    kept = cities.where(wanted)
+    regions = dimensions.prefectures(spark)
+    id_column = regions.columns[0]
+    full = pages.region_page_records(pages.parse_pages(region_pages), regions, id_column, "ko", collected_at)
+    full = saved(full.join(kept.select("prefecture_id").distinct(), "prefecture_id", "left_semi"), "prefectures")
+    bare = pages.region_records(kept.where(F.col("prefecture_id") != ""), regions, id_column)
+    bare = bare.join(full.select("prefecture_id"), "prefecture_id", "left_anti")
+    return {
+        "cities": pages.inherit_climate(kept, full).orderBy("city_id"),
+        "prefectures": full.unionByName(bare, allowMissingColumns=True).orderBy("prefecture_id"),
+        "rejected": cities.where(~wanted),
+    }
+
+
 def filter_region(
     records: DataFrame, attraction_themes: DataFrame, festival_themes: DataFrame, lookup: DataFrame
 ) -> Frames:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tripweave.operators import visitors
+from tripweave.operators import pages, visitors
 from tripweave.plans import jobs
 from tripweave.session import work_folder
 from tripweave.sources import sinks
@@ -144,3 +144,45 @@ def ingest_retry(t):
         F.count("*").alias("bodies"), F.first(F.get_json_object("body", "$.chars").cast("long")).alias("chars")
     )
     return again.select("s3_key", F.col("status").alias("again")).join(bodies, "s3_key")
+
+
+_PAGE = "struct<title:string,extract:string,coordinates:struct<lat:double,lon:double>,extlinks:array<string>,content:string>"
+
+
+@query("""
+    SELECT page_id, concat(region, '-TOWN-', cast(page_id AS string)) AS city_id,
+      CASE WHEN page_id % 5 = 0 THEN 'own' WHEN region = 'JP-13' THEN 'prefecture' ELSE 'none' END AS climate,
+      CASE WHEN page_id % 5 = 0 OR region = 'JP-13' THEN 'collected' ELSE 'needs_review' END AS status,
+      CASE WHEN region = 'JP-13' THEN 12 ELSE 0 END AS region_cells, CASE WHEN region = 'JP-13' THEN 35.5 END AS region_latitude,
+      CASE WHEN region = 'JP-13' THEN '산과 들.' END AS region_geography
+    FROM (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'JP-13' ELSE 'JP-14' END AS region FROM {pages}) p""")
+def japanese_cities(t):
+    """Japanese city records with climate tables of their own, of their prefecture, or none."""
+    town = F.concat(F.lit("Town "), "page_id")
+    content = F.when(F.col("page_id") % 5 == 0, F.concat(F.lit("== 기후 ==\n온화하다 "), "page_id")).otherwise("")
+    own = F.struct(town.alias("title"), F.lit("").alias("extract"), F.lit(None).cast("struct<lat:double,lon:double>").alias("coordinates"),
+                   F.array().cast("array<string>").alias("extlinks"), content.alias("content")).cast(_PAGE)
+    none = F.lit(None).cast(_PAGE)
+    structs = t["pages"].select(
+        own.alias("source"), own.alias("ko"), none.alias("ja"), own.alias("en"), F.lit("ko").alias("lang"),
+        F.when(F.col("page_id") % 2 == 0, "JP-13").otherwise("JP-14").alias("prefecture_id"),
+    )
+    html = (
+        '<h1 id="firstHeading">도쿄도</h1><div id="mw-content-text"><div class="mw-parser-output"><span class="geo-dec">35.5; 139.5</span>'
+        '<h2>지리</h2><p>산과 들.</p><h2>기후</h2><table class="wikitable"><caption>도쿄의 기후</caption>'
+        "<tr><th>월</th>" + "".join(f"<th>{m}월</th>" for m in range(1, 13)) + "</tr><tr><td>평균 기온 (°C)</td>" + "<td>5.4</td>" * 12 + "</tr>"
+        "</table></div></div>"
+    )
+    regions = t["pages"].agg(F.count("*").alias("n")).select(F.lit(html).alias("html"), F.lit("JP-13").alias("prefecture_id"))
+    made = jobs.acquire_japanese_cities(structs, regions, F.lit("2026-01-01"))
+    cells = F.coalesce(F.size(pages.climate_data(F.col("climate_table"))), F.lit(0))
+    region = made["prefectures"].select(
+        "prefecture_id", cells.alias("region_cells"), F.col("latitude").alias("region_latitude"),
+        F.nullif("geography_description", F.lit("")).alias("region_geography"),
+    )
+    table = F.col("climate_table")
+    scope = F.coalesce(F.try_element_at(table, F.lit("source_scope")), F.when(F.col("field_status")["climate_table"] == "collected", "own"), F.lit("none"))
+    return made["cities"].join(region, "prefecture_id").select(
+        F.regexp_extract("city_id", r"(\d+)$", 1).cast("long").alias("page_id"), "city_id", scope.alias("climate"),
+        F.col("field_status")["climate_table"].alias("status"), "region_cells", "region_latitude", "region_geography",
+    )
