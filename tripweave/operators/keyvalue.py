@@ -48,18 +48,14 @@ def upsert(
 
     ``order`` names the incoming columns that put its rows in write order; they
     are stored only if the existing items have them.  Attributes missing on one
-    side become null.
+    side become null.  Existing items are unique by key, so only the incoming
+    rows are aggregated and the store is merely anti-joined with their keys.
     """
     stored = [c for c in incoming.columns if c not in order or c in existing.columns]
-    old = existing.withColumn("_order", F.lit(None).cast(_order_type(incoming, order)))
     new = incoming.where(has_key(keys)).select(*stored, F.struct(*order).alias("_order"))
-    everything = old.unionByName(new, allowMissingColumns=True)
-    rank = F.struct(F.col("_order").isNotNull().alias("is_new"), F.col("_order"))
-    return pick_per_key(everything, keys, rank).drop("_order")
-
-
-def _order_type(rows: DataFrame, order: Sequence[str]):
-    return rows.select(F.struct(*order).alias("o")).schema["o"].dataType
+    new = pick_per_key(new, keys, F.col("_order")).drop("_order")
+    kept = existing.join(new.select(*keys), list(keys), "left_anti").select(*existing.columns)
+    return kept.unionByName(new, allowMissingColumns=True)
 
 
 def load_summary(rows: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -108,21 +108,24 @@ def dense_statistics(daily: DataFrame) -> DataFrame:
 _ANNUAL = ("locals", "out_of_town", "foreigners", "total_visitors")
 
 
-def annual_statistics(monthly: DataFrame) -> DataFrame:
+def annual_statistics(monthly: DataFrame, *more: Column) -> DataFrame:
     """Annual totals and daily averages from (rounded) monthly rows.
 
     With dense months the averages cover the whole year, otherwise the days of
-    the months present.
+    the months present.  ``more`` aggregates are carried along.
     """
     sums = monthly.groupBy("city_name_en", "year").agg(
         F.sum("days").cast("int").alias("days"),
         *[F.expr(f"cast(sum(cast({_total(n)} AS {EXACT})) AS double)").alias(n) for n in _ANNUAL],
+        *more,
     )
+    carried = sums.columns[3 + len(_ANNUAL) :]
     averaged = sums.selectExpr("*", *[f"{n} / days AS {n}_avg" for n in _ANNUAL])
     return averaged.select(
         "city_name_en", "year", "days",
         *[round_cents(n).alias(_total(n)) for n in _ANNUAL],
         *[round_cents(f"{n}_avg").alias(f"{n}_daily_avg") for n in _ANNUAL],
+        *carried,
     )
 
 
@@ -133,20 +136,18 @@ def _total(name: str) -> str:
 def statistics_envelope(monthly: DataFrame) -> DataFrame:
     """One nested row per city and year: two maps and the monthly list."""
     measures = [c for c in monthly.columns if c not in ("city_name_en", "year")]
-    months = monthly.groupBy("city_name_en", "year").agg(
-        F.array_sort(F.collect_list(F.struct(*measures))).alias("monthly_statistics")
-    )
-    annual = annual_statistics(monthly)
+    months = F.array_sort(F.collect_list(F.struct(*measures))).alias("monthly_statistics")
+    annual = annual_statistics(monthly, months)
 
     def as_map(columns: list[str]) -> Column:
         return F.create_map(*[x for n, c in zip(_ANNUAL, columns) for x in (F.lit(n), F.col(c))])
 
-    maps = annual.select(
+    return annual.select(
         "city_name_en", "year",
         as_map([_total(n) for n in _ANNUAL]).alias("annual_totals"),
         as_map([f"{n}_daily_avg" for n in _ANNUAL]).alias("annual_daily_averages"),
+        "monthly_statistics",
     )
-    return maps.join(months, ["city_name_en", "year"])
 
 
 def replace_statistics(existing: DataFrame, new: DataFrame) -> DataFrame:

@@ -198,9 +198,9 @@ def _stored_festivals(t):
     load = domain.bucket_view(items, "load_items").select(
         "PK", "SK", "entity_type", "gsi_sk", "title", "source_key", "position"
     )
-    return keyvalue.pick_per_key(
-        load.where(keyvalue.has_key()), keyvalue.KEYS, F.struct("source_key", "position")
-    )
+    # The key tells a festival, so nothing else reaches the pick.
+    festivals = load.where(keyvalue.has_key() & F.startswith("SK", F.lit("FESTIVAL#")))
+    return keyvalue.pick_per_key(festivals, keyvalue.KEYS, F.struct("source_key", "position"))
 
 
 @query("""

@@ -409,15 +409,11 @@ def skip_existing(t):
 def stream_ingest(t):
     """Raw files written out, picked up as a stream and stored by key."""
     folder = work_folder(t.spark, "stream-ingest")
-    # One file per payload, as the raw zone holds them.
-    t.payloads.select("body", F.xxhash64("source_key").alias("file")).repartition("file").drop("file").write.option(
-        "maxRecordsPerFile", 1
-    ).text(f"{folder}/raw")
-    # Spark's text writer names files *.txt, so the stream takes every file.
-    files = (
-        t.spark.readStream.format("text").option("wholetext", True).load(f"{folder}/raw")
-        .select(F.col("_metadata.file_path").alias("source_key"), F.col("value").alias("body"))
-    )
+    # A raw zone of plain files; every line is a payload, a trigger takes some files.
+    t.payloads.select("body").write.text(f"{folder}/raw")
+    files = t.spark.readStream.format("text").option("maxFilesPerTrigger", 100).load(f"{folder}/raw").select(
+        F.concat_ws("#", F.col("_metadata.file_path"), F.xxhash64("value")).alias("source_key"), F.col("value").alias("body")
+    )
     classes = t["classes"]
     stream = (
         files.writeStream.foreachBatch(lambda df, n: ingest.load_batch(df, n, f"{folder}/store", classes) and None)
