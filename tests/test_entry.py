@@ -10,8 +10,18 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 SAMPLE = [
     "domain_items", "legacy_records", "festival_dates", "visitor_calendar", "confidence_merge", "incoming_fold", "image_fold", "kv_upsert",
     "chunk_build", "vector_topk", "image_targets", "page_parse", "harvest_details", "stream_monthly", "festivals_of_october",
+    "visitor_stream_late", "dataset_merge", "final_cities_years", "vector_build", "ingest_retry", "metadata_budget", "japanese_cities",
 ]
 
+@pytest.fixture(scope="module", autouse=True)
+def generated_code(spark):
+    """Queries run as in production, with code generation."""
+    before = spark.conf.get("spark.sql.codegen.wholeStage")
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", before)
+
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="benchmark tables are not here")
 
 

@@ -53,10 +53,13 @@ def saved(rows: DataFrame, purpose: str) -> DataFrame:
 
 
 def preprocess_domain(
-    spark: SparkSession, raw_path: str, out: str, classification: DataFrame | None = None
+    spark: SparkSession, raw_path: str, out: str, classification: DataFrame | None = None, **reading
 ) -> Frames:
-    """Raw files to bucketed domain items; summary and failed files returned."""
-    payloads = raw.parse_payloads(raw.read_raw_files(spark, raw_path))
+    """Raw files to bucketed domain items; summary and failed files returned.
+
+    ``reading`` goes to ``raw.read_raw_files``.
+    """
+    payloads = raw.parse_payloads(raw.read_raw_files(spark, raw_path, **reading))
     sinks.write_domain_output(domain.domain_items(payloads, classification), out)
     return {
         "summary": spark.read.json(f"{out}/summary"),

@@ -22,13 +22,15 @@ def text_at(v: Column, path: str) -> Column:
     return F.try_variant_get(v, path, "string")
 
 
-def read_raw_files(spark: SparkSession, path: str, whole_files: bool = True) -> DataFrame:
-    """(source_key, body) of ``*.json`` files below ``path``.
+def read_raw_files(
+    spark: SparkSession, path: str, whole_files: bool = True, pattern: str = "*.json"
+) -> DataFrame:
+    """(source_key, body) of the files named by ``pattern`` below ``path``.
 
     One file is one city payload; ``whole_files=False`` reads JSON lines, one
     payload per line, which Spark can split.
     """
-    reader = spark.read.option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true")
+    reader = spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
     rows = reader.text(path, wholetext=whole_files)
     return rows.select(F.col("_metadata.file_path").alias("source_key"), F.col("value").alias("body"))
 

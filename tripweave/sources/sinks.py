@@ -17,10 +17,11 @@ from tripweave.sources.raw import text_at
 
 
 def write_domain_output(items: DataFrame, path: str) -> None:
-    """All buckets in one job as ``path/items/bucket=…`` plus the summary."""
+    """All buckets in one job as ``path/items/bucket=…``, then the counts of what was written as ``path/summary``."""
     rows = items.withColumn("bucket", F.explode("buckets")).drop("buckets", "position")
     rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/items")
-    quality_summary(items).write.mode("overwrite").json(f"{path}/summary")
+    written = items.sparkSession.read.parquet(f"{path}/items").withColumn("buckets", F.array("bucket"))
+    quality_summary(written).write.mode("overwrite").json(f"{path}/summary")
 
 
 def write_by_status(records: DataFrame, path: str, ingest_date: str) -> None:

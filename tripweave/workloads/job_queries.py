@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tripweave.operators import pages, visitors
+from tripweave.operators import domain, pages, visitors
 from tripweave.plans import jobs
 from tripweave.session import work_folder
-from tripweave.sources import sinks
+from tripweave.sources import dimensions, raw, sinks
 from tripweave.streaming import visitors as counters
+from tripweave.workloads.domain_queries import ITEMS
 from tripweave.workloads.city_queries import FOLD, SHIPMENTS, _mapped, _records
 from tripweave.workloads.item_queries import VECTOR_ROWS
 from tripweave.workloads.registry import query
@@ -117,11 +118,10 @@ def vector_build(t):
     items = t["items"]
     twice = items.where("pos % 2 = 0").withColumn("PK", F.concat(F.lit("AREA#"), "city_name_en"))
     built = jobs.build_vectors(items.union(twice), embed, "index", dimension=2)
-    counts = built["summary"].select(
-        F.col("items_skipped").alias("bad"), F.col("items_processed").alias("processed")
-    )
+    counts = built["summary"].first()
+    number = {"bad": counts["items_skipped"], "processed": counts["items_processed"]}
     rows = built["records"].select("key", "metadata.ddb_pk")
-    return rows.join(F.broadcast(counts))  # one row
+    return rows.withColumns({n: F.lit(v).cast("long") for n, v in number.items()})
 
 
 @query("""
@@ -186,3 +186,66 @@ def japanese_cities(t):
         F.regexp_extract("city_id", r"(\d+)$", 1).cast("long").alias("page_id"), "city_id", scope.alias("climate"),
         F.col("field_status")["climate_table"].alias("status"), "region_cells", "region_latitude", "region_geography",
     )
+
+
+@query(ITEMS + """
+    , files AS (SELECT count(DISTINCT concat(city_name_en, '/', cast(floor(pos / 2000) AS string))) AS n FROM {content})
+    SELECT b.bucket, count(*) AS item_count, cast(2 AS bigint) AS broken FROM (
+      SELECT 'review' AS bucket FROM domain_rows WHERE quality_status = 'review'
+      UNION ALL SELECT 'failed' FROM domain_rows WHERE quality_status = 'failed'
+      UNION ALL SELECT concat(entity_type, 's') FROM domain_rows WHERE entity_type <> 'excluded' AND quality_status <> 'failed'
+      UNION ALL SELECT 'load_items' FROM domain_rows WHERE entity_type <> 'excluded' AND quality_status <> 'failed'
+      UNION ALL SELECT unnest(['city_metadata', 'visitor_statistics', 'load_items', 'load_items']) FROM (SELECT unnest(range(n)) FROM files) f) b
+    GROUP BY 1""")
+def preprocess_job(t):
+    """Raw lines, two of them broken, to stored buckets; items per bucket and failed lines."""
+    folder = work_folder(t.spark, "preprocess")
+    t.payloads.select("body").write.text(f"{folder}/raw/good")
+    t.spark.createDataFrame([("[1]",), ("{broken",)], "body string").write.text(f"{folder}/raw/bad")
+    done = jobs.preprocess_domain(t.spark, f"{folder}/raw", f"{folder}/out", t["classes"], whole_files=False, pattern="*.txt")
+    failed = done["failed_files"].count()
+    stored = t.spark.read.parquet(f"{folder}/out/items")
+    return stored.groupBy("bucket").agg(F.count("*").alias("item_count"), F.lit(failed).cast("long").alias("broken"))
+
+
+@query("""
+    SELECT DISTINCT concat('CITY#', city_name_en) AS PK, 'STAT#202501' AS SK, cast(2025 AS int) AS year, '202501' AS month, cast(31 AS int) AS days,
+      cast(floor(pos / 2000) AS double) AS locals_total FROM {content}""")
+def statistics_rows(t):
+    """Monthly statistics entries of all payloads, as the statistics view shows them."""
+    items = domain.domain_items(raw.parse_payloads(t.payloads), t["classes"])
+    view = domain.entity_view(items, "visitor_statistics")
+    return view.select("PK", "SK", "year", "month", F.col("days").cast("int").alias("days"), "locals_total")
+
+
+@query("""
+    SELECT n_nationkey, n_name AS name FROM {nation} WHERE n_regionkey IN (1, 3) AND n_name IN (SELECT n_name FROM {nation} WHERE n_nationkey % 2 = 1)""")
+def region_targets(t):
+    """Districts of the covered regions, limited by name."""
+    names = [r[0] for r in t["nation"].where("n_nationkey % 2 = 1").select("n_name").collect()]  # a dimension of fixed size
+    districts = t["nation"].select(
+        "n_nationkey", F.col("n_name").alias("lDongSignguNm"), F.concat(F.lit("r"), "n_regionkey").alias("lDongRegnCd")
+    )
+    found = dimensions.region_targets(districts, names, ("r1", "r3"))
+    return found.select("n_nationkey", F.col("lDongSignguNm").alias("name"))
+
+
+@query("""
+    SELECT file_name, CASE WHEN k % 3 = 0 THEN 'found' ELSE 'failed' END AS status, CASE WHEN k % 3 <> 0 THEN concat('File not found: ', file_name) END AS error
+    FROM (SELECT n_nationkey AS k, concat(n_name, '.json') AS file_name FROM {nation}) n""")
+def required_files(t):
+    """Expected files against an inventory that has every third one."""
+    names = t["nation"].select(F.concat("n_name", F.lit(".json")).alias("file_name"), "n_nationkey")
+    wanted = [r[0] for r in names.collect()]  # a dimension of fixed size
+    return sinks.required_files(t.spark, wanted, names.where("n_nationkey % 3 = 0").select("file_name"))
+
+
+@query("SELECT entity_type, count(*) AS item_count, cast(2 AS int) AS version FROM {items} WHERE province <> 'ASIA' GROUP BY 1")
+def published_items(t):
+    """Two published versions of the items; the newest is read back by entity type."""
+    path = work_folder(t.spark, "published")
+    sinks.publish_items(t["items"], path, 1)
+    sinks.publish_items(t["items"].where("province <> 'ASIA'"), path, 2)
+    current = sinks.read_published(t.spark, path)
+    version = F.lit(sinks.latest_version(t.spark, path)).cast("int").alias("version")
+    return current.groupBy("entity_type").agg(F.count("*").alias("item_count")).select("entity_type", "item_count", version)
