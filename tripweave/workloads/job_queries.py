@@ -70,9 +70,10 @@ def dataset_merge(t):
 
 
 YEARS = (1994, 1995)
+KNOWN_SEGMENTS = SHIPMENTS.replace("FROM {shipments} f JOIN", "FROM (SELECT * FROM {shipments} WHERE tou_div_cd <= 3) f JOIN")
 
 
-@query(SHIPMENTS + f"""
+@query(KNOWN_SEGMENTS + f"""
     , years AS (SELECT unnest([{", ".join(map(str, YEARS))}]) AS year),
     meta AS (SELECT DISTINCT n_name AS city_name_en FROM {{supplier}} JOIN {{nation}} ON n_nationkey = s_nationkey WHERE s_suppkey % 2 = 1 AND n_nationkey < 20),
     stats AS (SELECT city_name_en, year, count(*) AS n, sum(cast(total_visitors AS decimal(28, 2))) AS total FROM monthly WHERE has_data GROUP BY 1, 2),
