@@ -92,8 +92,8 @@ def components(links: DataFrame, purpose: str) -> DataFrame:
     """
     links = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     links = saved(links, f"{purpose}-links")
-    before = None
-    while True:
+    # until all nodes hang on roots that hang on nothing
+    while not links.select(F.col("b").alias("a")).distinct().join(links, "a", "left_semi").isEmpty() or not _is_forest(links):
         both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = (
@@ -108,17 +108,15 @@ def components(links: DataFrame, purpose: str) -> DataFrame:
             .distinct(),
             f"{purpose}-round",
         )
-        # a star forest does not change any more: every node hangs on one root that hangs on nothing
-        now = links.agg(
-            F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))
-        ).first()
-        if now == before or now[0] == 0:
-            break
-        before = now
     roots = links.select("b").distinct().select(F.col("b").alias("node"), F.col("b").alias("component"))
     return links.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots)
 
 
+def _is_forest(links: DataFrame) -> bool:
+    """Whether no node hangs on two others."""
+    return links.groupBy("a").count().where("count > 1").isEmpty()
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Finaliser of a 64-bit hash (public splitmix64 constants)."""
     with np.errstate(over="ignore"):

@@ -120,7 +120,7 @@ class Groups:
 def tile_links(
     sets: list[np.ndarray], percent: int, rest: int | None = None, owners: np.ndarray | None = None
 ) -> list[tuple[int, int]]:
-    """Links that connect the sets of a tile as all links between them would.
+    """Links that connect the sets of a tile as all links between them would, each to the first of its group.
 
     With ``rest``, only pairs of one of the first ``rest`` sets and one of the
     others are tested; sets of one owner count as connected.
@@ -151,6 +151,8 @@ def tile_links(
             if 100 * common >= percent * (sizes[i] + sizes[j] - common):
                 groups.join(i, j)
                 links.append((int(i), int(j)))
+    if owners is None:
+        return [(i, int(g)) for i, g in enumerate(groups.of) if i != g]
     return links
 
 
