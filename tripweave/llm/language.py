@@ -12,10 +12,10 @@ A word is scored once per slice of texts, its score is used for all its
 occurrences.  The prediction is the language of the lowest cross-entropy per
 character; ties go to the smaller name.
 
-Rejection: the cross-entropy of training texts (a sample of about
-``calibration_rows`` rows) gives a limit per language, mean plus ``tolerance``
-standard deviations; a text above the limit of its language is rejected, as is
-a text without letters.
+Rejection: a limit lies, per language, between the mean cross-entropy of
+training texts (a sample of about ``calibration_rows`` rows) and that of random
+words over the language's characters, at the share ``tolerance`` of the way; a
+text above the limit of its language is rejected, as is a text without letters.
 
 Defined results: null text and text without a letter is ``und`` with score 0
 and rejected; rows with null language or text teach nothing; with no training
@@ -40,7 +40,7 @@ from tripweave.llm.words import Words, words_of
 ORDER = 4
 MAX_GRAMS = 3_000_000
 CALIBRATION_ROWS = 4_000
-TOLERANCE = 8.0
+TOLERANCE = 0.6
 BEGIN, FINISH = 2, 3  # code points that mark the edges of a word
 UNKNOWN = "und"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -127,6 +127,7 @@ class Model:
     contexts: list[np.ndarray]  # by context length
     backoffs: list[np.ndarray]  # log weight of the next shorter context
     floor: np.ndarray  # log probability of a character never seen
+    noise: np.ndarray  # cross-entropy of random words
     limits: np.ndarray  # largest cross-entropy that is not rejected
 
     def score_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -197,7 +198,15 @@ def fit(langs: np.ndarray, grams: np.ndarray, counts: np.ndarray, order: int = O
             below = own + free[of_gram] * below
             logs[length - 1][:, column] = np.log(below)
             backoffs[length - 1][:, column] = np.log(free)
-    return Model(names, order, keys, logs, contexts, backoffs, floor, np.full(len(names), np.inf))
+    none = np.full(len(names), np.inf)
+    model = Model(names, order, keys, logs, contexts, backoffs, floor, none.copy(), none)
+    random = np.random.default_rng(0)
+    for column, name in enumerate(names):
+        signs = [chr(p) for p in np.unique(grams[langs == name][:, -1]) if p != FINISH]
+        words = ["".join(random.choice(signs, size)) for size in random.integers(3, 11, 400)]
+        sums, chars = model.score_words(words)
+        model.noise[column] = -sums[:, column].sum() / chars.sum()
+    return model
 
 
 def score_texts(model: Model, texts: pa.Array) -> dict:
@@ -239,9 +248,9 @@ def train(
     model = fit(np.array(rows.column("lang").to_pylist(), object), points, rows.column("n").to_numpy().astype(float), order)
     usable = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     scored = predict(hash_sample(usable.select("doc_id", "text"), "doc_id", calibration_rows), model).where("n_best >= 0")
-    spread = scored.groupBy("n_best").agg(F.avg("entropy").alias("mean"), F.stddev_pop("entropy").alias("sd")).collect()
-    for row in spread:  # one row per language
-        model.limits[row["n_best"]] = row["mean"] + tolerance * max(row["sd"], 0.02)
+    for row in scored.groupBy("n_best").agg(F.avg("entropy").alias("mean")).collect():  # one row per language
+        noise = model.noise[row["n_best"]]
+        model.limits[row["n_best"]] = row["mean"] + tolerance * max(noise - row["mean"], 0.0)
     return model
 
 
