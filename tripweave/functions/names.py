@@ -82,7 +82,9 @@ def ascii_fold(names: pd.Series) -> pd.Series:
 
 def name_slug(name: Column) -> Column:
     """Upper-case ASCII slug; names without Latin letters get a hash slug."""
-    slug = F.upper(F.regexp_replace(F.regexp_replace(ascii_fold(name), r"[^A-Za-z0-9]+", "-"), r"\A-+|-+\z", ""))
+    # Only names that need it travel to Python.
+    folded = F.coalesce(ascii_fold(F.when(name.rlike(r"[^\x00-\x7F]"), name)), name)
+    slug = F.upper(F.regexp_replace(F.regexp_replace(folded, r"[^A-Za-z0-9]+", "-"), r"\A-+|-+\z", ""))
     hashed = F.concat(F.lit("KO-"), F.upper(F.substring(F.sha1(name), 1, 8)))
     return F.coalesce(F.nullif(slug, F.lit("")), hashed)
 

@@ -392,6 +392,7 @@ def _without_templates(text: Column) -> Column:
 
 def clean_section_text(section: Column) -> Column:
     """Page markup to plain paragraphs joined by an empty line."""
+    # The markup patterns removed.
     text = F.regexp_replace(section, r"(?s)\{\|.*?\n\|\}", "")
     text = F.regexp_replace(text, r"(?d)<ref.*?</ref>|<ref[^>]*/>", "")
     text = strip_templates(text)
@@ -539,6 +540,7 @@ def detect_region(text: Column, regions: Sequence[tuple[str, Sequence[str], str]
     return bind(text, find)
 
 
+# The sentences of location_text, description_fallback and geography_fallback.
 def location_text(country: str, region_name: Column) -> Column:
     return F.when(region_name.isNotNull(), F.concat(F.lit(country + " "), region_name)).otherwise("")
 

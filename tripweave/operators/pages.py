@@ -169,6 +169,7 @@ def table_wikitext(table: Column, caption: Column, rows: Column) -> Column:
 
 def climate_label(cell: Column) -> Column:
     """Row label without footnotes and units."""
+    # The units.
     label = F.regexp_replace(F.regexp_replace(cell, _FOOTNOTE, ""), r"\u00a0", " ")
     label = F.regexp_replace(
         label, r"(?U)\s*\([^)]*(?:°C|°F|mm|%|일|inch|인치|센티미터|m|ft)[^)]*\)", ""
@@ -569,6 +570,7 @@ def inherit_climate(cities: DataFrame, regions: DataFrame) -> DataFrame:
     )
     joined = cities.join(usable, "prefecture_id", "left")
     region = F.col("_region")
+    # The note and the names of the entries.
     note = F.concat(
         F.col("city_name_ko"), F.lit("의 개별 기후 표가 없어 "), region["name_ko"],
         F.lit(" 기후 표를 공통 기준으로 적용했다."),

@@ -195,7 +195,14 @@ def page_parse(t):
     return parsed.select("page_id", "title", F.size("extlinks").cast("long").alias("links"))
 
 
-@query()
+@query("""
+    SELECT concat('KR-42-', CASE WHEN slug = '' THEN concat('KO-', upper(substr(sha1(title), 1, 8))) ELSE slug END) AS city_id, title AS city_name_ko,
+      '대한민국 강원특별자치도' AS location, description, 'low' AS data_confidence, least(links, 2) AS sites, 'needs_review' AS climate_status
+    FROM (SELECT title, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '</h1>(.*)</article>', 1, 's'), '<[^>]*>', '', 'g'),
+        '&quot;', '"'), '&#x27;', ''''), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS description,
+        upper(regexp_replace(regexp_replace(regexp_replace(strip_accents(title), '[^\\x00-\\x7f]', '', 'g'), '[^A-Za-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g')) AS slug,
+        len(list_distinct(regexp_extract_all(html, '<a href="(/[^"]*)"', 1))) AS links
+      FROM (SELECT html, trim(regexp_replace(regexp_replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&amp;', '&'), '<[^>]*>', '', 'g'), '\\s+', ' ', 'g')) AS title FROM {pages}) h) p""")
 def page_records(t):
     """City records from all pages (lead, region, fallbacks, status)."""
     parsed = pages.parse_pages(
