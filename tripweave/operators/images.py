@@ -106,8 +106,13 @@ def audit_summary(expected: DataFrame, missing: DataFrame) -> DataFrame:
     )
 
 
-def process_images(records: DataFrame, outcomes: DataFrame, image_bucket: str) -> DataFrame:
-    """Image status of every record after fetching.
+IMAGE_HOST = "s3.amazonaws.com"
+
+
+def process_images(
+    records: DataFrame, outcomes: DataFrame, image_bucket: str, image_host: str = IMAGE_HOST
+) -> DataFrame:
+    """Image status of every record after fetching; stored images are served from ``image_bucket.image_host``.
 
     ``records`` are (city_name_en, pos, content_id, title, entity_type,
     image_url, firstimage); ``outcomes`` are (city_name_en, pos, error) of the
@@ -132,7 +137,7 @@ def process_images(records: DataFrame, outcomes: DataFrame, image_bucket: str) -
     failed = has_url & (F.col("error").isNotNull() | F.col("_tried").isNull())
     reason = F.when(~has_url, F.lit("no_source_image")).when(failed, F.lit("download_failed"))
     ok = reason.isNull()
-    stored = F.concat(F.lit(f"https://{image_bucket}.s3.amazonaws.com/"), "image_s3_key")
+    stored = F.concat(F.lit(f"https://{image_bucket}.{image_host}/"), "image_s3_key")
     return joined.select(
         "city_name_en", "pos", "content_id", "entity_type",
         F.when(ok, F.lit("ok")).otherwise(F.lit("needs_review")).alias("image_status"),

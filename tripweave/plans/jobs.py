@@ -266,9 +266,11 @@ def audit_images(records: DataFrame, actual: DataFrame, outcomes: DataFrame | No
     return {"missing": missing, "summary": images.audit_summary(expected, missing)}
 
 
-def review_images(records: DataFrame, outcomes: DataFrame, image_bucket: str) -> Frames:
+def review_images(
+    records: DataFrame, outcomes: DataFrame, image_bucket: str, image_host: str = images.IMAGE_HOST
+) -> Frames:
     """Image status per record, review manifest, counts and run report."""
-    processed = saved(images.process_images(records, outcomes, image_bucket), "images")
+    processed = saved(images.process_images(records, outcomes, image_bucket, image_host), "images")
     counts = images.city_image_counts(processed)
     review = images.image_review(processed)
     return {
@@ -312,15 +314,15 @@ def ingested_bodies(spark: SparkSession, out: str) -> DataFrame:
 # --- model and vectors ------------------------------------------------------
 
 
-def run_enrichment(items: DataFrame, model_fn: BatchFn) -> Frames:
+def run_enrichment(items: DataFrame, model_fn: BatchFn, model_id: str = enrich.MODEL_ID) -> Frames:
     """Model tags for attractions; results are stored before they are counted."""
-    results = saved(enrich.enrich_attractions(items, model_fn), "enrichment")
+    results = saved(enrich.enrich_attractions(items, model_fn, model_id), "enrichment")
     return {"results": results, "counts": enrich.batch_counts(results), "failed": enrich.failed_results(results)}
 
 
-def run_classification(items: DataFrame, model_fn: BatchFn) -> Frames:
+def run_classification(items: DataFrame, model_fn: BatchFn, model_id: str = enrich.MODEL_ID) -> Frames:
     """Model themes for festivals."""
-    results = saved(enrich.classify_festivals(items, model_fn), "classification")
+    results = saved(enrich.classify_festivals(items, model_fn, model_id), "classification")
     return {"results": results, "counts": enrich.batch_counts(results), "failed": enrich.failed_results(results)}
 
 
