@@ -117,18 +117,31 @@ def test_suffix_arrays_find_every_window():
         assert got == want
 
 
-def test_automata_locate_all_later_windows():
+def test_automata_locate_all_recurring_windows():
+    """Passages as they come from one anchor: two words left and right of it, more or less."""
     random.seed(8)
-    for _ in range(30):
-        docs = np.array([random.randint(0, 4) for _ in range(12)])
-        pieces = [np.array([random.randint(1, 2) for _ in range(random.randint(3, 6))], np.uint32) for _ in range(12)]
-        passage, begin = substrings.locate(docs, [p.tobytes() for p in pieces], 3)
-        want = {
-            (i, at)
-            for i, p in enumerate(pieces) for at in range(len(p) - 2)
-            if any(docs[j] < docs[i] and (q[k : k + 3] == p[at : at + 3]).all() for j, q in enumerate(pieces) for k in range(len(q) - 2))
+    for _ in range(60):
+        middle = [7, 8]
+        made = {
+            (*(random.randint(1, 2) for _ in range(random.randint(0, 2))), *middle, *(random.randint(1, 2) for _ in range(random.randint(0, 2))))
+            for _ in range(12)
         }
-        assert set(zip(passage.tolist(), begin.tolist(), strict=True)) == want and len(passage) == len(want)
+        pieces = [np.array(p, np.uint32) for p in sorted(made) if len(p) >= 3]
+        least = np.array([random.randint(0, 3) for _ in pieces])
+        most = least + np.array([random.randint(0, 1) for _ in pieces])
+        passage, begin, end, first = substrings.locate(least, most, [p.tobytes() for p in pieces], 3)
+        got = {}
+        for i, b, e, f in zip(passage.tolist(), begin.tolist(), end.tolist(), first.tolist(), strict=True):
+            for at in range(b, e - 2):
+                assert (i, at) not in got
+                got[i, at] = f
+        want = {}
+        for i, p in enumerate(pieces):
+            for at in range(len(p) - 2):
+                same = [j for j, q in enumerate(pieces) if any((q[k : k + 3] == p[at : at + 3]).all() for k in range(len(q) - 2))]
+                if min(least[same]) < max(most[same]):
+                    want[i, at] = min(least[same])
+        assert got == want
 
 
 def test_equal_windows_have_equal_anchors():

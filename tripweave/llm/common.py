@@ -35,6 +35,11 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
+def forget(spark: SparkSession) -> None:
+    """Lets the driver drop the shuffle files of finished steps that nothing refers to any more."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def hash_sample(rows: DataFrame, key: str, bound: int) -> DataFrame:
     """About ``bound`` rows, chosen by the hash of a unique key where they are; all rows if there are no more.
 

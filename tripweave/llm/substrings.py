@@ -9,11 +9,13 @@ same words also start in a document with a smaller id.
 2. Anchors that occur in one document only are settled at once.  The others are
    marked in a bitmap of fixed size (``FILTER_BITS``); its false hits cost time
    only.
-3. Passages around the remaining anchors meet by anchor.  A task takes a shard
-   of anchors at a time: it confirms the windows that recur, compiles them into
-   an Aho-Corasick automaton over word numbers, and streams the passages
-   through it, each distinct one once, to locate every occurrence.
-4. The places found go back to their documents, whose covered words are removed.
+3. Distinct passages around the remaining anchors, with the smallest and largest
+   id they occur in, meet by anchor; copies are combined before the shuffle.  A
+   task takes a shard of anchors at a time: it confirms the windows that recur,
+   compiles the runs of them into an Aho-Corasick automaton over word numbers,
+   and streams the passages through it to locate every occurrence.
+4. The runs found are joined to all places of their passages, and the places go
+   back to their documents, whose covered words are removed.
 
 Defined results: null and empty texts have no words; texts shorter than a window
 lose nothing; rows without id lose nothing and make no other row lose anything;
@@ -33,8 +35,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripweave.llm.common import map_text, mix, saved
-from tripweave.llm.words import gram_hashes, words_of
+from tripweave.llm.common import forget, map_text, mix, saved
+from tripweave.llm.words import gram_hashes, run_hashes, words_of
 
 WINDOW, ANCHOR = 13, 5
 FILTER_BITS = 1 << 27
@@ -43,12 +45,7 @@ SHARD_WORDS = 2_000_000  # words of passages in one automaton's shard
 
 def text_marks(words: np.ndarray, first: np.ndarray) -> np.ndarray:
     """A number per text that tells texts of one id apart."""
-    marks = np.zeros(len(first) - 1, np.int32)
-    for i in range(len(first) - 1):
-        own = words[first[i] : first[i + 1]]
-        if len(own):
-            marks[i] = gram_hashes(own, len(own))[:1].view(np.int32)[0]
-    return marks
+    return (run_hashes(words, first[:-1], first[1:]) >> np.uint64(33)).astype(np.int32)
 
 
 def anchors_of(hashes: np.ndarray, first: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, ...]:
@@ -91,110 +88,139 @@ def recurring_filter(docs: DataFrame, window: int, anchor: int, bits: int) -> np
     return made
 
 
-def passages(docs: DataFrame, found: np.ndarray, window: int, anchor: int) -> DataFrame:
-    """anchor, doc_id, mark, start, words: the words of the windows of every anchor that is in the bitmap."""
+def places(docs: DataFrame, found: np.ndarray, window: int, anchor: int) -> tuple[DataFrame, DataFrame]:
+    """All passages of anchors in the bitmap: (anchor, piece, least, most, words), and where they are.
+
+    A passage holds the words of all windows of one anchor; ``piece`` is their
+    hash, ``least`` and ``most`` bound the ids of the documents of a slice that
+    hold it.  The second table is (anchor, piece, doc_id, mark, start).
+    """
     known = docs.sparkSession.sparkContext.broadcast(found)  # of fixed size
     bits = len(found) * 8
 
-    def step(batch: pa.RecordBatch) -> dict:
+    def some_of(batch: pa.RecordBatch) -> tuple:
         words = words_of(batch.column("text"))
         hashes = words.hashes()
         keys, owner, start, count = anchors_of(hashes, words.first, window, anchor)
         spot = (keys & np.uint64(bits - 1)).astype(np.int64)
         some = (known.value[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0
-        keys, owner, start, size = keys[some], owner[some], start[some], count[some] + window - 1
+        keys, owner, start, end = keys[some], owner[some], start[some], (start + count)[some] + window - 1
         ids = batch.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)
-        offsets = np.concatenate([[0], np.cumsum(size)])
-        index = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, size)
-        flat = (hashes >> np.uint64(32)).astype(np.uint32)[index]
-        binary = pa.Array.from_buffers(
-            pa.binary(), len(size), [None, pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(flat)]
-        )
-        return {
+        numbers = hashes >> np.uint64(32)
+        columns = {
             "anchor": keys.view(np.int64),
+            "piece": run_hashes(numbers, start, end).view(np.int64),
             "doc_id": ids[owner],
-            "mark": text_marks(hashes, words.first)[owner],
-            "start": (start - words.first[owner]).astype(np.int64),
-            "words": binary,
+        }
+        return columns, words.first, hashes, numbers.astype(np.uint32), owner, start, end
+
+    def with_words(batch: pa.RecordBatch) -> dict:
+        columns, _, _, numbers, _, start, end = some_of(batch)
+        key, ids = (columns["anchor"], columns["piece"]), columns["doc_id"]
+        order = np.lexsort((ids, *key[::-1]))
+        first, last = _groups(*(k[order] for k in key))
+        one = order[first]  # copies in one slice are one row
+        start, end = start[one], end[one]
+        offsets = np.concatenate([[0], np.cumsum(end - start)])
+        index = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, end - start)
+        buffers = [None, pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(numbers[index])]
+        return {
+            "anchor": key[0][one],
+            "piece": key[1][one],
+            "least": ids[one],
+            "most": ids[order[last]],
+            "words": pa.Array.from_buffers(pa.binary(), len(start), buffers),
         }
 
-    schema = "anchor long, doc_id long, mark int, start long, words binary"
-    return map_text(docs, ["doc_id", "text"], schema, step)
+    def with_place(batch: pa.RecordBatch) -> dict:
+        columns, first, hashes, _, owner, start, _ = some_of(batch)
+        return columns | {"mark": text_marks(hashes, first)[owner], "start": (start - first[owner]).astype(np.int32)}
 
+    key = "anchor long, piece long"
+    return (
+        map_text(docs, ["doc_id", "text"], f"{key}, least long, most long, words binary", with_words),
+        map_text(docs, ["doc_id", "text"], f"{key}, doc_id long, mark int, start int", with_place),
+    )
 
-def locate(docs: np.ndarray, pieces: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(passage, first word in it) of every window of a shard that also occurs with a smaller document id.
 
-    ``docs`` holds the document id and ``pieces`` the words of each passage;
-    all passages of an anchor are here.
+def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the first and of the last row of each group in sorted keys."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    first = np.flatnonzero(new)
+    return first, np.append(first[1:], len(new))[: len(first)] - 1
+
+
+def locate(least: np.ndarray, most: np.ndarray, pieces: list[bytes], window: int) -> tuple[np.ndarray, ...]:
+    """(passage, first word, last word + 1, smallest document id) of all runs of recurring windows in a shard.
+
+    ``pieces`` holds the words of distinct passages, ``least`` and ``most`` the
+    smallest and largest id of the documents they occur in; all passages of an
+    anchor are here.  Windows of a run occur in the same passages.
     """
-    number: dict[bytes, int] = {}
-    of_piece = np.fromiter((number.setdefault(p, len(number)) for p in pieces), np.int64, len(pieces))
-    least = np.full(len(number), np.iinfo(np.int64).max)
-    most = np.full(len(number), np.iinfo(np.int64).min)
-    np.minimum.at(least, of_piece, docs)
-    np.maximum.at(most, of_piece, docs)
-    distinct = [np.frombuffer(p, np.uint32) for p in number]
-    sizes = np.array([len(d) for d in distinct])
-    flat = np.concatenate(distinct)
+    texts = [np.frombuffer(p, np.uint32) for p in pieces]
+    sizes = np.array([len(t) for t in texts])
+    flat = np.concatenate(texts)
     offsets = np.cumsum(sizes) - sizes
     windows = sizes - window + 1
-    owner = np.repeat(np.arange(len(distinct)), windows)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows) + np.repeat(offsets, windows)
+    owner = np.repeat(np.arange(len(texts)), windows)
+    at = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows - offsets, windows)
     keys = gram_hashes(mix(flat.astype(np.uint64) + np.uint64(1)), window)[at]
     # confirm: windows that occur in documents of different ids
-    _, first, which = np.unique(keys, return_index=True, return_inverse=True)
-    low = np.full(len(first), np.iinfo(np.int64).max)
-    high = np.full(len(first), np.iinfo(np.int64).min)
+    _, which = np.unique(keys, return_inverse=True)
+    which = which.reshape(-1)
+    low = np.full(which.max() + 1, np.iinfo(np.int64).max)
+    high = np.full(len(low), np.iinfo(np.int64).min)
     np.minimum.at(low, which, least[owner])
     np.maximum.at(high, which, most[owner])
-    phrases = np.flatnonzero(low < high)
-    none = np.zeros(0, np.int64)
-    if not len(phrases):
-        return none, none
+    again = (low < high)[which]
+    together = np.zeros(len(low), np.uint64)
+    np.add.at(together, which, mix(owner.astype(np.uint64) + np.uint64(1)))
+    # runs of confirmed windows that occur in the same passages
+    new = np.ones(len(owner), bool)
+    new[1:] = (owner[1:] != owner[:-1]) | ~again[:-1] | (together[which[1:]] != together[which[:-1]])
+    begins = np.flatnonzero(new & again)
+    if not len(begins):
+        none = np.zeros(0, np.int64)
+        return none, none, none, none
+    bounds = np.append(np.flatnonzero(new | ~again), len(owner))
+    length = bounds[np.searchsorted(bounds, begins, side="right")] - begins
+    _, one = np.unique(which[begins], return_index=True)
     # compile
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for phrase, begin in zip(phrases.tolist(), at[first[phrases]].tolist(), strict=True):
-        automaton.add_word(tuple(flat[begin : begin + window].tolist()), phrase)
+    for number, begin, end in zip(
+        one.tolist(), at[begins[one]].tolist(), (at[begins[one]] + length[one] + window - 1).tolist(), strict=True
+    ):
+        automaton.add_word(tuple(flat[begin:end].tolist()), number)
     automaton.make_automaton()
-    # stream every distinct passage that can hold one
-    counts, ends, hits = np.zeros(len(distinct), np.int64), [], []
-    for i in np.unique(owner[(low < high)[which]]).tolist():
-        places = list(automaton.iter(tuple(distinct[i].tolist())))
-        counts[i] = len(places)
-        for end, phrase in places:
+    # stream every passage that can hold one
+    passage, ends, hits = [], [], []
+    for i in np.unique(owner[begins]).tolist():
+        for end, number in automaton.iter(tuple(texts[i].tolist())):
+            passage.append(i)
             ends.append(end)
-            hits.append(phrase)
-    begins, firsts = np.array(ends, np.int64) - window + 1, low[np.array(hits, np.int64)]
-    # every occurrence of a passage has its windows
-    each = counts[of_piece]
-    passage = np.repeat(np.arange(len(pieces)), each)
-    index = np.arange(len(passage)) - np.repeat(np.cumsum(each) - each, each) + np.repeat((np.cumsum(counts) - counts)[of_piece], each)
-    later = firsts[index] < docs[passage]
-    return passage[later], begins[index[later]]
+            hits.append(number)
+    end, hit = np.array(ends, np.int64) + 1, np.array(hits, np.int64)
+    return np.array(passage, np.int64), end - length[hit] - window + 1, end, low[which[begins[hit]]]
+
 
+def find_repeats(pieces: DataFrame, window: int, shard_words: int = SHARD_WORDS) -> DataFrame:
+    """anchor, piece, begin, end, first: runs of windows of a passage and the smallest id they occur in.
 
-def find_repeats(found: DataFrame, window: int, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """doc_id, mark, start, end of the words to remove, one row per run of windows of a passage."""
+    ``pieces`` is (anchor, piece, least, most, words), any number of rows per passage.
+    """
 
     def shard(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks()
-        docs = rows.column("doc_id").to_numpy()
-        passage, begin = locate(docs, rows.column("words").to_pylist(), window)
-        order = np.lexsort((begin, passage))
-        passage, begin = passage[order], begin[order]
-        new = np.ones(len(passage), bool)
-        new[1:] = (passage[1:] != passage[:-1]) | (begin[1:] > begin[:-1] + window)
-        runs = np.flatnonzero(new)
-        last = np.append(runs[1:], len(passage))[: len(runs)] - 1
-        start = rows.column("start").to_numpy()[passage]
-        columns = [
-            pa.array(docs[passage[runs]]),
-            pa.array(rows.column("mark").to_numpy()[passage[runs]]),
-            pa.array(start[runs] + begin[runs]),
-            pa.array(start[last] + begin[last] + window),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "mark", "start", "end"])
+        anchor, piece, least, most = (rows.column(c).to_numpy() for c in ("anchor", "piece", "least", "most"))
+        order = np.lexsort((piece, anchor))
+        starts, _ = _groups(anchor[order], piece[order])
+        one = order[starts]
+        bounds = np.minimum.reduceat(least[order], starts), np.maximum.reduceat(most[order], starts)
+        passage, begin, end, low = locate(*bounds, rows.column("words").take(pa.array(one)).to_pylist(), window)
+        own = [anchor[one][passage], piece[one][passage], begin.astype(np.int32), end.astype(np.int32), low]
+        columns = [pa.array(c) for c in own]
+        return pa.RecordBatch.from_arrays(columns, names=["anchor", "piece", "begin", "end", "first"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -206,16 +232,16 @@ def find_repeats(found: DataFrame, window: int, shard_words: int = SHARD_WORDS)
                 held.append(batch.slice(0, cut))
                 batch = batch.slice(cut)
                 if batch.num_rows:
-                    yield shard(held)
+                    yield shard([h for h in held if h.num_rows])
                     held, size = [], 0
             if batch.num_rows:
                 held.append(batch)
                 size += batch.column("words").nbytes // 4
         if held:
-            yield shard(held)
+            yield shard([h for h in held if h.num_rows])
 
-    schema = "doc_id long, mark int, start long, end long"
-    return found.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, schema)
+    schema = "anchor long, piece long, begin int, end int, first long"
+    return pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, schema)
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, bits: int = FILTER_BITS) -> DataFrame:
@@ -225,7 +251,15 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
     """
     texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
     found = recurring_filter(texts, window, anchor, bits)
-    spans = saved(find_repeats(passages(texts, found, window, anchor), window), "substring-spans")
+    forget(docs.sparkSession)
+    pieces, where = places(texts, found, window, anchor)
+    runs = saved(find_repeats(pieces, window), "substring-runs")
+    forget(docs.sparkSession)
+    spans = (
+        where.join(runs, ["anchor", "piece"])
+        .where("first < doc_id")
+        .select("doc_id", "mark", (F.col("start") + F.col("begin")).alias("start"), (F.col("start") + F.col("end")).alias("end"))
+    )
     listed = spans.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("mark", "start", "end")).alias("_spans"))
     extra = [c for c in docs.columns if c not in ("text", "n_words", "n_removed", "kept", "_doc", "_spans")]
     both = docs.select(*extra, "text").join(listed, F.col("doc_id") == F.col("_doc"), "left").drop("_doc")

@@ -119,6 +119,9 @@ def gram_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix((sums[size:] - sums[:-size]) * powers(_ORDER_INVERSE, len(words))[: len(words) - size + 1])
 
 
-def shingle_bounds(counts: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """First and last + 1 index of the grams of each text in ``gram_hashes``; empty where a text is too short."""
-    return first[:-1], first[:-1] + np.maximum(counts - size + 1, 0)
+def run_hashes(words: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the runs of words from ``start`` up to ``end``; runs of any length."""
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * powers(_ORDER, len(words)), out=sums[1:])
+    held = (sums[end] - sums[start]) * powers(_ORDER_INVERSE, len(words) + 1)[start]
+    return mix(held + mix((end - start).astype(np.uint64)))
