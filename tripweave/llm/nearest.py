@@ -8,8 +8,10 @@ for some queries the exact neighbours are found in blocks over all rows, and
 visits are widened until the wanted share of these neighbours lies in visited
 leaves.
 
-Rows and queries meet by leaf.  Large leaves are split by row, much-visited
-leaves by query, so that no task holds more than ``block`` rows and ``block``
+Rows and queries meet by bucket, a run of neighbouring leaves of about ``block``
+rows, so that a query brings back its ``k`` best of a bucket, not of every leaf.
+A leaf beyond that is a bucket of its own, split by row; much-visited buckets
+are split by query: no task holds more than about ``block`` rows and ``block``
 queries.  Of equal vectors only the ``k + 1`` smallest ids can be among the
 nearest, so no more take part; equal query vectors are searched for once.
 
@@ -37,7 +39,7 @@ from tripweave.llm.common import hash_sample, saved
 SAMPLE_ROWS = 65_536  # size of the sample that the tree is fitted on, but for chance
 LEAF_ROWS, MAX_LEAVES, BRANCHES = 256, 4_096, 8
 CALIBRATION_QUERIES, WANTED_RECALL = 100, 0.95
-BLOCK = 2_048
+BLOCK = 8_192
 
 
 @dataclass
@@ -131,15 +133,16 @@ def _matrix(column: pa.Array | pa.ChunkedArray, rows: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
 
 
-def _top(ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Per query: its number, the ids of the k nearest rows and their scores, ties to smaller ids."""
+def _top(
+    ids: np.ndarray, vectors: np.ndarray, queries: np.ndarray, k: int, allowed: np.ndarray | None = None
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Per query: its number, the ids of the k nearest (allowed) rows and their scores, ties to smaller ids."""
     products = queries @ vectors.T
     for q, row in enumerate(products):
-        if len(row) > k:  # rounding must not decide between rows that score the same
-            least = np.partition(row, -k)[-k]
-            some = np.flatnonzero(row >= least - 1e-9 * (1 + abs(least)))
-        else:
-            some = np.arange(len(row))
+        some = np.arange(len(row)) if allowed is None else np.flatnonzero(allowed[q])
+        if len(some) > k:  # rounding must not decide between rows that score the same
+            least = np.partition(row[some], -k)[-k]
+            some = some[row[some] >= least - 1e-9 * (1 + abs(least))]
         exact = (vectors[some] * queries[q]).sum(axis=1)
         best = np.lexsort((ids[some], -exact))[:k]
         yield q, ids[some][best], exact[best]
@@ -175,29 +178,45 @@ def _with_leaf(rows: DataFrame, tree) -> DataFrame:
     return rows.select("id", "vector").mapInArrow(run, f"id long, vector {kind}, leaf int")
 
 
-def _with_visits(queries: DataFrame, tree, sizes: np.ndarray, visits: int, least: int) -> DataFrame:
-    """query, vector, leaf for every leaf that a query visits; visits go on until ``least`` rows were seen."""
+def leaf_buckets(sizes: np.ndarray, block: int) -> np.ndarray:
+    """Bucket of each leaf: neighbouring leaves together as long as they hold at most ``block`` rows."""
+    buckets, held, bucket = np.zeros(len(sizes), np.int64), 0, 0
+    for leaf, size in enumerate(sizes):
+        if held and held + size > block:
+            held, bucket = 0, bucket + 1
+        buckets[leaf] = bucket
+        held += size
+    return buckets
+
+
+def _with_visits(
+    queries: DataFrame, tree, sizes: np.ndarray, buckets: np.ndarray, visits: int, least: int
+) -> DataFrame:
+    """query, vector, bucket, leaves: what a query visits, by bucket; visits go on until ``least`` rows were seen."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 dots = _matrix(part.column("vector"), part.num_rows) @ tree.value.centres.T
-                which, leaves = [], []
+                which, of, leaves = [], [], []
                 for q in range(part.num_rows):
-                    seen = 0
+                    seen, visited = 0, {}
                     for n, leaf in enumerate(tree.value.best_bins(dots[q])):
                         if n >= visits and seen >= least:
                             break
                         if sizes[leaf]:
                             seen += sizes[leaf]
-                            which.append(q)
-                            leaves.append(leaf)
+                            visited.setdefault(int(buckets[leaf]), []).append(leaf)
+                    which += [q] * len(visited)
+                    of += visited.keys()
+                    leaves += visited.values()
                 taken = part.take(pa.array(which, pa.int64()))
-                yield taken.append_column("leaf", pa.array(leaves, pa.int32()))
+                taken = taken.append_column("bucket", pa.array(of, pa.int32()))
+                yield taken.append_column("leaves", pa.array(leaves, pa.list_(pa.int32())))
 
     kind = queries.schema["vector"].dataType.simpleString()
-    return queries.select("query", "vector").mapInArrow(run, f"query long, vector {kind}, leaf int")
+    return queries.select("query", "vector").mapInArrow(run, f"query long, vector {kind}, bucket int, leaves array<int>")
 
 
 def calibrate(tree: Tree, leaf_of: DataFrame, queries: list[tuple[int, list[float]]], k: int, wanted: float) -> int:
@@ -232,7 +251,7 @@ def nearest(
     reps = asked.groupBy("vector").agg(F.min("id").alias("query"))
     n = candidates.count()
     result = "query_id long, rank int, vec_id long, score double"
-    if not n:
+    if not n or asked.isEmpty():
         return spark.createDataFrame([], result)
     sample = hash_sample(candidates, "id", sample_rows).orderBy("id").select("vector").toArrow()
     points = _matrix(sample.column("vector"), sample.num_rows)
@@ -244,20 +263,22 @@ def nearest(
         sizes[row["leaf"]] = row["count"]
     few = hash_sample(asked, "id", CALIBRATION_QUERIES).collect()
     visits = calibrate(tree, placed, [(r["id"], r["vector"]) for r in few], k, wanted) if few else 1
-    visiting = saved(_with_visits(reps, shared, sizes, visits, k + 1), "nearest-visits")
-    asked_of = visiting.groupBy("leaf").agg(F.count("*").alias("n")).collect()  # one row per leaf
-    plan = spark.createDataFrame(
-        [(r["leaf"], int(-(-sizes[r["leaf"]] // block)), int(-(-r["n"] // block))) for r in asked_of] or [(-1, 1, 1)],
-        "leaf int, row_parts int, query_parts int",
-    )
-    plan = F.broadcast(plan)  # MAX_LEAVES rows at most
+    buckets = leaf_buckets(sizes, block)
+    visiting = saved(_with_visits(reps, shared, sizes, buckets, visits, k + 1), "nearest-visits")
+    asked_of = {r["bucket"]: r["count"] for r in visiting.groupBy("bucket").count().collect()}  # one row per bucket
+    rows_of = np.bincount(buckets, sizes)
+    parts = [
+        (leaf, int(b), int(-(-rows_of[b] // (2 * block))), int(-(-asked_of[b] // block)))
+        for leaf, b in enumerate(buckets.tolist()) if b in asked_of
+    ]
+    plan = F.broadcast(spark.createDataFrame(parts, "leaf int, bucket int, row_parts int, query_parts int"))  # MAX_LEAVES rows at most
     left = placed.join(plan, "leaf").select(
-        "leaf", F.expr("cast(pmod(xxhash64(id), row_parts) AS int)").alias("rp"),
-        F.explode(F.expr("sequence(0, query_parts - 1)")).alias("qp"), "id", "vector",
+        "bucket", F.expr("cast(pmod(xxhash64(id), row_parts) AS int)").alias("rp"),
+        F.explode(F.expr("sequence(0, query_parts - 1)")).alias("qp"), "id", "vector", "leaf",
     )
-    right = visiting.join(plan, "leaf").select(
-        "leaf", F.explode(F.expr("sequence(0, row_parts - 1)")).alias("rp"),
-        F.expr("cast(pmod(xxhash64(query), query_parts) AS int)").alias("qp"), "query", "vector",
+    right = visiting.join(plan.select("bucket", "row_parts", "query_parts").distinct(), "bucket").select(
+        "bucket", F.explode(F.expr("sequence(0, row_parts - 1)")).alias("rp"),
+        F.expr("cast(pmod(xxhash64(query), query_parts) AS int)").alias("qp"), "query", "vector", "leaves",
     )
 
     def search(own: pa.Table, queries: pa.Table) -> pa.Table:
@@ -265,16 +286,19 @@ def nearest(
         if own.num_rows and queries.num_rows:
             vectors = _matrix(own.column("vector"), own.num_rows)
             numbers, ids = queries.column("query").to_numpy(), own.column("id").to_numpy()
+            names, leaf = np.unique(own.column("leaf").to_numpy(), return_inverse=True)
             for start in range(0, len(numbers), 256):
-                some = slice(start, start + 256)
-                wanted_ = _matrix(queries.column("vector").slice(start, 256), len(numbers[some]))
-                for q, found, scores in _top(ids, vectors, wanted_, k + 1):
-                    for column, values in zip(out, (np.full(len(found), numbers[some][q]), found, scores), strict=True):
+                part = queries.slice(start, 256).combine_chunks()
+                visited = np.array([np.isin(names, x) for x in part.column("leaves").to_pylist()])
+                wanted_ = _matrix(part.column("vector"), part.num_rows)
+                for q, found, scores in _top(ids, vectors, wanted_, k + 1, visited[:, leaf.reshape(-1)]):
+                    values_of = (np.full(len(found), numbers[start + q]), found, scores)
+                    for column, values in zip(out, values_of, strict=True):
                         column.append(values)
         arrays = [np.concatenate(c) if c else np.zeros(0, t) for c, t in zip(out, (np.int64, np.int64, float), strict=True)]
         return pa.table(dict(zip(("query", "id", "score"), arrays, strict=True)))
 
-    keys = ["leaf", "rp", "qp"]
+    keys = ["bucket", "rp", "qp"]
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query long, id long, score double")
     # one more than k, for the query itself is among the rows
     found = _ranked(found, k + 1).drop("place")
