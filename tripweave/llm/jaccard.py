@@ -40,7 +40,7 @@ from tripweave.llm.words import gram_hashes, words_of
 SHINGLE, PERCENT = 3, 90
 BAND_RATIO = 1.25  # width of a size band
 TILE = 1_000  # sets that are compared with each other in one step
-TILE_SHINGLES = 4_000_000  # and shingles that they hold
+TILE_SHINGLES = 1_000_000  # and shingles that they hold
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:

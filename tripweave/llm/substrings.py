@@ -40,7 +40,7 @@ from tripweave.llm.words import gram_hashes, run_hashes, words_of
 
 WINDOW, ANCHOR = 13, 5
 FILTER_BITS = 1 << 27
-SHARD_WORDS = 2_000_000  # words of passages in one automaton's shard
+SHARD_WORDS = 1_000_000  # words of passages in one automaton's shard
 
 
 def text_marks(words: np.ndarray, first: np.ndarray) -> np.ndarray:
