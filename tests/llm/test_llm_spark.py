@@ -178,6 +178,22 @@ def test_language(docs, none, spark):
         language.train(docs, max_grams=3)
 
 
+def test_language_limits_cover_all_training_texts(spark):
+    """More rows than the sample of 4,000 there once was; no text is predicted as the second of two equal languages."""
+    random_ = np.random.default_rng(3)
+    rows = [(i, " ".join(random_.choice(["one", "two", "three", "hat", "tree"], 4)), "en") for i in range(5000)]
+    rows += [(i + 5000, t, "xx") for i, t, _ in rows] + [(None, "zwei drei vier", "de")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train(frame)
+    assert np.isfinite(model.limits).all()
+    mean = dict(language.predict(frame, model).groupBy("n_best").agg(F.avg("entropy")).collect())
+    assert model.langs == ["de", "en", "xx"] and set(mean) == {0, 1}
+    mean[2] = model.own[2]
+    want = [mean[i] + 0.6 * max(model.noise[i] - mean[i], 0) for i in range(3)]
+    assert np.allclose(model.limits, want, rtol=1e-12)
+    assert abs(model.own[1] - mean[1]) < 0.01  # texts of equal length in words, learned and scored
+
+
 def test_quality(docs, none, spark):
     labels = spark.createDataFrame([(1, 1, 0), (1, 0, 0), (3, 0, 0), (None, 1, 0), (7, None, 0)], "doc_id long, quality int, toxic int")
     found = quality.classify(docs, labels)

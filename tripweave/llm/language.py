@@ -12,10 +12,11 @@ A word is scored once per slice of texts, its score is used for all its
 occurrences.  The prediction is the language of the lowest cross-entropy per
 character; ties go to the smaller name.
 
-Rejection: a limit lies, per language, between the mean cross-entropy of
-training texts (a sample of about ``calibration_rows`` rows) and that of random
-words over the language's characters, at the share ``tolerance`` of the way; a
-text above the limit of its language is rejected, as is a text without letters.
+Rejection: a limit lies, per language, between the mean cross-entropy of all
+training texts of that prediction (where there is none, of the language's
+counted n-grams) and that of random words over the language's characters, at
+the share ``tolerance`` of the way; a text above the limit of its language is
+rejected, as is a text without letters.
 
 Defined results: null text and text without a letter is ``und`` with score 0
 and rejected; rows with null language or text teach nothing; with no training
@@ -34,12 +35,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import hash_sample, held_out, map_text, mix, saved, text_steps
+from tripweave.llm.common import held_out, map_text, mix, saved, text_steps
 from tripweave.llm.words import Words, words_of
 
 ORDER = 4
 MAX_GRAMS = 3_000_000
-CALIBRATION_ROWS = 4_000
 TOLERANCE = 0.6
 BEGIN, FINISH = 2, 3  # code points that mark the edges of a word
 UNKNOWN = "und"
@@ -128,6 +128,7 @@ class Model:
     backoffs: list[np.ndarray]  # log weight of the next shorter context
     floor: np.ndarray  # log probability of a character never seen
     noise: np.ndarray  # cross-entropy of random words
+    own: np.ndarray  # cross-entropy of the n-grams learned
     limits: np.ndarray  # largest cross-entropy that is not rejected
 
     def score_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -199,13 +200,15 @@ def fit(langs: np.ndarray, grams: np.ndarray, counts: np.ndarray, order: int = O
             logs[length - 1][:, column] = np.log(below)
             backoffs[length - 1][:, column] = np.log(free)
     none = np.full(len(names), np.inf)
-    model = Model(names, order, keys, logs, contexts, backoffs, floor, none.copy(), none)
+    model = Model(names, order, keys, logs, contexts, backoffs, floor, none.copy(), none.copy(), none)
     random = np.random.default_rng(0)
     for column, name in enumerate(names):
         signs = [chr(p) for p in np.unique(grams[langs == name][:, -1]) if p != FINISH]
         words = ["".join(random.choice(signs, size)) for size in random.integers(3, 11, 400)]
         sums, chars = model.score_words(words)
         model.noise[column] = -sums[:, column].sum() / chars.sum()
+        mine = langs == name
+        model.own[column] = -(counts[mine] * logs[-1][tables[-1][0][mine], column]).sum() / counts[mine].sum()
     return model
 
 
@@ -235,10 +238,9 @@ def train(
     docs: DataFrame,
     order: int = ORDER,
     max_grams: int = MAX_GRAMS,
-    calibration_rows: int = CALIBRATION_ROWS,
     tolerance: float = TOLERANCE,
 ) -> Model:
-    """Model of all rows of docs (doc_id, text, lang); the limits of rejection from a bounded sample of them."""
+    """Model of all rows of docs (doc_id, text, lang), with the limits of rejection from all of them."""
     grams = saved(count_grams(docs, order), "language-grams")
     found = grams.count()
     if found > max_grams:
@@ -247,13 +249,18 @@ def train(
     points = np.frombuffer(b"".join(rows.column("gram").to_pylist()), np.uint32).reshape(-1, order)
     model = fit(np.array(rows.column("lang").to_pylist(), object), points, rows.column("n").to_numpy().astype(float), order)
     usable = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    scored = predict(hash_sample(usable.select("doc_id", "text"), "doc_id", calibration_rows), model).where("n_best >= 0")
-    for row in scored.groupBy("n_best").agg(F.avg("entropy").alias("mean")).collect():  # one row per language
-        noise = model.noise[row["n_best"]]
-        model.limits[row["n_best"]] = row["mean"] + tolerance * max(noise - row["mean"], 0.0)
+    scored = predict(usable.select("doc_id", "text"), model).where("n_best >= 0")
+    means = dict(scored.groupBy("n_best").agg(F.avg("entropy")).collect())  # one row per language
+    model.limits = np.array(rejection_limits(means, model.own, model.noise, tolerance))
     return model
 
 
+def rejection_limits(means: dict[int, float], own, noise, tolerance: float) -> list[float]:
+    """Limit per language; ``means`` are those of the training texts by predicted language, ``own`` stands in."""
+    begin = [means.get(i, mean) for i, mean in enumerate(own)]
+    return [float(b + tolerance * max(n - b, 0.0)) for b, n in zip(begin, noise, strict=True)]
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, entropy, rejected, n_best of every row of docs (doc_id, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_grams
