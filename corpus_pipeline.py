@@ -10,14 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.llm import contamination, jaccard, language, mixing, substrings
-from tripweave.llm.common import held_out, saved, table
+from tripweave.llm.common import saved, table
 from tripweave.session import ship_package
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not rejected (no letters, or unlike all languages learned)."""
     ship_package(spark)
-    return language.keep_known(docs, language.train(docs.where(~held_out(F.col("doc_id")))))
+    return language.known(docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

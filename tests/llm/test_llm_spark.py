@@ -178,6 +178,25 @@ def test_language(docs, none, spark):
         language.train(docs, max_grams=3)
 
 
+def test_language_above_the_bound_of_a_model(docs, none, spark):
+    """The joins judge like the collected model, rows without letters and columns of any name included."""
+    random_ = np.random.default_rng(4)
+    words = {"en": "the house and tree are over there now", "de": "das haus und der baum sind dort", "ja": "東京タワー 日本語の文 京都府の寺"}
+    rows = [(i, " ".join(random_.choice(words[k].split(), 9)), k) for k in words for i in range(len(words) * 40)]
+    rows += [(i, "".join(random_.choice(list("qxzjkvw"), 30)), "en") for i in range(900, 920)]
+    frame = docs.select("doc_id", "text", "lang").union(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    for parts in (1, 40):  # slices of many rows, and of one row without a letter
+        few, many = (language.identify(frame.repartition(parts), max_grams=b) for b in (10**6, 3))
+        assert few.columns == many.columns
+        order = ["doc_id", "lang_pred", "entropy"]
+        few, many = (f.toPandas().sort_values(order).reset_index(drop=True) for f in (few, many))
+        pd.testing.assert_frame_equal(few, many, rtol=1e-9)
+        assert few.rejected.nunique() == 2 and len(few) == frame.count()
+    few, many = (language.known(docs, max_grams=b) for b in (10**6, 3))
+    assert many.columns == docs.columns and few.count() > 0
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
+
+
 def test_language_limits_cover_all_training_texts(spark):
     """More rows than the sample of 4,000 there once was; no text is predicted as the second of two equal languages."""
     random_ = np.random.default_rng(3)

@@ -3,8 +3,7 @@
 Learning: tasks count the character n-grams of all words (runs of letters,
 lower-cased, with start and end marks) of all training texts; Spark adds the
 partial counts up.  The table of distinct n-grams of the highest order holds
-all that the lower orders need (Kneser-Ney counts distinct continuations).  It
-is collected only after its size was checked against ``max_grams``.
+all that the lower orders need (Kneser-Ney counts distinct continuations).
 
 Model: per order one sorted array of n-gram hashes with a row of log
 probabilities for all languages, and per context one with back-off weights.
@@ -12,6 +11,12 @@ A word is scored once per slice of texts, its score is used for all its
 occurrences.  The prediction is the language of the lowest cross-entropy per
 character; ties go to the smaller name.
 
+Tables above ``max_grams`` rows (or four times as many cells of rows and
+languages) are not collected: counts, discounts and back-offs are aggregates of
+the table, the probabilities of the distinct n-grams of all texts are joined
+order by order, and every slice of texts is brought together with those of its
+own n-grams.  The results are those of the collected model up to rounding.
+
 Rejection: a limit lies, per language, between the mean cross-entropy of all
 training texts of that prediction (where there is none, of the language's
 counted n-grams) and that of random words over the language's characters, at
@@ -201,17 +206,24 @@ def fit(langs: np.ndarray, grams: np.ndarray, counts: np.ndarray, order: int = O
             backoffs[length - 1][:, column] = np.log(free)
     none = np.full(len(names), np.inf)
     model = Model(names, order, keys, logs, contexts, backoffs, floor, none.copy(), none.copy(), none)
-    random = np.random.default_rng(0)
+    random = random_words([np.unique(grams[langs == name][:, -1]) for name in names])
     for column, name in enumerate(names):
-        signs = [chr(p) for p in np.unique(grams[langs == name][:, -1]) if p != FINISH]
-        words = ["".join(random.choice(signs, size)) for size in random.integers(3, 11, 400)]
-        sums, chars = model.score_words(words)
+        sums, chars = model.score_words(random[column])
         model.noise[column] = -sums[:, column].sum() / chars.sum()
         mine = langs == name
         model.own[column] = -(counts[mine] * logs[-1][tables[-1][0][mine], column]).sum() / counts[mine].sum()
     return model
 
 
+def random_words(points: list[np.ndarray]) -> list[list[str]]:
+    """400 words per language over its sorted code points."""
+    random, made = np.random.default_rng(0), []
+    for own in points:
+        signs = [chr(p) for p in own if p != FINISH]
+        made.append(["".join(random.choice(signs, size)) for size in random.integers(3, 11, 400)])
+    return made
+
+
 def score_texts(model: Model, texts: pa.Array) -> dict:
     """Index of the best language (-1: no letter), cross-entropy per character, share of the best among all."""
     words = words_of(texts, "letters")
@@ -234,17 +246,25 @@ def score_texts(model: Model, texts: pa.Array) -> dict:
     return {"best": best, "entropy": entropy, "share": share}
 
 
+def fits(grams: DataFrame, max_grams: int) -> bool:
+    """Whether the n-gram table makes a model that one process may hold."""
+    found, langs = grams.agg(F.count("*"), F.count_distinct("lang")).first()
+    return found <= max_grams and found * langs <= 4 * max_grams
+
+
 def train(
     docs: DataFrame,
     order: int = ORDER,
     max_grams: int = MAX_GRAMS,
     tolerance: float = TOLERANCE,
+    grams: DataFrame | None = None,
 ) -> Model:
-    """Model of all rows of docs (doc_id, text, lang), with the limits of rejection from all of them."""
-    grams = saved(count_grams(docs, order), "language-grams")
-    found = grams.count()
-    if found > max_grams:
-        raise ValueError(f"{found} n-grams are more than max_grams={max_grams}; lower the order or raise the bound")
+    """Model of all rows of docs (doc_id, text, lang) that fits into one process, with the limits of rejection from all
+    of them.  ``grams`` are their n-grams, if they are counted already.  ``identify`` and ``known`` have no bound.
+    """
+    grams = saved(count_grams(docs, order), "language-grams") if grams is None else grams
+    if not fits(grams, max_grams):
+        raise ValueError(f"the n-grams are more than max_grams={max_grams}; identify and known learn without a model")
     rows = grams.toArrow()
     points = np.frombuffer(b"".join(rows.column("gram").to_pylist()), np.uint32).reshape(-1, order)
     model = fit(np.array(rows.column("lang").to_pylist(), object), points, rows.column("n").to_numpy().astype(float), order)
@@ -297,9 +317,185 @@ def keep_known(docs: DataFrame, model: Model) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
-def identify(docs: DataFrame, **settings) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, rejected of all docs (doc_id, text, lang); learns outside the held-out fold."""
-    model = train(docs.where(~held_out(F.col("doc_id"))), **settings)
-    return predict(docs, model).select(
-        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected", "entropy"
+@dataclass
+class Looked:
+    """The log probabilities of all n-grams of one slice of texts."""
+
+    langs: list[str]
+    order: int
+    keys: np.ndarray
+    logs: np.ndarray
+
+    def score_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        grams, first = word_points(words, self.order)
+        total = self.logs[np.searchsorted(self.keys, gram_keys(grams))]
+        sums = np.add.reduceat(total, first, axis=0) if len(words) else np.zeros((0, len(self.langs)))
+        return sums, np.diff(np.append(first, len(grams)))
+
+
+def _counts(grams: DataFrame, langs: list[str], order: int) -> list[DataFrame]:
+    """l (index of the language), gram, c by n-gram length - 1: Kneser-Ney counts of all seen n-grams."""
+    number = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")) - 1
+    counts = [grams.select(number.cast("int").alias("l"), "gram", F.col("n").alias("c"))]
+    for _ in range(1, order):  # distinct characters before the n-gram
+        shorter = counts[0].groupBy("l", F.expr("substring(gram, 5)").alias("gram")).agg(F.count("*").alias("c"))
+        counts.insert(0, saved(shorter, "language-counts"))
+    return counts
+
+
+def _probabilities(counts: list[DataFrame], langs: list[str], wanted: DataFrame) -> DataFrame:
+    """gram, p (array by language) of all rows of wanted (gram, distinct).
+
+    A key of these joins has as many rows as there are characters at most.
+    """
+    order = len(counts)
+    asked = [wanted]
+    for _ in range(1, order):
+        asked.insert(0, saved(asked[0].select(F.expr("substring(gram, 5)").alias("gram")).distinct(), "language-asked"))
+    places = F.sequence(F.lit(0), F.lit(len(langs) - 1))
+    start = 1.0 / (counts[0].select("gram").distinct().count() + 1)
+    below = None
+    for length, (seen, rows) in enumerate(zip(counts, asked, strict=True), 1):
+        discounts = [0.5] * len(langs)
+        ones = seen.groupBy("l").agg(F.count_if(F.col("c") == 1).alias("once"), F.count_if(F.col("c") == 2).alias("twice"))
+        for r in ones.collect():  # one row per language
+            if r["once"]:
+                discounts[r["l"]] = min(max(r["once"] / (r["once"] + 2 * r["twice"]), 0.1), 0.95)
+        discount = F.element_at(F.array(*map(F.lit, discounts)), F.col("l") + 1)
+        context = F.expr(f"substring(gram, 1, {4 * (length - 1)})").alias("context")
+        seen = seen.select("l", "gram", "c", context)
+        held = seen.groupBy("l", "context").agg(F.sum("c").cast("double").alias("held"), F.count("*").alias("kinds"))
+        held = saved(held.withColumn("free", discount * F.col("kinds") / F.col("held")), "language-contexts")
+        own = seen.join(held, ["l", "context"]).withColumn("own", F.greatest(F.col("c") - discount, F.lit(0.0)) / F.col("held"))
+        # one entry per language meets in a list
+        own = own.groupBy("gram").agg(F.map_from_entries(F.collect_list(F.struct("l", "own"))).alias("own"))
+        free = held.groupBy("context").agg(F.map_from_entries(F.collect_list(F.struct("l", "free"))).alias("free"))
+        rows = rows.select("gram", context, F.expr("substring(gram, 5)").alias("shorter"))
+        rows = rows.join(own, "gram", "left").join(free, "context", "left")
+        if below is None:
+            rows = rows.withColumn("below", F.array_repeat(F.lit(start), len(langs)))
+        else:
+            rows = rows.join(below.select(F.col("gram").alias("shorter"), F.col("p").alias("below")), "shorter")
+        p = F.transform(
+            places,
+            lambda i: F.coalesce(F.try_element_at("own", i), F.lit(0.0))
+            + F.coalesce(F.try_element_at("free", i), F.lit(1.0)) * F.get("below", i),
+        )
+        below = saved(rows.select("gram", p.alias("p")), "language-probabilities")
+    return below
+
+
+def _in_slices(docs: DataFrame) -> DataFrame:
+    """doc (all columns of docs), slice: rows of one slice hold a bounded amount of text, or are one row."""
+    schema = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).schema.add("slice", "long")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in text_steps(batch):
+                first = part.column("row")[0].as_py()
+                names = pa.array([first] * part.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("doc"), names], names=["doc", "slice"])
+
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), "text", F.monotonically_increasing_id().alias("row")
     )
+    return saved(rows.mapInArrow(run, schema), "language-slices")
+
+
+def _slice_grams(sliced: DataFrame, order: int) -> DataFrame:
+    """slice, gram: distinct n-grams of the texts of every slice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            owners = batch.column("slice").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(owners)) + 1), len(owners)]
+            for begin, end in zip(edges[:-1], edges[1:], strict=True):
+                words = words_of(batch.column("text").slice(begin, end - begin), "letters")
+                grams, _ = word_points(unique_words(words)[0] if len(words.start) else [], order)
+                grams = grams[np.unique(gram_keys(grams), return_index=True)[1]]
+                names = pa.array(np.full(len(grams), owners[begin], np.int64))
+                made = pa.array([g.tobytes() for g in grams], pa.binary())
+                yield pa.RecordBatch.from_arrays([names, made], names=["slice", "gram"])
+
+    texts = sliced.select("slice", F.col("doc")["text"].alias("text"))
+    return saved(texts.mapInArrow(run, "slice long, gram binary").distinct(), "language-slice-grams")
+
+
+def judge_by_joins(docs: DataFrame, grams: DataFrame, order: int, tolerance: float) -> DataFrame:
+    """doc (all columns), lang_pred, score, entropy, rejected of all rows of docs (doc_id, text, lang) without a collected model.
+
+    ``grams`` are those of all rows outside the held-out fold.
+    """
+    spark = docs.sparkSession
+    langs = sorted(r[0] for r in grams.select("lang").distinct().collect())  # one row per language
+    counts = _counts(grams, langs, order)
+    points = [[] for _ in langs]
+    for r in counts[0].collect():  # the characters of every language
+        points[r["l"]].append(int.from_bytes(r["gram"], "little"))
+    noise = [
+        (column, gram.tobytes())
+        for column, words in enumerate(random_words([np.array(sorted(p)) for p in points]))
+        for gram in word_points(words, order)[0]
+    ]
+    noise = saved(spark.createDataFrame(noise, "l int, gram binary").groupBy("l", "gram").agg(F.count("*").alias("c")), "language-noise")
+    sliced = _in_slices(docs)
+    of_slices = _slice_grams(sliced, order)
+    wanted = saved(of_slices.select("gram").union(noise.select("gram")).distinct(), "language-wanted")
+    known = _probabilities(counts, langs, wanted)
+
+    def score(key: tuple, texts: pa.Table, mine: pa.Table) -> pa.Table:
+        found = mine.column("gram").combine_chunks()
+        points = np.frombuffer(b"".join(found.to_pylist()), np.uint32).reshape(-1, order)
+        chances = mine.column("p").combine_chunks().flatten().to_numpy().reshape(-1, len(langs))
+        keys, first = np.unique(gram_keys(points), return_index=True)
+        doc = texts.column("doc").combine_chunks()
+        text = doc.field(doc.type.get_field_index("text"))
+        made = score_texts(Looked(langs, order, keys, np.log(chances[first])), text)
+        entropy = pa.array(made["entropy"], mask=~np.isfinite(made["entropy"]))
+        best = pa.array(made["best"].astype(np.int32))
+        return pa.table({"doc": doc, "n_best": best, "score": pa.array(made["share"]), "entropy": entropy})
+
+    schema = sliced.select("doc").schema.add("n_best", "integer").add("score", "double").add("entropy", "double")
+    mine = of_slices.join(known, "gram").select("slice", "gram", "p")
+    scored = sliced.groupBy("slice").cogroup(mine.groupBy("slice")).applyInArrow(score, schema)
+    scored = saved(scored, "language-scored")
+
+    def entropies(rows: DataFrame) -> list[float]:
+        rows = rows.join(known, "gram").withColumn("log", F.log(F.get("p", F.col("l"))))
+        found = dict(rows.groupBy("l").agg(-F.sum(F.col("c") * F.col("log")) / F.sum("c")).collect())  # one row per language
+        return [found[i] for i in range(len(langs))]
+
+    teaching = scored.where("n_best >= 0 AND doc.lang IS NOT NULL AND doc.text IS NOT NULL")
+    teaching = teaching.where(~held_out(F.col("doc")["doc_id"]))
+    means = dict(teaching.groupBy("n_best").agg(F.avg("entropy")).collect())  # one row per language
+    limits = rejection_limits(means, entropies(counts[-1]), entropies(noise), tolerance)
+    names = F.get(F.array(*map(F.lit, [*langs])), F.col("n_best"))
+    beyond = F.col("entropy") > F.get(F.array(*map(F.lit, limits)), F.col("n_best"))
+    return scored.select(
+        "doc",
+        F.when(F.col("n_best") >= 0, names).otherwise(UNKNOWN).alias("lang_pred"),
+        "score",
+        "entropy",
+        ((F.col("n_best") < 0) | beyond).alias("rejected"),
+    )
+
+
+def identify(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS, tolerance: float = TOLERANCE) -> DataFrame:
+    """doc_id, held_out, lang_pred, score, rejected of all docs (doc_id, text, lang); learns outside the held-out fold."""
+    docs = docs.select("doc_id", "text", "lang")
+    training = docs.where(~held_out(F.col("doc_id")))
+    grams = saved(count_grams(training, order), "language-grams")
+    if fits(grams, max_grams):
+        found = predict(docs, train(training, order, max_grams, tolerance, grams))
+    else:
+        found = judge_by_joins(docs, grams, order, tolerance).withColumn("doc_id", F.col("doc")["doc_id"].cast("long"))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected", "entropy")
+
+
+def known(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Rows of docs (doc_id, text, lang, ...) that are not rejected; learns outside the held-out fold."""
+    training = docs.where(~held_out(F.col("doc_id")))
+    grams = saved(count_grams(training, order), "language-grams")
+    if fits(grams, max_grams):
+        return keep_known(docs, train(training, order, max_grams, tolerance, grams))
+    return judge_by_joins(docs, grams, order, tolerance).where("NOT rejected").select("doc.*")
