@@ -45,9 +45,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes, with copies and words taken."""
     ship_package(spark)
-    mixed = mixing.mix_sources(docs).where("copies > 0")
-    taken = mixed.select("doc_id", "size", "source_size", "target", "copies", "taken")
-    return docs.join(taken, "doc_id")
+    return mixing.mix_documents(docs)
 
 
 STAGES = [

@@ -165,6 +165,21 @@ def test_mixing_meets_targets_and_repeats_itself(spark):
     assert (abs(per.taken - per.target) <= 2 * 60).all() and abs(per.taken.sum() - one["size"].sum()) <= 60
 
 
+def test_mixing_stage_keeps_nameless_repeated_and_clashing(docs, none, spark, tmp_path):
+    import corpus_pipeline
+
+    # one source, so that the whole input is taken once
+    rows = docs.withColumn("source", F.lit("s")).withColumn("Taken", F.lit("own"))
+    corpus_pipeline.mix_to_targets(spark, rows, "").write.parquet(str(tmp_path / "mixed"))
+    got = spark.read.parquet(str(tmp_path / "mixed"))
+    assert got.columns == [*rows.columns, "mix_size", "source_size", "target", "copies", "mix_taken"]
+    want = [r for r in rows.collect() if (r["text"] or "").split()]
+    assert sorted(map(str, got.select(*rows.columns).collect())) == sorted(map(str, want))
+    assert {r["doc_id"] for r in want} >= {None, 2} and got.where("copies <> 1").count() == 0
+    assert got.agg(F.sum("mix_taken")).first()[0] == sum(len(r["text"].encode().split()) for r in want)
+    assert corpus_pipeline.mix_to_targets(spark, none, "").count() == 0
+
+
 def test_language(docs, none, spark):
     found = language.identify(docs)
     assert found.count() == len(ROWS)

@@ -13,7 +13,9 @@ accumulated by a window.
 
 Defined results: null texts have size 0; documents of size 0 are taken 0 words;
 the null source is a source of its own, last in order; repeated rows are
-documents of their own; an empty table gives no rows; other columns are ignored.
+documents of their own; an empty table gives no rows; other columns are ignored
+by ``mix_sources`` and carried along by ``mix_documents``, where a result whose
+name a document's column has is called ``mix_`` and its name.
 """
 
 from __future__ import annotations
@@ -94,15 +96,31 @@ def mix_sources(
 
     The order of a queue is that of md5(seed, doc_id), so reruns agree.
     """
-    sizes = saved(
-        docs.select(
-            "doc_id",
-            "source",
-            plain_words(F.col("text")).alias("size"),
-            F.monotonically_increasing_id().alias("row"),  # tells repeated rows apart
-        ),
-        "mix-sizes",
-    )
+    sizes = docs.select("doc_id", "source", plain_words(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row"))
+    return _mixed(saved(sizes, "mix-sizes"), weights, max_repeats, seed).drop("row")
+
+
+def mix_documents(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS, seed: str = ""
+) -> DataFrame:
+    """Rows of docs (doc_id, text, source, ...) that the mix takes, with size, source_size, target, copies, taken."""
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    numbered = docs.select(doc, plain_words(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row"))
+    numbered = saved(numbered, "mix-documents")
+    sizes = numbered.select("doc.doc_id", "doc.source", "size", "row")
+    mixed = _mixed(sizes, weights, max_repeats, seed).where("copies > 0")
+    taken, used = [], {c.lower() for c in docs.columns}
+    for name in ("size", "source_size", "target", "copies", "taken"):
+        free = name
+        while free.lower() in used:
+            free = f"mix_{free}"
+        used.add(free.lower())
+        taken.append(F.col(name).alias(free))
+    return numbered.select("doc", "row").join(mixed, "row").select("doc.*", *taken)
+
+
+def _mixed(sizes: DataFrame, weights: tuple[int, ...], max_repeats: int, seed: str) -> DataFrame:
+    """row and the columns of ``mix_sources`` per row of sizes (doc_id, source, size, row); ``row`` tells repeated rows apart."""
     targets = source_targets(sizes, weights, max_repeats)
     targets = targets.select(F.col("source").alias("_source"), "source_size", "target")
     key = F.md5(F.concat(F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).cast("binary"))
@@ -131,8 +149,9 @@ def mix_sources(
     )
     copied = F.coalesce("copies", F.lit(0)).cast("long")
     return queued.join(copies, F.col("row") == F.col("_row"), "left").select(
-        "doc_id", "size", "source", "source_size", "target", copied.alias("copies"), (copied * F.col("size")).alias("taken")
-    )
+        "row", "doc_id", "size", "source", "source_size", "target",
+        copied.alias("copies"), (copied * F.col("size")).alias("taken"),
+    )
 
 
 SQL = f"""
