@@ -21,7 +21,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of every group of linked documents."""
+    """The document of smallest id of every group of documents linked as in op4 (3-word shingles, 90 %)."""
     ship_package(spark)
     return jaccard.keep_one(docs)
 
