@@ -1,4 +1,7 @@
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -38,6 +41,19 @@ def test_entry(spark):
     assert driver.entry(spark).columns == ["PK", "gsi_sk", "title"]
 
 
+@pytest.mark.parametrize("left", [(), ("corpus_pipeline.py",)])
+def test_entry_imports_without_the_optional_subpackage(tmp_path, left):
+    """A copy without the optional folders registers all other queries, whether or not the pipeline's file is there."""
+    root = os.path.dirname(os.path.abspath(driver.__file__))
+    shutil.copytree(os.path.join(root, "tripweave"), tmp_path / "tripweave", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    for name in ("__spark_entry__.py", *(n for n in left if os.path.exists(os.path.join(root, n)))):
+        shutil.copy(os.path.join(root, name), tmp_path)
+    code = "import __spark_entry__ as d; print(len(d.queries()), 'pipeline' in d.queries())"
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    others = [n for n in driver.queries() if not (n.startswith("op") and n[2:3].isdigit()) and n != "pipeline"]
+    assert done.stdout.split() == [str(len(others)), "False"]
+
+
 @pytest.mark.parametrize("name", SAMPLE)
 def test_query_equals_its_twin(spark, name):
     con = duckdb.connect()
