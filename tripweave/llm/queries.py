@@ -8,7 +8,10 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripweave.llm import chat, contamination, jaccard, language, mixing, nearest, quality, substrings, token_counts, url_filter
+from tripweave.llm import (
+    alignment, chat, contamination, filter_audit, jaccard, language, license_scan, mixing, nearest, quality, substrings, token_counts,
+    url_filter,
+)
 from tripweave.llm.common import table
 from tripweave.session import ship_package
 
@@ -91,3 +94,21 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     kept = substrings.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@register("op11_token_alignment")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    first, second = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_tokens(table(spark, folder, "documents"), first, second)
+
+
+@register("op12_license_scan", license_scan.SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, folder, "documents")).drop("places")
+
+
+@register("op13_filter_audit", filter_audit.SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, folder, "documents"), table(spark, folder, "labels"))
