@@ -87,14 +87,17 @@ def test_vector_counts_only_identity_pairs(tool):
     assert tool.bytes_a[tool.a.token_to_id("Ġthe")] == b" the" and tool.bytes_b[tool.b.piece_to_id("<0x0A>")] == b"\n"
 
 
-def test_long_texts_are_cut_where_nothing_changes(tool, monkeypatch):
+def test_texts_are_cut_where_nothing_changes(tool, monkeypatch):
     rng = random.Random(5)
-    text = " ".join("".join(rng.choice("abcdeé1.日 ") for _ in range(rng.randrange(1, 12))) for _ in range(4000))
-    whole = tool.align([text])
-    monkeypatch.setattr(alignment, "CHUNK", 500)
-    assert tool.cuts and len(tool.chunks(text)) > 20 and "".join(tool.chunks(text)) == " " + text
+    alphabet = ["a", "B", "é", "1", ".", "日", " ", "\t", "\n", "\x1c", "\u00a0", "\u2028", "'", "🙂", "-"]
+    texts = [" ".join("".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 9))) for _ in range(rng.randrange(300))) for _ in range(40)]
     as_lists = lambda made: {k: pa.array(v).to_pylist() if isinstance(v, np.ndarray) else v.to_pylist() for k, v in made.items()}
-    assert as_lists(tool.align([text])) == as_lists(whole)
+    cut = as_lists(tool.align(texts))
+    assert tool.cuts and len(tool.number) > 1000
+    monkeypatch.setattr(alignment, "MEMO", 0)  # forgets all parts between slices
+    assert as_lists(tool.align(texts)) == cut
+    monkeypatch.setattr(tool, "cuts", False)
+    assert as_lists(tool.align(texts)) == cut
 
 
 def test_odd_tables(spark):

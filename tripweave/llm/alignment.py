@@ -5,10 +5,14 @@ tokens of both end cut them into groups; a link is a pair of tokens whose byte
 ranges overlap.  ``count`` of a pair of ids is the number of documents that hold
 it linked.
 
-1. Every text is encoded once.  A pair whose B id is the one that the identity
-   map (A id to the B id of the same bytes, made from the vocabularies) gives is
-   kept as its A id alone; all other pairs come from irregular groups, or are
-   the rare overlap of equal bytes at different places, and are kept as pairs.
+1. Texts are cut before every single blank between two characters that are no
+   white space: neither tokenizer can reach across (checked when the files are
+   read, else nothing is cut), so both end there, and a text is the row of its
+   parts.  A task encodes and aligns a part once while it remembers it.  A pair
+   whose B id is the one that the identity map (A id to the B id of the same
+   bytes, made from the vocabularies) gives is kept as its A id alone; all other
+   pairs come from irregular groups, or are the rare overlap of equal bytes at
+   different places, and are kept as pairs.
 2. Identity pairs are counted in vectors of the length of A's vocabulary, one
    per task.  Only irregular pairs are shuffled, by pair, after each task has
    added up its own.
@@ -17,10 +21,6 @@ it linked.
    count) go to all tasks: both sizes are bounded.  The others, which few
    documents hold each, are joined by pair and added up by row.
 
-Texts are cut before a blank between two ASCII letters or digits where they are
-long: neither tokenizer can reach across (checked when the files are read, else
-nothing is cut), so ids are those of the whole text.
-
 Defined results: texts that are null, empty, or whose joined token bytes differ
 from blank + text have no tokens (zeros, '' as digest); rows count as documents,
 also repeated ones and those without id; an empty table gives no rows; other
@@ -33,8 +33,9 @@ import hashlib
 import json
 import os
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,9 +45,9 @@ from pyspark.sql import functions as F
 from tripweave.llm.common import map_text, saved
 
 SPACE = "▁"  # stands for a blank inside pieces
-CHUNK = 1 << 16  # characters that are encoded in one go
+MEMO = 600_000  # parts that a task remembers
 MAX_FREQUENT = 1 << 19  # irregular pairs that go to all tasks
-CUT = re.compile("(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
 def byte_of_symbol() -> dict[str, int]:
@@ -90,73 +91,47 @@ class Aligner:
         )
         # texts of ids with the mark that follows them: inside a side, at the end of a side
         self.written = [f"{i}{mark}" for size, end in ((len(self.bytes_a), "|"), (count, ";")) for mark in (",", end) for i in range(size)]
+        self.forget()
 
-    def chunks(self, text: str) -> list[str]:
-        """The blank and the text, cut where no token reaches across."""
-        whole = " " + text
-        if len(whole) <= CHUNK or not self.cuts:
-            return [whole]
-        made, at = [], 0
-        while len(whole) - at > CHUNK:
-            place = CUT.search(whole, at + CHUNK)
-            if place is None:
-                break
-            made.append(whole[at : place.start()])
-            at = place.start()
-        return [*made, whole[at:]]
-
-    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of both tokenizers per text; none where their bytes are not those of the text."""
-        none = np.zeros(0, np.int64)
-        parts = [self.chunks(t) if t else [] for t in texts]
-        flat = [p for own in parts for p in own]
-        first = [e.ids for e in self.a.encode_batch(flat, add_special_tokens=False)] if flat else []
-        second = self.b.encode([p[1:] for p in flat], num_threads=1) if flat else []
-        a, b = [], []
-        ends = list(accumulate((len(own) for own in parts), initial=0))
-        for i, own in enumerate(parts):
-            ids_a = [x for part in first[ends[i] : ends[i + 1]] for x in part]
-            ids_b = [x for part in second[ends[i] : ends[i + 1]] for x in part]
-            want = "".join(own).encode()
-            fits = (
-                b"".join(map(self.bytes_a.__getitem__, ids_a)) == want
-                and b"".join(map(self.bytes_b.__getitem__, ids_b)) == want
-            )
-            a.append(np.array(ids_a, np.int64) if fits else none)
-            b.append(np.array(ids_b, np.int64) if fits else none)
-        return a, b
+    def forget(self) -> None:
+        """Empties the memory of parts: number by text, groups as text, counts, and flat lists of identity ids and other pairs."""
+        self.number: dict[str, int] = {}
+        self.groups: list[str | None] = []  # None: the bytes are not those of the part
+        self.counts = np.zeros((0, 4), np.int64)  # A tokens, B tokens, groups, links
+        self.same_of, self.pair_of = Ragged(), Ragged()
 
-    def align(self, texts: list[str | None]) -> dict:
-        """Per text the counts, the digest of its groups, its identity links and its other links, each with a count of places.
+    def learn(self, parts: list[str]) -> None:
+        """Encodes and aligns new parts, each with the blank before it, and remembers them.
 
-        All texts lie on one axis of bytes: their ends are ends of both.
+        All parts lie on one axis of bytes: their ends are ends of both.
         """
-        parts_a, parts_b = self.encode(texts)
-        a, b = np.concatenate([*parts_a, np.zeros(0, np.int64)]), np.concatenate([*parts_b, np.zeros(0, np.int64)])
-        first_a = np.concatenate([[0], np.cumsum([len(p) for p in parts_a])]).astype(np.int64)
-        first_b = np.concatenate([[0], np.cumsum([len(p) for p in parts_b])]).astype(np.int64)
+        first = [e.ids for e in self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)]
+        second = self.b.encode(parts, num_threads=1)
+        wanted = [b" " + p.encode() for p in parts]
+        fits = [True] * len(parts)
+        for ids, table, sizes in ((first, self.bytes_a, self.size_a), (second, self.bytes_b, self.size_b)):
+            whole = list(chain.from_iterable(ids))
+            ends = np.concatenate([[0], np.cumsum(sizes[whole])])[np.cumsum(list(map(len, ids)))]
+            same_ends = np.array_equal(ends, np.cumsum(list(map(len, wanted))))
+            if not same_ends or b"".join(map(table.__getitem__, whole)) != b"".join(wanted):
+                fits = [ok and b"".join(map(table.__getitem__, i)) == w for ok, i, w in zip(fits, ids, wanted, strict=True)]
+        if not all(fits):
+            first = [ids if ok else [] for ids, ok in zip(first, fits, strict=True)]
+            second = [ids if ok else [] for ids, ok in zip(second, fits, strict=True)]
+        n_a, n_b = np.fromiter(map(len, first), np.int64, len(parts)), np.fromiter(map(len, second), np.int64, len(parts))
+        a = np.fromiter(chain.from_iterable(first), np.int64, n_a.sum())
+        b = np.fromiter(chain.from_iterable(second), np.int64, n_b.sum())
+        first_a, first_b = np.concatenate([[0], np.cumsum(n_a)]), np.concatenate([[0], np.cumsum(n_b)])
         end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        bounds = np.concatenate([[0], end_a])[first_a]  # byte ends of the texts
+        bounds = np.concatenate([[0], end_a])[first_a]  # byte ends of the parts
         common = np.intersect1d(end_a, end_b, assume_unique=True)
         segments = np.union1d(end_a, end_b)  # every link is one stretch between neighbouring ends
         link_a, link_b = a[np.searchsorted(end_a, segments)], b[np.searchsorted(end_b, segments)]
-        doc = np.searchsorted(bounds[1:], segments)
-        groups = np.diff(np.searchsorted(common, bounds, side="right"))
-        links = np.diff(np.searchsorted(segments, bounds, side="right"))
+        owner = np.searchsorted(bounds[1:], segments)
+        n_groups = np.diff(np.searchsorted(common, bounds, side="right"))
+        n_links = np.diff(np.searchsorted(segments, bounds, side="right"))
         same = self.same[link_a] == link_b
-        made = {
-            "n_a": np.diff(first_a), "n_b": np.diff(first_b), "n_groups": groups.astype(np.int64), "n_links": links.astype(np.int64),
-            "groups_sha256": pa.array(self.digests(a, b, end_a, end_b, common, first_a, first_b), pa.string()),
-        }
-        size_a, size_b, n = len(self.bytes_a), len(self.bytes_b), len(texts)
-        keys, times = np.unique(doc[same] * size_a + link_a[same], return_counts=True)
-        made |= {"same": lists(keys // size_a, keys % size_a, n), "same_times": lists(keys // size_a, times, n)}
-        keys, times = np.unique((doc[~same] * size_a + link_a[~same]) * size_b + link_b[~same], return_counts=True)
-        owner, pair = keys // (size_a * size_b), keys % (size_a * size_b)
-        return made | {"pair": lists(owner, pair, n, np.int64), "pair_times": lists(owner, times, n)}
-
-    def digests(self, a, b, end_a, end_b, common, first_a, first_b) -> list[str]:
-        """SHA-256 of the groups of every text as `a1,a2|b1;a3|b2`."""
+        # groups as text
         group_a, group_b = np.searchsorted(common, end_a), np.searchsorted(common, end_b)
         last_a, last_b = common[group_a] == end_a, common[group_b] == end_b
         size_a, size_b = len(self.bytes_a), len(self.bytes_b)
@@ -164,8 +139,69 @@ class Aligner:
         order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
         written = list(map(self.written.__getitem__, codes[order].tolist()))
         ends = (first_a + first_b).tolist()
-        texts = ("".join(written[x:y])[:-1] for x, y in zip(ends, ends[1:], strict=False))
-        return [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
+        self.groups += ["".join(written[x:y]) if ok else None for x, y, ok in zip(ends, ends[1:], fits, strict=False)]
+        self.counts = np.concatenate([self.counts, np.column_stack([n_a, n_b, n_groups, n_links])])
+        self.same_of.extend(np.bincount(owner[same], minlength=len(parts)), link_a[same])
+        self.pair_of.extend(np.bincount(owner[~same], minlength=len(parts)), link_a[~same] * size_b + link_b[~same])
+
+    def align(self, texts: list[str | None]) -> dict:
+        """Per text the counts, the digest of its groups, its identity links and its other links, each with a count of places."""
+        if len(self.number) > MEMO:
+            self.forget()
+        number, fresh, rows = self.number, [], []
+        for text in texts:
+            parts = () if not text else CUT.split(text) if self.cuts else (text,)
+            own = list(map(number.get, parts))
+            if None in own:
+                for k, i in enumerate(own):
+                    if i is None:
+                        if parts[k] not in number:
+                            number[parts[k]] = len(number)
+                            fresh.append(parts[k])
+                        own[k] = number[parts[k]]
+            rows.append(own)
+        if fresh:
+            self.learn(fresh)
+        groups, digests = self.groups, []
+        for i, own in enumerate(rows):
+            written = [groups[k] for k in own]
+            if None in written:
+                rows[i] = written = []
+            digests.append(hashlib.sha256("".join(written)[:-1].encode()).hexdigest() if written else "")
+        n, sizes = len(texts), np.fromiter(map(len, rows), np.int64, len(texts))
+        doc = np.repeat(np.arange(n), sizes)
+        parts = np.fromiter(chain.from_iterable(rows), np.int64, len(doc))
+        ends = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(self.counts[parts], axis=0)])
+        bounds = np.concatenate([[0], np.cumsum(sizes)])
+        totals = ends[bounds[1:]] - ends[bounds[:-1]]
+        made = dict(zip(("n_a", "n_b", "n_groups", "n_links"), totals.T.copy(), strict=True))
+        made["groups_sha256"] = pa.array(digests, pa.string())
+        for name, held, span, kind in (
+            ("same", self.same_of, len(self.bytes_a), np.int32),
+            ("pair", self.pair_of, len(self.bytes_a) * len(self.bytes_b), np.int64),
+        ):
+            count, values = held.take(parts)
+            keys, times = np.unique(np.repeat(doc, count) * span + values, return_counts=True)
+            made |= {name: lists(keys // span, keys % span, n, kind), f"{name}_times": lists(keys // span, times, n)}
+        return made
+
+
+class Ragged:
+    """Lists of numbers, one after another."""
+
+    def __init__(self):
+        self.ends, self.values = array("q", [0]), array("q")
+
+    def extend(self, counts: np.ndarray, values: np.ndarray) -> None:
+        self.ends.frombytes((self.ends[-1] + np.cumsum(counts)).astype(np.int64).tobytes())
+        self.values.frombytes(values.astype(np.int64).tobytes())
+
+    def take(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and values of the chosen lists, in order."""
+        ends, values = np.frombuffer(self.ends, np.int64), np.frombuffer(self.values, np.int64)
+        start, count = ends[which], ends[which + 1] - ends[which]
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start, count)
+        return count, values[at]
 
 
 def lists(owner: np.ndarray, values: np.ndarray, n: int, kind: type = np.int32) -> pa.Array:
