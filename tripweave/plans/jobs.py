@@ -24,7 +24,7 @@ from tripweave.operators import (
     vectors,
     visitors,
 )
-from tripweave.session import work_folder
+from tripweave.session import saved, work_folder
 from tripweave.sources import dimensions, raw, sinks
 
 Frames = dict[str, DataFrame]
@@ -38,17 +38,6 @@ def run_stages(frames: Frames, stages: Sequence[Stage]) -> Frames:
     return frames
 
 
-def saved(rows: DataFrame, purpose: str) -> DataFrame:
-    """Rows written once to the shared work folder and read back.
-
-    Used after expensive steps, so that neither a second action nor a lost
-    executor repeats them.
-    """
-    path = work_folder(rows.sparkSession, purpose)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 # --- domain items -----------------------------------------------------------
 
 

@@ -129,6 +129,28 @@ VIEWS = {
           concat('2025-0', cast(1 + pos % 9 AS string), '-01T00:00:00Z') AS collected_at,
           cast(mapy AS double) AS latitude, pos
         FROM {content} WHERE contentid <> '' AND contenttypeid IN ('12', '14', '15', '28')""",
+    # Places: one per customer; a third lie around one spot, some at the antimeridian, at a pole or nowhere.
+    "places": """
+        SELECT concat('P', cast(c_custkey AS string)) AS place, c_name AS title, concat('KR-', cast(c_nationkey AS string)) AS city_id,
+          CASE WHEN c_custkey % 31 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN cast(c_custkey % 101 AS double) / 20000 + 37.5
+            WHEN c_custkey % 53 = 1 THEN cast(c_custkey % 7 AS double) / 100 + 89.9
+            WHEN c_custkey % 47 = 1 THEN 45.0 ELSE cast(c_custkey * 37 % 1000 AS double) / 200 + 33 END AS latitude,
+          CASE WHEN c_custkey % 37 = 0 THEN NULL WHEN c_custkey % 3 = 0 THEN cast(c_custkey % 211 AS double) / 20000 + 127
+            WHEN c_custkey % 53 = 1 THEN cast(c_custkey % 360 AS double) - 180
+            WHEN c_custkey % 47 = 1 THEN CASE WHEN c_custkey % 2 = 0 THEN -180.0 ELSE 180.0 END
+            ELSE cast(c_custkey * 61 % 1000 AS double) / 200 + 125 END AS longitude,
+          split(CASE WHEN c_custkey % 11 = 0 THEN '' ELSE concat(lower(c_mktsegment), CASE WHEN c_custkey % 3 = 0 THEN ',food' ELSE '' END,
+            CASE WHEN c_custkey % 5 = 0 THEN ',sea' ELSE '' END) END, ',') AS themes,
+          split(CASE WHEN c_custkey % 13 = 0 THEN '' ELSE concat(cast(c_custkey % 12 + 1 AS string), ',',
+            cast(c_custkey * 7 % 12 + 1 AS string)) END, ',') AS months,
+          CASE WHEN c_custkey % 17 = 0 THEN NULL ELSE c_acctbal END AS rank,
+          CASE WHEN c_custkey % 4 = 0 THEN cast('2024-11-05' AS date) + cast(c_custkey % 400 AS int) END AS event_start_date,
+          CASE WHEN c_custkey % 8 = 0 THEN cast('2024-11-05' AS date) + cast(c_custkey % 400 + c_custkey % 50 AS int) END AS event_end_date,
+          CASE WHEN c_custkey % 9 = 0 THEN ' ' ELSE concat('about ', c_name) END AS description,
+          CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE c_mktsegment END AS address,
+          CASE WHEN c_custkey % 7 = 0 THEN '' ELSE concat('https://img.example.com/', cast(c_custkey AS string)) END AS image_url,
+          CASE WHEN c_custkey % 19 = 0 THEN NULL ELSE abs(c_acctbal) / 6113 END AS distance
+        FROM {customer}""",
 }
 
 
@@ -177,6 +199,8 @@ def twin(text: str) -> str:
     if not needed:
         return body
     views = ",\n".join(f"{n} AS ({plain(VIEWS[n])})" for n in needed)
+    if body.upper().startswith("WITH RECURSIVE "):
+        return f"WITH RECURSIVE {views},\n{body[15:]}"
     if body.upper().startswith("WITH "):
         return f"WITH {views},\n{body[5:]}"
     return f"WITH {views}\n{body}"
