@@ -1,6 +1,7 @@
 """Registered queries over the benchmark tables and their SQL twins."""
 
 from tripweave.workloads import (  # noqa: F401
+    calendar_queries,
     city_queries,
     discovery_queries,
     domain_queries,
