@@ -13,19 +13,19 @@ def unique_names(rows: DataFrame, city: str, base: Column, content_id: Column, o
     """Adds ``name``: the first row of a base name in a city keeps it, later
     ones append their content id.
 
-    Only the first position of every name is looked for, by an aggregate that
-    combines before the shuffle, and joined back on the unique row position, so
-    a name that repeats in a third of all rows is no hot key.
+    Only names that occur more than once matter.  Their first positions come from
+    an aggregate that combines before the shuffle; the later positions are found
+    among bare (city, position, name) rows and joined to the whole rows on the
+    unique position, so that a name of a third of all rows is no hot key there.
+    Where few names repeat, Spark broadcasts both and no whole row moves.
     """
     named = rows.withColumn("_base", base).withColumn("_id", content_id)
-    firsts = (
-        named.groupBy(city, "_base")
-        .agg(F.min(F.struct(*order)).alias("at"))
-        .select(city, "at.*", F.lit(True).alias("_first"))
-    )
-    joined = named.join(firsts, [city, *order], "left")
-    name = F.when(F.col("_first"), F.col("_base")).otherwise(F.concat_ws("_", "_base", "_id"))
-    return joined.withColumn("name", name).drop("_base", "_id", "_first")
+    bare = named.select(city, "_base", F.struct(*order).alias("_at"))
+    repeated = bare.groupBy(city, "_base").agg(F.min("_at").alias("_first"), F.count("*").alias("_n")).where("_n > 1").drop("_n")
+    later = bare.join(repeated, [city, "_base"]).where("_at <> _first").select(city, "_at.*", F.lit(True).alias("_later"))
+    joined = named.join(later, [city, *order], "left")
+    name = F.when(F.col("_later"), F.concat_ws("_", "_base", "_id")).otherwise(F.col("_base"))
+    return joined.withColumn("name", name).drop("_base", "_id", "_later")
 
 
 def base_name(title: Column, content_id: Column) -> Column:

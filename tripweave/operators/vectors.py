@@ -251,8 +251,8 @@ def _list_bytes(name: str, tags: Column, kept: Column) -> Column:
     return F.when(tags.isNull(), F.lit(0)).otherwise(quoted + commas + len(f',"{name}":[]'))
 
 
-def _fitting(tags: Column, room: Column) -> Column:
-    """How many leading tags fit into ``room`` bytes, in one pass."""
+def _fitting(tags: Column, room: Column, most: int) -> Column:
+    """How many leading tags, ``most`` at most, fit into ``room`` bytes, in one pass."""
 
     def add(state: Column, tag: Column) -> Column:
         comma = F.when(state["n"] > 0, 1).otherwise(0)
@@ -265,29 +265,31 @@ def _fitting(tags: Column, room: Column) -> Column:
         )
 
     start = F.struct(F.lit(0).alias("used"), F.lit(0).alias("n"), F.lit(True).alias("open"))
-    return F.coalesce(F.aggregate(tags, start, add, lambda state: state["n"]), F.lit(0))
+    return F.coalesce(F.aggregate(F.slice(tags, F.lit(1), F.lit(most)), start, add, lambda state: state["n"]), F.lit(0))
 
 
 def trim_to_budget(metadata: Column, budget: int = BUDGET_BYTES) -> Column:
     """Metadata within ``budget`` bytes of filterable JSON, else null.
 
     Experience tags are dropped from the end first, then vibe tags.  Sizes are
-    added up per tag in one pass over each list.
+    added up per tag in one pass over each list, as far as tags can fit: a tag
+    takes three bytes at least, so longer lists are over budget whatever they hold.
     """
+    most = budget // 3 + 2
     trimmed = ("experience_tags", "vibe_tags")
     experience, vibe = (metadata[n] for n in trimmed)
     none = F.lit(0)
-    n_vibe = F.greatest(F.coalesce(F.size(vibe), none), none)
+    n_vibe = F.least(F.greatest(F.coalesce(F.size(vibe), none), none), F.lit(most))
     bare = filter_bytes(metadata, without=trimmed) + _list_bytes(trimmed[0], experience, none)
     all_vibe = bare + _list_bytes(trimmed[1], vibe, n_vibe)
     no_vibe = bare + _list_bytes(trimmed[1], vibe, none)
     whole = all_vibe <= budget
     cut = metadata.withField(
         "experience_tags",
-        F.slice(experience, F.lit(1), F.when(whole, _fitting(experience, F.lit(budget) - all_vibe)).otherwise(none)),
+        F.slice(experience, F.lit(1), F.when(whole, _fitting(experience, F.lit(budget) - all_vibe, most)).otherwise(none)),
     ).withField(
         "vibe_tags",
-        F.slice(vibe, F.lit(1), F.when(whole, n_vibe).otherwise(_fitting(vibe, F.lit(budget) - no_vibe))),
+        F.slice(vibe, F.lit(1), F.when(whole, n_vibe).otherwise(_fitting(vibe, F.lit(budget) - no_vibe, most))),
     )
     return F.when(no_vibe <= budget, cut)
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripweave.functions.calls import BatchFn
@@ -49,19 +49,30 @@ def preprocess_domain(
     ``reading`` goes to ``raw.read_raw_files``.
     """
     payloads = raw.parse_payloads(raw.read_raw_files(spark, raw_path, **reading))
-    sinks.write_domain_output(domain.domain_items(payloads, classification), out)
-    return {
-        "summary": spark.read.json(f"{out}/summary"),
-        "failed_files": raw.failed_files(payloads),
-    }
+    seen, observed = observe_failed(payloads)
+    sinks.write_domain_output(domain.domain_items(observed, classification), out)
+    return {"summary": spark.read.json(f"{out}/summary"), "failed_files": failed_if_any(payloads, seen)}
+
+
+def observe_failed(payloads: DataFrame) -> tuple[Observation, DataFrame]:
+    """Counts the unreadable files while the payloads are used."""
+    seen = Observation("unreadable")
+    return seen, payloads.observe(seen, F.count_if(~F.col("is_valid")).alias("failed"))
 
 
-def transform_legacy(spark: SparkSession, raw_path: str, out: str, ingest_date: str) -> Frames:
-    """Raw files to flat records by quality status."""
-    payloads = raw.parse_payloads(raw.read_raw_files(spark, raw_path))
-    sinks.write_by_status(legacy.transform_records(payloads), out, ingest_date)
+def failed_if_any(payloads: DataFrame, seen: Observation) -> DataFrame:
+    """Unreadable files; the raw zone is read again only if the job has seen some."""
+    failed = raw.failed_files(payloads)
+    return failed if seen.get["failed"] else failed.sparkSession.createDataFrame([], failed.schema)
+
+
+def transform_legacy(spark: SparkSession, raw_path: str, out: str, ingest_date: str, **reading) -> Frames:
+    """Raw files to flat records by quality status; ``reading`` goes to ``raw.read_raw_files``."""
+    payloads = raw.parse_payloads(raw.read_raw_files(spark, raw_path, **reading))
+    seen, observed = observe_failed(payloads)
+    sinks.write_by_status(legacy.transform_records(observed), out, ingest_date)
     written = spark.read.parquet(out).where(F.col("ingest_date").cast("string") == ingest_date)
-    unreadable = raw.failed_files(payloads).select("source_key", "status")
+    unreadable = failed_if_any(payloads, seen).select("source_key", "status")
     files = legacy.file_status(written).select("source_key", "status").unionByName(unreadable)
     return {"files": files, "summary": legacy.run_summary(files)}
 
@@ -75,7 +86,7 @@ def load_items(
     province_id: str | None = None,
 ) -> Frames:
     """Processed items of one run into the keyed store."""
-    rows = keyvalue.backfill_index_keys(keyvalue.in_province(processed, province_id))
+    rows = saved(keyvalue.backfill_index_keys(keyvalue.in_province(processed, province_id)), "load")
     sinks.append_batch(rows, store, batch, order)
     return {"summary": keyvalue.load_summary(rows), "failures": keyvalue.load_failures(rows)}
 

@@ -173,15 +173,19 @@ def city_targets(
 
 def region_targets(
     districts: DataFrame,
-    city_names_ko: Sequence[str] = (),
+    city_names_ko: Sequence[str] | DataFrame = (),
     region_codes: Sequence[str] = TARGET_REGION_CODES,
 ) -> DataFrame:
     """Districts of the covered regions, optionally limited by name.
 
-    An empty selection is an error.
+    Names may be a table with the column ``city_name_ko``.  An empty selection
+    is an error.
     """
     out = districts.where(F.col("lDongRegnCd").cast("string").isin(*region_codes))
-    if city_names_ko:
+    if isinstance(city_names_ko, DataFrame):
+        names = city_names_ko.select(F.col("city_name_ko").alias("_name")).distinct()
+        out = out.join(names, F.col("lDongSignguNm") == F.col("_name"), "left_semi")
+    elif city_names_ko:
         out = out.where(F.col("lDongSignguNm").isin(*city_names_ko))
     if out.isEmpty():
         raise ValueError("no target district selected")

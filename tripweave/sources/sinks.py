@@ -19,17 +19,22 @@ from tripweave.sources.raw import text_at
 def write_domain_output(items: DataFrame, path: str) -> None:
     """All buckets in one job as ``path/items/bucket=…``, then the counts of what was written as ``path/summary``."""
     rows = items.withColumn("bucket", F.explode("buckets")).drop("buckets", "position")
-    rows.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/items")
+    clustered(rows, "bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/items")
     written = items.sparkSession.read.parquet(f"{path}/items").withColumn("buckets", F.array("bucket"))
     quality_summary(written).write.mode("overwrite").json(f"{path}/summary")
 
 
+def clustered(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows dealt by the columns of their folders, so that a folder gets few files; large folders spread over several tasks."""
+    return rows.hint("rebalance", *columns)
+
+
 def write_by_status(records: DataFrame, path: str, ingest_date: str) -> None:
     """Records as ``path/ingest_date=…/quality_status=…``; empty statuses
     leave no folder."""
     dated = records.withColumn("ingest_date", F.lit(ingest_date))
     (
-        dated.write.mode("overwrite")
+        clustered(dated, "quality_status").write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ingest_date", "quality_status")
         .parquet(path)
@@ -38,7 +43,7 @@ def write_by_status(records: DataFrame, path: str, ingest_date: str) -> None:
 
 def write_by_city(rows: DataFrame, path: str) -> None:
     """One folder per English city name."""
-    rows.write.mode("overwrite").partitionBy("city_name_en").json(path)
+    clustered(rows, "city_name_en").write.mode("overwrite").partitionBy("city_name_en").json(path)
 
 
 def write_csv(rows: DataFrame, path: str) -> None:
@@ -215,9 +220,9 @@ def ingest_status(
     return manifest.join(stored, key, "left").withColumn("status", status).drop("_stored")
 
 
-def required_files(spark: SparkSession, names: Sequence[str], inventory: DataFrame) -> DataFrame:
-    """Expected file names with found / missing status and an error text."""
-    expected = spark.createDataFrame([(n,) for n in names], "file_name string")
+def required_files(spark: SparkSession, names: Sequence[str] | DataFrame, inventory: DataFrame) -> DataFrame:
+    """Expected file names, a list or a table (file_name), with found / missing status and an error text."""
+    expected = names.select("file_name") if isinstance(names, DataFrame) else spark.createDataFrame([(n,) for n in names], "file_name string")
     present = inventory.select("file_name").distinct().withColumn("found", F.lit(True))
     joined = expected.join(present, "file_name", "left")
     return joined.select(

@@ -7,6 +7,7 @@ from tripweave.workloads import (  # noqa: F401
     domain_queries,
     item_queries,
     job_queries,
+    run_queries,
     source_queries,
     store_queries,
 )

@@ -121,7 +121,7 @@ def visitor_envelope(t):
 
 FINAL = """
     WITH meta AS (SELECT n_name AS city_name_en, arg_max(s_name, s_suppkey) AS title FROM {supplier} JOIN {nation} ON n_nationkey = s_nationkey
-        WHERE s_suppkey % 2 = 1 AND n_nationkey < 20 GROUP BY 1),
+        WHERE n_nationkey < 20 GROUP BY 1),
     stats AS (SELECT d.city_name_en, count(DISTINCT concat(cast(year(f.date) AS string), '-', cast(month(f.date) AS string))) AS n
         FROM {daily} f JOIN {districts} d ON d.code = f.signgu_code WHERE f.tou_div_cd <= 3 GROUP BY 1),
     final AS (SELECT coalesce(m.city_name_en, s.city_name_en) AS city_name_en, m.title, coalesce(s.n, 0) AS stat_months,
@@ -134,7 +134,7 @@ FINAL = """
 def _final(t):
     named = t.sql(
         "SELECT n_name AS city_name_en, s_name AS title, s_suppkey AS pos FROM {supplier} JOIN {nation} "
-        "ON n_nationkey = s_nationkey WHERE s_suppkey % 2 = 1 AND n_nationkey < 20"
+        "ON n_nationkey = s_nationkey WHERE n_nationkey < 20"
     )
     months = visitors.monthly_statistics(_mapped(t))
     stats = months.groupBy("city_name_en").agg(F.count("*").alias("stat_months"))

@@ -75,7 +75,7 @@ KNOWN_SEGMENTS = SHIPMENTS.replace("FROM {shipments} f JOIN", "FROM (SELECT * FR
 
 @query(KNOWN_SEGMENTS + f"""
     , years AS (SELECT unnest([{", ".join(map(str, YEARS))}]) AS year),
-    meta AS (SELECT DISTINCT n_name AS city_name_en FROM {{supplier}} JOIN {{nation}} ON n_nationkey = s_nationkey WHERE s_suppkey % 2 = 1 AND n_nationkey < 20),
+    meta AS (SELECT DISTINCT n_name AS city_name_en FROM {{supplier}} JOIN {{nation}} ON n_nationkey = s_nationkey WHERE n_nationkey < 20),
     stats AS (SELECT city_name_en, year, count(*) AS n, sum(cast(total_visitors AS decimal(28, 2))) AS total FROM monthly WHERE has_data GROUP BY 1, 2),
     cities AS (SELECT year, city_name_en FROM years CROSS JOIN meta UNION SELECT year, city_name_en FROM stats WHERE year IN (SELECT year FROM years))
     SELECT c.year, c.city_name_en, coalesce(s.n, 0) AS months, round(cast(s.total AS double), 2) AS total,
@@ -86,7 +86,7 @@ def final_cities_years(t):
     folder = work_folder(t.spark, "final-years")
     named = t.sql(
         "SELECT n_name AS city_name_en, s_name AS title, s_suppkey AS pos FROM {supplier} JOIN {nation} "
-        "ON n_nationkey = s_nationkey WHERE s_suppkey % 2 = 1 AND n_nationkey < 20"
+        "ON n_nationkey = s_nationkey WHERE n_nationkey < 20"
     )
     monthly = jobs.saved(visitors.monthly_statistics(_mapped(t, "shipments")), "monthly")
     schema = """city_name_en string, outcome string,
@@ -220,25 +220,28 @@ def statistics_rows(t):
 
 
 @query("""
-    SELECT n_nationkey, n_name AS name FROM {nation} WHERE n_regionkey IN (1, 3) AND n_name IN (SELECT n_name FROM {nation} WHERE n_nationkey % 2 = 1)""")
+    SELECT s_suppkey, s_name AS name FROM {supplier} JOIN {nation} ON n_nationkey = s_nationkey
+    WHERE n_regionkey IN (1, 3) AND s_suppkey IN (SELECT l_suppkey FROM {lineitem} WHERE l_quantity >= 50)""")
 def region_targets(t):
-    """Districts of the covered regions, limited by name."""
-    names = [r[0] for r in t["nation"].where("n_nationkey % 2 = 1").select("n_name").collect()]  # a dimension of fixed size
-    districts = t["nation"].select(
-        "n_nationkey", F.col("n_name").alias("lDongSignguNm"), F.concat(F.lit("r"), "n_regionkey").alias("lDongRegnCd")
+    """Districts (one per supplier) of the covered regions, limited to the names of those with a large shipment."""
+    districts = t["supplier"].join(t["nation"], F.col("n_nationkey") == F.col("s_nationkey")).select(
+        "s_suppkey", F.col("s_name").alias("lDongSignguNm"), F.concat(F.lit("r"), "n_regionkey").alias("lDongRegnCd")
     )
+    large = t["lineitem"].where("l_quantity >= 50").select(F.col("l_suppkey").alias("s_suppkey"))
+    names = t["supplier"].join(large, "s_suppkey", "left_semi").select(F.col("s_name").alias("city_name_ko"))
     found = dimensions.region_targets(districts, names, ("r1", "r3"))
-    return found.select("n_nationkey", F.col("lDongSignguNm").alias("name"))
+    return found.select("s_suppkey", F.col("lDongSignguNm").alias("name"))
 
 
 @query("""
-    SELECT file_name, CASE WHEN k % 3 = 0 THEN 'found' ELSE 'failed' END AS status, CASE WHEN k % 3 <> 0 THEN concat('File not found: ', file_name) END AS error
-    FROM (SELECT n_nationkey AS k, concat(n_name, '.json') AS file_name FROM {nation}) n""")
+    SELECT concat('part-', cast(p_partkey AS string), '.json') AS file_name, CASE WHEN l.k IS NOT NULL THEN 'found' ELSE 'failed' END AS status,
+      CASE WHEN l.k IS NULL THEN concat('File not found: part-', cast(p_partkey AS string), '.json') END AS error
+    FROM {part} LEFT JOIN (SELECT DISTINCT l_partkey AS k FROM {lineitem} WHERE l_returnflag = 'R') l ON l.k = p_partkey""")
 def required_files(t):
-    """Expected files against an inventory that has every third one."""
-    names = t["nation"].select(F.concat("n_name", F.lit(".json")).alias("file_name"), "n_nationkey")
-    wanted = [r[0] for r in names.collect()]  # a dimension of fixed size
-    return sinks.required_files(t.spark, wanted, names.where("n_nationkey % 3 = 0").select("file_name"))
+    """A file per part, against an inventory of the parts that were returned."""
+    name = lambda key: F.concat(F.lit("part-"), key, F.lit(".json")).alias("file_name")
+    returned = t["lineitem"].where("l_returnflag = 'R'").select(name("l_partkey"))
+    return sinks.required_files(t.spark, t["part"].select(name("p_partkey")), returned)
 
 
 @query("SELECT entity_type, count(*) AS item_count, cast(2 AS int) AS version FROM {items} WHERE province <> 'ASIA' GROUP BY 1")

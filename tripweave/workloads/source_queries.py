@@ -8,7 +8,7 @@ from tripweave.functions import text as X
 from tripweave.functions.hashing import payload_signature
 from tripweave.functions.names import name_slug
 from tripweave.operators import harvest, legacy, pages, visitors
-from tripweave.session import work_folder
+from tripweave.session import saved, work_folder
 from tripweave.sources import dimensions, raw, sinks
 from tripweave.sources.dimensions import province_regions
 from tripweave.sources.fixed import PROVINCES
@@ -350,8 +350,8 @@ def source_files(t):
       CASE s_suppkey % 4 WHEN 1 THEN 2 WHEN 3 THEN 0 ELSE 1 END AS attractions_count_filtered, CASE WHEN s_suppkey % 4 = 3 THEN 0 ELSE 1 END AS festivals_count_filtered FROM {supplier}""")
 def harvest_cities(t):
     """City details with counts; cities without a file stay empty."""
-    targets, inventory = t.sql(HARVEST_TARGETS), _inventory(t)
-    details = harvest.city_details(targets, harvest.resolve_sources(targets, inventory), inventory)
+    targets, inventory = t.sql(HARVEST_TARGETS), saved(_inventory(t), "inventory")
+    details = harvest.city_details(targets, saved(harvest.resolve_sources(targets, inventory), "sources"), inventory)
     return details.select("city_id", "file_name", "attractions_count_filtered", "festivals_count_filtered")
 
 
@@ -372,7 +372,8 @@ def harvest_details(t):
         F.when(F.col("n_nationkey") == 0, "i2").otherwise(F.concat(F.lit("c"), "n_nationkey")).alias("content_id"),
         F.parse_json(F.lit('{"intro": {"x": "1"}}')).alias("detail"),
     )
-    rows = harvest.harvest_records(targets, harvest.resolve_sources(targets, inventory), inventory, cache)
+    inventory = saved(inventory, "inventory")
+    rows = harvest.harvest_records(targets, saved(harvest.resolve_sources(targets, inventory), "sources"), inventory, cache)
     status = F.col("field_status")
     return rows.select(
         "city_id", "kind", raw.text_at(F.col("rec"), "$.contentid").alias("contentid"),
