@@ -35,9 +35,20 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def forget(spark: SparkSession) -> None:
-    """Lets the driver drop the shuffle files of finished steps that nothing refers to any more."""
-    spark.sparkContext._jvm.System.gc()
+def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of ``bits`` bits (a power of two, 32768 at least) of keys (key long, hashed values)."""
+    spot = F.expr(f"key & {bits - 1}L")
+    pages = keys.groupBy(F.shiftright(spot, 15).alias("page")).agg(F.bitmap_construct_agg(spot.bitwiseAND(32767)).alias("bits"))
+    made = np.zeros(bits // 8, np.uint8)
+    for row in pages.toLocalIterator():  # bits / 32768 rows of 4 KB at most
+        made[row["page"] * 4096 : (row["page"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return made
+
+
+def marked(found: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the bit of each key (uint64) is set; also for some keys that were never put in."""
+    spot = (keys & np.uint64(len(found) * 8 - 1)).astype(np.int64)
+    return (found[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0
 
 
 def hash_sample(rows: DataFrame, key: str, bound: int) -> DataFrame:

@@ -8,19 +8,26 @@ same words also start in a document with a smaller id.
    share one, so there is about one anchor for five words.
 2. Anchors that occur in one document only are settled at once.  The others are
    marked in a bitmap of fixed size (``FILTER_BITS``); its false hits cost time
-   only.
-3. Distinct passages around the remaining anchors, with the smallest and largest
-   id they occur in, meet by anchor; copies are combined before the shuffle.  A
-   task takes a shard of anchors at a time: it confirms the windows that recur,
-   compiles the runs of them into an Aho-Corasick automaton over word numbers,
-   and streams the passages through it to locate every occurrence.
-4. The runs found are joined to all places of their passages, and the places go
-   back to their documents, whose covered words are removed.
+   only.  Anchors that occur more than ``HOT`` times are marked in a second one:
+   their windows go on one by one, each under its own hash, so that no anchor
+   brings an unbounded number of passages to one task.
+3. Documents are streamed passage by passage: all windows around one remaining
+   anchor.  Distinct passages, with the smallest and largest id they occur in,
+   meet by anchor; a task sends the words of a passage once.  A task takes a
+   shard of anchors at a time: it confirms the windows that recur, compiles the
+   runs of them into an Aho-Corasick automaton over word numbers, and streams the
+   passages through it to locate every occurrence.  Words outside the passages
+   cannot recur, so they meet no automaton; each passage meets the one automaton
+   that can hold its phrases, not all of them.
+4. The runs found are joined to the places of their passages.  Only documents in
+   which a place was found (a third bitmap) meet their places; all others are
+   finished where they are read.
 
 Defined results: null and empty texts have no words; texts shorter than a window
 lose nothing; rows without id lose nothing and make no other row lose anything;
 rows that share an id are judged each, against smaller ids; an empty table
-gives no rows; other columns are ignored.
+gives no rows; other columns are carried in a struct and keep their names and
+values.
 """
 
 from __future__ import annotations
@@ -35,12 +42,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripweave.llm.common import forget, map_text, mix, saved
+from tripweave.llm.common import bitmap, map_text, marked, mix, saved
 from tripweave.llm.words import gram_hashes, run_hashes, words_of
 
 WINDOW, ANCHOR = 13, 5
 FILTER_BITS = 1 << 27
-SHARD_WORDS = 1_000_000  # words of passages in one automaton's shard
+HOT_BITS = 1 << 23
+HOT = 8192  # places of an anchor above which its windows go on one by one
+REMEMBERED = 1 << 20  # passages that a task remembers to have sent
+SHARD_WORDS = 600_000  # words of passages in one automaton's shard
 
 
 def text_marks(words: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -69,8 +79,8 @@ def anchors_of(hashes: np.ndarray, first: np.ndarray, window: int, anchor: int)
     return grams[place[begins]], owner[begins], starts[begins], np.diff(np.append(begins, len(starts)))
 
 
-def recurring_filter(docs: DataFrame, window: int, anchor: int, bits: int) -> np.ndarray:
-    """Bitmap of the anchors that occur in documents of different ids."""
+def recurring_filters(docs: DataFrame, window: int, anchor: int, bits: int, hot: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bitmaps of the anchors that occur in documents of different ids, and of those that occur more than ``hot`` times."""
 
     def step(batch: pa.RecordBatch) -> dict:
         words = words_of(batch.column("text"))
@@ -79,32 +89,45 @@ def recurring_filter(docs: DataFrame, window: int, anchor: int, bits: int) -> np
         return {"anchor": keys.view(np.int64), "doc_id": ids[owner]}
 
     seen = map_text(docs, ["doc_id", "text"], "anchor long, doc_id long", step)
-    again = seen.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b")).where("a < b")
-    spot = F.expr(f"anchor & {bits - 1}L")
-    pages = again.groupBy(F.shiftright(spot, 15).alias("page")).agg(F.bitmap_construct_agg(spot.bitwiseAND(32767)).alias("bits"))
-    made = np.zeros(bits // 8, np.uint8)
-    for row in pages.toLocalIterator():  # bits / 32768 rows of 4 KB at most
-        made[row["page"] * 4096 : (row["page"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
-    return made
+    again = seen.groupBy(F.col("anchor").alias("key")).agg(
+        F.min("doc_id").alias("a"), F.max("doc_id").alias("b"), F.count("*").alias("n")
+    )
+    again = saved(again.where("a < b").select("key", (F.col("n") > hot).alias("hot")), "substring-anchors")
+    return bitmap(again.select("key"), bits), bitmap(again.where("hot").select("key"), min(bits, HOT_BITS))
+
+
+def passage_keys(anchor: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    """One number per passage, for bitmaps."""
+    return mix(anchor.view(np.uint64) ^ mix(piece.view(np.uint64)))
 
 
-def places(docs: DataFrame, found: np.ndarray, window: int, anchor: int) -> tuple[DataFrame, DataFrame]:
-    """All passages of anchors in the bitmap: (anchor, piece, least, most, words), and where they are.
+def passages(
+    docs: DataFrame, maps: tuple[np.ndarray, np.ndarray], window: int, anchor: int, known: np.ndarray | None = None
+) -> DataFrame:
+    """Passages of the anchors in the first bitmap: the windows that share an anchor, or single windows of hot anchors.
 
-    A passage holds the words of all windows of one anchor; ``piece`` is their
-    hash, ``least`` and ``most`` bound the ids of the documents of a slice that
-    hold it.  The second table is (anchor, piece, doc_id, mark, start).
+    Without ``known``: (anchor, piece, least, most, words), rows to be combined;
+    ``piece`` is the hash of the words, which a task sends once, ``least`` and
+    ``most`` bound the ids of documents that hold the passage.  With a bitmap
+    ``known`` of passages: (anchor, piece, doc_id, mark, start) of their places.
     """
-    known = docs.sparkSession.sparkContext.broadcast(found)  # of fixed size
-    bits = len(found) * 8
+    shared = docs.sparkSession.sparkContext.broadcast((*maps, known))  # of fixed size
+    sent = [np.zeros(0, np.uint64)]  # passages whose words this task has sent, sorted
 
     def some_of(batch: pa.RecordBatch) -> tuple:
         words = words_of(batch.column("text"))
         hashes = words.hashes()
         keys, owner, start, count = anchors_of(hashes, words.first, window, anchor)
-        spot = (keys & np.uint64(bits - 1)).astype(np.int64)
-        some = (known.value[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0
-        keys, owner, start, end = keys[some], owner[some], start[some], (start + count)[some] + window - 1
+        some = marked(shared.value[0], keys)
+        keys, owner, start, count = keys[some], owner[some], start[some], count[some]
+        hot = marked(shared.value[1], keys)
+        each = np.where(hot, count, 1)  # passages of the anchor
+        hot = np.repeat(hot, each)
+        step = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+        keys, owner, start, count = np.repeat(keys, each), np.repeat(owner, each), np.repeat(start, each) + step, np.repeat(count, each)
+        end = start + np.where(hot, 1, count) + window - 1
+        if hot.any():
+            keys = np.where(hot, gram_hashes(hashes, window)[np.where(hot, start, 0)], keys)
         ids = batch.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False)
         numbers = hashes >> np.uint64(32)
         columns = {
@@ -120,27 +143,32 @@ def places(docs: DataFrame, found: np.ndarray, window: int, anchor: int) -> tupl
         order = np.lexsort((ids, *key[::-1]))
         first, last = _groups(*(k[order] for k in key))
         one = order[first]  # copies in one slice are one row
-        start, end = start[one], end[one]
-        offsets = np.concatenate([[0], np.cumsum(end - start)])
-        index = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, end - start)
-        buffers = [None, pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(numbers[index])]
+        own = passage_keys(key[0][one], key[1][one])
+        at = np.minimum(np.searchsorted(sent[0], own), max(len(sent[0]) - 1, 0))
+        fresh = sent[0][at] != own if len(sent[0]) else np.ones(len(own), bool)
+        sent[0] = np.union1d(sent[0], own) if len(sent[0]) < REMEMBERED else np.unique(own)
+        start, size = start[one], np.where(fresh, end[one] - start[one], 0)
+        offsets = np.concatenate([[0], np.cumsum(size)])
+        index = np.arange(offsets[-1]) - np.repeat(offsets[:-1] - start, size)
+        buffers = [pa.array(fresh).buffers()[1], pa.py_buffer((offsets * 4).astype(np.int32)), pa.py_buffer(numbers[index])]
         return {
             "anchor": key[0][one],
             "piece": key[1][one],
             "least": ids[one],
             "most": ids[order[last]],
-            "words": pa.Array.from_buffers(pa.binary(), len(start), buffers),
+            "words": pa.Array.from_buffers(pa.binary(), len(one), buffers),
         }
 
     def with_place(batch: pa.RecordBatch) -> dict:
         columns, first, hashes, _, owner, start, _ = some_of(batch)
-        return columns | {"mark": text_marks(hashes, first)[owner], "start": (start - first[owner]).astype(np.int32)}
+        some = marked(shared.value[2], passage_keys(columns["anchor"], columns["piece"]))
+        made = columns | {"mark": text_marks(hashes, first)[owner], "start": (start - first[owner]).astype(np.int32)}
+        return {name: values[some] for name, values in made.items()}
 
     key = "anchor long, piece long"
-    return (
-        map_text(docs, ["doc_id", "text"], f"{key}, least long, most long, words binary", with_words),
-        map_text(docs, ["doc_id", "text"], f"{key}, doc_id long, mark int, start int", with_place),
-    )
+    if known is None:
+        return map_text(docs, ["doc_id", "text"], f"{key}, least long, most long, words binary", with_words)
+    return map_text(docs, ["doc_id", "text"], f"{key}, doc_id long, mark int, start int", with_place)
 
 
 def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -207,13 +235,15 @@ def locate(least: np.ndarray, most: np.ndarray, pieces: list[bytes], window: int
 def find_repeats(pieces: DataFrame, window: int, shard_words: int = SHARD_WORDS) -> DataFrame:
     """anchor, piece, begin, end, first: runs of windows of a passage and the smallest id they occur in.
 
-    ``pieces`` is (anchor, piece, least, most, words), any number of rows per passage.
+    ``pieces`` is (anchor, piece, least, most, words), any number of rows per
+    passage, of which one at least has the words.
     """
 
     def shard(held: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held).combine_chunks()
         anchor, piece, least, most = (rows.column(c).to_numpy() for c in ("anchor", "piece", "least", "most"))
-        order = np.lexsort((piece, anchor))
+        bare = rows.column("words").is_null().to_numpy()
+        order = np.lexsort((bare, piece, anchor))  # rows with words first
         starts, _ = _groups(anchor[order], piece[order])
         one = order[starts]
         bounds = np.minimum.reduceat(least[order], starts), np.maximum.reduceat(most[order], starts)
@@ -244,49 +274,101 @@ def find_repeats(pieces: DataFrame, window: int, shard_words: int = SHARD_WORDS)
     return pieces.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, schema)
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, bits: int = FILTER_BITS) -> DataFrame:
-    """doc_id, n_words, n_removed, kept (the words that stay, joined by a blank) per row of docs (doc_id, text).
+def repeat_spans(docs: DataFrame, window: int, anchor: int, bits: int, hot: int) -> DataFrame:
+    """doc_id, mark, start, end: runs of words of docs (doc_id, text) whose windows also start in a document of smaller id.
 
-    Other columns of ``docs`` are carried along, unless a result has their name.
+    ``mark`` tells the texts of one id apart.
     """
-    texts = docs.select("doc_id", "text").where("doc_id IS NOT NULL")
-    found = recurring_filter(texts, window, anchor, bits)
-    forget(docs.sparkSession)
-    pieces, where = places(texts, found, window, anchor)
-    runs = saved(find_repeats(pieces, window), "substring-runs")
-    forget(docs.sparkSession)
-    spans = (
-        where.join(runs, ["anchor", "piece"])
+    maps = recurring_filters(docs, window, anchor, bits, hot)
+    runs = saved(find_repeats(passages(docs, maps, window, anchor), window), "substring-runs")
+
+    @F.arrow_udf("long")
+    def key_of(anchors: pa.Array, pieces: pa.Array) -> pa.Array:
+        return pa.array(passage_keys(anchors.to_numpy(), pieces.to_numpy()).view(np.int64))
+
+    known = bitmap(runs.select("anchor", "piece").distinct().select(key_of("anchor", "piece").alias("key")), bits)
+    return (
+        passages(docs, maps, window, anchor, known)
+        .join(runs, ["anchor", "piece"])
         .where("first < doc_id")
         .select("doc_id", "mark", (F.col("start") + F.col("begin")).alias("start"), (F.col("start") + F.col("end")).alias("end"))
     )
-    listed = spans.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("mark", "start", "end")).alias("_spans"))
-    extra = [c for c in docs.columns if c not in ("text", "n_words", "n_removed", "kept", "_doc", "_spans")]
-    both = docs.select(*extra, "text").join(listed, F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
+
+
+def judge_repeats(
+    docs: DataFrame, whole: bool, window: int = WINDOW, anchor: int = ANCHOR, bits: int = FILTER_BITS, hot: int = HOT
+) -> DataFrame:
+    """row (a struct of all columns of a row of docs but its text), n_words, n_removed, kept.
+
+    ``kept`` holds the words that stay, joined by a blank; with ``whole``, a text
+    that loses nothing is kept as it is, null too.
+    """
+    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*rest).alias("row"))
+    texts = rows.select("doc_id", "text").where("doc_id IS NOT NULL")
+    spans = saved(repeat_spans(texts, window, anchor, bits, hot), "substring-spans")
+    losing = docs.sparkSession.sparkContext.broadcast(  # of fixed size
+        bitmap(spans.select(F.col("doc_id").alias("id")).distinct().select(F.xxhash64("id").alias("key")), bits)
+    )
+
+    @F.arrow_udf("boolean")
+    def may_lose(key: pa.Array) -> pa.Array:
+        return pa.array(marked(losing.value, key.to_numpy().view(np.uint64)))
+
+    listed = spans.groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_list(F.struct("mark", "start", "end")).alias("spans"))
+    some = rows.where(may_lose(F.xxhash64("doc_id"))).join(listed, F.col("doc_id") == F.col("_doc"), "left")
+    schema = StructType([rows.schema["row"]]).add("n_words", "long").add("n_removed", "long").add("kept", "string")
+
+    def others(batch: pa.RecordBatch) -> dict | None:
+        """Documents that lose nothing, finished where they are read."""
+        stay = ~marked(losing.value, batch.column("key").to_numpy().view(np.uint64))
+        return step(batch.filter(pa.array(stay))) if stay.any() else None
 
     def step(batch: pa.RecordBatch) -> dict:
         words = words_of(batch.column("text"))
-        count = words.counts
         marks = None
         kept, removed = [], np.zeros(batch.num_rows, np.int64)
-        spans = batch.column("_spans")
+        spans = batch.column("spans") if "spans" in batch.schema.names else pa.nulls(batch.num_rows)
         for i, text in enumerate(batch.column("text")):
-            own = (text.as_py() or "").encode().split()
+            text = text.as_py()
+            own = stay = None
             if spans[i].is_valid:
                 if marks is None:
                     marks = text_marks(words.hashes(), words.first)
+                own = (text or "").encode().split()
                 stay = np.ones(len(own), bool)
                 for span in spans[i].as_py():
                     if span["mark"] == marks[i]:
                         stay[span["start"] : span["end"]] = False
                 removed[i] = len(own) - stay.sum()
-                own = compress(own, stay)
-            kept.append(b" ".join(own).decode())
-        made = {c: batch.column(c) for c in extra}
-        return made | {"n_words": count.astype(np.int64), "n_removed": removed, "kept": pa.array(kept, pa.string())}
+            if whole and not removed[i]:
+                kept.append(text)
+                continue
+            own = (text or "").encode().split() if own is None else own
+            kept.append(b" ".join(compress(own, stay) if removed[i] else own).decode())
+        return {"row": batch.column("row"), "n_words": words.counts.astype(np.int64), "n_removed": removed, "kept": pa.array(kept, pa.string())}
+
+    keyed = rows.select("text", "row", F.xxhash64("doc_id").alias("key"))
+    return map_text(some, ["text", "row", "spans"], schema, step).union(map_text(keyed, ["text", "row", "key"], schema, others))
 
-    schema = StructType([docs.schema[c] for c in extra]).add("n_words", "long").add("n_removed", "long").add("kept", "string")
-    return map_text(both, [*extra, "text", "_spans"], schema, step)
+
+def remove_repeats(docs: DataFrame, **options) -> DataFrame:
+    """doc_id, n_words, n_removed, kept (the words that stay, joined by a blank) per row of docs (doc_id, text)."""
+    judged = judge_repeats(docs.select("doc_id", "text"), False, **options)
+    return judged.select("row.doc_id", "n_words", "n_removed", "kept")
+
+
+def drop_repeats(docs: DataFrame, **options) -> DataFrame:
+    """Rows of docs (doc_id, text, ...) without the words that earlier documents hold; texts that lose nothing stay as they are.
+
+    ``n_chars``, where docs has it, is the length of a text that changed.
+    """
+    judged = judge_repeats(docs, True, **options)
+    made = {"text": F.col("kept")}
+    if "n_chars" in docs.columns:
+        size = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(F.col("row.n_chars"))
+        made["n_chars"] = size.cast(docs.schema["n_chars"].dataType)
+    return judged.select(*(made[c].alias(c) if c in made else F.col(f"row.`{c}`").alias(c) for c in docs.columns))
 
 
 SQL = f"""
