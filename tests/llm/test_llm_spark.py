@@ -46,25 +46,25 @@ def by_id(frame):
     return {r["doc_id"]: r for r in frame.where("doc_id IS NOT NULL").collect()}
 
 
-def test_decontamination(spark, docs, none):
+@pytest.mark.parametrize("small", [contamination.SMALL, -1])
+def test_decontamination(spark, docs, none, small):
+    """As suffixes in all tasks and, for a benchmark above the bound, by joins."""
     bench = spark.createDataFrame(
         [(1, PHRASE), (1, PHRASE), (2, "short one"), (None, "Ünïcödé"), (3, None), (4, ""), (5, "12")], "item_id long, text string"
     )
-    found = contamination.find_contamination(docs, bench)
+    found = contamination.find_contamination(docs, bench, small=small)
     assert found.count() == len(ROWS)
     got = by_id(found)
     assert (got[1]["n_words"], got[1]["n_hit"], got[1]["n_items"], got[1]["contaminated"]) == (15, 14, 1, True)
     assert got[1]["items_sha256"] == hashlib.sha256(b"1").hexdigest()
     assert (got[7]["n_hit"], got[8]["n_hit"], got[10]["n_hit"], got[10]["n_items"]) == (2, 1, 1, 0)
     assert not got[4]["contaminated"] and got[9]["n_words"] == 60_000 and got[9]["n_hit"] == 0
-    assert contamination.find_contamination(none, bench).count() == 0
-    assert not contamination.find_contamination(docs, bench.limit(0)).where("n_hit > 0").count()
-    stay = contamination.decontaminate(docs, bench)
-    assert {r[0] for r in stay.select("doc_id").collect()} == {None, 4, 5, 6, 9} and stay.columns == docs.columns
-    match = contamination.longest_matches(docs.where("doc_id = 3"), bench).collect()
+    assert contamination.find_contamination(none, bench, small=small).count() == 0
+    assert not contamination.find_contamination(docs, bench.limit(0), small=small).where("n_hit > 0").count()
+    stay = contamination.decontaminate(docs, bench, small=small)
+    assert sorted(r[0] or 0 for r in stay.select("doc_id").collect()) == [0, 4, 5, 6, 9] and stay.columns == docs.columns
+    match = contamination.longest_matches(docs.where("doc_id = 3"), bench, small=small).collect()
     assert [(r["item_id"], r["doc_word"], r["item_word"], r["n_words"]) for r in match] == [("1", 2, 0, 14)]
-    with pytest.raises(ValueError, match="max_benchmark_bytes"):
-        contamination.read_benchmark(bench, limit=3)
 
 
 def test_jaccard(spark, docs, none):
@@ -123,7 +123,8 @@ def test_substrings(spark, docs, none):
     assert substrings.remove_repeats(none).count() == 0
 
 
-def test_substrings_equal_brute_force(spark):
+@pytest.mark.parametrize("hot", [substrings.HOT, 30, 0])
+def test_substrings_equal_brute_force(spark, hot):
     """Texts of three words over and over: most windows recur, within documents too; ids repeat."""
     random_ = np.random.default_rng(1)
     rows = [(int(random_.integers(0, 25)), " ".join(random_.choice(list("abc"), random_.integers(0, 40)))) for _ in range(40)]
@@ -140,7 +141,7 @@ def test_substrings_equal_brute_force(spark):
         gone = {k for i in range(len(words) - window + 1) if first[tuple(words[i : i + window])] < doc for k in range(i, i + window)}
         want.append((doc, len(words), len(gone), " ".join(w for i, w in enumerate(words) if i not in gone)))
     frame = spark.createDataFrame(rows, "doc_id long, text string")
-    found = substrings.remove_repeats(frame, window=window, anchor=2, bits=1 << 15)
+    found = substrings.remove_repeats(frame, window=window, anchor=2, bits=1 << 15, hot=hot)
     assert sorted((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in found.collect()) == sorted(want)
 
 

@@ -7,14 +7,19 @@ interval found holds all places of its window, and neighbouring places on one
 diagonal join into the longest verbatim matches.  Only places where no suffix
 can match (no two adjacent benchmark words) are left out of the arrays.
 
-The benchmark goes to all tasks; its size is checked against
-``max_benchmark_bytes`` first.
+A benchmark of up to ``small`` bytes goes to all tasks as suffixes.  A larger one
+stays on the cluster: its windows are a table of hashes, a bitmap of fixed size
+tells which places of the documents can match, and these places, few of all, are
+joined to the windows by hash; neighbours join into the same longest matches.
+Both ways give equal results, and the words hit and the items of a document are
+those of its longest matches.
 
 Defined results: null and empty texts have no words and no hits; an item
 without words has no window, an item shorter than a window is one window;
 repeated items and items without id hit words, an id is listed once, a null id
 not at all; repeated rows of documents are judged each; an empty benchmark hits
-nothing; other columns are ignored.
+nothing; other columns are ignored, and ``decontaminate`` judges each row by its
+own text and carries all its columns.
 """
 
 from __future__ import annotations
@@ -24,14 +29,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import map_text
-from tripweave.llm.words import words_of
+from tripweave.llm.common import bitmap, map_text, marked, saved, text_steps
+from tripweave.llm.words import run_hashes, words_of
 
 WINDOW = 13
-MAX_BENCHMARK_BYTES = 64 << 20
+SMALL = 1 << 20  # bytes of benchmark text that go to all tasks; about 170 times as much memory of the driver
+FILTER_BITS = 1 << 27
 
 
 @dataclass
@@ -47,11 +54,8 @@ class Suffixes:
     window: int
 
 
-def read_benchmark(benchmark: DataFrame, window: int = WINDOW, limit: int = MAX_BENCHMARK_BYTES) -> Suffixes:
-    """Windows of benchmark (item_id, text)."""
-    size = benchmark.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    if size > limit:
-        raise ValueError(f"the benchmark has {size} bytes, more than max_benchmark_bytes={limit}; split it")
+def read_benchmark(benchmark: DataFrame, window: int = WINDOW) -> Suffixes:
+    """Windows of a small benchmark (item_id, text)."""
     rows = benchmark.select(F.col("item_id").cast("string"), "text").toArrow()
     words = words_of(rows.column("text"), "alnum", lower=True)
     hashes = words.hashes()
@@ -150,82 +154,203 @@ def _numbers(known: Suffixes, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.where(inside, at + 1, 0), words.first
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
+def shard_runs(known: Suffixes, texts: pa.Array) -> tuple[np.ndarray, list[tuple]]:
+    """First word of each text (and the end), and the longest matches in a shard: (text, item, place, word of the item, words)."""
+    number, first = _numbers(known, texts)
+    open_: dict[tuple, list] = {}
+    made = []
+    for place, length, which in sorted(zip(*(x.tolist() for x in shard_matches(known, number, first)), strict=True)):
+        doc = int(np.searchsorted(first, place, side="right")) - 1
+        for item, at in known.starts[length][which]:
+            run = open_.get((doc, item, place - at, length))
+            if run and run[0] + run[2] - length == place - 1:
+                run[2] += 1
+            else:
+                run = open_[doc, item, place - at, length] = [place, at, length]
+                made.append((doc, item, run))
+    return first, [(doc, item, *run) for doc, item, run in made]
+
+
+def shard_report(known: Suffixes, texts: pa.Array, share: int) -> dict:
+    """Per text: number of words, words hit, items, contaminated."""
+    first, runs = shard_runs(known, texts)
+    change = np.zeros(first[-1] + 1, np.int64)
+    items: dict[int, set[str]] = {}
+    for doc, item, place, _, size in runs:
+        change[place] += 1
+        change[place + size] -= 1
+        if item is not None:
+            items.setdefault(doc, set()).add(item)
+    hit = np.concatenate([[0], np.cumsum(np.cumsum(change[:-1]) > 0)])
+    n_words, n_hit = np.diff(first).astype(np.int64), (hit[first[1:]] - hit[first[:-1]]).astype(np.int64)
+    lists = [sorted(items.get(i, ())) for i in range(len(n_words))]
+    return {"n_words": n_words, "n_hit": n_hit, "items": lists, "contaminated": (n_hit > 0) & (share * n_hit >= n_words)}
+
+
+def is_small(benchmark: DataFrame, small: int) -> bool:
+    return (benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0) <= small
+
+
+def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """item_id, length, key, at: the hash of every window of every item and the word at which it begins."""
+
+    def step(batch: pa.RecordBatch) -> dict:
+        words = words_of(batch.column("text"), "alnum", lower=True)
+        size = np.minimum(words.counts, window)
+        count = np.where(size > 0, words.counts - size + 1, 0)
+        owner = np.repeat(np.arange(len(count)), count)
+        at = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        start = words.first[owner] + at
+        keys = run_hashes(words.hashes(), start, start + size[owner])
+        return {
+            "item_id": batch.column("item_id").take(pa.array(owner)), "length": size[owner].astype(np.int32),
+            "key": keys.view(np.int64), "at": at.astype(np.int64),
+        }
+
+    read = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    return saved(map_text(read, ["item_id", "text"], "item_id string, length int, key long, at long", step), "benchmark-windows")
+
+
+def joined_runs(rows: DataFrame, benchmark: DataFrame, window: int, bits: int = FILTER_BITS) -> DataFrame:
+    """number, item_id, doc_word, item_word, n_words: the longest matches in rows (number, text) of a benchmark of any size.
+
+    One more row per document, of length 0, has its number of words as ``n_words``.
+    """
+    windows = benchmark_windows(benchmark, window)
+    lengths = [r[0] for r in windows.select("length").distinct().collect()]  # as many as a window has words
+    known = rows.sparkSession.sparkContext.broadcast(bitmap(windows.select("key").distinct(), bits))  # of fixed size
+
+    def step(batch: pa.RecordBatch) -> dict:
+        words = words_of(batch.column("text"), "alnum", lower=True)
+        hashes, counts, numbers = words.hashes(), words.counts, batch.column("number").to_numpy()
+        made = [(numbers, np.full(len(numbers), -1), np.zeros(len(numbers), np.int64), counts)]
+        for length in lengths:
+            count = np.maximum(counts - length + 1, 0)
+            owner = np.repeat(np.arange(len(count)), count)
+            place = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            start = words.first[owner] + place
+            keys = run_hashes(hashes, start, start + length)
+            some = marked(known.value, keys)
+            made.append((numbers[owner[some]], place[some], np.full(some.sum(), length), keys[some].view(np.int64)))
+        columns = [np.concatenate(c).astype(np.int64) for c in zip(*made, strict=True)]
+        return dict(zip(("number", "place", "length", "key"), columns, strict=True))
+
+    places = saved(map_text(rows, ["number", "text"], "number long, place long, length long, key long", step), "benchmark-places")
+    met = places.where("length > 0").join(windows.withColumn("length", F.col("length").cast("long")), ["length", "key"])
+    met = met.select("number", "item_id", "place", "at", "length", (F.col("place") - F.col("at")).alias("_line")).distinct()
+    order = W.partitionBy("number", "item_id", "_line", "length").orderBy("place")
+    runs = met.withColumn("_run", F.col("place") - F.row_number().over(order)).groupBy(
+        "number", "item_id", "_line", "length", "_run"
+    ).agg(
+        F.min("place").alias("doc_word"), F.min("at").alias("item_word"), (F.max("place") + F.col("length") - F.min("place")).alias("n_words")
+    )
+    sizes = places.where("length = 0").select(
+        "number", F.lit(None).cast("string").alias("item_id"), F.lit(-1).cast("long").alias("doc_word"),
+        F.lit(-1).cast("long").alias("item_word"), F.col("key").alias("n_words"),
+    )
+    return runs.select("number", "item_id", "doc_word", "item_word", "n_words").union(sizes)
+
+
+def joined_report(rows: DataFrame, benchmark: DataFrame, window: int, share: int) -> DataFrame:
+    """number, n_words, n_hit, items, contaminated of rows (number, text)."""
+    found = F.col("doc_word") >= 0
+    report = joined_runs(rows, benchmark, window).groupBy("number").agg(
+        F.max(F.when(~found, F.col("n_words"))).alias("n_words"),
+        F.sort_array(F.collect_set(F.when(found, F.struct(F.col("doc_word").alias("at"), (F.col("doc_word") + F.col("n_words")).alias("end"))))).alias("runs"),
+        F.sort_array(F.collect_set(F.when(found, F.col("item_id")))).alias("items"),
+    )
+    start = F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).cast("long").alias("end"))
+
+    def add(state: Column, run: Column) -> Column:
+        fresh = F.greatest(run["end"] - F.greatest(run["at"], state["end"]), F.lit(0).cast("long"))
+        return F.struct((state["hit"] + fresh).alias("hit"), F.greatest(state["end"], run["end"]).alias("end"))
+
+    hit = F.aggregate("runs", start, add, lambda state: state["hit"])
+    told = report.select("number", "n_words", hit.alias("n_hit"), "items")
+    return told.withColumn("contaminated", (F.col("n_hit") > 0) & (share * F.col("n_hit") >= F.col("n_words")))
+
+
+def _numbered(docs: DataFrame) -> DataFrame:
+    """doc (a struct of all columns), text, number of every row."""
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    return saved(docs.select(doc, F.monotonically_increasing_id().alias("number")), "benchmark-documents").select(
+        "doc", F.col("doc.text").alias("text"), "number"
+    )
+
+
+def find_contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, small: int = SMALL
+) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated per row of docs (doc_id, text).
 
     A document is contaminated if at least one ``share``-th of its words is hit.
     """
-    known = docs.sparkSession.sparkContext.broadcast(read_benchmark(benchmark, window))  # size checked there
+    if not is_small(benchmark, small):
+        rows = _numbered(docs.select("doc_id", "text"))
+        report = rows.select("doc", "number").join(joined_report(rows, benchmark, window, share), "number")
+        return report.select(
+            F.col("doc.doc_id").cast("long").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+            F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+        )
+    known = docs.sparkSession.sparkContext.broadcast(read_benchmark(benchmark, window))  # size checked
 
     def step(batch: pa.RecordBatch) -> dict:
-        suffixes = known.value
-        number, first = _numbers(suffixes, batch.column("text"))
-        place, length, which = shard_matches(suffixes, number, first)
-        change = np.zeros(len(number) + 1, np.int64)
-        np.add.at(change, place, 1)
-        np.add.at(change, place + length, -1)
-        hit = np.concatenate([[0], np.cumsum(np.cumsum(change[:-1]) > 0)])
-        items: dict[int, set[str]] = {}
-        seen = np.unique(np.column_stack([np.searchsorted(first, place, side="right") - 1, length, which]), axis=0)
-        for doc, size, window_ in seen.tolist():
-            items.setdefault(doc, set()).update(suffixes.items[size][window_])
-        lists = [sorted(items.get(i, ())) for i in range(batch.num_rows)]
-        n_words = np.diff(first)
-        n_hit = hit[first[1:]] - hit[first[:-1]]
-        return {
+        made = shard_report(known.value, batch.column("text"), share)
+        lists = made.pop("items")
+        return made | {
             "doc_id": batch.column("doc_id").cast(pa.int64()),
-            "n_words": n_words.astype(np.int64),
-            "n_hit": n_hit.astype(np.int64),
             "n_items": np.array([len(x) for x in lists], np.int64),
             "items_sha256": pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in lists], pa.string()),
-            "contaminated": pa.array((n_hit > 0) & (share * n_hit >= n_words)),
         }
 
     schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
     return map_text(docs, ["doc_id", "text"], schema, step)
 
 
-def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, small: int = SMALL) -> DataFrame:
     """doc_id, item_id, doc_word, item_word, n_words: the maximal verbatim matches of at least a window.
 
-    Occurrences of neighbouring windows at neighbouring places are one match.
+    Occurrences of neighbouring windows at neighbouring places are one match;
+    items that share an id are one item, but for windows of different lengths.
     """
-    known = docs.sparkSession.sparkContext.broadcast(read_benchmark(benchmark, window))
+    if not is_small(benchmark, small):
+        rows = _numbered(docs.select("doc_id", "text"))
+        runs = joined_runs(rows, benchmark, window).where("doc_word >= 0")
+        ids = rows.select(F.col("doc.doc_id").cast("long").alias("doc_id"), "number")
+        return ids.join(runs, "number").drop("number")
+    known = docs.sparkSession.sparkContext.broadcast(read_benchmark(benchmark, window))  # size checked
 
     def step(batch: pa.RecordBatch) -> dict | None:
-        suffixes = known.value
-        number, first = _numbers(suffixes, batch.column("text"))
-        ids = batch.column("doc_id").to_pylist()
-        runs: dict[tuple, list] = {}
-        found = sorted(zip(*(x.tolist() for x in shard_matches(suffixes, number, first)), strict=True))
-        made = []
-        for place, length, which in found:
-            doc = int(np.searchsorted(first, place, side="right")) - 1
-            for item, at in suffixes.starts[length][which]:
-                run = runs.get((doc, item, place - at))
-                if run and run[0] + run[2] - length == place - 1:
-                    run[2] += 1
-                else:
-                    run = runs[(doc, item, place - at)] = [place, at, length]
-                    made.append((doc, item, run))
-        if not made:
+        first, runs = shard_runs(known.value, batch.column("text"))
+        if not runs:
             return None
+        doc, item, place, at, size = zip(*runs, strict=True)
         return {
-            "doc_id": pa.array([ids[d] for d, _, _ in made], pa.int64()),
-            "item_id": pa.array([i for _, i, _ in made], pa.string()),
-            "doc_word": np.array([r[0] - first[d] for d, _, r in made], np.int64),
-            "item_word": np.array([r[1] for _, _, r in made], np.int64),
-            "n_words": np.array([r[2] for _, _, r in made], np.int64),
-        }
+            "doc_id": batch.column("doc_id").cast(pa.int64()).take(pa.array(doc)), "item_id": pa.array(item, pa.string()),
+            "doc_word": np.array(place) - first[np.array(doc)], "item_word": np.array(at, np.int64), "n_words": np.array(size, np.int64),
+        }
 
     schema = "doc_id long, item_id string, doc_word long, item_word long, n_words long"
     return map_text(docs, ["doc_id", "text"], schema, step)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20) -> DataFrame:
-    """Rows of docs (doc_id, text, ...) that are not contaminated; rows without id stay."""
-    bad = find_contamination(docs, benchmark, window, share).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, small: int = SMALL
+) -> DataFrame:
+    """Rows of docs (doc_id, text, ...) that are not contaminated, each judged by its own text."""
+    if not is_small(benchmark, small):
+        rows = _numbered(docs)
+        bad = joined_report(rows, benchmark, window, share).where("contaminated").select("number")
+        return rows.select("doc", "number").join(bad, "number", "left_anti").select("doc.*")
+    known = docs.sparkSession.sparkContext.broadcast(read_benchmark(benchmark, window))  # size checked
+
+    @F.arrow_udf("boolean")
+    def contaminated(texts: pa.Array) -> pa.Array:
+        parts = text_steps(pa.RecordBatch.from_arrays([texts], names=["text"]))
+        made = [shard_report(known.value, part.column("text"), share)["contaminated"] for part in parts]
+        return pa.array(np.concatenate(made) if made else np.zeros(0, bool))
+
+    return docs.where(~contaminated(F.col("text")))
 
 
 SQL = f"""
