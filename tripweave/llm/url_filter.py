@@ -5,8 +5,11 @@ Trust runs along the links from trusted hosts, distrust against the links from
 blocked hosts: two personalised PageRanks in one set of joins.  A host is a
 seed if the rules judge more than half of its pages one way.  Ranks are whole
 numbers (``UNIT`` per seed), so that results do not depend on the order in
-which tasks add them up.  A page that no rule fits is blocked if its host's
-distrust reaches ``BLOCK_AT`` and exceeds its trust.
+which tasks add them up.  Rounds go on until no rank grows by more than
+``SETTLED``: ranks only grow, each round by at most ``DAMPING`` per cent of what
+the round before added, so the ranks of far hosts are as complete as those of near
+ones.  A page that no rule fits is blocked if its host's distrust reaches
+``BLOCK_AT`` and exceeds its trust.
 
 Defined results: a null url, or one without ``://``, has an empty host and path
 and is allowed; null html has no links; repeated rows are judged each and count
@@ -26,7 +29,7 @@ from tripweave.llm.common import saved
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 UNIT = 1_000_000_000
 DAMPING = 85  # per cent of a rank that is passed on
-ROUNDS = 10
+SETTLED = UNIT // 1_000_000  # growth of a rank in a round that is too small to go on
 BLOCK_AT = UNIT // 50
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 LINK = r"""(?i)href\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
@@ -62,35 +65,38 @@ def host_links(pages: DataFrame) -> DataFrame:
     )
 
 
-def propagate(links: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: int = DAMPING) -> DataFrame:
+def propagate(links: DataFrame, seeds: DataFrame, settled: int = SETTLED, damping: int = DAMPING) -> DataFrame:
     """kind, host, rank: personalised PageRank of seeds (kind, host) over the links (a, b).
 
-    Kind ``trust`` follows links, kind ``distrust`` runs against them.
+    Kind ``trust`` follows links, kind ``distrust`` runs against them.  A round
+    is written to the shared folder before its growth is looked at.
     """
     both = links.select(F.lit("trust").alias("kind"), "a", "b").union(
         links.select(F.lit("distrust").alias("kind"), F.col("b").alias("a"), F.col("a").alias("b"))
     )
     degrees = both.groupBy("kind", "a").agg(F.count("*").alias("degree"))
     edges = saved(both.join(degrees, ["kind", "a"]), "url-edges")
-    start = seeds.select("kind", "host", F.lit(UNIT).cast("long").alias("rank"))
-    again = start.select("kind", "host", F.expr(f"rank * {100 - damping} div 100").alias("rank"))
-    ranks = again
+    zero = F.lit(0).cast("long")
+    again = seeds.select("kind", "host", F.expr(f"{UNIT}L * {100 - damping} div 100").alias("rank"), zero.alias("before"))
+    ranks = again.select("kind", "host", "rank")
     if edges.isEmpty():
         return ranks
-    for i in range(rounds):
+    while True:
         passed = (
             ranks.select("kind", F.col("host").alias("a"), "rank")
             .join(edges, ["kind", "a"])
-            .select("kind", F.col("b").alias("host"), F.expr(f"rank * {damping} div 100 div degree").alias("rank"))
+            .select("kind", F.col("b").alias("host"), F.expr(f"rank * {damping} div 100 div degree").alias("rank"), zero.alias("before"))
         )
-        ranks = again.union(passed).groupBy("kind", "host").agg(F.sum("rank").alias("rank")).where("rank > 0")
-        if i % 5 == 4:
-            ranks = saved(ranks, "url-ranks")
-    return ranks
+        old = ranks.select("kind", "host", zero.alias("rank"), F.col("rank").alias("before"))
+        grown = again.union(passed).union(old).groupBy("kind", "host").agg(F.sum("rank").alias("rank"), F.sum("before").alias("before"))
+        grown = saved(grown.where("rank > 0"), "url-ranks")
+        ranks = grown.select("kind", "host", "rank")
+        if grown.where(F.col("rank") - F.col("before") > settled).isEmpty():
+            return ranks
 
 
 def judge_urls(
-    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, rounds: int = ROUNDS, block_at: int = BLOCK_AT
+    pages: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES, settled: int = SETTLED, block_at: int = BLOCK_AT
 ) -> DataFrame:
     """page_id, host, path, rule, verdict, trust, distrust of every row of pages (page_id, url, html)."""
     parsed = with_host_and_path(pages.select("page_id", "url", "html"))
@@ -109,7 +115,7 @@ def judge_urls(
         ).where("kind IS NOT NULL"),
         "url-seeds",
     )
-    ranks = propagate(host_links(parsed), seeds, rounds)
+    ranks = propagate(host_links(parsed), seeds, settled)
     scores = ranks.groupBy(F.col("host").alias("_host")).agg(
         F.sum(F.when(F.col("kind") == "trust", F.col("rank")).otherwise(0)).alias("trust"),
         F.sum(F.when(F.col("kind") == "distrust", F.col("rank")).otherwise(0)).alias("distrust"),
@@ -131,15 +137,8 @@ def _sql() -> str:
     )
     verdicts = " ".join(f"WHEN '{h}{p}' THEN '{v}'" for h, p, v in RULES)
     link = LINK.replace("'", "''")
-    rounds = ", ".join(
-        f"""r{i + 1} AS (SELECT kind, host, sum(rank)::BIGINT AS rank FROM (
-      SELECT * FROM again UNION ALL
-      SELECT e.kind, e.b, (r.rank * {DAMPING} // 100) // e.degree FROM r{i} r JOIN edges e ON e.kind = r.kind AND e.a = r.host
-    ) GROUP BY kind, host HAVING sum(rank) > 0)"""
-        for i in range(ROUNDS)
-    )
     return f"""
-WITH raw AS (
+WITH RECURSIVE raw AS (
   SELECT page_id, html, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
 parsed AS (
   SELECT page_id, html, translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
@@ -156,11 +155,20 @@ links AS (
 directed AS (SELECT 'trust' AS kind, a, b FROM links UNION ALL SELECT 'distrust', b, a FROM links),
 edges AS (SELECT *, count(*) OVER (PARTITION BY kind, a) AS degree FROM directed),
 again AS (SELECT kind, host, ({UNIT}::BIGINT * {100 - DAMPING}) // 100 AS rank FROM seeds WHERE kind IS NOT NULL),
-r0 AS (SELECT * FROM again),
-{rounds},
+rounds AS (
+  SELECT 0 AS round, kind, host, rank, rank AS grown FROM again
+  UNION ALL
+  SELECT * FROM (
+    SELECT any_value(round) + 1, kind, host, sum(rank)::BIGINT AS rank, (sum(rank) - sum(before))::BIGINT AS grown FROM (
+      SELECT round, kind, host, 0 AS rank, rank AS before FROM rounds
+      UNION ALL SELECT (SELECT max(round) FROM rounds), kind, host, rank, 0 FROM again
+      UNION ALL SELECT r.round, e.kind, e.b, (r.rank * {DAMPING} // 100) // e.degree, 0
+        FROM rounds r JOIN edges e ON e.kind = r.kind AND e.a = r.host) s
+    GROUP BY kind, host HAVING sum(rank) > 0) g
+  WHERE (SELECT max(grown) FROM rounds) > {SETTLED} AND EXISTS (SELECT 1 FROM edges)),
 scores AS (
   SELECT host, sum(CASE WHEN kind = 'trust' THEN rank ELSE 0 END)::BIGINT AS trust,
-    sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0 END)::BIGINT AS distrust FROM r{ROUNDS} GROUP BY host)
+    sum(CASE WHEN kind = 'distrust' THEN rank ELSE 0 END)::BIGINT AS distrust FROM rounds WHERE round = (SELECT max(round) FROM rounds) GROUP BY host)
 SELECT j.page_id, j.host, j.path, j.rule,
   coalesce(j.given, CASE WHEN s.distrust >= {BLOCK_AT} AND s.distrust > s.trust THEN 'block' ELSE 'allow' END) AS verdict,
   coalesce(s.trust, 0)::BIGINT AS trust, coalesce(s.distrust, 0)::BIGINT AS distrust
