@@ -6,10 +6,15 @@ A document is the set of its distinct word shingles; two documents link when
 1. Documents with equal sets form a class; only the smallest id of each goes on.
 2. Two linked sets differ in at most ``(100 - percent) / (100 + percent)`` of
    their summed sizes.  Sets are put into bands by size; in a band whose sets
-   can differ in k shingles the hash space is cut into k + 1 ranges, one of
-   which two linked sets must share unchanged.  A set gives one signature per
-   range, in its band and, near the edge, in the next one: no link is lost.
-3. Sets that share a signature go to the tile of the smallest set hash there.
+   can differ in k shingles the hash space is cut into k + 1 + s ranges, of which
+   two linked sets share 1 + s unchanged at least.  A set gives one signature per
+   range that holds something, in its band and, near the edge, in the next one.
+   Ranges that are empty tell nothing; only a set with more than s of them, which
+   is rare by the choice of s, gives signatures for these too.  If all that two
+   linked sets share is empty, both are such sets: no link is lost.
+3. Signatures of one set only are settled at once; a bitmap of fixed size marks
+   the others, and its false hits cost time only.  Sets that share a signature go
+   to the tile of the smallest set hash there.
    In a tile a parity bitmap per set bounds the overlap of each pair from above
    by bit counts; pairs that pass are intersected as sorted arrays.  Pairs that
    are already connected need no test, since only groups are wanted.
@@ -31,16 +36,16 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import components, map_text, mix, saved
+from tripweave.llm.common import bitmap, components, map_text, marked, mix, saved
 from tripweave.llm.words import gram_hashes, words_of
 
 SHINGLE, PERCENT = 3, 90
 BAND_RATIO = 1.25  # width of a size band
 TILE = 1_000  # sets that are compared with each other in one step
 TILE_SHINGLES = 1_000_000  # and shingles that they hold
+FILTER_BITS = 1 << 27
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> list[np.ndarray]:
@@ -78,20 +83,23 @@ def most_different(total: int, percent: int) -> int:
 
 
 def signatures(values: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of which any two linked sets share at least one."""
+    """Hashes of which any two linked sets that are not equal share at least one."""
     size = len(values)
     tops = bands(percent)
     own = int(np.searchsorted(tops, size))
-    made = []
+    made = [np.zeros(0, np.uint64)]
     for band in (own, own + 1):
         if band > own and 100 * size < percent * (tops[own] + 1):
             break  # too small for any set of the next band
-        parts = most_different(2 * int(tops[band]), percent) + 1
+        differ = most_different(2 * int(tops[band]), percent)
+        spare = 2 + differ // 50 if differ else 0  # linked sets of the lowest bands are equal
+        parts = differ + 1 + spare
         cuts = (np.arange(1, parts, dtype=np.uint64) << np.uint64(32)) // np.uint64(parts)
-        edges = np.searchsorted(values >> np.uint64(32), cuts)
+        edges = np.concatenate([[0], np.searchsorted(values >> np.uint64(32), cuts), [size]])
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(values))])
-        held = np.diff(sums[np.concatenate([[0], edges, [size]])])
-        made.append(mix(held + mix(np.arange(parts, dtype=np.uint64) + (np.uint64(band + 1) << np.uint64(40)))))
+        held = mix(np.diff(sums[edges]) + mix(np.arange(parts, dtype=np.uint64) + (np.uint64(band + 1) << np.uint64(40))))
+        filled = np.diff(edges) > 0
+        made.append(held if parts - filled.sum() > spare else held[filled])
     return np.concatenate(made)
 
 
@@ -178,16 +186,16 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
             "h2": keys[:, 1],
         }
 
-    def signed(batch: pa.RecordBatch) -> dict:
-        known, out, own = set(), [], []
+    def signed(batch: pa.RecordBatch, found: np.ndarray | None = None) -> dict:
+        known, out, own = set(), [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
         for values in shingle_sets(batch.column("text"), size):
             key = set_hash(values)[0]
             if len(values) and key not in known:  # copies in one slice sign once
                 known.add(key)
-                out.append(signatures(values, percent).view(np.int64))
+                made = signatures(values, percent)
+                out.append(made if found is None else made[marked(found, made)])
                 own.append(np.full(len(out[-1]), key))
-        none = np.zeros(0, np.int64)
-        return {"sig": np.concatenate(out) if out else none, "h": np.concatenate(own) if own else none}
+        return {"sig": np.concatenate(out).view(np.int64), "h": np.concatenate(own)}
 
     def with_set(batch: pa.RecordBatch) -> dict:
         sets = shingle_sets(batch.column("text"), size)
@@ -201,7 +209,10 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     # tiles: all sets of a signature meet at the smallest of them
     sigs = map_text(docs, ["doc_id", "text"], "sig long, h long", signed)
     shared = sigs.groupBy("sig").agg(F.min("h").alias("tile"), F.max("h").alias("most")).where("tile <> most")
-    met = sigs.join(shared.select("sig", "tile"), "sig").select("tile", "h").distinct()
+    shared = saved(shared.select("sig", "tile"), "jaccard-shared")
+    found = docs.sparkSession.sparkContext.broadcast(bitmap(shared.select(F.col("sig").alias("key")), FILTER_BITS))  # of fixed size
+    some = map_text(docs, ["doc_id", "text"], "sig long, h long", lambda batch: signed(batch, found.value))
+    met = some.join(shared, "sig").select("tile", "h").distinct()
     met = saved(met.union(met.select("tile", F.col("tile").alias("h"))).distinct(), "jaccard-tiles")
     members = met.join(classes.select("h", "n", F.col("rep").alias("id")), "h").where("id IS NOT NULL")
     members = members.groupBy("tile", "id").agg(F.max("n").alias("n"))
@@ -235,15 +246,23 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Rows of docs (doc_id, text, ...): the one of smallest id of every group.
+    """Rows of docs (doc_id, text, ...): one row of every group of linked texts, the one of smallest id.
 
-    Of rows that share an id one stays; rows without id all stay.
+    Rows are judged by their own texts: of rows that share an id, those whose
+    texts are not linked all stay, and of repeated rows one.  A row without id
+    stays unless it is linked with a row that has one; of equal texts without id one
+    stays.  Rows without words all stay.
     """
-    chosen = jaccard_groups(docs, size, percent).where("component_id = doc_id").select("doc_id").distinct()
-    kept = docs.where("doc_id IS NOT NULL").join(chosen, "doc_id", "left_semi")
-    first = W.partitionBy("doc_id").orderBy("text")
-    kept = kept.withColumn("_place", F.row_number().over(first)).where("_place = 1")
-    return kept.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    numbered = saved(docs.select(doc, F.monotonically_increasing_id().alias("number")), "jaccard-documents")
+    rows = numbered.select(F.col("number").alias("doc_id"), F.col("doc.text").alias("text"))
+    ids = numbered.select(F.col("number").alias("node"), F.col("doc.doc_id").cast("long").alias("id"))
+    # rows are the nodes; the first row of a group by (no id, id, number) stays
+    groups = jaccard_groups(rows, size, percent).select(F.col("doc_id").alias("node"), "component_id", "n_shingles")
+    ranked = groups.join(ids, "node").withColumn("rank", F.struct(F.col("id").isNull().alias("bare"), "id", "node"))
+    first = ranked.where("n_shingles > 0").groupBy("component_id").agg(F.min_by("node", "rank").alias("node"))
+    chosen = first.select("node").union(groups.where("n_shingles = 0").select("node"))
+    return numbered.join(chosen, F.col("number") == F.col("node"), "left_semi").select("doc.*")
 
 
 def _across(large: DataFrame, known: DataFrame, sets: DataFrame, percent: int, tile: int) -> DataFrame:
