@@ -12,7 +12,8 @@ Defined results: null texts and roles count as empty; turns are ordered by
 turn (null first), role, text; repeated rows are repeated turns; rows of a null
 conversation id form one conversation; an empty table gives no rows; other
 columns are ignored.  A formatted conversation is one value, so its turns meet
-in one row by nature; nothing else does.
+in one row by nature; nothing else does, and the work grows in proportion to the
+turns but for adding up their places (to the power of one and a half).
 """
 
 from __future__ import annotations
@@ -32,10 +33,44 @@ def unescape(text: Column) -> Column:
     return F.replace(text, F.lit("<||"), F.lit("<|"))
 
 
+def running_totals(values: Column) -> Column:
+    """Sums of the first one, two, ... of a list of numbers, as a list.
+
+    The list is added up in blocks of about the square root of its size, then
+    the blocks are shifted, so that no long list is copied once per element.
+    """
+    size = F.size(values)
+    width = F.greatest(F.ceil(F.sqrt(size)).cast("int"), F.lit(1))
+    none = F.array().cast("array<bigint>")
+    zero = F.lit(0).cast("long")
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(F.floor((size - 1) / width).cast("int"), F.lit(0))), lambda k: F.slice(values, k * width + 1, width))
+    own = F.transform(
+        blocks,
+        lambda block: F.aggregate(
+            block,
+            F.struct(zero.alias("at"), none.alias("ends")),
+            lambda s, x: F.struct((s["at"] + x).alias("at"), F.concat(s["ends"], F.array(s["at"] + x)).alias("ends")),
+            lambda s: s["ends"],
+        ),
+    )
+    before = lambda ends: F.aggregate(
+        ends,
+        F.struct(zero.alias("at"), none.alias("starts")),
+        lambda s, e: F.struct((s["at"] + F.coalesce(F.get(e, F.size(e) - 1), zero)).alias("at"), F.concat(s["starts"], F.array(s["at"])).alias("starts")),
+        lambda s: s["starts"],
+    )
+    # one name for the blocks' sums, so that they are made once
+    both = F.transform(F.array(own), lambda ends: F.struct(ends.alias("ends"), before(ends).alias("starts")))
+    return F.flatten(
+        F.flatten(F.transform(both, lambda s: F.transform(s["ends"], lambda e, k: F.transform(e, lambda x: x + F.get(s["starts"], k)))))
+    )
+
+
 def format_conversations(turns: DataFrame, learned_role: str = "assistant") -> DataFrame:
-    """conv_id, formatted, loss_spans (first code point from 1, length) over turns (conv_id, turn, role, text).
+    """conv_id, formatted, loss_spans (first byte from 1, bytes) over turns (conv_id, turn, role, text).
 
-    ``loss_spans`` marks the text of every turn of the learned role, one span per turn.
+    ``loss_spans`` marks the text of every turn of the learned role, one span per
+    turn, in the UTF-8 bytes of ``formatted``.
     """
     sent = turns.select(
         "conv_id",
@@ -44,54 +79,27 @@ def format_conversations(turns: DataFrame, learned_role: str = "assistant") -> D
         ).alias("sent"),
     )
     grouped = sent.groupBy("conv_id").agg(F.sort_array(F.collect_list("sent")).alias("sent"))
-    block = "array<struct<role:string,texts:array<string>>>"
-
-    def add(blocks: Column, turn: Column) -> Column:
-        """Appends a turn: to the last block if the role is the same, else as a new block."""
-        last = F.element_at(blocks, -1)
-        own = F.struct(turn["role"].alias("role"), F.array(escape(turn["text"])).alias("texts"))
-        longer = F.struct(turn["role"].alias("role"), F.concat(last["texts"], own["texts"]).alias("texts"))
-        same = (F.size(blocks) > 0) & (F.get(blocks, F.size(blocks) - 1)["role"] == turn["role"])
-        return F.when(same, F.concat(F.slice(blocks, 1, F.greatest(F.size(blocks) - 1, F.lit(0))), F.array(longer))).otherwise(
-            F.concat(blocks, F.array(own))
-        )
-
-    blocks = grouped.select("conv_id", F.aggregate("sent", F.array().cast(block), add).alias("blocks"))
-
-    def pieces(b: Column) -> Column:
-        """Parts of a block as (text, learned): header, texts and separators, end."""
-        role = F.replace(escape(b["role"]), F.lit("\n"), F.lit(NEWLINE))
-        learned = b["role"] == learned_role
-        off = F.lit(False)
-        body = F.flatten(
-            F.transform(
-                b["texts"],
-                lambda text, i: F.array(
-                    F.struct(F.when(i > 0, SEP).otherwise("").alias("text"), off.alias("learned")),
-                    F.struct(text.alias("text"), learned.alias("learned")),
-                ),
-            )
-        )
-        head = F.struct(F.concat(F.lit(START), role, F.lit("\n")).alias("text"), off.alias("learned"))
-        tail = F.struct(F.lit(END).alias("text"), off.alias("learned"))
-        return F.concat(F.array(head), body, F.array(tail))
-
-    parts = blocks.select("conv_id", F.flatten(F.transform("blocks", pieces)).alias("parts"))
-    spans = "struct<at:int,spans:array<struct<start:int,length:int>>>"
-
-    def mark(state: Column, part: Column) -> Column:
-        size = F.length(part["text"])
-        span = F.array(F.struct((state["at"] + 1).alias("start"), size.alias("length")))
-        return F.struct(
-            (state["at"] + size).alias("at"),
-            F.when(part["learned"], F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans"),
-        )
-
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
-    return parts.select(
+
+    def part(turn: Column, i: Column) -> Column:
+        """A turn's mark, which joins it to the turn before it if that has its role, and its text."""
+        header = F.concat(F.lit(START), F.replace(escape(turn["role"]), F.lit("\n"), F.lit(NEWLINE)), F.lit("\n"))
+        mark = F.when(i == 0, header).when(F.get("sent", i - 1)["role"] == turn["role"], SEP).otherwise(F.concat(F.lit(END), header))
+        return F.struct(mark.alias("mark"), escape(turn["text"]).alias("text"), (turn["role"] == learned_role).alias("learned"))
+
+    parts = grouped.select("conv_id", F.transform("sent", part).alias("parts"))
+    sizes = F.transform("parts", lambda p: (F.octet_length(p["mark"]) + F.octet_length(p["text"])).cast("long"))
+    placed = parts.withColumn("sizes", sizes).withColumn("ends", running_totals(F.col("sizes")))
+    spans = F.transform(
+        F.arrays_zip("parts", "ends"),
+        lambda p: F.when(
+            p["parts"]["learned"],
+            F.struct((p["ends"] - F.octet_length(p["parts"]["text"]) + 1).cast("int").alias("start"), F.octet_length(p["parts"]["text"]).alias("length")),
+        ),
+    )
+    return placed.select(
         "conv_id",
-        F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("formatted"),
-        F.aggregate("parts", begin.cast(spans), mark, lambda state: state["spans"]).alias("loss_spans"),
+        F.concat(F.array_join(F.transform("parts", lambda p: F.concat(p["mark"], p["text"])), ""), F.lit(END)).alias("formatted"),
+        F.filter(spans, lambda s: s.isNotNull()).alias("loss_spans"),
     )
 
 
@@ -107,12 +115,12 @@ def read_back(formatted: DataFrame) -> DataFrame:
         texts = F.split(F.substr(block, F.length(head) + 2), mark(SEP))
         return F.transform(texts, lambda text: F.struct(role.alias("role"), unescape(text).alias("text")))
 
-    return formatted.select(
+    return formatted.withColumn("bytes", F.col("formatted").cast("binary")).select(
         "conv_id",
         "formatted",
         F.flatten(F.transform(blocks, turns)).alias("turns"),
         F.transform(
-            "loss_spans", lambda span: unescape(F.substr(F.col("formatted"), span["start"], span["length"]))
+            "loss_spans", lambda span: unescape(F.substr(F.col("bytes"), span["start"], span["length"]).cast("string"))
         ).alias("loss_texts"),
     )
 
