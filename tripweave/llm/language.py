@@ -265,9 +265,7 @@ def train(
     grams = saved(count_grams(docs, order), "language-grams") if grams is None else grams
     if not fits(grams, max_grams):
         raise ValueError(f"the n-grams are more than max_grams={max_grams}; identify and known learn without a model")
-    rows = grams.toArrow()
-    points = np.frombuffer(b"".join(rows.column("gram").to_pylist()), np.uint32).reshape(-1, order)
-    model = fit(np.array(rows.column("lang").to_pylist(), object), points, rows.column("n").to_numpy().astype(float), order)
+    model = learn(grams, order)
     usable = docs.where("lang IS NOT NULL AND text IS NOT NULL")
     scored = predict(usable.select("doc_id", "text"), model).where("n_best >= 0")
     means = dict(scored.groupBy("n_best").agg(F.avg("entropy")).collect())  # one row per language
@@ -275,6 +273,13 @@ def train(
     return model
 
 
+def learn(grams: DataFrame, order: int) -> Model:
+    """Model of an n-gram table that fits into one process, without limits of rejection."""
+    rows = grams.toArrow()
+    points = np.frombuffer(b"".join(rows.column("gram").to_pylist()), np.uint32).reshape(-1, order)
+    return fit(np.array(rows.column("lang").to_pylist(), object), points, rows.column("n").to_numpy().astype(float), order)
+
+
 def rejection_limits(means: dict[int, float], own, noise, tolerance: float) -> list[float]:
     """Limit per language; ``means`` are those of the training texts by predicted language, ``own`` stands in."""
     begin = [means.get(i, mean) for i, mean in enumerate(own)]
@@ -303,18 +308,50 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return map_text(docs, ["doc_id", "text"], schema, step)
 
 
-def keep_known(docs: DataFrame, model: Model) -> DataFrame:
-    """Rows of docs (text, ...) that the model does not reject."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def judge_by_model(docs: DataFrame, grams: DataFrame, order: int, tolerance: float) -> DataFrame:
+    """doc, lang_pred, score, entropy, rejected of all rows of docs with a model in every task.
+
+    ``docs`` is (doc, text) or, if the text is in it, (doc); doc has doc_id and
+    lang.  A text is scored once; the limits of rejection are made from the scores
+    of the training texts, which are written before.
+    """
+    model = learn(grams, order)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_grams
+    names = ["doc", "n_best", "score", "entropy"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_steps(batch):
+            doc = batch.column("doc")
+            text = batch.column("text") if "text" in batch.schema.names else pc.struct_field(doc, "text")
+            for part in text_steps(pa.RecordBatch.from_arrays([doc, text], names=["doc", "text"])):
                 made = score_texts(shared.value, part.column("text"))
-                known = made["entropy"] <= np.append(shared.value.limits, -np.inf)[made["best"]]
-                yield part.filter(pa.array(known))
+                entropy = pa.array(made["entropy"], mask=~np.isfinite(made["entropy"]))
+                columns = [part.column("doc"), pa.array(made["best"].astype(np.int32)), pa.array(made["share"]), entropy]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    schema = docs.select("doc").schema.add("n_best", "integer").add("score", "double").add("entropy", "double")
+    scored = saved(docs.mapInArrow(run, schema), "language-scored")
+    return with_limits(scored, model.langs, model.own, model.noise, tolerance)
+
+
+def with_limits(scored: DataFrame, langs: list[str], own, noise, tolerance: float) -> DataFrame:
+    """doc, lang_pred, score, entropy, rejected of scored rows (doc, n_best, score, entropy).
+
+    The limit of a language comes from the mean of the training texts that are
+    predicted as that language.
+    """
+    teaching = scored.where("n_best >= 0 AND doc.lang IS NOT NULL").where(~held_out(F.col("doc")["doc_id"]))
+    means = dict(teaching.groupBy("n_best").agg(F.avg("entropy")).collect())  # one row per language
+    limits = rejection_limits(means, own, noise, tolerance)
+    names = F.get(F.array(*map(F.lit, [*langs])).cast("array<string>"), F.col("n_best"))
+    beyond = F.col("entropy") > F.get(F.array(*map(F.lit, limits)).cast("array<double>"), F.col("n_best"))
+    return scored.select(
+        "doc",
+        F.when(F.col("n_best") >= 0, names).otherwise(UNKNOWN).alias("lang_pred"),
+        "score",
+        "entropy",
+        ((F.col("n_best") < 0) | beyond).alias("rejected"),
+    )
 
 
 @dataclass
@@ -465,37 +502,27 @@ def judge_by_joins(docs: DataFrame, grams: DataFrame, order: int, tolerance: flo
         found = dict(rows.groupBy("l").agg(-F.sum(F.col("c") * F.col("log")) / F.sum("c")).collect())  # one row per language
         return [found[i] for i in range(len(langs))]
 
-    teaching = scored.where("n_best >= 0 AND doc.lang IS NOT NULL AND doc.text IS NOT NULL")
-    teaching = teaching.where(~held_out(F.col("doc")["doc_id"]))
-    means = dict(teaching.groupBy("n_best").agg(F.avg("entropy")).collect())  # one row per language
-    limits = rejection_limits(means, entropies(counts[-1]), entropies(noise), tolerance)
-    names = F.get(F.array(*map(F.lit, [*langs])), F.col("n_best"))
-    beyond = F.col("entropy") > F.get(F.array(*map(F.lit, limits)), F.col("n_best"))
-    return scored.select(
-        "doc",
-        F.when(F.col("n_best") >= 0, names).otherwise(UNKNOWN).alias("lang_pred"),
-        "score",
-        "entropy",
-        ((F.col("n_best") < 0) | beyond).alias("rejected"),
-    )
+    return with_limits(scored, langs, entropies(counts[-1]), entropies(noise), tolerance)
 
 
 def identify(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS, tolerance: float = TOLERANCE) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, rejected of all docs (doc_id, text, lang); learns outside the held-out fold."""
+    """doc_id, held_out, lang_pred, score, rejected, entropy of all docs (doc_id, text, lang); learns outside the held-out fold."""
     docs = docs.select("doc_id", "text", "lang")
-    training = docs.where(~held_out(F.col("doc_id")))
-    grams = saved(count_grams(training, order), "language-grams")
+    grams = saved(count_grams(docs.where(~held_out(F.col("doc_id"))), order), "language-grams")
     if fits(grams, max_grams):
-        found = predict(docs, train(training, order, max_grams, tolerance, grams))
+        found = judge_by_model(docs.select(F.struct("doc_id", "lang").alias("doc"), "text"), grams, order, tolerance)
     else:
-        found = judge_by_joins(docs, grams, order, tolerance).withColumn("doc_id", F.col("doc")["doc_id"].cast("long"))
+        found = judge_by_joins(docs, grams, order, tolerance)
+    found = found.withColumn("doc_id", F.col("doc")["doc_id"].cast("long"))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected", "entropy")
 
 
 def known(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS, tolerance: float = TOLERANCE) -> DataFrame:
     """Rows of docs (doc_id, text, lang, ...) that are not rejected; learns outside the held-out fold."""
-    training = docs.where(~held_out(F.col("doc_id")))
-    grams = saved(count_grams(training, order), "language-grams")
+    grams = saved(count_grams(docs.where(~held_out(F.col("doc_id"))), order), "language-grams")
     if fits(grams, max_grams):
-        return keep_known(docs, train(training, order, max_grams, tolerance, grams))
-    return judge_by_joins(docs, grams, order, tolerance).where("NOT rejected").select("doc.*")
+        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+        judged = judge_by_model(docs.select(whole), grams, order, tolerance)
+    else:
+        judged = judge_by_joins(docs, grams, order, tolerance)
+    return judged.where("NOT rejected").select("doc.*")
