@@ -1,5 +1,6 @@
 import datetime
 import json
+import os
 
 from pyspark.sql import functions as F
 
@@ -131,3 +132,18 @@ def test_model_jobs_and_stages(spark):
     assert [tuple(r) for r in themed["counts"].collect()] == [("review_required", 1)] and themed["failed"].count() == 0
     frames = jobs.run_stages({"n": spark.range(3)}, [lambda f: {"m": f["n"].where("id > 0")}, lambda f: {"k": f["m"].limit(1)}])
     assert frames["m"].count() == 2 and frames["k"].count() == 1 and frames["n"].count() == 3
+
+
+def test_steps_of_a_scope_are_deleted(spark):
+    from tripweave import session
+
+    outside = session.saved(spark.range(3), "kept")
+    with session.work_scope(spark, "scope"):
+        inside = session.saved(spark.range(5), "step")
+        with session.work_scope(spark, "inner"):
+            deeper = session.saved(inside, "step").inputFiles()[0]
+        kept = session.saved(inside, "result")
+        path = inside.inputFiles()[0]
+        assert inside.count() == kept.count() == 5 and "/scope-" in path and "/inner-" in deeper
+    assert not os.path.exists(path.removeprefix("file://")) and not os.path.exists(deeper.removeprefix("file://"))
+    assert outside.count() == 3 and os.path.exists(outside.inputFiles()[0].removeprefix("file://"))

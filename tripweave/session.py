@@ -6,6 +6,9 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,9 +73,25 @@ def work_root(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tripweave-{spark.sparkContext.applicationId}"
 
 
+_scope: ContextVar[str] = ContextVar("work scope", default="")
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """Path of a new folder that all executors share."""
-    return f"{work_root(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+    return f"{work_root(spark)}/{_scope.get()}{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def work_scope(spark: SparkSession, purpose: str) -> Iterator[None]:
+    """Steps saved inside, by this thread, are deleted at the end; what is to stay is written elsewhere before."""
+    outer = _scope.get()
+    own = f"{outer}{purpose}-{uuid.uuid4().hex[:12]}/"
+    token = _scope.set(own)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        delete_folder(spark, f"{work_root(spark)}/{own}")
 
 
 def saved(rows: DataFrame, purpose: str) -> DataFrame:
@@ -86,7 +105,11 @@ def saved(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def clear_work(spark: SparkSession) -> None:
     """Deletes what this application saved below ``work_root``; call it when no result is read any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(work_root(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    delete_folder(spark, work_root(spark))
