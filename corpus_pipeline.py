@@ -7,11 +7,10 @@ columns of ``documents``; the last adds how often each document is taken.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tripweave.llm import contamination, jaccard, language, mixing, substrings
-from tripweave.llm.common import saved, table
-from tripweave.session import ship_package
+from tripweave.llm.common import table
+from tripweave.session import delete_folder, ship_package, work_folder, work_scope
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,7 +20,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of every group of documents linked as in op4 (3-word shingles, 90 %)."""
+    """One document of every group of documents linked as in op4 (3-word shingles, 90 %), the one of smallest id."""
     ship_package(spark)
     return jaccard.keep_one(docs)
 
@@ -29,15 +28,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the words that earlier documents hold; texts that lose nothing stay as they are."""
     ship_package(spark)
-    kept = substrings.remove_repeats(docs.withColumn("_text", F.col("text")))
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col("_text"))
-    changed = kept.withColumn("text", text)
-    size = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return changed.withColumn("n_chars", size).select(*docs.columns)
+    return substrings.drop_repeats(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth is benchmark text."""
+    """Documents of which less than a twentieth is benchmark text, each judged by its own text."""
     ship_package(spark)
     return contamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
@@ -58,10 +53,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the documents of a folder; a stage's own steps go when its output is written, its input after it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = work_folder(spark, f"pipeline-{name}")
+        with work_scope(spark, f"pipeline-{name}-steps"):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            delete_folder(spark, before)
+        before = path
     return docs
 
 
