@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from tripweave.functions.text import is_blank, is_valid_url, strip
 from tripweave.operators.keyvalue import pick_per_key, upsert
 from tripweave.operators.quality import overlay
+from tripweave.session import saved
 
 # Confidence order and merged fields.  The field order matters:
 # source_name itself is merged, so the audit text of later fields already
@@ -147,6 +148,23 @@ def _prefix(rows: DataFrame, chunk_rows: int) -> DataFrame:
     return rows.withColumn("chunk", F.floor(F.col("seq") / chunk_rows))
 
 
+def _staged(base: DataFrame, incoming: DataFrame, seq: str, columns: list[str]) -> DataFrame:
+    """Base rows, numbered before all others, and the incoming rows of a city; written once, since every step of a fold reads them."""
+    rows = base.select(*columns, F.lit(_INITIAL).cast("long").alias("seq")).unionByName(
+        incoming.where(F.coalesce("city_id", F.lit("")) != "").select(*columns, F.col(seq).cast("long").alias("seq"))
+    )
+    return saved(rows, "fold-rows")
+
+
+def _with_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
+    """Rows and one row per chunk, before all others of its chunk, that holds the state of the chunks before.
+
+    Windows over a chunk then see that state without a join.
+    """
+    marked = rows.withColumn("is_carry", F.lit(False))
+    return marked.unionByName(carry.withColumn("is_carry", F.lit(True)), allowMissingColumns=True)
+
+
 def fold_records(
     base: DataFrame,
     incoming: DataFrame,
@@ -159,20 +177,20 @@ def fold_records(
     ``seq`` is a unique, non-negative number in arrival order.  The result
     equals applying the rows one after another, but is computed as a two-level
     prefix scan: windows run inside chunks of a city, one summary row per chunk
-    carries the state (highest rank, last value of every field) to the next,
-    and the final values are plain aggregates.  A city with a third of all
+    carries the state (highest rank, last value of every field) to the next and
+    is the first row that the next chunk's windows see, and the final values are
+    plain aggregates.  A city with a third of all
     rows is therefore spread over many tasks.  Columns that are never merged
     keep their first value.  Image lists are folded by ``fold_images``.
     """
-    types = {f.name: f.dataType for f in base.schema.fields}
     kept = [c for c in base.columns if c not in _FOLDED]
     columns = ["city_id", *MERGED_FIELDS, "image_url", "data_confidence", "field_status", *kept]
-    rows = base.select(*columns, F.lit(_INITIAL).cast("long").alias("seq")).unionByName(
-        incoming.where(F.coalesce("city_id", F.lit("")) != "").select(
-            *columns, F.col(seq).cast("long").alias("seq")
-        )
-    )
-    rows = _prefix(rows, chunk_rows).withColumn("rank", confidence_rank(F.col("data_confidence")))
+    return _fold_fields(_staged(base, incoming, seq, columns), kept, chunk_rows, force_image_update)
+
+
+def _fold_fields(staged: DataFrame, kept: list[str], chunk_rows: int, force_image_update: bool) -> DataFrame:
+    types = {f.name: f.dataType for f in staged.schema.fields}
+    rows = _prefix(staged, chunk_rows).withColumn("rank", confidence_rank(F.col("data_confidence")))
     chunk = Window.partitionBy("city_id", "chunk").orderBy("seq")
     before = chunk.rowsBetween(Window.unboundedPreceding, -1)
     city = Window.partitionBy("city_id")
@@ -181,12 +199,10 @@ def fold_records(
     # Level 1: highest rank of all earlier chunks, then of earlier rows.
     # Without a base row the first incoming row is the initial state.
     carry = rows.groupBy("city_id", "chunk").agg(F.max("rank").alias("r"), F.min("seq").alias("s"))
-    carry = carry.select(
-        "city_id", "chunk", F.max("r").over(chunks).alias("rank_carry"), F.min("s").over(city).alias("start")
-    )
-    rows = rows.join(carry, ["city_id", "chunk"]).withColumn("initial", F.col("seq") == F.col("start"))
-    earlier = F.greatest(F.col("rank_carry"), F.max("rank").over(before))
-    rows = rows.withColumn("applies", F.col("initial") | (F.col("rank") >= earlier))
+    carry = carry.select("city_id", "chunk", F.max("r").over(chunks).alias("rank"), F.min("s").over(city).alias("start"))
+    rows = _with_carry(rows, carry).withColumns({"earlier": F.max("rank").over(before), "start": F.max("start").over(before)})
+    rows = rows.where("NOT is_carry").withColumn("initial", F.col("seq") == F.col("start"))
+    rows = rows.withColumn("applies", F.col("initial") | (F.col("rank") >= F.col("earlier")))
 
     # Level 2: last value of every field before each row.  A struct keeps a
     # stored value apart from "no value yet".
@@ -207,22 +223,17 @@ def fold_records(
         # An image counts whatever the confidence.
         F.when(has_image, F.struct(F.col("image_url").alias("v"))).alias("image"),
     )
+    rows = saved(rows, "fold-applied")
     tracked = [*MERGED_FIELDS, "source", "image"]
     carry = rows.groupBy("city_id", "chunk").agg(
         *[F.max_by(F.col(n), F.when(F.col(n).isNotNull(), F.col("seq"))).alias(n) for n in tracked]
     )
     carry = carry.select(
         "city_id", "chunk",
-        *[F.last(n, ignorenulls=True).over(chunks).alias(f"carry_{n}") for n in tracked],
+        *[F.last(n, ignorenulls=True).over(chunks).alias(n) for n in tracked],
     )
-    rows = rows.join(carry, ["city_id", "chunk"])
-    rows = rows.select(
-        "*",
-        *[
-            F.coalesce(F.last(n, ignorenulls=True).over(before), F.col(f"carry_{n}")).alias(f"prev_{n}")
-            for n in tracked
-        ],
-    )
+    rows = _with_carry(rows, carry)
+    rows = rows.select("*", *[F.last(n, ignorenulls=True).over(before).alias(f"prev_{n}") for n in tracked]).where("NOT is_carry")
 
     # Change events and final values.
     source_in = F.col("source_in")
@@ -280,8 +291,11 @@ def merge_all(
     chunk_rows: int = 100_000,
 ) -> DataFrame:
     """Base records after all incoming rows in ``seq`` order, one row per city, in the columns of ``base``."""
-    fields = fold_records(base, incoming, seq, chunk_rows, force_image_update)
-    _, images = fold_images(base, incoming, seq, force_image_update)
+    kept = [c for c in base.columns if c not in _FOLDED]
+    columns = ["city_id", *MERGED_FIELDS, "image_url", "image_urls", "data_confidence", "field_status", *kept]
+    staged = _staged(base, incoming, seq, columns)
+    fields = _fold_fields(staged, kept, chunk_rows, force_image_update)
+    _, images = _fold_images(staged, force_image_update)
     # The list is a column of the record, so the distinct urls of a city meet here.
     entry = F.struct("seq", "idx", F.struct("url", "source").alias("image"))
     lists = images.groupBy("city_id").agg(F.sort_array(F.collect_list(entry)).alias("entries"))
@@ -303,12 +317,10 @@ def fold_images(
     url of a city with its sort position (seq, idx), the long form of the
     image list.  Both are plain aggregates.
     """
-    columns = ["city_id", "image_url", "image_urls", "source_name"]
-    rows = base.select(*columns, F.lit(_INITIAL).cast("long").alias("seq")).unionByName(
-        incoming.where(F.coalesce("city_id", F.lit("")) != "").select(
-            *columns, F.col(seq).cast("long").alias("seq")
-        )
-    )
+    return _fold_images(_staged(base, incoming, seq, ["city_id", "image_url", "image_urls", "source_name"]), force_image_update)
+
+
+def _fold_images(rows: DataFrame, force_image_update: bool) -> tuple[DataFrame, DataFrame]:
     # The initial row counts even with an empty text; later ones need a url.
     usable = F.col("image_url").isNotNull() & ((F.col("seq") == _INITIAL) | (F.col("image_url") != ""))
     first_rows = rows.groupBy("city_id").agg(
