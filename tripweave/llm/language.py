@@ -46,6 +46,7 @@ from tripweave.llm.words import Words, words_of
 ORDER = 4
 MAX_GRAMS = 3_000_000
 TOLERANCE = 0.6
+MEMO = 200_000  # words that a task remembers
 BEGIN, FINISH = 2, 3  # code points that mark the edges of a word
 UNKNOWN = "und"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -84,37 +85,61 @@ def gram_keys(grams: np.ndarray) -> np.ndarray:
     return key
 
 
+class WordCounts:
+    """Distinct words that a task has met, with their counts per language; handed on as counts of n-grams."""
+
+    def __init__(self, order: int):
+        self.order = order
+        self.empty()
+
+    def empty(self) -> None:
+        self.number: dict[str, int] = {}
+        self.langs: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}  # (word number, count) of each slice
+
+    def add(self, texts: pa.Array, langs: pa.Array) -> None:
+        words = words_of(texts, "letters")
+        if not len(words.start):
+            return
+        names, which = unique_words(words)
+        numbers = np.fromiter((self.number.setdefault(n, len(self.number)) for n in names), np.int64, len(names))
+        langs = langs.dictionary_encode()
+        lang = langs.indices.to_numpy(zero_copy_only=False)[words.owner()]
+        pairs, times = np.unique(lang.astype(np.int64) * len(names) + which, return_counts=True)
+        for code, name in enumerate(langs.dictionary.to_pylist()):
+            mine = pairs // len(names) == code
+            self.langs.setdefault(name, []).append((numbers[pairs[mine] % len(names)], times[mine]))
+
+    def grams(self) -> Iterator[pa.RecordBatch]:
+        """Counts of the n-grams of all words held; empties itself."""
+        grams, first = word_points(list(self.number), self.order)
+        made = np.diff(np.append(first, len(grams)))
+        distinct, at, which = np.unique(gram_keys(grams), return_index=True, return_inverse=True)
+        for name, parts in self.langs.items():
+            weight = np.zeros(len(first))
+            for numbers, times in parts:
+                np.add.at(weight, numbers, times)
+            total = np.bincount(which.reshape(-1), np.repeat(weight, made), len(distinct))
+            some = np.flatnonzero(total)
+            columns = [
+                pa.array([name] * len(some), pa.string()),
+                pa.array([grams[i].tobytes() for i in at[some]], pa.binary()),
+                pa.array(total[some].astype(np.int64)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "gram", "n"])
+        self.empty()
+
+
 def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """lang, gram (binary code points), n over all of docs (lang, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = WordCounts(order)
         for batch in batches:
             for part in text_steps(batch):
-                words = words_of(part.column("text"), "letters")
-                if not len(words.start):
-                    continue
-                names, which = unique_words(words)
-                langs = part.column("lang").dictionary_encode()
-                lang = langs.indices.to_numpy(zero_copy_only=False)[words.owner()]
-                pairs, times = np.unique(lang.astype(np.int64) * len(names) + which, return_counts=True)
-                grams, first = word_points(names, order)
-                made = np.diff(np.append(first, len(grams)))
-                distinct, at = np.unique(gram_keys(grams), return_index=True)
-                numbers = np.searchsorted(distinct, gram_keys(grams))
-                for code, name in enumerate(langs.dictionary.to_pylist()):
-                    mine = pairs // len(names) == code
-                    weight = np.zeros(len(names))
-                    weight[pairs[mine] % len(names)] = times[mine]
-                    total = np.bincount(numbers, np.repeat(weight, made), len(distinct))
-                    some = np.flatnonzero(total)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([name] * len(some), pa.string()),
-                            pa.array([grams[i].tobytes() for i in at[some]], pa.binary()),
-                            pa.array(total[some].astype(np.int64)),
-                        ],
-                        names=["lang", "gram", "n"],
-                    )
+                held.add(part.column("text"), part.column("lang"))
+                if len(held.number) > MEMO:
+                    yield from held.grams()
+        yield from held.grams()
 
     partial = docs.select("lang", "text").where("lang IS NOT NULL AND text IS NOT NULL")
     partial = partial.mapInArrow(run, "lang string, gram binary, n long")
@@ -224,16 +249,44 @@ def random_words(points: list[np.ndarray]) -> list[list[str]]:
     return made
 
 
-def score_texts(model: Model, texts: pa.Array) -> dict:
+class WordScores:
+    """Scores of the words that a task has met, in sorted hash arrays; a word is scored once while it is remembered."""
+
+    def __init__(self, model):
+        self.model = model
+        self.empty()
+
+    def empty(self) -> None:
+        self.keys = np.zeros(0, np.uint64)
+        self.sums = np.zeros((0, len(self.model.langs)))
+        self.chars = np.zeros(0, np.int64)  # predicted characters; 0 for words without a letter
+
+    def of(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sums and characters of the distinct words of a slice, and for every word the index of its own."""
+        hashes, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
+        at, found = _look_up(self.keys, hashes)
+        if not found.all():
+            if len(self.keys) > MEMO:
+                self.empty()
+                found = np.zeros(len(hashes), bool)
+            names = [words.text(i).lower() for i in first[~found]]
+            letters = np.fromiter((any(map(str.isalpha, w)) for w in names), bool, len(names))
+            sums, chars = self.model.score_words(names)
+            sums[~letters], chars = 0, np.where(letters, chars, 0)
+            keys = np.concatenate([self.keys, hashes[~found]])
+            order = np.argsort(keys, kind="stable")
+            self.keys, self.sums, self.chars = keys[order], np.concatenate([self.sums, sums])[order], np.concatenate([self.chars, chars])[order]
+            at, _ = _look_up(self.keys, hashes)
+        return self.sums[at], self.chars[at], which.reshape(-1)
+
+
+def score_texts(known: WordScores, texts: pa.Array) -> dict:
     """Index of the best language (-1: no letter), cross-entropy per character, share of the best among all."""
     words = words_of(texts, "letters")
     best, entropy, share = np.full(len(texts), -1), np.full(len(texts), np.inf), np.zeros(len(texts))
-    if not len(words.start) or not model.langs:
+    if not len(words.start) or not known.model.langs:
         return {"best": best, "entropy": entropy, "share": share}
-    names, which = unique_words(words)
-    letters = np.fromiter((any(map(str.isalpha, w)) for w in names), bool, len(names))
-    sums, chars = model.score_words(names)
-    sums[~letters], chars = 0, np.where(letters, chars, 0)
+    sums, chars, which = known.of(words)
     some = np.flatnonzero(words.counts)
     total = np.add.reduceat(sums[which], words.first[some], axis=0)
     size = np.add.reduceat(chars[which], words.first[some])
@@ -289,10 +342,13 @@ def rejection_limits(means: dict[int, float], own, noise, tolerance: float) -> l
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, entropy, rejected, n_best of every row of docs (doc_id, text)."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_grams
+    known: list[WordScores] = []
 
     def step(batch: pa.RecordBatch) -> dict:
         model = shared.value
-        made = score_texts(model, batch.column("text"))
+        if not known:
+            known.append(WordScores(model))
+        made = score_texts(known[0], batch.column("text"))
         names = np.array([*model.langs, UNKNOWN], object)
         limits = np.append(model.limits, -np.inf)
         return {
@@ -320,11 +376,12 @@ def judge_by_model(docs: DataFrame, grams: DataFrame, order: int, tolerance: flo
     names = ["doc", "n_best", "score", "entropy"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = WordScores(shared.value)
         for batch in batches:
             doc = batch.column("doc")
             text = batch.column("text") if "text" in batch.schema.names else pc.struct_field(doc, "text")
             for part in text_steps(pa.RecordBatch.from_arrays([doc, text], names=["doc", "text"])):
-                made = score_texts(shared.value, part.column("text"))
+                made = score_texts(known, part.column("text"))
                 entropy = pa.array(made["entropy"], mask=~np.isfinite(made["entropy"]))
                 columns = [part.column("doc"), pa.array(made["best"].astype(np.int32)), pa.array(made["share"]), entropy]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -487,7 +544,7 @@ def judge_by_joins(docs: DataFrame, grams: DataFrame, order: int, tolerance: flo
         keys, first = np.unique(gram_keys(points), return_index=True)
         doc = texts.column("doc").combine_chunks()
         text = doc.field(doc.type.get_field_index("text"))
-        made = score_texts(Looked(langs, order, keys, np.log(chances[first])), text)
+        made = score_texts(WordScores(Looked(langs, order, keys, np.log(chances[first]))), text)
         entropy = pa.array(made["entropy"], mask=~np.isfinite(made["entropy"]))
         best = pa.array(made["best"].astype(np.int32))
         return pa.table({"doc": doc, "n_best": best, "score": pa.array(made["share"]), "entropy": entropy})
