@@ -139,20 +139,22 @@ def theme_profiles(tagged: DataFrame) -> DataFrame:
 def similar_cities(profiles: DataFrame, least: float) -> DataFrame:
     """city_a, city_b, similarity (six places) of all pairs whose profiles have a cosine of ``least`` or more; a before b.
 
-    Cities meet in a theme only if it lies in the prefix of both profiles: themes
-    are ordered from the rarest, and the first common theme of a pair lies where
-    the rest of either profile is still as long as ``least``.  No pair is lost, and
-    common themes bring no cities together.
+    Themes are ordered from the rarest.  A profile is cut where what follows is
+    shorter than a quarter of ``least``: common themes, which weigh little, lie
+    behind the cut and bring no cities together.  Two cuts hide at most half of
+    ``least``, so the products before the cuts, added up before the shuffle, must
+    make the other half; only pairs that do are computed in full.  No pair is lost.
     """
     if not 0 < least <= 1:
         raise ValueError("a similarity is above 0 and at most 1")
     weights = saved(profiles.where("weight > 0").select("city_id", "theme", "cities", "weight"), "theme-weights")
     rest = Window.partitionBy("city_id").orderBy("cities", "theme").rowsBetween(0, Window.unboundedFollowing)
     left = F.sum(F.col("weight") * F.col("weight")).over(rest)
-    prefix = weights.withColumn("_left", left).where(F.col("_left") >= least * least - 1e-6).select("city_id", "theme")
-    one = prefix.select("theme", F.col("city_id").alias("city_a"))
-    other = prefix.select("theme", F.col("city_id").alias("city_b"))
-    pairs = one.join(other, "theme").where("city_a < city_b").select("city_a", "city_b").distinct()
+    head = weights.withColumn("_left", left).where(F.col("_left") >= (least / 4) ** 2 * (1 - 1e-6))
+    one = head.select("theme", F.col("city_id").alias("city_a"), F.col("weight").alias("_a"))
+    other = head.select("theme", F.col("city_id").alias("city_b"), F.col("weight").alias("_b"))
+    met = one.join(other, "theme").where("city_a < city_b").groupBy("city_a", "city_b").agg(F.sum(F.col("_a") * F.col("_b")).alias("_held"))
+    pairs = met.where(F.col("_held") >= least / 2 - 1e-6).select("city_a", "city_b")
     first = weights.select(F.col("city_id").alias("city_a"), "theme", F.col("weight").alias("_a"))
     second = weights.select(F.col("city_id").alias("city_b"), "theme", F.col("weight").alias("_b"))
     both = pairs.join(first, "city_a").join(second, ["city_b", "theme"])
