@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripweave.session import work_folder
+from tripweave.session import work_folder, work_scope
 
 TEXT_BYTES = 1 << 20  # text that one numpy step works on; a longer document is a step of its own
 
@@ -27,6 +27,15 @@ def saved(rows: DataFrame, purpose: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def settled(spark: SparkSession, purpose: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """The rows that ``make`` returns, written once; all steps that it has saved on the way are deleted."""
+    path = work_folder(spark, purpose)
+    with work_scope(spark, f"{purpose}-steps"):
+        rows = make()
+        rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     """Whether a row belongs to the fold that is never learned from (crc32 of the id as text mod ``folds`` is 0).
 

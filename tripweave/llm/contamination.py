@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import bitmap, map_text, marked, saved, text_steps
+from tripweave.llm.common import bitmap, map_text, marked, saved, settled, text_steps
 from tripweave.llm.words import run_hashes, words_of
 
 WINDOW = 13
@@ -340,7 +340,10 @@ def decontaminate(
     """Rows of docs (doc_id, text, ...) that are not contaminated, each judged by its own text."""
     if not is_small(benchmark, small):
         rows = _numbered(docs)
-        bad = joined_report(rows, benchmark, window, share).where("contaminated").select("number")
+        bad = settled(
+            docs.sparkSession, "contaminated",
+            lambda: joined_report(rows, benchmark, window, share).where("contaminated").select("number"),
+        )
         return rows.select("doc", "number").join(bad, "number", "left_anti").select("doc.*")
     known = docs.sparkSession.sparkContext.broadcast(read_benchmark(benchmark, window))  # size checked
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import bitmap, components, map_text, marked, mix, saved
+from tripweave.llm.common import bitmap, components, map_text, marked, mix, saved, settled
 from tripweave.llm.words import gram_hashes, words_of
 
 SHINGLE, PERCENT = 3, 90
@@ -257,11 +257,14 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     numbered = saved(docs.select(doc, F.monotonically_increasing_id().alias("number")), "jaccard-documents")
     rows = numbered.select(F.col("number").alias("doc_id"), F.col("doc.text").alias("text"))
     ids = numbered.select(F.col("number").alias("node"), F.col("doc.doc_id").cast("long").alias("id"))
-    # rows are the nodes; the first row of a group by (no id, id, number) stays
-    groups = jaccard_groups(rows, size, percent).select(F.col("doc_id").alias("node"), "component_id", "n_shingles")
-    ranked = groups.join(ids, "node").withColumn("rank", F.struct(F.col("id").isNull().alias("bare"), "id", "node"))
-    first = ranked.where("n_shingles > 0").groupBy("component_id").agg(F.min_by("node", "rank").alias("node"))
-    chosen = first.select("node").union(groups.where("n_shingles = 0").select("node"))
+
+    def chosen() -> DataFrame:
+        """Rows are the nodes; the first row of a group by (no id, id, number) stays."""
+        groups = jaccard_groups(rows, size, percent).select(F.col("doc_id").alias("node"), "component_id")
+        ranked = groups.join(ids, "node").withColumn("rank", F.struct(F.col("id").isNull().alias("bare"), "id", "node"))
+        return ranked.groupBy("component_id").agg(F.min_by("node", "rank").alias("node")).select("node")
+
+    chosen = settled(docs.sparkSession, "jaccard-chosen", chosen)
     return numbered.join(chosen, F.col("number") == F.col("node"), "left_semi").select("doc.*")
 
 

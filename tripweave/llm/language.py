@@ -364,31 +364,44 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return map_text(docs, ["doc_id", "text"], schema, step)
 
 
-def judge_by_model(docs: DataFrame, grams: DataFrame, order: int, tolerance: float) -> DataFrame:
-    """doc, lang_pred, score, entropy, rejected of all rows of docs with a model in every task.
-
-    ``docs`` is (doc, text) or, if the text is in it, (doc); doc has doc_id and
-    lang.  A text is scored once; the limits of rejection are made from the scores
-    of the training texts, which are written before.
-    """
-    model = learn(grams, order)
+def score_by_model(docs: DataFrame, model: Model) -> DataFrame:
+    """doc (doc_id, lang), n_best, score, entropy of all rows of docs (doc_id, text, lang) with the model in every task, written once."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by max_grams
-    names = ["doc", "n_best", "score", "entropy"]
+    known: list[WordScores] = []
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordScores(shared.value)
-        for batch in batches:
-            doc = batch.column("doc")
-            text = batch.column("text") if "text" in batch.schema.names else pc.struct_field(doc, "text")
-            for part in text_steps(pa.RecordBatch.from_arrays([doc, text], names=["doc", "text"])):
-                made = score_texts(known, part.column("text"))
-                entropy = pa.array(made["entropy"], mask=~np.isfinite(made["entropy"]))
-                columns = [part.column("doc"), pa.array(made["best"].astype(np.int32)), pa.array(made["share"]), entropy]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+    def step(batch: pa.RecordBatch) -> dict:
+        if not known:
+            known.append(WordScores(shared.value))
+        made = score_texts(known[0], batch.column("text"))
+        entropy = pa.array(made["entropy"], mask=~np.isfinite(made["entropy"]))
+        return {"doc": batch.column("doc"), "n_best": made["best"].astype(np.int32), "score": made["share"], "entropy": entropy}
+
+    rows = docs.select(F.struct("doc_id", "lang").alias("doc"), "text")
+    schema = rows.select("doc").schema.add("n_best", "integer").add("score", "double").add("entropy", "double")
+    return saved(map_text(rows, ["doc", "text"], schema, step), "language-scored")
+
+
+def drop_rejected(docs: DataFrame, model: Model) -> DataFrame:
+    """Rows of docs (text, ...) that the model does not reject; only the texts leave the rows."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    known: list[WordScores] = []
+
+    @F.arrow_udf("boolean")
+    def accepted(texts: pa.Array) -> pa.Array:
+        if not known:
+            known.append(WordScores(shared.value))
+        limits = np.append(shared.value.limits, -np.inf)
+        made = [score_texts(known[0], part.column("text")) for part in text_steps(pa.RecordBatch.from_arrays([texts], names=["text"]))]
+        return pa.array(np.concatenate([m["entropy"] <= limits[m["best"]] for m in made]) if made else np.zeros(0, bool))
+
+    return docs.where(accepted(F.col("text")))
 
-    schema = docs.select("doc").schema.add("n_best", "integer").add("score", "double").add("entropy", "double")
-    scored = saved(docs.mapInArrow(run, schema), "language-scored")
-    return with_limits(scored, model.langs, model.own, model.noise, tolerance)
+
+def find_limits(scored: DataFrame, own, noise, tolerance: float) -> list[float]:
+    """Limit of each language from the scores of the training texts, rows (doc, n_best, entropy)."""
+    teaching = scored.where("n_best >= 0 AND doc.lang IS NOT NULL").where(~held_out(F.col("doc")["doc_id"]))
+    means = dict(teaching.groupBy("n_best").agg(F.avg("entropy")).collect())  # one row per language
+    return rejection_limits(means, own, noise, tolerance)
 
 
 def with_limits(scored: DataFrame, langs: list[str], own, noise, tolerance: float) -> DataFrame:
@@ -397,9 +410,7 @@ def with_limits(scored: DataFrame, langs: list[str], own, noise, tolerance: floa
     The limit of a language comes from the mean of the training texts that are
     predicted as that language.
     """
-    teaching = scored.where("n_best >= 0 AND doc.lang IS NOT NULL").where(~held_out(F.col("doc")["doc_id"]))
-    means = dict(teaching.groupBy("n_best").agg(F.avg("entropy")).collect())  # one row per language
-    limits = rejection_limits(means, own, noise, tolerance)
+    limits = find_limits(scored, own, noise, tolerance)
     names = F.get(F.array(*map(F.lit, [*langs])).cast("array<string>"), F.col("n_best"))
     beyond = F.col("entropy") > F.get(F.array(*map(F.lit, limits)).cast("array<double>"), F.col("n_best"))
     return scored.select(
@@ -567,7 +578,8 @@ def identify(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS, to
     docs = docs.select("doc_id", "text", "lang")
     grams = saved(count_grams(docs.where(~held_out(F.col("doc_id"))), order), "language-grams")
     if fits(grams, max_grams):
-        found = judge_by_model(docs.select(F.struct("doc_id", "lang").alias("doc"), "text"), grams, order, tolerance)
+        model = learn(grams, order)
+        found = with_limits(score_by_model(docs, model), model.langs, model.own, model.noise, tolerance)
     else:
         found = judge_by_joins(docs, grams, order, tolerance)
     found = found.withColumn("doc_id", F.col("doc")["doc_id"].cast("long"))
@@ -577,9 +589,10 @@ def identify(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS, to
 def known(docs: DataFrame, order: int = ORDER, max_grams: int = MAX_GRAMS, tolerance: float = TOLERANCE) -> DataFrame:
     """Rows of docs (doc_id, text, lang, ...) that are not rejected; learns outside the held-out fold."""
     grams = saved(count_grams(docs.where(~held_out(F.col("doc_id"))), order), "language-grams")
-    if fits(grams, max_grams):
-        whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-        judged = judge_by_model(docs.select(whole), grams, order, tolerance)
-    else:
-        judged = judge_by_joins(docs, grams, order, tolerance)
-    return judged.where("NOT rejected").select("doc.*")
+    if not fits(grams, max_grams):
+        return judge_by_joins(docs, grams, order, tolerance).where("NOT rejected").select("doc.*")
+    # Scored twice, since a copy of all documents with their scores would cost more than the words' second look-up.
+    model = learn(grams, order)
+    scored = score_by_model(docs.select("doc_id", "text", "lang"), model)
+    model.limits = np.array(find_limits(scored, model.own, model.noise, tolerance))
+    return drop_rejected(docs, model)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tripweave.llm.common import plain_words, saved
+from tripweave.llm.common import plain_words, saved, settled
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
@@ -108,7 +108,7 @@ def mix_documents(
     numbered = docs.select(doc, plain_words(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("row"))
     numbered = saved(numbered, "mix-documents")
     sizes = numbered.select("doc.doc_id", "doc.source", "size", "row")
-    mixed = _mixed(sizes, weights, max_repeats, seed).where("copies > 0")
+    mixed = settled(docs.sparkSession, "mix-taken", lambda: _mixed(sizes, weights, max_repeats, seed).where("copies > 0"))
     taken, used = [], {c.lower() for c in docs.columns}
     for name in ("size", "source_size", "target", "copies", "taken"):
         free = name

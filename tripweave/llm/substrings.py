@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripweave.llm.common import bitmap, map_text, marked, mix, saved
+from tripweave.llm.common import bitmap, map_text, marked, mix, saved, settled
 from tripweave.llm.words import gram_hashes, run_hashes, words_of
 
 WINDOW, ANCHOR = 13, 5
@@ -306,7 +306,7 @@ def judge_repeats(
     rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.struct(*rest).alias("row"))
     texts = rows.select("doc_id", "text").where("doc_id IS NOT NULL")
-    spans = saved(repeat_spans(texts, window, anchor, bits, hot), "substring-spans")
+    spans = settled(docs.sparkSession, "substring-spans", lambda: repeat_spans(texts, window, anchor, bits, hot))
     losing = docs.sparkSession.sparkContext.broadcast(  # of fixed size
         bitmap(spans.select(F.col("doc_id").alias("id")).distinct().select(F.xxhash64("id").alias("key")), bits)
     )
