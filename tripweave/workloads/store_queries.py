@@ -65,10 +65,10 @@ def store_conditional(t):
 
 
 @query("""
-    SELECT s_name AS SK, 'balance' AS field, CASE WHEN s_nationkey < 20 THEN 0 END AS expected_version, 1 AS found_version
+    SELECT s_name AS SK, 'balance' AS field, CASE WHEN s_nationkey < 20 THEN 0 ELSE -1 END AS expected_version, 1 AS found_version
     FROM {supplier} WHERE s_nationkey >= 10""")
 def store_history(t):
     """Change candidates of the rows whose version had moved on."""
     return _accounts(t).history().select(
-        "SK", "field", F.col("expected_version").cast("int").alias("expected_version"), F.col("found_version").cast("int").alias("found_version")
+        "SK", "field", F.coalesce("expected_version", F.lit(-1)).cast("int").alias("expected_version"), F.col("found_version").cast("int").alias("found_version")
     )
