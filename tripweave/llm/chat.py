@@ -115,13 +115,15 @@ def read_back(formatted: DataFrame) -> DataFrame:
         texts = F.split(F.substr(block, F.length(head) + 2), mark(SEP))
         return F.transform(texts, lambda text: F.struct(role.alias("role"), unescape(text).alias("text")))
 
-    return formatted.withColumn("bytes", F.col("formatted").cast("binary")).select(
+    def learned(whole: Column) -> Column:
+        return F.transform("loss_spans", lambda span: unescape(F.substr(whole, span["start"], span["length"]).cast("string")))
+
+    return formatted.select(
         "conv_id",
         "formatted",
         F.flatten(F.transform(blocks, turns)).alias("turns"),
-        F.transform(
-            "loss_spans", lambda span: unescape(F.substr(F.col("bytes"), span["start"], span["length"]).cast("string"))
-        ).alias("loss_texts"),
+        # a name for the bytes, so that they are made once and not per span
+        F.flatten(F.transform(F.array(F.col("formatted").cast("binary")), learned)).alias("loss_texts"),
     )
 
 
