@@ -197,7 +197,12 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
                 own.append(np.full(len(out[-1]), key))
         return {"sig": np.concatenate(out).view(np.int64), "h": np.concatenate(own)}
 
-    def with_set(batch: pa.RecordBatch) -> dict:
+    def with_set(batch: pa.RecordBatch) -> dict | None:
+        """Sets of the documents that a tile holds, and of a few others that no tile asks for."""
+        some = marked(asked.value, batch.column("key").to_numpy().view(np.uint64)) & batch.column("doc_id").is_valid().to_numpy(False)
+        if not some.any():
+            return None
+        batch = batch.filter(pa.array(some))
         sets = shingle_sets(batch.column("text"), size)
         return {
             "id": batch.column("doc_id").cast(pa.int64()),
@@ -222,8 +227,10 @@ def jaccard_groups(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
         "tile", "id", "n", F.expr("pmod(xxhash64(id), parts)").alias("part"), (F.col("parts") > 1).alias("split")
     )
     members = saved(members, "jaccard-members")
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = saved(map_text(docs.select("doc_id", "text").join(wanted, "doc_id"), ["doc_id", "text"], "id long, values binary", with_set), "jaccard-sets")
+    wanted = members.select(F.xxhash64("id").alias("key")).distinct()
+    asked = docs.sparkSession.sparkContext.broadcast(bitmap(wanted, FILTER_BITS))  # of fixed size
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("key", F.xxhash64("doc_id"))
+    sets = saved(map_text(keyed, ["doc_id", "text", "key"], "id long, values binary", with_set), "jaccard-sets")
 
     def within(group: pa.Table) -> pa.Table:
         return _links(group.column("id").to_numpy(), tile_links(_sets_of(group.column("values")), percent))
@@ -258,14 +265,24 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     rows = numbered.select(F.col("number").alias("doc_id"), F.col("doc.text").alias("text"))
     ids = numbered.select(F.col("number").alias("node"), F.col("doc.doc_id").cast("long").alias("id"))
 
-    def chosen() -> DataFrame:
-        """Rows are the nodes; the first row of a group by (no id, id, number) stays."""
+    def gone() -> DataFrame:
+        """Rows are the nodes; all but the first row of a group by (no id, id, number) go."""
         groups = jaccard_groups(rows, size, percent).select(F.col("doc_id").alias("node"), "component_id")
         ranked = groups.join(ids, "node").withColumn("rank", F.struct(F.col("id").isNull().alias("bare"), "id", "node"))
-        return ranked.groupBy("component_id").agg(F.min_by("node", "rank").alias("node")).select("node")
+        firsts = ranked.groupBy("component_id").agg(F.min_by("node", "rank").alias("node"))
+        return groups.select("node").join(firsts.select("node"), "node", "left_anti")
 
-    chosen = settled(docs.sparkSession, "jaccard-chosen", chosen)
-    return numbered.join(chosen, F.col("number") == F.col("node"), "left_semi").select("doc.*")
+    gone = settled(docs.sparkSession, "jaccard-gone", gone)
+    found = docs.sparkSession.sparkContext.broadcast(bitmap(gone.select(F.xxhash64("node").alias("key")), FILTER_BITS))  # of fixed size
+
+    @F.arrow_udf("boolean")
+    def may_go(key: pa.Array) -> pa.Array:
+        return pa.array(marked(found.value, key.to_numpy().view(np.uint64)))
+
+    # only rows that the bitmap marks are moved to be looked up; the others stay where they are
+    told = numbered.withColumn("may_go", may_go(F.xxhash64("number")))
+    looked_up = told.where("may_go").join(gone, F.col("number") == F.col("node"), "left_anti")
+    return told.where("NOT may_go").select("doc.*").union(looked_up.select("doc.*"))
 
 
 def _across(large: DataFrame, known: DataFrame, sets: DataFrame, percent: int, tile: int) -> DataFrame:
