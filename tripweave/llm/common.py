@@ -45,7 +45,8 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
 
 
 def bitmap(keys: DataFrame, bits: int) -> np.ndarray:
-    """Bitmap of ``bits`` bits (a power of two, 32768 at least) of keys (key long, hashed values)."""
+    """Bitmap of keys (key long, hashed values): about 16 bits a key, 32768 at least and ``bits`` (a power of two) at most."""
+    bits = min(bits, max(1 << (16 * keys.count()).bit_length(), 1 << 15))
     spot = F.expr(f"key & {bits - 1}L")
     pages = keys.groupBy(F.shiftright(spot, 15).alias("page")).agg(F.bitmap_construct_agg(spot.bitwiseAND(32767)).alias("bits"))
     made = np.zeros(bits // 8, np.uint8)
