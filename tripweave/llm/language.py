@@ -46,7 +46,7 @@ from tripweave.llm.words import Words, words_of
 ORDER = 4
 MAX_GRAMS = 3_000_000
 TOLERANCE = 0.6
-MEMO = 200_000  # words that a task remembers
+MEMO = 50_000  # words that a task remembers
 BEGIN, FINISH = 2, 3  # code points that mark the edges of a word
 UNKNOWN = "und"
 _STEP = np.uint64(0x9E3779B97F4A7C15)

@@ -50,7 +50,7 @@ FILTER_BITS = 1 << 27
 HOT_BITS = 1 << 23
 HOT = 8192  # places of an anchor above which its windows go on one by one
 REMEMBERED = 1 << 20  # passages that a task remembers to have sent
-SHARD_WORDS = 600_000  # words of passages in one automaton's shard
+SHARD_WORDS = 400_000  # words of passages in one automaton's shard
 
 
 def text_marks(words: np.ndarray, first: np.ndarray) -> np.ndarray:
