@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType
 
 from tripweave.session import work_folder, work_scope
 
-TEXT_BYTES = 1 << 20  # text that one numpy step works on; a longer document is a step of its own
+TEXT_BYTES = 1 << 19  # text that one numpy step works on; a longer document is a step of its own
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
