@@ -33,6 +33,25 @@ def test_audit(spark):
     assert (plain["ok"], plain["failed"]) == (2, 1)
 
 
+def test_audit_of_records_that_share_a_file_name(spark):
+    # All but the first lack a content id, so all their files are Pine__1.jpg.
+    rows = [("A", 0, i, "1" if i == 1 else "", "Pine", f"http://x/{i}.jpg", "") for i in (1, 2, 3, 4)]
+    expected = images.expected_files(images.image_targets(spark.createDataFrame(rows, SCHEMA)))
+    assert expected.select("file_name").distinct().count() == 2
+    missing = images.missing_files(expected, expected.where("pos < 3").select(*images.IMAGE), images.IMAGE)
+    assert {r["pos"] for r in missing.collect()} == {3, 4}
+    outcomes = missing.select(*images.IMAGE, F.when(F.col("pos") == 4, "404").alias("error"))
+    total = images.audit_summary(expected, images.recovery(missing, outcomes, images.IMAGE)).where("city IS NULL").first()
+    assert tuple(total)[1:] == (4, 3, 1, 1)
+
+
+def test_recovery_of_a_file_tried_twice(spark):
+    missing = spark.createDataFrame([("A", "x"), ("A", "y"), ("A", "z")], "city string, file_name string")
+    tries = spark.createDataFrame([("A", "x", "404"), ("A", "x", None), ("A", "y", "404"), ("A", "y", "500")], "city string, file_name string, error string")
+    found = {(r["file_name"], r["recovery"]) for r in images.recovery(missing, tries).collect()}
+    assert found == {("x", "recovered"), ("y", "failed"), ("z", "not_tried")} and images.recovery(missing, tries).count() == 3
+
+
 def test_hot_name_keeps_every_row(spark):
     rows = spark.range(9_000).select(
         F.lit("C").alias("city"), F.lit(0).alias("grp"), F.col("id").cast("int").alias("pos"), F.col("id").cast("string").alias("contentid"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,19 +64,25 @@ def expected_files(targets: DataFrame) -> DataFrame:
     )
 
 
-def missing_files(expected: DataFrame, actual: DataFrame) -> DataFrame:
-    """Expected files that are not among the stored (city, file_name)."""
-    return expected.join(actual.select("city", "file_name"), ["city", "file_name"], "left_anti")
+FILE = ("city", "file_name")
+# Records of one title without content ids share their file name; their images are told apart by the record.
+IMAGE = ("city", "grp", "pos", "suffix")
+
+
+def missing_files(expected: DataFrame, actual: DataFrame, keys: Sequence[str] = FILE) -> DataFrame:
+    """Expected files that are not among the stored ones, by their ``keys``."""
+    return expected.join(actual.select(*keys), list(keys), "left_anti")
 
 
-def recovery(missing: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """Missing files with the outcome of another attempt.
+def recovery(missing: DataFrame, outcomes: DataFrame, keys: Sequence[str] = FILE) -> DataFrame:
+    """Missing files with the outcome of other attempts.
 
-    ``outcomes`` is (city, file_name, error); no error means recovered, no
+    ``outcomes`` is (keys, error); an attempt without error means recovered, no
     outcome means not tried.
     """
-    tried = outcomes.select("city", "file_name", F.lit(True).alias("_tried"), F.col("error").alias("error"))
-    joined = missing.join(tried, ["city", "file_name"], "left")
+    error = F.when(F.count_if(F.col("error").isNull()) == 0, F.min("error")).alias("error")
+    tried = outcomes.groupBy(*keys).agg(error).withColumn("_tried", F.lit(True))
+    joined = missing.join(tried, list(keys), "left")
     status = (
         F.when(F.col("_tried").isNull(), F.lit("not_tried"))
         .when(F.col("error").isNull(), F.lit("recovered"))

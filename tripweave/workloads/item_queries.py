@@ -652,14 +652,14 @@ def _expected(t):
 
 def _stored(expected):
     """Stored files: all expected ones but every fifth record's."""
-    return expected.where("pos % 5 <> 0").select("city", "file_name")
+    return expected.where("pos % 5 <> 0").select(*images.IMAGE)
 
 
 @query(TARGETS + "SELECT city, file_name, url FROM files WHERE pos % 5 = 0")
 def image_missing(t):
     """Expected images that are not stored."""
     expected = saved(_expected(t), "images")
-    return images.missing_files(expected, _stored(expected)).select("city", "file_name", "url")
+    return images.missing_files(expected, _stored(expected), images.IMAGE).select("city", "file_name", "url")
 
 
 @query(TARGETS + """
@@ -669,9 +669,9 @@ def image_missing(t):
 def image_audit(t):
     """Audit per city and in total, after a recovery attempt."""
     expected = saved(_expected(t), "images")
-    missing = images.missing_files(expected, _stored(expected))
-    outcomes = missing.select("city", "file_name", F.when(F.col("pos") % 2 != 0, "404").alias("error"))
-    summary = images.audit_summary(expected, images.recovery(missing, outcomes))
+    missing = images.missing_files(expected, _stored(expected), images.IMAGE)
+    outcomes = missing.select(*images.IMAGE, F.when(F.col("pos") % 2 != 0, "404").alias("error"))
+    summary = images.audit_summary(expected, images.recovery(missing, outcomes, images.IMAGE))
     return summary.withColumn("city", F.coalesce("city", F.lit("TOTAL")))
 
 
