@@ -273,3 +273,11 @@ def test_similar_cities_equal_all_pairs(spark, least):
     alike = {(a, b): round(sum(w * weights[b].get(t, 0) for t, w in weights[a].items()), 6) for i, a in enumerate(names) for b in names[i + 1 :]}
     found = {(r["city_a"], r["city_b"]): r["similarity"] for r in cities.similar_cities(profiles, least).collect()}
     assert found == {p: s for p, s in alike.items() if s >= least} and (found or least > 0.9)
+
+
+def test_pairs_of_a_crowd_are_dealt_over_many_tasks(spark):
+    points = spark.range(400).select(F.col("id").alias("point"), F.lit(37.5).alias("latitude"), F.lit(127.0).alias("longitude"))
+    centers = spark.range(50).select(F.col("id").alias("center"), F.lit(37.5001).alias("latitude"), F.lit(127.0).alias("longitude"))
+    found = spatial.within_radius(centers, points, 100.0, bound=8, depth=1)
+    sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    assert sum(sizes) == 50 * 400 and len(sizes) > 8 and max(sizes) < 5000
