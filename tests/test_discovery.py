@@ -275,9 +275,28 @@ def test_similar_cities_equal_all_pairs(spark, least):
     assert found == {p: s for p, s in alike.items() if s >= least} and (found or least > 0.9)
 
 
+def test_similar_cities_of_themes_with_many_lists(spark, monkeypatch):
+    rng = random.Random(8)
+    rows = [(f"c{i}", f"t{t}") for i in range(60) for t in rng.sample(range(9), 3)]
+    profiles = cities.theme_profiles(spark.createDataFrame(rows, "city_id string, theme string"))
+    want = sorted(map(tuple, cities.similar_cities(profiles, 0.3).collect()))
+    weights = defaultdict(dict)
+    for r in profiles.collect():
+        weights[r["city_id"]][r["theme"]] = r["weight"]
+    alike = {(a, b): round(sum(w * weights[b].get(t, 0) for t, w in weights[a].items()), 6) for a in weights for b in weights if a < b}
+    assert want == sorted((*p, s) for p, s in alike.items() if s >= 0.3)
+    monkeypatch.setattr(cities, "LISTED", 4)
+    assert sorted(map(tuple, cities.similar_cities(profiles, 0.3).collect())) == want
+    moved = []  # pairs are handed on in lists, not one by one
+    monkeypatch.setattr(cities, "saved", lambda rows, purpose: moved.append((purpose, rows.count())) or rows)
+    cities.similar_cities(profiles, 0.3)
+    assert dict(moved)["theme-lists"] < 60 * 3
+
+
 def test_pairs_of_a_crowd_are_dealt_over_many_tasks(spark):
-    points = spark.range(400).select(F.col("id").alias("point"), F.lit(37.5).alias("latitude"), F.lit(127.0).alias("longitude"))
-    centers = spark.range(50).select(F.col("id").alias("center"), F.lit(37.5001).alias("latitude"), F.lit(127.0).alias("longitude"))
+    at = "long, latitude double, longitude double"
+    points = spark.createDataFrame([(i, 37.5, 127.0) for i in range(400)], f"point {at}")
+    centers = spark.createDataFrame([(i, 37.5001, 127.0) for i in range(50)], f"center {at}")
     found = spatial.within_radius(centers, points, 100.0, bound=8, depth=1)
     sizes = [r["count"] for r in found.groupBy(F.spark_partition_id().alias("task")).count().collect()]
-    assert sum(sizes) == 50 * 400 and len(sizes) > 8 and max(sizes) < 5000
+    assert (sum(sizes), len(sizes) > 8, max(sizes) < 5000) == (50 * 400, True, True), sizes

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tripweave.session import saved
 
 FLUSH = 200_000  # rows that a task holds before it hands them on
+LISTED = 1024  # cities of a theme that travel in one list
+SHORT = 32_000  # a weight of 1 as a short
+DEALT = 8  # tasks of the pairs for each core
 FANS = 256  # groups of tasks whose lists are merged first
 
 
@@ -142,19 +145,47 @@ def similar_cities(profiles: DataFrame, least: float) -> DataFrame:
     Themes are ordered from the rarest.  A profile is cut where what follows is
     shorter than a quarter of ``least``: common themes, which weigh little, lie
     behind the cut and bring no cities together.  Two cuts hide at most half of
-    ``least``, so the products before the cuts, added up before the shuffle, must
-    make the other half; only pairs that do are computed in full.  No pair is lost.
+    ``least``, so the products before the cuts must make the other half; only
+    pairs that do are computed in full.  No pair is lost.
+
+    Pairs are not moved one by one.  A city is its hash there and a weight is
+    rounded up to a short, so sums are never too small.  The cities of a theme are
+    lists of about ``LISTED``; the rest of a list goes to each of its cities, where
+    products are added up.
     """
     if not 0 < least <= 1:
         raise ValueError("a similarity is above 0 and at most 1")
-    weights = saved(profiles.where("weight > 0").select("city_id", "theme", "cities", "weight"), "theme-weights")
     rest = Window.partitionBy("city_id").orderBy("cities", "theme").rowsBetween(0, Window.unboundedFollowing)
-    left = F.sum(F.col("weight") * F.col("weight")).over(rest)
-    head = weights.withColumn("_left", left).where(F.col("_left") >= (least / 4) ** 2 * (1 - 1e-6))
-    one = head.select("theme", F.col("city_id").alias("city_a"), F.col("weight").alias("_a"))
-    other = head.select("theme", F.col("city_id").alias("city_b"), F.col("weight").alias("_b"))
-    met = one.join(other, "theme").where("city_a < city_b").groupBy("city_a", "city_b").agg(F.sum(F.col("_a") * F.col("_b")).alias("_held"))
-    pairs = met.where(F.col("_held") >= least / 2 - 1e-6).select("city_a", "city_b")
+    left = F.sum(F.col("weight") * F.col("weight")).over(rest).alias("_left")
+    weights = saved(profiles.where("weight > 0").select("city_id", "theme", "cities", "weight", left), "theme-weights")
+    head = weights.where(F.col("_left") >= (least / 4) ** 2 * (1 - 1e-6))
+    parts = F.ceil(F.col("cities") / LISTED).cast("int")
+    entry = F.struct(F.hash("city_id").alias("no"), F.least(F.ceil(F.col("weight") * SHORT), F.lit(SHORT)).cast("short").alias("w"))
+    lists = head.groupBy("theme", parts.alias("_parts"), F.pmod(F.hash("city_id"), parts).alias("_part")).agg(
+        F.sort_array(F.collect_list(entry)).alias("_list")
+    )
+    lists = saved(lists, "theme-lists")
+    own = lists.select(F.posexplode("_list").alias("_i", "_e"), "_list").select("_e", F.expr("slice(_list, _i + 2, size(_list))").alias("_later"))
+    large = lists.where("_parts > 1")
+    other = large.select("theme", F.col("_part").alias("_other"), F.col("_list").alias("_theirs"))
+    across = large.join(other, "theme").where("_part <> _other").select(F.explode("_list").alias("_e"), "_theirs")
+    across = across.select("_e", F.filter("_theirs", lambda e: e["no"] > F.col("_e.no")).alias("_later"))
+    met = own.union(across).where(F.size("_later") > 0).select(
+        F.col("_e.no").alias("a"), F.col("_e.w").alias("_w"),
+        F.transform("_later", lambda e: e["no"]).alias("b"), F.transform("_later", lambda e: e["w"]).alias("_v"),
+    )
+    # Few bytes make many pairs, so the tasks are dealt by number, not by bytes.
+    spark = profiles.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), DEALT * spark.sparkContext.defaultParallelism)
+    dealt = met.repartition(tasks, "a").select("a", "_w", F.inline(F.arrays_zip("b", "_v")))
+    held = dealt.groupBy("a", "b").agg(F.sum(F.col("_w").cast("long") * F.col("_v")).alias("_held"))
+    pairs = saved(held.where(F.col("_held") >= (least / 2 - 1e-6) * SHORT**2).select("a", "b"), "city-pairs")
+    names = saved(weights.select("city_id").distinct().select(F.hash("city_id").alias("no"), "city_id"), "city-numbers")
+    named = pairs.join(names.select(F.col("no").alias("a"), F.col("city_id").alias("_one")), "a").join(
+        names.select(F.col("no").alias("b"), F.col("city_id").alias("_two")), "b"
+    )
+    named = named.where("a <> b OR _one < _two")  # two cities may share their hash
+    pairs = named.select(F.least("_one", "_two").alias("city_a"), F.greatest("_one", "_two").alias("city_b"))
     first = weights.select(F.col("city_id").alias("city_a"), "theme", F.col("weight").alias("_a"))
     second = weights.select(F.col("city_id").alias("city_b"), "theme", F.col("weight").alias("_b"))
     both = pairs.join(first, "city_a").join(second, ["city_b", "theme"])
