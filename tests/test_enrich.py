@@ -135,3 +135,25 @@ def test_calls_in_batches():
     assert max(map(len, seen)) == 2 and ["e"] in seen and ["f"] in seen
     short = call_batches(lambda t: [], ["a", "b"], pause=0)
     assert all(isinstance(g, ValueError) for g in short) and call_batches(model, []) == []
+
+
+def test_prompts_are_held_a_step_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    prompts = pa.array([None, *("x" * 1_000_000 for _ in range(40)), None, "down"])
+    calls = []
+
+    def call(texts):
+        calls.append(sum(map(len, texts)))
+        return [ValueError("no") if t == "down" else str(len(t)) for t in texts]
+
+    tracemalloc.start()
+    told = enrich.answers(prompts, call).to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    none = {"text": None, "error": None}
+    assert told == [none, *[{"text": "1000000", "error": None}] * 40, none, {"text": None, "error": "validation_error"}]
+    assert max(calls) <= enrich.STEP_BYTES + 1_000_000 and peak < 16_000_000
+    assert enrich.answers(pa.array([], pa.string()), call).to_pylist() == []

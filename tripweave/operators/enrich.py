@@ -7,7 +7,11 @@ at a time, and the answers are validated in the JVM again.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +33,7 @@ ATTRACTION_PROMPT_VERSION = "attraction-metadata-v2"
 FESTIVAL_PROMPT_VERSION = "festival-theme-v1"
 SCHEMA_VERSION = "1"
 MAX_RETRIES = 2
+STEP_BYTES = 4 << 20
 
 _HISTORY = ("status", "input_hash", "prompt_version", "model_id")
 _ANSWER = T.StructType([T.StructField("text", T.StringType()), T.StructField("error", T.StringType())])
@@ -63,6 +68,22 @@ def _error_code(exc: Exception) -> tuple[str, bool]:
     return "model_error", True
 
 
+def answers(prompts: pa.Array, call: Callable[[list[str]], list[object]]) -> pa.Array:
+    """``struct<text,error>`` of every prompt; only about ``STEP_BYTES`` of prompts are Python strings at a time."""
+    sizes = pc.fill_null(pc.binary_length(prompts), 0).to_numpy(zero_copy_only=False)
+    steps = np.cumsum(sizes, dtype="int64") // STEP_BYTES
+    starts = np.flatnonzero(np.diff(steps, prepend=-1)).tolist()
+    told: list[dict | None] = []
+    for first, after in zip(starts, [*starts, len(prompts)][1:], strict=True):
+        texts = prompts.slice(first, after - first).to_pylist()
+        made = iter(call([text for text in texts if text is not None]))
+        for text in texts:
+            answer = next(made) if text is not None else None
+            failed = isinstance(answer, Exception)
+            told.append({"text": None if failed else answer, "error": _error_code(answer)[0] if failed else None})
+    return pa.array(told, pa.struct([("text", pa.string()), ("error", pa.string())]))
+
+
 def ask_model(
     prompt: Column,
     model_fn: BatchFn,
@@ -77,16 +98,12 @@ def ask_model(
     ``functions.calls``.
     """
 
-    @F.pandas_udf(_ANSWER)
-    def run(prompts: pd.Series) -> pd.DataFrame:
-        sent = prompts[prompts.notna()]
-        again = lambda exc: _error_code(exc)[1]
-        answers = call_batches(model_fn, list(sent), batch_size, concurrency, retries, again, pause)
-        out = pd.DataFrame({"text": None, "error": None}, index=prompts.index, dtype=object)
-        for at, answer in zip(sent.index, answers, strict=True):
-            failed = isinstance(answer, Exception)
-            out.at[at, "error" if failed else "text"] = _error_code(answer)[0] if failed else answer
-        return out
+    def call(texts: list[str]) -> list[object]:
+        return call_batches(model_fn, texts, batch_size, concurrency, retries, lambda exc: _error_code(exc)[1], pause)
+
+    @F.arrow_udf(_ANSWER)
+    def run(prompts: pa.Array) -> pa.Array:
+        return answers(prompts, call)
 
     # Non-deterministic: Spark must not repeat a model call for one row.
     return run.asNondeterministic()(prompt)
