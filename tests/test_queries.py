@@ -37,3 +37,18 @@ def test_query_equals_its_twin(spark, name):
     want = con.execute(f"SELECT {', '.join(f'"{c}"' for c in columns)} FROM ({driver.oracle_sql()[name]}) q").fetchall()
     got = found.select(*columns).collect()
     assert sorted((tuple(map(plain, r)) for r in got), key=str) == sorted((tuple(map(plain, r)) for r in want), key=str) and got
+
+
+def test_batches_of_the_file_stream_read_saved_classes(spark, monkeypatch):
+    from tripweave.workloads import run_queries
+
+    seen = []
+
+    def stop(session, path, store, checkpoint, classes, files):
+        seen.append(classes.inputFiles())
+        raise KeyError("enough")
+
+    monkeypatch.setattr(run_queries.ingest, "ingest_raw_files", stop)
+    with pytest.raises(KeyError, match="enough"):
+        driver.queries()["stream_files"](spark, FOLDER)
+    assert seen[0] and not any(f.endswith("/part.parquet") for f in seen[0])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tripweave.operators import quality
 from tripweave.plans import jobs
-from tripweave.session import work_folder
+from tripweave.session import saved, work_folder
 from tripweave.sources import dimensions, fixed, sinks
 from tripweave.streaming import ingest
 from tripweave.workloads.domain_queries import LEGACY
@@ -118,8 +118,9 @@ def stream_files(t):
     folder = work_folder(t.spark, "stream-files")
     doc = F.parse_json("body")
     names = ("meta", "attractions", "festivals", "visitor_statistics")
-    files = t.payloads.select(*(F.try_variant_get(doc, f"$.{n}", "variant").alias(n) for n in names))
-    classes = t["classes"]
+    # Saved, for both runs read the payloads and every batch the classes.
+    payloads, classes = saved(t.payloads, "payloads"), saved(t["classes"], "classes")
+    files = payloads.select(*(F.try_variant_get(doc, f"$.{n}", "variant").alias(n) for n in names))
     for run, part in enumerate(files.randomSplit([0.5, 0.5], 7)):
         part.write.mode("append").option("maxRecordsPerFile", 1).json(f"{folder}/raw")
         ingest.ingest_raw_files(t.spark, f"{folder}/raw", f"{folder}/store", f"{folder}/checkpoint", classes, 100).awaitTermination()
