@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripweave.operators import crowding, overrides, recurrence
+from tripweave.workloads import QUERIES
 
 D = date.fromisoformat
 CASES = {
@@ -102,6 +103,29 @@ def test_crowding_equals_plain_ranks(spark):
     assert crowding.crowding_scores(frame.limit(0)).count() == crowding.crowding_scores(frame.limit(0), tested=tested).count() == 0
 
 
+def test_shares_of_a_large_group_hold_no_list_of_it(spark):
+    rows = spark.range(3000).select(F.lit("g").alias("g"), (F.col("id") * 7 % 1500).cast("double").alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several ranges for the one group
+    try:
+        told = crowding.exact_shares(rows, rows.where("v % 2 = 0"), ["g"], "v")
+        assert {r["v"]: r["share"] for r in told.collect()} == {float(v): (2 * v + 1) / 3000 for v in range(0, 1500, 2)}
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert "collect_list" not in told._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_sketched_share_equals_counting_the_quantiles(spark):
+    quantiles = sorted(random.Random(4).choice(range(60)) for _ in range(crowding.STEPS + 1))
+    rows = spark.range(-1, 62).select(F.col("id").cast("double").alias("v"), F.array(*(F.lit(float(q)) for q in quantiles)).alias("q"))
+    for r in rows.select("v", crowding._sketched_share(F.col("v"), F.col("q")).alias("share")).collect():
+        both = sum(q < r["v"] for q in quantiles) + sum(q <= r["v"] for q in quantiles)
+        assert r["share"] == min(max((both - 1) / (2 * crowding.STEPS), 0.0), 1.0)
+
+
+def test_crowding_sketch_reads_lineitem_once(spark):
+    made = QUERIES["crowding_sketch"](spark, "/root/testdata/sf0.001")
+    assert made.count() and not any("lineitem" in f for f in made.inputFiles())  # the sums by month are saved
+
 # --- overrides ------------------------------------------------------------------
 
 ITEM = "content_id string, as_of date, tel string, homepage string, email string, item string, key string"

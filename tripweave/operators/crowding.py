@@ -10,7 +10,7 @@ zero, takes no part, and a city with fewer than ``least_months`` has no score.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripweave.session import saved
@@ -37,33 +37,34 @@ def _sketches(rows: DataFrame, keys: list[str], value: str, accuracy: int) -> Da
 
 def _sketched_share(value: Column, quantiles: Column) -> Column:
     """Share of the values that are smaller, and half of those that are equal, as the quantiles tell."""
-    below, upto = F.size(F.filter(quantiles, lambda q: q < value)), F.size(F.filter(quantiles, lambda q: q <= value))
+    steps = F.array(*(F.lit(2**i) for i in reversed(range(STEPS.bit_length()))))
+
+    def leading(fits) -> Column:
+        """How many of the rising quantiles fit, by halving."""
+        return F.aggregate(steps, F.lit(0), lambda at, step: F.when(fits(F.get(quantiles, at + step - 1)), at + step).otherwise(at))
+
+    below, upto = leading(lambda q: q < value), leading(lambda q: q <= value)
     return F.least(F.greatest((below + upto - 1) / (2 * STEPS), F.lit(0.0)), F.lit(1.0))
 
 
 def exact_shares(rows: DataFrame, asked: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """keys, value, share for every distinct value of ``asked``: counted in one pass over ``rows``.
+    """keys, value, share for every distinct value of ``asked``.
 
-    The asked values of a group are a sorted list; each row falls into a place of
-    its group's list, places are counted before the shuffle, and running totals
-    over the list give the shares.
+    The distinct values of ``rows`` are counted and dealt by range over the tasks,
+    a large group over several.  A running total inside a range, on top of what
+    the group's earlier ranges hold, gives what is smaller; no group is held whole.
     """
-    wanted = asked.select(*keys, value).dropna().distinct().groupBy(*keys).agg(F.sort_array(F.collect_list(value)).alias("_wanted"))
-    placed = rows.join(wanted, keys).select(
-        *keys, F.size(F.filter("_wanted", lambda w: w < F.col(value))).alias("_lower"), F.array_contains("_wanted", F.col(value)).alias("_hit")
+    counts = rows.dropna(subset=[*keys, value]).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    ranged = saved(counts.repartitionByRange(*keys, value).withColumn("_range", F.spark_partition_id()), "crowding-ranges")
+    group, earlier = Window.partitionBy(*keys), (Window.unboundedPreceding, -1)
+    ranges = ranged.groupBy(*keys, "_range").agg(F.sum("_n").alias("_held")).select(
+        *keys, "_range", F.sum("_held").over(group).alias("_size"), F.sum("_held").over(group.orderBy("_range").rowsBetween(*earlier)).alias("_before")
     )
-    counts = placed.groupBy(*keys, "_lower", "_hit").agg(F.count("*").alias("n"))
-    table = counts.groupBy(*keys).agg(F.collect_list(F.struct("_lower", "_hit", "n")).alias("_counts"), F.sum("n").alias("_size"))
-    zero = F.lit(0).cast("long")
-
-    def total(fits) -> Column:
-        return F.aggregate(F.filter("_counts", fits), zero, lambda s, c: s + c["n"])
-
-    # the value at position i: rows whose place is i and that hit it are equal; earlier places are smaller
-    told = wanted.join(table, keys).select(*keys, "_counts", "_size", F.posexplode("_wanted").alias("_i", value))
-    equal = total(lambda c: (c["_lower"] == F.col("_i")) & c["_hit"])
-    less = total(lambda c: (c["_lower"] < F.col("_i")) | ((c["_lower"] == F.col("_i")) & ~c["_hit"]))
-    return told.select(*keys, value, ((less + equal / 2) / F.col("_size")).alias("share"))
+    within = Window.partitionBy(*keys, "_range").orderBy(value).rowsBetween(*earlier)
+    told = ranged.withColumn("_less", F.sum("_n").over(within)).join(ranges, [*keys, "_range"])
+    less = F.coalesce("_before", F.lit(0)) + F.coalesce("_less", F.lit(0))
+    shares = told.select(*keys, value, ((less + F.col("_n") / 2) / F.col("_size")).alias("share"))
+    return shares.join(asked.select(*keys, value).distinct(), [*keys, value], "left_semi")
 
 
 def crowding_scores(
@@ -83,24 +84,30 @@ def crowding_scores(
     rows = saved(known.select("city", "region", "season", F.col("visitors").cast("double").alias("visitors")), "crowding-months")
     cities = rows.groupBy("city", "region").agg(F.avg("visitors").alias("mean"), F.count("*").alias("months"))
     cities = saved(cities.where(F.col("months") >= least_months), "crowding-cities")
-    scored = rows.join(cities.select("city", "region", "months"), ["city", "region"])
+    if tested is None:
+        return _sketched_scores(rows, cities, cities, accuracy)
+    names = saved(tested.select("city").distinct(), "crowding-tested")
+    made = _sketched_scores(rows, cities, cities.join(names, "city", "left_anti"), accuracy)
+    asked_cities = cities.join(names, "city", "left_semi")
+    asked = rows.join(asked_cities.select("city", "region"), ["city", "region"], "left_semi")
+    months = asked.join(exact_shares(rows, asked, ["region", "season"], "visitors"), ["region", "season", "visitors"])
+    ranks = exact_shares(cities.withColumn("all", F.lit(1)), asked_cities.withColumn("all", F.lit(1)), ["all"], "mean")
+    means = asked_cities.join(ranks.select("mean", F.col("share").alias("rank")), "mean")
+    exact = _scores(months.select("city", "region", "season", "visitors", "share"), means).withColumn("exact", F.lit(True))
+    return made.select(exact.columns).union(exact)
+
+
+def _sketched_scores(rows: DataFrame, cities: DataFrame, told: DataFrame, accuracy: int) -> DataFrame:
+    """Scores of the ``told`` cities, by sketches of all ``rows`` and ``cities``."""
     by_group = _sketches(rows, ["region", "season"], "visitors", accuracy)
     overall = _sketches(cities.withColumn("all", F.lit(1)), ["all"], "mean", accuracy)
     share = _sketched_share(F.col("visitors"), F.col("quantiles"))
+    scored = rows.join(told.select("city", "region"), ["city", "region"], "left_semi")
     months = scored.join(by_group, ["region", "season"]).select("city", "region", "season", "visitors", share.alias("share"))
-    means = cities.withColumn("all", F.lit(1)).join(overall, "all").select(
+    means = told.withColumn("all", F.lit(1)).join(overall, "all").select(
         "city", "region", "months", "mean", _sketched_share(F.col("mean"), F.col("quantiles")).alias("rank")
     )
-    made = _scores(months, means).withColumn("exact", F.lit(False))
-    if tested is None:
-        return made
-    names = tested.select("city").distinct()
-    asked, asked_cities = scored.join(names, "city", "left_semi"), cities.join(names, "city", "left_semi")
-    months = asked.join(exact_shares(rows, asked, ["region", "season"], "visitors"), ["region", "season", "visitors"])
-    ranks = exact_shares(cities.withColumn("all", F.lit(1)), asked_cities.withColumn("all", F.lit(1)), ["all"], "mean")
-    means = asked_cities.join(ranks.select("mean", F.col("share").alias("rank")), "mean")
-    exact = _scores(months.select("city", "region", "season", "visitors", "share"), means).withColumn("exact", F.lit(True))
-    return made.join(names, "city", "left_anti").select(exact.columns).union(exact)
+    return _scores(months, means).withColumn("exact", F.lit(False))
 
 
 def _scores(months: DataFrame, means: DataFrame) -> DataFrame:

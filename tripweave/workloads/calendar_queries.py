@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from tripweave.operators import crowding, overrides, recurrence
+from tripweave.session import saved
 from tripweave.workloads.registry import query
 
 # Editions: one per order, moved to a day that the customer's habit gives.
@@ -122,14 +123,14 @@ _MONTHLY = """
     FROM ranked r JOIN shares s USING (city, region) JOIN peaks p USING (city, region) GROUP BY r.city, r.region, r.months""")
 def crowding_scores(t):
     """Crowding and novelty of all cities, counted exactly."""
-    monthly = t.sql(_MONTHLY)
+    monthly = saved(t.sql(_MONTHLY), "monthly")
     return crowding.crowding_scores(monthly, tested=monthly.select("city"))
 
 
 @query(f"SELECT city, true AS close FROM ({_MONTHLY}) m WHERE region IS NOT NULL GROUP BY city HAVING count(*) >= 6")
 def crowding_sketch(t):
     """Whether the sketched scores of a city are as near to the exact ones as stated."""
-    monthly = t.sql(_MONTHLY)
+    monthly = saved(t.sql(_MONTHLY), "monthly")
     exact = crowding.crowding_scores(monthly, tested=monthly.select("city")).select("city", F.col("crowding_score").alias("c"), F.col("novelty_score").alias("n"))
     both = crowding.crowding_scores(monthly).join(exact, "city")
     error = 1 / crowding.STEPS + 1 / crowding.ACCURACY + 0.0001
