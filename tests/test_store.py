@@ -66,6 +66,36 @@ def test_base_does_not_move(spark, tmp_path):
     assert "Exchange" not in above and "SelectedBucketsCount: 4 out of 4" in plan
 
 
+def test_base_does_not_move_with_fewer_buckets_than_shuffle_partitions(spark, tmp_path):
+    store = Store(spark, str(tmp_path), buckets=2)
+    for n, batch in enumerate(batches_of(3, 3)):
+        store.append(spark.createDataFrame(batch, SCHEMA).drop("gone"), n + 1, ["seq"])
+        if n == 0:
+            store.compact()
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.shuffle.partitions", 48)
+    try:
+        plan = store.current()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    scan = plan.index("Bucketed: true")
+    assert "Exchange" not in plan[plan.rindex("SortMergeJoin", 0, scan) : scan]
+    assert plan.count("Exchange") == 1 and "partial_max_by" not in plan  # the deltas, each row once
+
+
+def test_base_gets_more_buckets_as_it_grows(spark, tmp_path, monkeypatch):
+    store, state = Store(spark, str(tmp_path), buckets=2), {}
+    for n, batch in enumerate(batches_of(4, 3)):
+        store.append(spark.createDataFrame(batch, SCHEMA), n + 1, ["seq"], F.col("gone"))
+        apply(state, batch)
+        monkeypatch.setattr("tripweave.sources.store.BUCKET_BYTES", 1 << 20 if n == 0 else 700)
+        own = store.compact().buckets
+        assert own == 2 if n == 0 else own > 4
+        assert rows_of(store.current(), ("seq", "title")) == state
+
+
 def test_another_session_reads_the_base(spark, tmp_path):
     store = Store(spark, str(tmp_path), buckets=2)
     store.append(spark.createDataFrame([("C", "a", 1, "x", False)], SCHEMA), 1, ["seq"])

@@ -6,9 +6,11 @@ folders hold refused changes.  Manifests ``manifest/N.json`` say which folders
 belong to version N.
 
 * Reading joins the base with the few deltas on the key.  The base is bucketed
-  by the key, so only the deltas are shuffled.
+  by the key, so only the deltas are shuffled, into the buckets of the base.
 * ``fan`` deltas of one level are merged into one of the next; ``compact`` merges
-  all deltas into a new base, again without moving the old one.
+  all deltas into a new base, again without moving the old one, unless it has
+  outgrown its buckets.
+* A delta holds each key once, so merging moves and sorts every row once, uncombined.
 * A version is published by creating its manifest, which fails if the manifest
   is there already: of two writers that start from one version, one commits and
   the other gets ``Conflict`` and has changed nothing.  Readers keep the version
@@ -30,7 +32,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -38,6 +40,7 @@ from tripweave.operators.keyvalue import KEYS, has_key, pick_per_key
 
 GONE = "_deleted"
 VERSION = "row_version"
+BUCKET_BYTES = 32 << 20  # of files; a base gets more buckets where they would hold more than twice that
 
 
 class Conflict(RuntimeError):
@@ -121,16 +124,23 @@ class Store:
                     raise
         return self.spark.table(name)
 
-    def _deltas(self, deltas: Sequence[dict]) -> DataFrame | None:
-        """Newest row of every key in some deltas, deletions included; later folders win."""
+    def _deltas(self, deltas: Sequence[dict], buckets: int | None = None) -> DataFrame | None:
+        """Newest row of every key in some deltas, deletions included; later folders win.  They lie in ``buckets`` of the key, if told."""
         rows = None
         for order, delta in enumerate(deltas):
             own = self.spark.read.parquet(f"{self.path}/{delta['folder']}").withColumn("_order", F.lit(order))
             rows = own if rows is None else rows.unionByName(own, allowMissingColumns=True)
-        return None if rows is None else pick_per_key(rows, self.keys, F.col("_order")).drop("_order")
+        if rows is None:
+            return None
+        if buckets is not None:
+            rows = rows.repartition(buckets, *self.keys)
+        # a key has one row per delta at most: nothing to combine before the shuffle
+        newer = F.lead("_order").over(Window.partitionBy(*self.keys).orderBy("_order"))
+        return rows.withColumn("_newer", newer).where("_newer IS NULL").drop("_newer", "_order")
 
-    def _merged(self, known: Manifest) -> DataFrame | None:
-        base, deltas = self._base(known), self._deltas(known.deltas)
+    def _merged(self, known: Manifest, buckets: int | None = None) -> DataFrame | None:
+        """All rows of a version; ``buckets`` of the key deal them out where there is no base yet."""
+        base, deltas = self._base(known), self._deltas(known.deltas, known.buckets or buckets)
         if base is None or deltas is None:
             rows = base if deltas is None else deltas.where(~F.col(GONE)).drop(GONE)
             return rows
@@ -242,14 +252,23 @@ class Store:
                 deltas[at : at + len(own)] = [{"folder": folder, "level": level + 1, "batch": own[-1]["batch"]}]
         return known if deltas == known.deltas else self._publish(known, deltas=deltas)
 
+    def _fitting_buckets(self, known: Manifest) -> int:
+        """Buckets of the next base: as many as now, or more once they would hold more than twice BUCKET_BYTES each."""
+        held = 0
+        for folder in [*([known.base] if known.base else []), *(d["folder"] for d in known.deltas)]:
+            fs, path = self._hadoop(folder)
+            held += fs.getContentSummary(path).getLength()
+        own, fitting = known.buckets or self.buckets, -(-held // BUCKET_BYTES)
+        return fitting if fitting > 2 * own else own
+
     def compact(self) -> Manifest:
         """Merges all deltas into a new base; the old base is read bucket by bucket where it lies."""
         known = self.manifest()
         if not known.deltas:
             return known
-        rows = self._merged(known)
-        buckets = known.buckets or self.buckets
-        if known.base is None:
+        buckets = self._fitting_buckets(known)
+        rows = self._merged(known, buckets)
+        if known.base is not None and buckets != known.buckets:
             rows = rows.repartition(buckets, *self.keys)
         folder = self._new("base")
         name = "store_" + hashlib.md5(f"{self.path}/{folder}".encode()).hexdigest()
