@@ -19,12 +19,14 @@ def pick_per_key(rows: DataFrame, keys: Sequence[str], order: Column, last: bool
     A plain aggregate combines before the shuffle, so a key that owns a third
     of all rows sends one row per map task instead of its whole group.
     """
-    others = [c for c in rows.columns if c not in keys]
+    # SQL text, for a call per column takes longer than the rows of a small batch.
+    names = {c: "`" + c.replace("`", "``") + "`" for c in rows.columns}
+    others = ", ".join(quoted for c, quoted in names.items() if c not in keys)
     choose = F.max_by if last else F.min_by
     return (
         rows.groupBy(*keys)
-        .agg(choose(F.struct(*others), order).alias("kept"))
-        .select(*[F.col(c) if c in keys else F.col(f"kept.{c}").alias(c) for c in rows.columns])
+        .agg(choose(F.expr(f"struct({others})"), order).alias("kept"))
+        .selectExpr(*[quoted if c in keys else f"kept.{quoted}" for c, quoted in names.items()])
     )
 
 

@@ -90,10 +90,8 @@ def append_batch(
     ``transient`` columns.  Writing the same batch again replaces it, so a
     retried batch changes nothing.
     """
-    stored = [c for c in items.columns if c not in transient]
-    latest = pick_per_key(
-        items.where(has_key(keys)).select(*stored, F.struct(*order).alias("_order")), keys, F.col("_order")
-    ).drop("_order")
+    ordered = items.where(has_key(keys)).withColumn("_order", F.struct(*order)).drop(*transient)
+    latest = pick_per_key(ordered, keys, F.col("_order")).drop("_order")
     latest.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
 
